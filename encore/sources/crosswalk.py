@@ -83,3 +83,45 @@ def staging_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").cast("decimal(10,5)").alias("duration"),
         F.when(F.col("p_size") <= 5, 0).otherwise(F.col("p_size") + 1970).alias("year"),
     )
+
+
+def write_logs(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The staging events as log files: JSON lines in nested folders.
+
+    Keys come in two spellings, user ids are quoted and may be empty, the
+    registration is a float, and one key belongs to no column.
+    """
+    events = staging_events(spark, sf_dir)
+    text_id = F.coalesce(F.col("userid").cast("string"), F.lit(""))
+    values = {
+        **{c: F.col(c) for c in events.columns},
+        "registration": F.col("registration").cast("double"),
+        "userid": text_id,
+    }
+    # The spelling of log keys that are not plain lower case.
+    camel = {
+        "firstname": "firstName",
+        "lastname": "lastName",
+        "iteminsession": "itemInSession",
+        "sessionid": "sessionId",
+        "useragent": "userAgent",
+        "userid": "userId",
+    }
+    spelled = F.to_json(
+        F.struct(*[v.alias(camel.get(c, c)) for c, v in values.items()]),
+        {"ignoreNullFields": "false"},
+    )
+    shouted = F.to_json(
+        F.struct(*[v.alias(c.upper()) for c, v in values.items()], F.lit("x").alias("OTHER"))
+    )
+    line = F.when(F.col("iteminsession") % 2 == 0, spelled).otherwise(shouted)
+    lines = events.select(line.alias("value"), F.col("page").alias("folder"))
+    lines.write.partitionBy("folder").text(path)
+
+
+def write_catalogue(spark: SparkSession, sf_dir: str, path: str, objects_per_file: int = 1000) -> None:
+    """The staging songs as files of pretty-printed JSON objects."""
+    songs = staging_songs(spark, sf_dir)
+    layout = {"pretty": "true", "ignoreNullFields": "false"}
+    objects = songs.select(F.to_json(F.struct(*songs.columns), layout).alias("value"))
+    objects.write.option("maxRecordsPerFile", objects_per_file).text(path)
