@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,13 +29,34 @@ class Star:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.events = crosswalk.staging_events(spark, sf_dir)
-        self.songs_raw = crosswalk.staging_songs(spark, sf_dir)
-        self.users = dims.build_users(self.events)
-        self.artists = dims.build_artists(self.songs_raw)
-        self.songs = dims.build_songs(self.songs_raw)
-        self.time = dims.build_time(self.events)
-        self.songplays = facts.build_songplays(self.events, self.artists, self.songs)
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return crosswalk.staging_events(self.spark, self.sf_dir)
+
+    @cached_property
+    def songs_raw(self) -> DataFrame:
+        return crosswalk.staging_songs(self.spark, self.sf_dir)
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return dims.build_users(self.events)
+
+    @cached_property
+    def artists(self) -> DataFrame:
+        return dims.build_artists(self.songs_raw)
+
+    @cached_property
+    def songs(self) -> DataFrame:
+        return dims.build_songs(self.songs_raw)
+
+    @cached_property
+    def time(self) -> DataFrame:
+        return dims.build_time(self.events)
+
+    @cached_property
+    def songplays(self) -> DataFrame:
+        return facts.build_songplays(self.events, self.artists, self.songs)
 
     def raw(self, name: str) -> DataFrame:
         return crosswalk.table(self.spark, self.sf_dir, name)

@@ -6,55 +6,51 @@ tables. Nothing here depends on the session time zone.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+@cache
+def _schema(spark: SparkSession, path: str) -> StructType:
+    """Read from a file footer once; each read of it is a Spark job of its own."""
+    return spark.read.parquet(path).schema
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def staging_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per ``events`` row whose user is a customer."""
     customers = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    joined = table(spark, sf_dir, "events").join(
-        customers, F.col("user_id") == F.col("c_custkey")
+        table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey")
     )
-    kind, user, event, at = (F.col(c) for c in ("event_type", "user_id", "event_id", "ts"))
-    failed = kind == "error"
-    supplier_no = F.get_json_object("props", "$.k").cast("int") + 5
-    hour_ms = (
-        F.unix_date(at.cast("date")).cast("long") * 86_400_000
-        + F.hour(at).cast("long") * 3_600_000
-    )
-    page = (
-        F.when(kind == "view", "NextSong")
-        .when(kind == "click", "Home")
-        .when(kind == "signup", "Upgrade")
-        .when(kind == "purchase", "Settings")
-        .when(failed, "Error")
-    )
-    return joined.select(
-        F.concat(F.lit("Supplier#"), F.lpad(supplier_no.cast("string"), 9, "0")).alias("artist"),
-        F.when(failed, "Logged Out").otherwise("Logged In").alias("auth"),
-        F.lit("Customer").alias("firstname"),
-        F.when(user % 2 == 0, "F").otherwise("M").alias("gender"),
-        (event % 50).cast("int").alias("iteminsession"),
-        F.col("c_name").alias("lastname"),
-        F.col("value").cast("decimal(10,5)").alias("length"),
-        F.when(event % 3 == 0, "paid").otherwise("free").alias("level"),
-        F.col("n_name").alias("location"),
-        F.when(kind == "view", "PUT").otherwise("GET").alias("method"),
-        page.alias("page"),
-        (user + F.lit(1540344794796)).cast("decimal(18,0)").alias("registration"),
-        (user * 31 + F.dayofmonth(at)).cast("int").alias("sessionid"),
-        F.concat(F.lit("Song "), (event % 64).cast("string")).alias("song"),
-        F.when(failed, 404).otherwise(200).alias("status"),
-        hour_ms.alias("ts"),
-        F.concat(F.lit("agent/"), (user % 7).cast("string")).alias("useragent"),
-        F.when(~failed, user.cast("int")).alias("userid"),
+    joined = table(spark, sf_dir, "events").join(customers, F.expr("user_id = c_custkey"))
+    return joined.selectExpr(
+        "'Supplier#' || lpad(string(int(get_json_object(props, '$.k')) + 5), 9, '0') as artist",
+        "if(event_type = 'error', 'Logged Out', 'Logged In') as auth",
+        "'Customer' as firstname",
+        "if(user_id % 2 = 0, 'F', 'M') as gender",
+        "int(event_id % 50) as iteminsession",
+        "c_name as lastname",
+        "cast(value as decimal(10,5)) as length",
+        "if(event_id % 3 = 0, 'paid', 'free') as level",
+        "n_name as location",
+        "if(event_type = 'view', 'PUT', 'GET') as method",
+        "case event_type when 'view' then 'NextSong' when 'click' then 'Home'"
+        " when 'signup' then 'Upgrade' when 'purchase' then 'Settings'"
+        " when 'error' then 'Error' end as page",
+        "cast(1540344794796 + user_id as decimal(18,0)) as registration",
+        "int(user_id * 31 + day(ts)) as sessionid",
+        "'Song ' || (event_id % 64) as song",
+        "if(event_type = 'error', 404, 200) as status",
+        "unix_date(date(ts)) * 86400000L + hour(ts) * 3600000L as ts",
+        "'agent/' || (user_id % 7) as useragent",
+        "if(event_type = 'error', null, int(user_id)) as userid",
     )
 
 
@@ -63,26 +59,25 @@ def staging_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier")
     supplier_count = suppliers.agg(F.count("*")).scalar()
     artists = suppliers.join(
-        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+        table(spark, sf_dir, "nation"), F.expr("s_nationkey = n_nationkey")
     )
     parts = table(spark, sf_dir, "part").withColumn("_supplier", F.col("p_partkey") % supplier_count)
-    catalogue = parts.join(artists, F.col("_supplier") == F.col("s_suppkey"))
-    joined = table(spark, sf_dir, "lineitem").join(
-        catalogue, F.col("l_partkey") == F.col("p_partkey")
-    )
-    located = F.col("s_acctbal") >= 0
-    return joined.select(
-        F.lit(1).alias("num_songs"),
-        F.concat(F.lit("AR"), F.lpad(F.col("s_suppkey").cast("string"), 16, "0")).alias("artist_id"),
-        F.when(located, (F.col("s_acctbal") / 1000).cast("decimal(10,5)")).alias("artist_latitude"),
-        F.when(located, (-F.col("s_acctbal") / 100).cast("decimal(10,5)")).alias("artist_longitude"),
-        F.when(F.col("p_size") <= 2, "").otherwise(F.col("n_name")).alias("artist_location"),
-        F.col("s_name").alias("artist_name"),
-        F.concat(F.lit("SO"), F.lpad(F.col("p_partkey").cast("string"), 16, "0")).alias("song_id"),
-        F.col("p_name").alias("title"),
-        F.col("p_retailprice").cast("decimal(10,5)").alias("duration"),
-        F.when(F.col("p_size") <= 5, 0).otherwise(F.col("p_size") + 1970).alias("year"),
+    # Computed once per part and not once per line item.
+    catalogue = parts.join(artists, F.expr("_supplier = s_suppkey")).selectExpr(
+        "p_partkey",
+        "1 as num_songs",
+        "'AR' || lpad(string(s_suppkey), 16, '0') as artist_id",
+        "if(s_acctbal < 0, null, cast(s_acctbal / 1000 as decimal(10,5))) as artist_latitude",
+        "if(s_acctbal < 0, null, cast(-s_acctbal / 100 as decimal(10,5))) as artist_longitude",
+        "if(p_size <= 2, '', n_name) as artist_location",
+        "s_name as artist_name",
+        "'SO' || lpad(string(p_partkey), 16, '0') as song_id",
+        "p_name as title",
+        "cast(p_retailprice as decimal(10,5)) as duration",
+        "if(p_size <= 5, 0, 1970 + p_size) as year",
     )
+    items = table(spark, sf_dir, "lineitem").select("l_partkey")
+    return items.join(catalogue, F.expr("l_partkey = p_partkey")).drop("l_partkey", "p_partkey")
 
 
 def write_logs(spark: SparkSession, sf_dir: str, path: str) -> None:
