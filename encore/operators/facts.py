@@ -75,20 +75,3 @@ def build_songplays(events: DataFrame, artists: DataFrame, songs: DataFrame) ->
         name_key(F.col("ar.name")).alias("_name"), F.col("ar.artist_id"), F.col("so.song_id")
     )
     return _play_columns(events).join(catalogue, "_name").select(*FACT_COLUMNS)
-
-
-def build_songplay_groups(events: DataFrame, artists: DataFrame, songs: DataFrame) -> DataFrame:
-    """The fact with equal rows folded into one and their number in ``copies``.
-
-    Equal rows come from repeated events, artists with several rows and songs
-    with several rows. Each is counted on its own input, before the fan-out.
-    """
-    plays = _play_columns(events)
-    play_counts = plays.groupBy(*plays.columns).agg(F.count("*").alias("_plays"))
-    artist_counts = artists.groupBy(name_key(F.col("name")).alias("_name"), "artist_id").agg(
-        F.count("*").alias("_artist_rows")
-    )
-    song_counts = songs.groupBy("artist_id", "song_id").agg(F.count("*").alias("_song_rows"))
-    copies = F.col("_plays") * F.col("_artist_rows") * F.col("_song_rows")
-    catalogue = artist_counts.where("_name is not null").join(song_counts, "artist_id")
-    return play_counts.join(catalogue, "_name").select(*FACT_COLUMNS, copies.alias("copies"))

@@ -9,60 +9,43 @@ from pyspark.sql import functions as F
 
 from encore.scratch import stage
 
-# Copies of one row that travel together. Small, so that range partitions,
-# which are balanced by bundles, stay balanced by rows too.
-BUNDLE = 8
-
 # monotonically_increasing_id keeps the partition above these bits and the
 # position in the partition below them.
 POSITION_BITS = 33
 
 
 def with_identity(
-    df: DataFrame,
-    order_cols: Sequence[str],
-    id_col: str = "id",
-    start: int = 0,
-    copies: str | None = None,
+    df: DataFrame, order_cols: Sequence[str], id_col: str = "id", start: int = 0
 ) -> tuple[DataFrame, str]:
     """Rows of ``df`` numbered from ``start``, without gaps, in the order of ``order_cols``.
 
     ``order_cols`` must be all columns of ``df``, so that only equal rows tie
-    and a rerun gives the same result. Equal rows may come folded, with their
-    number in ``copies``; else they are folded here. Without that, the copies
-    of one row could not be spread over several range partitions.
+    and a rerun gives the same result.
+
+    A range shuffle and a sort inside each partition replace the global
+    ``row_number``. Copies of one row could not be told apart by the range, so
+    the partition they come from breaks ties: copies read by many tasks go on
+    to many tasks, and a task run again sends its rows to the same places.
 
     The sorted rows are written once to the shared folder, which fixes their
     positions even if executors are lost later. Returns the numbered rows and
     the path of the staged ones, for ``scratch.discard`` after use.
     """
-    if copies is None:
-        copies = "_copies"
-        df = df.groupBy(*df.columns).agg(F.count("*").alias(copies))
-    values = [c for c in df.columns if c != copies]
-    if set(values) != set(order_cols):
+    if set(df.columns) != set(order_cols):
         raise ValueError("order_cols must be all columns, or ids could differ between runs")
 
-    bundles = df.select(
-        "*", F.explode(F.sequence(F.lit(0), F.col(copies) - 1, F.lit(BUNDLE))).alias("_first")
-    ).select(
-        *values,
-        "_first",
-        F.least(F.lit(BUNDLE), F.col(copies) - F.col("_first")).cast("int").alias("_size"),
-    )
-    order = [*order_cols, "_first"]
+    spread = df.withColumn("_origin", F.spark_partition_id())
     slots = (
-        bundles.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .select(*values, F.explode(F.array_repeat(F.lit(True), F.col("_size"))).alias("_one"))
-        .select(*values, F.monotonically_increasing_id().alias("_slot"))
+        spread.repartitionByRange(*order_cols, "_origin")
+        .sortWithinPartitions(*order_cols)
+        .select(*df.columns, F.monotonically_increasing_id().alias("_slot"))
     )
     staged, path = stage(slots, "identity")
 
     part = F.shiftright("_slot", POSITION_BITS)
     position = F.col("_slot").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
     # One row per shuffle partition, whatever the data: safe to order in one
-    # task and to broadcast.
+    # task and to broadcast. Only the slots are read for it.
     sizes = staged.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
@@ -70,7 +53,7 @@ def with_identity(
     )
     numbered = staged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     identity = (F.col("_offset") + position + F.lit(start)).cast("long")
-    return numbered.select(identity.alias(id_col), *values), path
+    return numbered.select(identity.alias(id_col), *df.columns), path
 
 
 def with_sparse_identity(df: DataFrame, id_col: str = "id") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from encore.operators.dimensions import build_artists, build_songs, build_time, build_users
-from encore.operators.facts import IDENTITY_ORDER, build_songplay_groups
+from encore.operators.facts import IDENTITY_ORDER, build_songplays
 from encore.operators.identity import with_identity
 from encore.operators.quality import enforce
 from encore.schemas import TABLES
@@ -46,15 +46,14 @@ def insert_songplays(store: TableStore) -> None:
     """
     table = TABLES["songplays"]
     used = store.read(table.name).agg(F.max("songplay_id").alias("last")).first()["last"]
-    groups = build_songplay_groups(
+    plays = build_songplays(
         store.read("staging_events"), store.read("artists"), store.read("songs")
     )
     numbered, staged = with_identity(
-        enforce(groups, table),
+        enforce(plays, table),
         IDENTITY_ORDER,
         id_col="songplay_id",
         start=0 if used is None else used + 1,
-        copies="copies",
     )
     store.append(table.name, by_name(numbered, table))
     discard(store.spark, staged)

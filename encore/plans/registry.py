@@ -156,10 +156,7 @@ def layout_roundtrip(star: Star) -> DataFrame:
 
 
 def songplays_with_id(star: Star) -> DataFrame:
-    groups = facts.build_songplay_groups(star.events, star.artists, star.songs)
-    numbered, _ = with_identity(
-        groups, facts.IDENTITY_ORDER, id_col="songplay_id", copies="copies"
-    )
+    numbered, _ = with_identity(star.songplays, facts.IDENTITY_ORDER, id_col="songplay_id")
     return numbered
 
 

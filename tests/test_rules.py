@@ -14,7 +14,7 @@ from encore.operators.dimensions import (
     last_event_per_user,
     latest_level_per_user,
 )
-from encore.operators.facts import build_songplay_groups, build_songplays
+from encore.operators.facts import build_songplays
 from encore.plans.reports import plays_per_artist, plays_per_song_month, top_artists, top_songs
 from pyspark.sql import functions as F
 
@@ -156,22 +156,9 @@ def test_empty_and_missing_location_are_different_artists(make_songs):
 def test_artist_names_match_up_to_trailing_blanks(make_events, make_songs):
     events = make_events({"artist": "abba"}, {"artist": "ABBA "}, {"artist": None})
     catalogue = make_songs({"artist_name": "ABBA"}, {"artist_name": None, "artist_id": "A2"})
-    fact, _, artists, _ = star(events, catalogue)
+    fact, *_ = star(events, catalogue)
     assert rows(fact, "artist_id") == [("A1",)]
-    groups = build_songplay_groups(events, artists, build_songs(catalogue))
-    assert rows(groups, "artist_id", "copies") == [("A1", 1)]
 
 
 def test_unknown_year_stays(make_songs):
     assert rows(build_songs(make_songs({"year": 0})), "year") == [(0,)]
-
-
-def test_groups_unfold_to_the_fact(make_events, make_songs):
-    events = make_events({}, {}, {"artist": "A "}, {"artist": "B"}, {"userid": 2})
-    catalogue = make_songs(
-        {}, {"artist_location": "Y"}, {"title": "T2"}, {"artist_name": "B"}, {"song_id": "S2"}
-    )
-    fact, songs, artists, _ = star(events, catalogue)
-    groups = build_songplay_groups(events, artists, songs)
-    unfolded = groups.select("*", F.explode(F.sequence(F.lit(1), "copies"))).select(*fact.columns)
-    assert rows(unfolded) == rows(fact) and fact.count() > 10
