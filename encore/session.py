@@ -25,6 +25,10 @@ def local_session(cpus: int | str = 8, **extra: str) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("encore")
     settings = {
         **DEFAULTS,
+        # Small data: keep all cores busy, and keep compiled plans between queries.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+        "spark.sql.codegen.cache.maxEntries": "1000",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.shuffle.partitions": str(cpus),
         "spark.driver.memory": "16g",
         **extra,
