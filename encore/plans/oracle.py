@@ -268,6 +268,12 @@ BODIES = {
         FROM artists a JOIN songs s ON s.artist_id = a.artist_id
     """,
     "star_join": "SELECT * FROM star",
+    "artist_plays": """
+        SELECT a.artist_id, a."name", a."location" AS artist_location,
+               p.start_time, p.user_id, p.song_id
+        FROM songplays p, artists a
+        WHERE a.artist_id = p.artist_id
+    """,
     "last_event_per_user": """
         SELECT userid, max(ts) AS last_ts FROM staging_events GROUP BY userid
     """,

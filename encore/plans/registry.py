@@ -273,6 +273,13 @@ def star_join(star: Star) -> DataFrame:
     )
 
 
+def artist_plays(star: Star) -> DataFrame:
+    return reports.artist_plays(star.artists, star.songplays).select(
+        "art.artist_id", "art.name", F.col("art.location").alias("artist_location"),
+        "sp.start_time", "sp.user_id", "sp.song_id",
+    )
+
+
 def plays_per_song_month(star: Star) -> DataFrame:
     return reports.plays_per_song_month(star.songplays, star.songs, star.artists, star.time)
 
@@ -308,6 +315,7 @@ JOBS: dict[str, Callable[[Star], DataFrame]] = {
     "event_artist_join": event_artist_join,
     "artist_songs": artist_songs,
     "star_join": star_join,
+    "artist_plays": artist_plays,
     "last_event_per_user": lambda s: dims.last_event_per_user(s.events),
     "latest_level_per_user": lambda s: dims.latest_level_per_user(s.events),
     "plays_per_song_month": plays_per_song_month,

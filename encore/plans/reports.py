@@ -32,6 +32,13 @@ def star_join(
     return with_time(with_artist(with_song(fact, songs), artists), time)
 
 
+def artist_plays(artists: DataFrame, fact: DataFrame) -> DataFrame:
+    """Artist rows (alias ``art``) with the fact rows (alias ``sp``) of their id."""
+    return artists.alias("art").join(
+        fact.alias("sp"), F.col("art.artist_id") == F.col("sp.artist_id")
+    )
+
+
 def in_year(df: DataFrame, year: int, column: str = "year") -> DataFrame:
     return df.where(F.col(column) == year)
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from encore.schemas import TABLES
+from encore.sinks.store import TableStore
+
 
 def write_layout(
     df: DataFrame, name: str, path: str, dist: str, buckets: int, sort: str | None = None
@@ -26,3 +29,20 @@ def write_layout(
 
 def read_layout(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
+
+
+def lay_out(store: TableStore, buckets: int, prefix: str = "laid_out_") -> list[str]:
+    """Save every table that declares a distribution column as a bucketed table.
+
+    The names are those of the tables after ``prefix``; files go next to the
+    store. Returns the names.
+    """
+    saved = []
+    for table in TABLES.values():
+        if table.dist is not None:
+            name = prefix + table.name
+            write_layout(
+                store.read(table.name), name, f"{store.root}/{name}", table.dist, buckets, table.sort
+            )
+            saved.append(name)
+    return saved

@@ -35,6 +35,11 @@ class TableStore:
         """The stored rows, with the declared schema instead of one from file footers."""
         return self.spark.read.schema(TABLES[name].schema).parquet(self.path(name))
 
+    def create_views(self) -> None:
+        """Make the tables known to ``spark.sql`` under their own names."""
+        for name in TABLES:
+            self.read(name).createOrReplaceTempView(name)
+
     def append(self, name: str, df: DataFrame) -> None:
         """Insert rows. Keys do not stop a repeated insert."""
         self._write(name, df, "append")
