@@ -53,34 +53,43 @@ def top_k(df: DataFrame, by: str, k: int, tie_break: Sequence[str]) -> DataFrame
     return df.orderBy(F.desc(by), *tie_break).limit(k)
 
 
-def _counted_plays(fact: DataFrame, time: DataFrame, by: Sequence[str], year: int | None) -> DataFrame:
-    """Plays per fact key, month and year, before any dimension fans them out.
+def _with_calendar(plays: DataFrame, time: DataFrame | None, year: int | None) -> DataFrame:
+    """``plays`` with month and year of their start time.
 
     Fact and calendar are pruned by the same range of start times, which reads
-    only the files of that year when the fact is stored sorted.
+    only the files of that year when the fact is stored sorted. Without a
+    calendar the fields are computed, which is the same as long as the key of
+    ``time`` and the reference to it hold.
     """
-    narrow = fact.select("start_time", *[c for c in by if c in fact.columns])
+    start = F.col("start_time")
+    if year is not None:
+        plays = plays.where(year_range(start, year))
+    if time is None:
+        dated = plays.where(start.isNotNull())
+        return dated.withColumns({"month": F.month(start), "year": F.year(start)})
     calendar = time.select("start_time", "month", "year")
     if year is not None:
-        narrow = narrow.where(year_range(F.col("start_time"), year))
         calendar = in_year(calendar, year)
-    return narrow.join(calendar, "start_time").groupBy(*by).agg(F.count("*").alias("_plays"))
+    return plays.join(calendar, "start_time")
 
 
 def plays_per_song_month(
     fact: DataFrame,
     songs: DataFrame,
     artists: DataFrame,
-    time: DataFrame,
+    time: DataFrame | None,
     year: int | None = None,
 ) -> DataFrame:
     """Rows of the star join per song, fact artist, artist name, month and year.
 
     Songs with several rows and artists with several rows multiply the count,
     as in the plain join. Here they multiply one number per song and month and
-    not the fact rows.
+    not the fact rows. ``time`` may be None to compute the calendar instead of
+    joining it; see ``_with_calendar``.
     """
-    counted = _counted_plays(fact, time, ["song_id", "artist_id", "month", "year"], year)
+    keys = ["song_id", "artist_id", "month", "year"]
+    dated = _with_calendar(fact.select("start_time", "song_id", "artist_id"), time, year)
+    counted = dated.groupBy(*keys).agg(F.count("*").alias("_plays"))
     titles = songs.groupBy("song_id", "title", F.col("artist_id").alias("_song_artist")).agg(
         F.count("*").alias("_song_rows")
     )
@@ -97,10 +106,17 @@ def plays_per_song_month(
 
 
 def plays_per_artist(
-    fact: DataFrame, artists: DataFrame, time: DataFrame, year: int | None = None
+    fact: DataFrame, artists: DataFrame, time: DataFrame | None, year: int | None = None
 ) -> DataFrame:
-    """Rows of artists joined with the fact, per artist id and name."""
-    counted = _counted_plays(fact, time, ["artist_id"], year)
+    """Rows of artists joined with the fact, per artist id and name.
+
+    One play is a fact row per song of its artist. These fold into one row on
+    the map side, before the join with the calendar shuffles them.
+    """
+    folded = fact.groupBy("artist_id", "start_time").agg(F.count("*").alias("_rows"))
+    counted = (
+        _with_calendar(folded, time, year).groupBy("artist_id").agg(F.sum("_rows").alias("_plays"))
+    )
     names = artists.groupBy("artist_id", "name").agg(F.count("*").alias("_artist_rows"))
     plays = F.sum(F.col("_plays") * F.col("_artist_rows"))
     return counted.join(names, "artist_id").groupBy("artist_id", "name").agg(plays.alias("plays"))
@@ -110,7 +126,7 @@ def top_songs(
     fact: DataFrame,
     songs: DataFrame,
     artists: DataFrame,
-    time: DataFrame,
+    time: DataFrame | None,
     year: int,
     k: int = 5,
 ) -> DataFrame:
@@ -120,7 +136,7 @@ def top_songs(
 
 
 def top_artists(
-    fact: DataFrame, artists: DataFrame, time: DataFrame, year: int, k: int = 5
+    fact: DataFrame, artists: DataFrame, time: DataFrame | None, year: int, k: int = 5
 ) -> DataFrame:
     """The most played artists of a year."""
     plays = plays_per_artist(fact, artists, time, year)

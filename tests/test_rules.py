@@ -120,6 +120,15 @@ def test_only_the_asked_year_counts(make_events, make_songs):
     assert plays_per_song_month(fact, songs, artists, time).count() == 2
 
 
+def test_computed_calendar_gives_the_same_reports(make_events, make_songs):
+    events = make_events({"ts": JAN - 1}, {"ts": JAN}, {"ts": FEB}, {"ts": FEB + 1})
+    fact, songs, artists, time = star(events, make_songs({}, {"song_id": "S2"}))
+    joined = plays_per_song_month(fact, songs, artists, time)
+    assert rows(plays_per_song_month(fact, songs, artists, None)) == rows(joined)
+    top = top_artists(fact, artists, None, 2019)
+    assert rows(top) == rows(top_artists(fact, artists, time, 2019)) == [("A1", "A", 6)]
+
+
 @pytest.mark.parametrize(
     "moment, hour, week, month, year, weekday",
     [
