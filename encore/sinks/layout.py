@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.schemas import TABLES
 from encore.sinks.store import TableStore
 
 
+# A bucket is read by one task. Beyond this many times the mean bucket, joins had
+# better shuffle the rows, because AQE can split shuffled partitions only.
+MAX_SKEW = 4.0
+
+
+def bucket_of(dist: str, buckets: int) -> Column:
+    """The bucket Spark writes a row to."""
+    return F.pmod(F.hash(F.col(dist)), F.lit(buckets))
+
+
+def bucket_skew(df: DataFrame, dist: str, buckets: int) -> float:
+    """Rows of the largest bucket over the mean rows per bucket; 0 for no rows."""
+    sizes = df.groupBy(bucket_of(dist, buckets).alias("_bucket")).agg(F.count("*").alias("_rows"))
+    worst = sizes.agg((F.max("_rows") * buckets / F.sum("_rows")).alias("skew")).first()["skew"]
+    return worst or 0.0
+
+
 def write_layout(
     df: DataFrame, name: str, path: str, dist: str, buckets: int, sort: str | None = None
 ) -> None:
@@ -19,14 +36,22 @@ def write_layout(
     bucket; the rebalance hint lets AQE split a bucket that a hot key fills
     over several tasks, which then write several files of that bucket.
     """
-    bucket = F.pmod(F.hash(F.col(dist)), F.lit(buckets))
-    gathered = df.withColumn("_bucket", bucket).hint("rebalance", "_bucket").drop("_bucket")
-    writer = gathered.write.mode("overwrite").format("parquet").bucketBy(buckets, dist)
+    gathered = df.withColumn("_bucket", bucket_of(dist, buckets)).hint("rebalance", "_bucket")
+    writer = gathered.drop("_bucket").write.mode("overwrite").format("parquet")
+    writer = writer.bucketBy(buckets, dist)
     if sort is not None:
         writer = writer.sortBy(sort)
     writer.option("path", path).saveAsTable(name)
 
 
+def write_sorted(df: DataFrame, name: str, path: str, sort: str | None = None) -> None:
+    """Save ``df`` as table ``name`` in files of even size, each sorted by ``sort``."""
+    even = df.hint("rebalance")
+    if sort is not None:
+        even = even.sortWithinPartitions(sort)
+    even.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
+
+
 def read_layout(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
@@ -34,15 +59,19 @@ def read_layout(spark: SparkSession, name: str) -> DataFrame:
 def lay_out(store: TableStore, buckets: int, prefix: str = "laid_out_") -> list[str]:
     """Save every table that declares a distribution column as a bucketed table.
 
-    The names are those of the tables after ``prefix``; files go next to the
-    store. Returns the names.
+    A table in which a hot key would overfill its bucket is sorted only. The
+    names are those of the tables after ``prefix``; files go next to the store.
+    Returns the names.
     """
     saved = []
     for table in TABLES.values():
-        if table.dist is not None:
-            name = prefix + table.name
-            write_layout(
-                store.read(table.name), name, f"{store.root}/{name}", table.dist, buckets, table.sort
-            )
-            saved.append(name)
+        if table.dist is None:
+            continue
+        df, name = store.read(table.name), prefix + table.name
+        path = f"{store.root}/{name}"
+        if bucket_skew(df, table.dist, buckets) > MAX_SKEW:
+            write_sorted(df, name, path, table.sort)
+        else:
+            write_layout(df, name, path, table.dist, buckets, table.sort)
+        saved.append(name)
     return saved
