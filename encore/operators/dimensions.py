@@ -42,29 +42,17 @@ def latest_level_per_user(events: DataFrame) -> DataFrame:
 def build_users(events: DataFrame) -> DataFrame:
     """Each profile a user ever had, with the latest level or levels.
 
-    One scan: events shrink to (profile, level, newest ts) with map-side
-    combine, and the latest levels are spread over a user's profiles by a
-    window on that small rest instead of joining events to themselves.
+    Two narrow scans, of the profile columns and of level and time, both
+    reduced on the map side before they are shuffled, meet in one join. Events
+    are never joined with themselves, and no user is gathered in one task: one
+    with very many profiles is a skewed join partition, which AQE splits.
     """
-    profile = ["userid", "firstname", "lastname", "gender"]
-    seen = (
-        events.where(F.col("userid").isNotNull())
-        .groupBy(*profile, "level")
-        .agg(F.max("ts").alias("ts"))
-    )
-    user = Window.partitionBy("userid")
-    is_latest = F.col("ts") == F.col("user_ts")
-    # In a struct a NULL level survives collect_set.
-    latest = F.collect_set(F.when(is_latest, F.struct("level"))).over(user)
-    spread = (
-        seen.withColumn("user_ts", F.max("ts").over(user))
-        .withColumn("latest", latest)
-        .select(*profile, F.explode("latest").alias("at"))
-        .select(*profile, F.col("at.level").alias("level"))
-        .distinct()
+    profiles = distinct_rows(
+        events.where(F.col("userid").isNotNull()).select("userid", "firstname", "lastname", "gender")
     )
+    levels = latest_level_per_user(events).select("userid", "level")
     return project(
-        spread,
+        profiles.join(levels, "userid"),
         {
             "user_id": "userid",
             "first_name": "firstname",

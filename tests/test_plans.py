@@ -45,11 +45,16 @@ def no_broadcast(spark):
         spark.conf.unset(name)
 
 
-def test_users_scan_events_once(store):
+def test_users_read_narrow_columns_and_reduce_first(store):
     text = plan(build_users(store.read("staging_events")))
-    assert text.count("FileScan") == 1
-    assert "Join" not in text
-    assert exchanges(text) == 2
+    read = [sorted(r.split(",")) for r in re.findall(r"ReadSchema: struct<([^>]*)>", text)]
+    assert sorted(read) == [
+        ["firstname:string", "gender:string", "lastname:string", "userid:int"],
+        ["level:string", "ts:bigint", "userid:int"],
+    ]
+    # Every exchange of event rows has a partial aggregate right below it.
+    below = re.findall(r"Exchange hashpartitioning[^\n]*\n[^A-Za-z]*(\w+)", text)
+    assert "FileScan" not in below and "Project" not in below
     assert "partial_max" in text
 
 
