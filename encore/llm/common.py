@@ -121,3 +121,12 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int =
         if was - now < 1e-9:
             break
     return np.append(w[:-1] / scale, w[-1] - (w[:-1] / scale) @ shift)
+
+
+def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit values of a column made by ``packed``, back to back, and where each row begins."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    data = b"" if data is None else data.slice(offsets[0], offsets[-1] - offsets[0]).to_pybytes()
+    return np.frombuffer(data, np.uint64), (offsets - offsets[0]) // 8

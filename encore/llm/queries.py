@@ -9,12 +9,23 @@ from pyspark.sql import functions as F
 
 from encore.llm.common import table
 from encore.llm.decontaminate import matches
+from encore.llm.hnsw import nearest_neighbours
 from encore.llm.line_dedup import dedup_lines
+from encore.llm.ngram_join import near_duplicates
+from encore.llm.pii import personal_data
 from encore.llm.quality import score_quality
 from encore.llm.source_mix import mix_sources
 from encore.llm.toxicity import score_toxicity
 
 
+def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select(
@@ -36,6 +47,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_quality(documents, table(spark, sf_dir, "labels"))
@@ -48,8 +63,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_line_dedup, op4_source_mix, op7_toxicity, op9_quality, op10_decontaminate)
-}
+    for f in (
+        op1_hnsw, op2_ngram_join, op3_line_dedup, op4_source_mix, op7_toxicity, op8_pii, op9_quality,
+        op10_decontaminate,
+    )
+}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -62,6 +80,20 @@ _SHINGLES = f"""
           FROM {{table}})"""
 
 SQL: dict[str, str] = {
+    "op2_ngram_join": f"""
+WITH RECURSIVE doc AS MATERIALIZED ({_SHINGLES.format(id="doc_id", table="documents")}),
+size AS (SELECT id, count(*) AS n FROM doc GROUP BY id),
+link AS MATERIALIZED (
+    SELECT a.id AS one, b.id AS two FROM doc a JOIN doc b USING (shingle)
+    JOIN size s ON s.id = a.id JOIN size t ON t.id = b.id
+    WHERE a.id <> b.id
+    GROUP BY a.id, b.id, s.n, t.n HAVING 100 * count(*) >= 75 * (s.n + t.n - count(*))),
+reach AS (
+    SELECT doc_id AS id, doc_id AS to_id FROM documents
+    UNION SELECT reach.id, link.two FROM reach JOIN link ON link.one = reach.to_id)
+SELECT d.doc_id, coalesce(size.n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN size ON size.id = d.doc_id
+JOIN (SELECT id, min(to_id) AS component_id FROM reach GROUP BY id) r ON r.id = d.doc_id""",
     "op3_line_dedup": f"""
 WITH split AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
