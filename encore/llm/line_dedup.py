@@ -213,12 +213,13 @@ def repeated(refs: DataFrame) -> DataFrame:
 
 
 def drops(refs: DataFrame) -> DataFrame:
-    """(doc_id, high array, low array): the keys that each document loses.
+    """(doc_id, lost_keys): the keys that each document loses.
 
-    The join's side of references is split by AQE where a key is hot; a document's keys are
-    bounded by its lines.
+    Keys that repeat are a table of their own, so that AQE can split the references of a hot
+    key in the join; a document's keys are bounded by its lines.
     """
-    lost = refs.join(repeated(refs), ["high", "low"]).filter("doc_id != keeper")
+    keepers, _ = stage(repeated(refs), "line-keepers")
+    lost = refs.join(keepers, ["high", "low"]).filter("doc_id != keeper")
     return lost.groupBy("doc_id").agg(F.collect_list(F.struct("high", "low")).alias("lost_keys"))
 
 

@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 
 from encore.llm.common import arrow_map, batch_of, flat, packed, take_column, whole_partition
 from encore.llm.components import components
+from encore.llm.membership import Filter
 from encore.llm.textarrays import mix, shingles, signed, slices, words
 from encore.scratch import stage
 
@@ -53,7 +54,6 @@ STILL_HOT = 4  # hot shingles may come up until no new one is in this many times
 MAX_HOT = 2_000_000
 BLOCK = 256
 ROWS_PER_TASK = 1_000_000
-FILTER_BITS = 1 << 24
 
 
 def least_overlap(total: np.ndarray | int, percent: int = PERCENT):
@@ -243,44 +243,6 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch_of(tile=tile[hit], node=node[hit])
 
 
-class Filter:
-    """A Bloom filter of fixed size: lets all wanted nodes through, and few others."""
-
-    def __init__(self, words_: np.ndarray):
-        self.words = words_
-
-    @staticmethod
-    def _bits(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        node = np.ascontiguousarray(node).view(np.uint64)
-        mask = np.uint64(FILTER_BITS - 1)
-        return (mix(node) & mask).astype(np.int64), (mix(~node) & mask).astype(np.int64)
-
-    def has(self, node: np.ndarray) -> np.ndarray:
-        return np.logical_and(
-            *[(self.words[b >> 6] >> (b & 63).astype(np.uint64)) & np.uint64(1) for b in self._bits(node)]
-        )
-
-    @classmethod
-    def of(cls, nodes: DataFrame) -> Filter:
-        """Bits are joined before they leave the tasks, and at most FILTER_BITS / 64 words come here."""
-
-        def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            bits = np.unique(np.concatenate(cls._bits(take_column(batch, "node").to_numpy())))
-            at, head = np.unique(bits >> 6, return_index=True)
-            word = np.bitwise_or.reduceat(np.uint64(1) << (bits & 63).astype(np.uint64), head)
-            yield batch_of(at=at, word=signed(word))
-
-        rows = (
-            arrow_map(nodes.select("node"), job, "at long, word long")
-            .groupBy("at")
-            .agg(F.bit_or("word").alias("word"))
-            .toArrow()
-        )
-        out = np.zeros(FILTER_BITS // 64, np.uint64)
-        out[rows.column("at").to_numpy()] = np.ascontiguousarray(rows.column("word").to_numpy()).view(np.uint64)
-        return cls(out)
-
-
 def _arrays(docs: DataFrame, wanted: Filter) -> DataFrame:
     """(node, n, values) of the sets that pass the filter, once per Arrow batch."""
 
@@ -288,7 +250,7 @@ def _arrays(docs: DataFrame, wanted: Filter) -> DataFrame:
         seen: dict[int, np.ndarray] = {}
         for _, values in _sets(batch):
             node, _ = _fingerprint(values)
-            if node not in seen and wanted.has(np.array([node]))[0]:
+            if node not in seen and wanted.has(np.array([node], np.int64))[0]:
                 seen[node] = values
         yield _array_batch(seen)
 
@@ -471,7 +433,7 @@ def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
     members = tiles.count()
     compared = _spread(tiles.join(nodes.select("node", "bitmap"), "node"), "tile", members)
     possible, _ = stage(compared.mapInArrow(_possible, "tile long, node long"), "possible")
-    wanted = Filter.of(possible)
+    wanted = Filter.of(possible.select("node"))
     sets, _ = stage(_arrays(text.filter("doc_id is not null"), wanted), "arrays")
     rows = possible.withColumn("part", F.col("node")).join(sets, "node")
     links, _ = stage(_verified(rows, members), "links")

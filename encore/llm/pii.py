@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from encore.scratch import stage
 
-TIE, DOT = "", ""
+TIE, DOT = "\ue000", "\ue001"
 ROUNDS = 3
 SMOOTH = 2.0
 TRUSTED = 0.6
@@ -191,9 +191,13 @@ def report(rows: DataFrame, spans: DataFrame) -> DataFrame:
     none = F.array().cast("array<struct<order:bigint,start:bigint,stop:bigint,kind:string>>")
     joined = rows.join(lists, "row", "left").withColumn("found", F.coalesce("found", none))
     base = F.filter("found", lambda s: s.kind != "id")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
     return joined.select(
         "doc_id",
-        *[F.size(F.filter("found", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in (*BASE, "id")],
+        *map(count, KINDS),
         F.sha2(said(base).cast("binary"), 256).alias("base_sha256"),
         said(F.col("found")).alias("spans"),
     )

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from encore.llm.common import table
 from encore.llm.decontaminate import matches
 from encore.llm.hnsw import nearest_neighbours
+from encore.llm.language import identify
 from encore.llm.line_dedup import dedup_lines
 from encore.llm.ngram_join import near_duplicates
 from encore.llm.pii import personal_data
 from encore.llm.quality import score_quality
 from encore.llm.source_mix import mix_sources
+from encore.llm.suffixes import repeated_passages
 from encore.llm.toxicity import score_toxicity
 
 
@@ -41,6 +43,14 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_toxicity(documents, table(spark, sf_dir, "labels"))
@@ -64,7 +74,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_hnsw, op2_ngram_join, op3_line_dedup, op4_source_mix, op7_toxicity, op8_pii, op9_quality,
+        op1_hnsw, op2_ngram_join, op3_line_dedup, op4_source_mix, op5_suffix_array, op6_language, op7_toxicity, op8_pii, op9_quality,
         op10_decontaminate,
     )
 }
