@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 STEP = 4 << 20
+ROWS = 1 << 19  # most texts in a slice
 SHINGLE = 5
 
 _SPACE = np.zeros(256, bool)
@@ -39,10 +40,19 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 _PLACE = mix(np.arange(101, 101 + 64, dtype=np.uint64) * _BASE) | np.uint64(1)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    """base^0 to base^(n-1) modulo 2^64; kept for the next call, which is mostly as long."""
+    known = _POWERS.get(int(base))
+    if known is None or len(known) < n:
+        known = np.full(1 << int(n - 1).bit_length() if n > 1 else 1, base, np.uint64)
+        known[0] = 1
+        known = np.cumprod(known, dtype=np.uint64)
+        if n <= 2 * STEP:
+            _POWERS[int(base)] = known
+    return known[:n]
 
 
 @dataclass
@@ -71,7 +81,7 @@ def slices(column: pa.Array, step: int = STEP) -> Iterator[Slice]:
     at = 0
     while at < len(texts):
         to = int(np.searchsorted(offsets, offsets[at] + step, "right")) - 1
-        to = min(max(to, at + 1), len(texts))
+        to = min(max(to, at + 1), at + ROWS, len(texts))
         yield Slice(at, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
         at = to
 

@@ -71,120 +71,105 @@ _BREAK[[*range(ord("a"), ord("z") + 1), *range(ord("0"), ord("9") + 1), ord("'")
 
 
 def tokens(s: Slice) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and row of each word."""
+    """A 32-bit number, never 0, and the row of each word."""
     s = s.lower()
     start, end = spans(s, _BREAK)
-    return hashes(s.data, start, end), np.searchsorted(s.offsets, start, "right") - 1
-
-
-def distinct(row: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The rows with the first of each run of equal (row, first value), sorted by them."""
-    order = np.lexsort((values[0], row))
-    row, values = row[order], [v[order] for v in values]
-    new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (values[0][1:] != values[0][:-1])
-    return row[new], *[v[new] for v in values]
+    word = np.maximum(hashes(s.data, start, end) >> np.uint64(32), np.uint64(1))
+    return word, np.searchsorted(s.offsets, start, "right") - 1
 
 
 @dataclass
 class Expressions:
-    """The distinct words and the distinct bigrams of each text of a slice."""
+    """The distinct words and the distinct bigrams of each text of a slice.
+
+    A bigram is the number of its first word, shifted, and that of its second.
+    """
 
     word_row: np.ndarray
     word: np.ndarray
     gram_row: np.ndarray
     gram: np.ndarray
-    history: np.ndarray
-    last: np.ndarray
+
+    @property
+    def history(self) -> np.ndarray:
+        return self.gram >> np.uint64(32)
 
 
 def expressions(s: Slice) -> Expressions:
     word, row = tokens(s)
+    words = np.unique((row.astype(np.uint64) << np.uint64(32)) | word)
     at = np.flatnonzero(row[1:] == row[:-1])
-    gram = mix(word[at] * np.uint64(3) + mix(word[at + 1]))
-    return Expressions(*distinct(row, word), *distinct(row[at], gram, word[at], word[at + 1]))
+    gram = (word[at] << np.uint64(32)) | word[at + 1]
+    # a slice has fewer than 2^20 rows; 44 bits tell the bigrams of one text apart
+    key = (row[at].astype(np.uint64) << np.uint64(44)) | (mix(gram) >> np.uint64(20))
+    order = np.argsort(key)  # not stable, and so much faster than np.unique's
+    key = key[order]
+    first = order[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else order
+    return Expressions(
+        (words >> np.uint64(32)).astype(np.int64), words & np.uint64(0xFFFFFFFF), row[at][first], gram[first]
+    )
 
 
 class Tally:
     """Sums of counts by key that are handed on before they grow beyond FLUSH keys."""
 
-    def __init__(self, width: int):
-        self.keys, self.counts = [np.zeros((0, 3), np.uint64)], [np.zeros((0, width), np.int64)]
-        self.size = 0
+    def __init__(self):
+        self.keys, self.counts, self.size = [], [], 0
 
-    def add(self, keys: np.ndarray, counts: np.ndarray) -> bool:
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.keys.append(keys)
         self.counts.append(counts)
         self.size += len(keys)
-        if self.size > FLUSH:
-            self.merge()
-        return self.size > FLUSH // 2
 
-    def merge(self) -> tuple[np.ndarray, np.ndarray]:
-        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
-        order = np.argsort(keys[:, 0], kind="stable")
-        keys, counts = keys[order], counts[order]
-        if len(keys):
-            head = np.flatnonzero(np.concatenate([[True], keys[1:, 0] != keys[:-1, 0]]))
-            keys, counts = keys[head], np.add.reduceat(counts, head, axis=0)
-        self.keys, self.counts, self.size = [keys], [counts], len(keys)
-        return keys, counts
+    def take(self) -> Iterator[pa.RecordBatch]:
+        if self.size:
+            keys, of = np.unique(np.concatenate(self.keys), return_inverse=True)
+            counts = np.concatenate(self.counts)
+            sums = {
+                name: np.bincount(of, counts[:, k], len(keys)).astype(np.int64) for k, name in enumerate(COUNTS)
+            }
+            yield batch_of(gram=signed(keys), **sums)
+        self.__init__()
 
 
 def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, history, word, COUNTS) summed over what a task has seen.
+    """(gram, COUNTS) summed over what a task has seen.
 
-    A word is its own gram and has no history. ``documents`` counts words in all documents,
+    A word is the gram without a history. ``documents`` counts words in all documents,
     ``after_`` the bigrams that begin with a word. Gram 0 has the sums of all words.
     """
-    tally = Tally(len(COUNTS))
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        keys, counts = tally.merge()
-        if len(keys):
-            yield batch_of(
-                gram=signed(keys[:, 0]), history=signed(keys[:, 1]), word=signed(keys[:, 2]),
-                **{name: counts[:, k].copy() for k, name in enumerate(COUNTS)},
-            )
-        tally.__init__(len(COUNTS))
-
+    tally = Tally()
     for batch in batches:
         label = take_column(batch, "y").to_numpy(zero_copy_only=False).astype(float)  # NaN: not to learn from
         for s in slices(take_column(batch, "text")):
             x = expressions(s)
             known, both = label[s.first + x.word_row], label[s.first + x.gram_row]
             use = both >= 0
-            no_word = np.zeros(len(x.word), np.uint64)
             grams = [
-                (x.word, no_word, x.word, known, (0, 1, 2)),
-                (x.gram[use], x.history[use], x.last[use], both[use], (0, 1)),
-                (x.history[use], np.zeros(use.sum(), np.uint64), x.history[use], both[use], (3, 4)),
+                (x.word, known, (0, 1, 2)),
+                (x.gram[use], both[use], (0, 1)),
+                (x.history[use], both[use], (3, 4)),
             ]
-            full = False
-            for gram, history, word, y, places in grams:
-                kinds, head, of = np.unique(gram, return_index=True, return_inverse=True)
-                counts = np.zeros((len(kinds), 5), np.int64)
+            for gram, y, places in grams:
+                kinds, of = np.unique(gram, return_inverse=True)
+                counts = np.zeros((len(kinds), len(COUNTS)), np.int32)
                 for place, counted in zip(places, (y == 1, y == 0, y != -1), strict=False):
                     counts[:, place] = np.bincount(of[counted], minlength=len(kinds))
-                full = tally.add(np.column_stack([kinds, history[head], word[head]]), counts) or full
+                tally.add(kinds, counts)
             sums = [[(known == 1).sum(), (known == 0).sum(), len(known), 0, 0]]
-            tally.add(np.zeros((1, 3), np.uint64), np.array(sums, np.int64))
-            if full:
-                yield from flush()
-    yield from flush()
+            tally.add(np.zeros(1, np.uint64), np.array(sums, np.int32))
+            if tally.size > FLUSH:
+                yield from tally.take()
+    yield from tally.take()
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
-    """Counts over all documents of docs (text, y); y is 1, 0 or null."""
-    schema = "gram long, history long, word long, " + ", ".join(f"{c} long" for c in COUNTS)
-    return (
-        docs.select("text", "y")
-        .mapInArrow(_counting, schema)
-        .groupBy("gram")
-        .agg(
-            F.max("history").alias("history"), F.max("word").alias("word"),
-            *[F.sum(c).alias(c) for c in COUNTS],
-        )
+    """(gram, history, word, COUNTS) over all documents of docs (text, y); y is 1, 0 or null."""
+    schema = "gram long, " + ", ".join(f"{c} long" for c in COUNTS)
+    summed = docs.select("text", "y").mapInArrow(_counting, schema).groupBy("gram")
+    return summed.agg(*[F.sum(c).alias(c) for c in COUNTS]).select(
+        "gram", F.shiftrightunsigned("gram", 32).alias("history"),
+        F.col("gram").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).alias("word"), *COUNTS,
     )
 
 
@@ -269,10 +254,11 @@ class Values:
         strong = np.bincount(x.word_row, np.where(alone > STRONG, alone, 0), n)
         at, known = self.find(x.history)
         total += np.bincount(x.gram_row, np.where(known, self.ahead[at] if len(self.ahead) else 0.0, 0.0), n)
-        at, known = self.find(x.gram)
-        alone = np.where(known, self.alone[at] if len(self.alone) else 0.0, 0.0)
-        total += np.bincount(x.gram_row, alone, n)
-        strong += np.bincount(x.gram_row, np.where(alone > STRONG, alone, 0), n)
+        some = np.flatnonzero(known)  # a kept bigram has a kept history
+        at, known = self.find(x.gram[some])
+        hit, alone = some[known], self.alone[at[known]]
+        total += np.bincount(x.gram_row[hit], alone, n)
+        strong += np.bincount(x.gram_row[hit], np.where(alone > STRONG, alone, 0), n)
         return np.column_stack([total, strong, np.bincount(x.word_row, minlength=n)])
 
 
