@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.functions.calendar import epoch_ms_to_ts
 from encore.functions.text import name_key
+from encore.operators.identity import with_offsets
 
 FACT_COLUMNS = [
     "start_time",
@@ -20,16 +21,10 @@ FACT_COLUMNS = [
 ]
 
 # Events first, so the order of ids follows time.
-IDENTITY_ORDER = [
-    "start_time",
-    "user_id",
-    "session_id",
-    "level",
-    "location",
-    "user_agent",
-    "artist_id",
-    "song_id",
-]
+EVENT_ORDER = ["start_time", "user_id", "session_id", "level", "location", "user_agent"]
+SONG_ORDER = ["artist_id", "song_id"]
+RANGE = "_range"
+COPIES_AT_ONCE = 10_000
 
 
 def nextsong_events(events: DataFrame) -> DataFrame:
@@ -71,7 +66,40 @@ def build_songplays(events: DataFrame, artists: DataFrame, songs: DataFrame) ->
     the catalogue if it is small and splits the partitions of a hot artist if
     it is not.
     """
-    catalogue = artist_songs(artists, songs).select(
+    return _play_columns(events).join(_catalogue(artists, songs), "_name").select(*FACT_COLUMNS)
+
+
+def _catalogue(artists: DataFrame, songs: DataFrame) -> DataFrame:
+    return artist_songs(artists, songs).select(
         name_key(F.col("ar.name")).alias("_name"), F.col("ar.artist_id"), F.col("so.song_id")
     )
-    return _play_columns(events).join(catalogue, "_name").select(*FACT_COLUMNS)
+
+
+def numbered_songplays(
+    events: DataFrame, artists: DataFrame, songs: DataFrame, start: int = 0
+) -> tuple[DataFrame, str]:
+    """Fact rows with ``songplay_id``, numbered from ``start`` by EVENT_ORDER, name and SONG_ORDER.
+
+    The order goes by events first, so ids are known before the fan-out: an event's rows
+    follow each other, as many as its name has catalogue rows, and alike events take turns.
+    Only the distinct events are put in order; the fan-out is computed once and not
+    shuffled for its ids. RANGE numbers the ranges of events by time.
+
+    Names that no artist has drop out before. One name with several artists shares an
+    event's ids among the catalogue rows of all of them. Returns the rows and the staged
+    path that may be discarded after use.
+    """
+    by_song = Window.partitionBy("_name").orderBy(*SONG_ORDER)
+    catalogue = _catalogue(artists, songs).withColumn("_place", F.row_number().over(by_song) - 1)
+    fan = catalogue.groupBy("_name").agg(F.count("*").alias("_fan"))
+    alike = _play_columns(events).groupBy(*EVENT_ORDER, "_name").agg(F.count("*").alias("_copies"))
+    wide = alike.join(fan, "_name").withColumn("_width", F.col("_copies") * F.col("_fan"))
+    spread, path = with_offsets(wide, [*EVENT_ORDER, "_name"], "_width", "_offset", RANGE)
+    # in two steps, as one event may have any number of copies
+    from_copy = F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(COPIES_AT_ONCE).cast("long"))
+    to_copy = F.least(F.col("_copies"), F.col("_from") + COPIES_AT_ONCE) - 1
+    each = spread.withColumn("_from", F.explode(from_copy)).join(catalogue, "_name")
+    each = each.withColumn("_copy", F.explode(F.sequence("_from", to_copy)))
+    number = F.col("_offset") + F.col("_place") * F.col("_copies") + F.col("_copy") + F.lit(start)
+    numbered = each.withColumn("songplay_id", number.cast("long"))
+    return numbered.select("songplay_id", *FACT_COLUMNS, RANGE), path

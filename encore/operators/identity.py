@@ -9,53 +9,32 @@ from pyspark.sql import functions as F
 
 from encore.scratch import stage
 
-# monotonically_increasing_id keeps the partition above these bits and the
-# position in the partition below them.
-POSITION_BITS = 33
 
-
-def with_identity(
-    df: DataFrame, order_cols: Sequence[str], id_col: str = "id", start: int = 0
+def with_offsets(
+    df: DataFrame, order_cols: Sequence[str], width: str, offset_col: str, range_col: str
 ) -> tuple[DataFrame, str]:
-    """Rows of ``df`` numbered from ``start``, without gaps, in the order of ``order_cols``.
+    """Distinct rows with the sum of ``width`` over all rows before them in the given order.
 
-    ``order_cols`` must be all columns of ``df``, so that only equal rows tie
-    and a rerun gives the same result.
+    Where a row stands for ``width`` ids, the offset is the first of them: ids without
+    gaps, given out without sorting what the rows will become. ``range_col`` numbers the
+    ranges of the order that the rows were dealt to, which a later step may write by.
 
-    A range shuffle and a sort inside each partition replace the global
-    ``row_number``. Copies of one row could not be told apart by the range, so
-    the partition they come from breaks ties: copies read by many tasks go on
-    to many tasks, and a task run again sends its rows to the same places.
+    A range shuffle and running sums inside each range replace a global window. ``df``
+    must be distinct on ``order_cols``, so that no rows tie and a rerun gives the same
+    offsets whatever the ranges are.
 
-    The sorted rows are written once to the shared folder, which fixes their
-    positions even if executors are lost later. Returns the numbered rows and
-    the path of the staged ones, for ``scratch.discard`` after use.
+    The dealt rows are written once to the shared folder, which fixes their ranges even if
+    executors are lost later. Returns the rows and the path of the written ones, for
+    ``scratch.discard`` after use.
     """
-    if set(df.columns) != set(order_cols):
-        raise ValueError("order_cols must be all columns, or ids could differ between runs")
-
-    spread = df.withColumn("_origin", F.spark_partition_id())
-    slots = (
-        spread.repartitionByRange(*order_cols, "_origin")
-        .sortWithinPartitions(*order_cols)
-        .select(*df.columns, F.monotonically_increasing_id().alias("_slot"))
-    )
-    staged, path = stage(slots, "identity")
-
-    part = F.shiftright("_slot", POSITION_BITS)
-    position = F.col("_slot").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+    dealt = df.repartitionByRange(*order_cols).withColumn(range_col, F.spark_partition_id())
+    staged, path = stage(dealt, "identity")
     # One row per shuffle partition, whatever the data: safe to order in one
-    # task and to broadcast. Only the slots are read for it.
-    sizes = staged.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
-    )
-    numbered = staged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    identity = (F.col("_offset") + position + F.lit(start)).cast("long")
-    return numbered.select(identity.alias(id_col), *df.columns), path
-
-
-def with_sparse_identity(df: DataFrame, id_col: str = "id") -> DataFrame:
-    """Unique ids with gaps, without a shuffle; they differ from run to run."""
-    return df.select(F.monotonically_increasing_id().alias(id_col), "*")
+    # task and to broadcast.
+    sizes = staged.groupBy(F.col(range_col).alias("_part")).agg(F.sum(width).alias("_width"))
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_width").over(ahead), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(range_col).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    placed = staged.withColumn("_before", F.coalesce(F.sum(width).over(inside), F.lit(0)))
+    joined = placed.join(F.broadcast(starts), F.col(range_col) == F.col("_part"))
+    return joined.withColumn(offset_col, F.col("_start") + F.col("_before")).drop("_part", "_start", "_before"), path

@@ -76,28 +76,45 @@ def reference_violations(table: Table, tables: dict[str, DataFrame]) -> DataFram
     return reduce(DataFrame.unionAll, counted)
 
 
+def passing(reason: Column, what: str) -> Column:
+    """A filter that is true where ``reason`` is NULL and fails the job, naming it, elsewhere.
+
+    As a filter it runs even if the checked columns are not read.
+    """
+    stop = F.raise_error(F.concat(F.lit(f"{what}: "), reason)).cast("boolean")
+    return F.when(reason.isNotNull(), stop).otherwise(True)
+
+
 def enforce(df: DataFrame, table: Table) -> DataFrame:
     """``df`` as is; running it fails on a NULL in a required column or an overlong string.
 
     The check rides along with the job that writes the rows: no extra pass, and
     a failed job commits nothing.
     """
-    present = {c.name: c for c in table.columns}
-
-    def guarded(name: str) -> Column:
-        spec, value = present.get(name), F.col(name)
-        if spec is None:
-            return value
-        checked = value
-        if spec.width is not None:
-            message = f"{table.name}.{name} takes at most {spec.width} bytes"
-            checked = F.when(F.octet_length(value) > spec.width, F.raise_error(F.lit(message))).otherwise(checked)
-        if spec.required:
-            message = f"{table.name}.{name} must not be NULL"
-            checked = F.when(value.isNull(), F.raise_error(F.lit(message))).otherwise(checked)
-        return checked.alias(name)
-
-    return df.select(*[guarded(c) for c in df.columns])
+    reasons = [F.lit(None).cast("string")]
+    for c in table.columns:
+        if c.name not in df.columns:
+            continue
+        if c.required:
+            reasons.append(F.when(F.col(c.name).isNull(), f"{table.name}.{c.name} must not be NULL"))
+        if c.width is not None:
+            reasons.append(F.when(F.octet_length(c.name) > c.width, f"{table.name}.{c.name} takes at most {c.width} bytes"))
+    return df.where(passing(F.coalesce(*reasons), "constraint"))
+
+
+def _row_checks(df: DataFrame, table: Table) -> DataFrame:
+    """Both checks that look at single rows, in one pass."""
+    faults = [("not null", c, F.col(c).isNull()) for c in table.required]
+    faults += [("width", c, F.octet_length(c) > n) for c, n in table.widths.items()]
+    totals = df.select(*[F.count_if(bad).alias(str(k)) for k, (_, _, bad) in enumerate(faults)])
+    rows = [
+        F.struct(
+            F.lit(check).alias("check_name"), F.lit(table.name).alias("table_name"),
+            F.lit(column).alias("column_name"), F.col(str(k)).alias("violations"),
+        )
+        for k, (check, column, _) in enumerate(faults)
+    ]
+    return totals.select(F.inline(F.array(*rows)))
 
 
 def check_all(tables: dict[str, DataFrame]) -> DataFrame:
@@ -119,10 +136,8 @@ def check_all(tables: dict[str, DataFrame]) -> DataFrame:
 
     for name, df in tables.items():
         table = TABLES[name]
-        if table.required:
-            add("not null", table, not_null_violations(df, table.required))
-        if table.widths:
-            add("width", table, width_violations(df, table.widths))
+        if table.required or table.widths:
+            found.append(_row_checks(df, table))
         if table.key:
             repeated = key_violations(df, [table.key]).agg(F.count("*").alias("violations"))
             add("key", table, repeated.withColumn("column_name", F.lit(table.key)))

@@ -22,7 +22,7 @@ staging_events AS (
            CASE event_type WHEN 'view' THEN 'NextSong' WHEN 'click' THEN 'Home'
                 WHEN 'signup' THEN 'Upgrade' WHEN 'purchase' THEN 'Settings'
                 WHEN 'error' THEN 'Error' END AS page,
-           CAST(1540344794796 + user_id AS DECIMAL(18,0)) AS registration,
+           CAST(1500000000000 + user_id AS DECIMAL(18,0)) AS registration,
            CAST(user_id * 31 + extract(day FROM ts) AS INTEGER) AS sessionid,
            'Song ' || CAST(event_id % 64 AS VARCHAR) AS song,
            CASE WHEN event_type = 'error' THEN 404 ELSE 200 END AS status,
@@ -101,15 +101,16 @@ star AS (
     JOIN songs s ON s.song_id = p.song_id
     JOIN artists a ON a.artist_id = s.artist_id
     JOIN calendar c ON c.start_time = p.start_time
+),
+numbered AS (
+    SELECT row_number() OVER (
+               ORDER BY start_time, user_id, session_id, "level", "location", user_agent, artist_id, song_id
+           ) - 1 AS songplay_id, *
+    FROM songplays
 )
 """
 
-NUMBERED = """
-SELECT row_number() OVER (
-           ORDER BY start_time, user_id, session_id, "level", "location", user_agent, artist_id, song_id
-       ) - 1 AS songplay_id, *
-FROM songplays
-"""
+NUMBERED = "SELECT * FROM numbered"
 
 DATES = """
 SELECT DISTINCT o_orderdate AS start_time,
@@ -129,7 +130,7 @@ REQUIRED = {
     "artists": ["artist_id"],
     "songs": ["song_id", "title", "artist_id"],
     "time": ["start_time", "hour", "day", "week", "month", "year", "weekday"],
-    "songplays": ["start_time", "user_id", "song_id", "artist_id", "session_id"],
+    "songplays": ["songplay_id", "start_time", "user_id", "song_id", "artist_id", "session_id"],
 }
 WIDTHS = {
     "staging_events": {
@@ -145,7 +146,9 @@ WIDTHS = {
     "songplays": {"level": 4, "song_id": 18, "artist_id": 18, "location": 256, "user_agent": 256},
     "documents": {"text": 256},
 }
-RELATIONS = {"time": "calendar"}  # a relation named time would need quoting everywhere
+# A relation named time would need quoting everywhere; ids are given out apart from the plain fact.
+RELATIONS = {"time": "calendar"}
+NUMBERED_RELATIONS = {**RELATIONS, "songplays": "numbered"}
 
 
 def _each(template: str, cases: list[dict]) -> str:
@@ -159,7 +162,7 @@ def _not_null() -> str:
     )
     return _each(
         template,
-        [{"t": t, "c": c, "r": RELATIONS.get(t, t)} for t, cols in REQUIRED.items() for c in cols],
+        [{"t": t, "c": c, "r": NUMBERED_RELATIONS.get(t, t)} for t, cols in REQUIRED.items() for c in cols],
     )
 
 
@@ -183,8 +186,11 @@ def _keys() -> str:
         "SELECT '{t}' AS table_name, CAST({k} AS VARCHAR) AS key_value, count(*) AS copies "
         "FROM {r} GROUP BY {k} HAVING count(*) > 1"
     )
-    keys = {"users": "user_id", "artists": "artist_id", "songs": "song_id", "time": "start_time"}
-    return _each(template, [{"t": t, "k": k, "r": RELATIONS.get(t, t)} for t, k in keys.items()])
+    keys = {
+        "users": "user_id", "artists": "artist_id", "songs": "song_id", "time": "start_time",
+        "songplays": "songplay_id",
+    }
+    return _each(template, [{"t": t, "k": k, "r": NUMBERED_RELATIONS.get(t, t)} for t, k in keys.items()])
 
 
 def _references() -> str:
@@ -226,7 +232,8 @@ BODIES = {
     "load_events": "SELECT * FROM staging_events",
     "load_songs": "SELECT * FROM staging_songs",
     "coerce_types": """
-        SELECT * REPLACE (CAST("length" + 0.00001 AS DECIMAL(10,5)) AS "length") FROM staging_events
+        SELECT * REPLACE (CAST(regexp_replace(CAST("length" AS VARCHAR) || '9', '(\\.[0-9]{5})[0-9]+$', '\\1')
+                          AS DECIMAL(10,5)) AS "length") FROM staging_events
     """,
     "bad_records": """
         SELECT substr(props, 1, length(props) - 1) AS "value", 'not json' AS reason
@@ -237,6 +244,10 @@ BODIES = {
         UNION ALL
         SELECT '{"GENDER": "' || event_type || '"}', 'width of gender'
         FROM events WHERE event_type = 'purchase'
+        UNION ALL
+        SELECT '{"ts": "}{"}', 'type of ts' FROM events WHERE event_type = 'purchase'
+        UNION ALL
+        SELECT 'and more', 'not json' FROM events WHERE event_type = 'click'
     """,
     "append_sink": "SELECT * FROM users UNION ALL SELECT * FROM users",
     "rebuild_tables": f"""

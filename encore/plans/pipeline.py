@@ -6,24 +6,27 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from encore.operators.dimensions import build_artists, build_songs, build_time, build_users
-from encore.operators.facts import IDENTITY_ORDER, build_songplays
-from encore.operators.identity import with_identity
+from encore.operators.facts import RANGE, numbered_songplays
 from encore.operators.quality import enforce
 from encore.schemas import TABLES
 from encore.scratch import discard
 from encore.sinks.store import TableStore, by_name, by_position
-from encore.sources.loaders import STRICT, load_events, load_songs
+from encore.sources.loaders import DOCUMENTS, STRICT, load_events, load_songs
 
 OVERWRITE = "overwrite"
 APPEND = "append"
 
 
 def load_staging(
-    store: TableStore, log_path: str, song_path: str, on_bad_record: str = STRICT
+    store: TableStore,
+    log_path: str,
+    song_path: str,
+    on_bad_record: str = STRICT,
+    songs_format: str = DOCUMENTS,
 ) -> None:
     """Append the files to the two staging tables."""
     store.append("staging_events", load_events(store.spark, log_path, on_bad_record))
-    store.append("staging_songs", load_songs(store.spark, song_path, on_bad_record))
+    store.append("staging_songs", load_songs(store.spark, song_path, on_bad_record, songs_format))
 
 
 def insert_dimensions(store: TableStore) -> None:
@@ -46,17 +49,19 @@ def insert_songplays(store: TableStore) -> None:
     """
     table = TABLES["songplays"]
     used = store.read(table.name).agg(F.max("songplay_id").alias("last")).first()["last"]
-    plays = build_songplays(
-        store.read("staging_events"), store.read("artists"), store.read("songs")
-    )
-    numbered, staged = with_identity(
-        enforce(plays, table),
-        IDENTITY_ORDER,
-        id_col="songplay_id",
+    numbered, staged = numbered_songplays(
+        store.read("staging_events"),
+        store.read("artists"),
+        store.read("songs"),
         start=0 if used is None else used + 1,
     )
-    store.append(table.name, by_name(numbered, table))
-    discard(store.spark, staged)
+    try:
+        # By ranges of time, as the table declares, and sorted in each file; a range that a
+        # hot artist fills is split.
+        placed = enforce(numbered, table).hint("rebalance", RANGE).sortWithinPartitions("start_time")
+        store.append(table.name, by_name(placed, table))
+    finally:
+        discard(store.spark, staged)
 
 
 def run_pipeline(
@@ -66,6 +71,7 @@ def run_pipeline(
     out: str,
     mode: str = OVERWRITE,
     on_bad_record: str = STRICT,
+    songs_format: str = DOCUMENTS,
 ) -> TableStore:
     """Fill the seven tables under ``out`` and return them.
 
@@ -80,7 +86,7 @@ def run_pipeline(
         store.rebuild()
     else:
         store.create_missing()
-    load_staging(store, log_path, song_path, on_bad_record)
+    load_staging(store, log_path, song_path, on_bad_record, songs_format)
     insert_dimensions(store)
     insert_songplays(store)
     return store

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from encore.functions.calendar import calendar_fields, epoch_ms_to_ts
 from encore.operators import dimensions as dims
 from encore.operators import facts, quality
-from encore.operators.identity import with_identity
 from encore.plans import reports
 from encore.plans.pipeline import run_pipeline
 from encore.schemas import STAGING_EVENTS, STAGING_SONGS, TABLES
@@ -93,7 +92,7 @@ def load_events(star: Star) -> DataFrame:
 def load_songs(star: Star) -> DataFrame:
     path = new_path(star.spark, "catalogue")
     crosswalk.write_catalogue(star.spark, star.sf_dir, path)
-    return loaders.load_songs(star.spark, path)
+    return loaders.load_songs(star.spark, path, layout=loaders.LINES)
 
 
 def coerce_types(star: Star) -> DataFrame:
@@ -102,8 +101,8 @@ def coerce_types(star: Star) -> DataFrame:
         {
             "userid": F.coalesce("userid", F.lit("")),
             "registration": F.concat("registration", F.lit(".0")),
-            # A sixth decimal to be rounded half up.
-            "length": F.concat("length", F.lit("5")),
+            # A sixth decimal to be cut off.
+            "length": F.concat("length", F.lit("9")),
         }
     )
     return loaders.coerce(written, STAGING_EVENTS)
@@ -114,10 +113,12 @@ def bad_records(star: Star) -> DataFrame:
     line = (
         F.when(kind == "error", F.expr("substr(props, 1, length(props) - 1)"))
         .when(kind == "signup", F.concat(F.lit('{"userId": "u'), "event_id", F.lit('"}')))
-        .when(kind == "purchase", F.concat(F.lit('{"GENDER": "'), kind, F.lit('"}')))
-        .otherwise(F.col("props"))
+        .when(kind == "purchase", F.concat(F.lit('{"GENDER": "'), kind, F.lit('"}{"userId": "7"} {"ts": "}{"}')))
+        .when(kind == "click", F.concat("props", F.lit(" and more")))
+        .otherwise(F.concat("props", F.lit(" "), "props"))
     )
-    return loaders.bad_records(star.raw("events").select(line.alias("value")), STAGING_EVENTS)
+    lines = star.raw("events").select(line.alias("value"))
+    return loaders.bad_records(loaders.split_objects(lines), STAGING_EVENTS)
 
 
 def append_sink(star: Star) -> DataFrame:
@@ -149,22 +150,29 @@ def layout_roundtrip(star: Star) -> DataFrame:
     root = new_path(star.spark, "layout")
     tag = root.rsplit("-", 1)[1]
     plays, songs = f"songplays_{tag}", f"songs_{tag}"
-    write_layout(star.songplays, plays, f"{root}/songplays", "song_id", 8, "start_time")
-    write_layout(star.songs, songs, f"{root}/songs", "song_id", 8)
+    buckets = int(star.spark.conf.get("spark.sql.shuffle.partitions"))
+    write_layout(star.songplays, plays, f"{root}/songplays", "song_id", buckets, "start_time")
+    write_layout(star.songs, songs, f"{root}/songs", "song_id", buckets)
     joined = reports.with_song(read_layout(star.spark, plays), read_layout(star.spark, songs))
     return reports.count_plays(joined, ["sp.song_id", "sn.title"], counted="sp.song_id")
 
 
 def songplays_with_id(star: Star) -> DataFrame:
-    numbered, _ = with_identity(star.songplays, facts.IDENTITY_ORDER, id_col="songplay_id")
-    return numbered
+    return _numbered(star)
+
+
+def _numbered(star: Star) -> DataFrame:
+    numbered, _ = facts.numbered_songplays(star.events, star.artists, star.songs)
+    return numbered.drop(facts.RANGE)
 
 
 def pipeline_counts(star: Star) -> DataFrame:
     root = new_path(star.spark, "pipeline")
     crosswalk.write_logs(star.spark, star.sf_dir, f"{root}/logs")
     crosswalk.write_catalogue(star.spark, star.sf_dir, f"{root}/catalogue")
-    store = run_pipeline(star.spark, f"{root}/logs", f"{root}/catalogue", f"{root}/tables")
+    store = run_pipeline(
+        star.spark, f"{root}/logs", f"{root}/catalogue", f"{root}/tables", songs_format=loaders.LINES
+    )
     return _union(
         [
             _labelled(store.read(name).agg(F.count("*").alias("row_count")), table_name=name)
@@ -179,10 +187,11 @@ def pipeline_counts(star: Star) -> DataFrame:
 def not_null_violations(star: Star) -> DataFrame:
     # Staging declares nothing as required; these columns feed required ones.
     required = {"staging_events": ["ts", "userid", "sessionid"]}
-    required.update({n: [c for c in t.required if c != "songplay_id"] for n, t in TABLES.items() if t.required})
+    required.update({n: t.required for n, t in TABLES.items() if t.required})
+    tables = {**star.named(), "songplays": _numbered(star)}
     return _union(
         [
-            _labelled(quality.not_null_violations(star.named()[n], columns), table_name=n)
+            _labelled(quality.not_null_violations(tables[n], columns), table_name=n)
             for n, columns in required.items()
         ]
     )
@@ -200,15 +209,16 @@ def width_violations(star: Star) -> DataFrame:
 
 
 def key_violations(star: Star) -> DataFrame:
+    tables = {**star.named(), "songplays": _numbered(star)}
     return _union(
         [
             _labelled(
-                quality.key_violations(star.named()[n], [TABLES[n].key]).select(
+                quality.key_violations(tables[n], [TABLES[n].key]).select(
                     F.col(TABLES[n].key).cast("string").alias("key_value"), "copies"
                 ),
                 table_name=n,
             )
-            for n in ("users", "artists", "songs", "time")
+            for n in ("users", "artists", "songs", "time", "songplays")
         ]
     )
 

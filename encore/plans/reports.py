@@ -15,11 +15,6 @@ def with_song(fact: DataFrame, songs: DataFrame) -> DataFrame:
     return fact.alias("sp").join(songs.alias("sn"), F.col("sp.song_id") == F.col("sn.song_id"))
 
 
-def with_artist(plays: DataFrame, artists: DataFrame) -> DataFrame:
-    """Adds the artist (alias ``art``) of the song ``sn``, not of the fact row."""
-    return plays.join(artists.alias("art"), F.col("sn.artist_id") == F.col("art.artist_id"))
-
-
 def with_time(plays: DataFrame, time: DataFrame) -> DataFrame:
     """Adds the calendar row (alias ``tm``) of the start time of ``sp``."""
     return plays.join(time.alias("tm"), F.col("sp.start_time") == F.col("tm.start_time"))
@@ -28,8 +23,14 @@ def with_time(plays: DataFrame, time: DataFrame) -> DataFrame:
 def star_join(
     fact: DataFrame, songs: DataFrame, artists: DataFrame, time: DataFrame
 ) -> DataFrame:
-    """Fact rows with all their dimension rows, unfolded."""
-    return with_time(with_artist(with_song(fact, songs), artists), time)
+    """Fact rows with all their dimension rows, unfolded.
+
+    The fact meets the calendar first, and then songs that were joined with their artists
+    before, so it is never shuffled after the variants of an artist have multiplied it.
+    """
+    catalogue = songs.alias("sn").join(artists.alias("art"), F.col("sn.artist_id") == F.col("art.artist_id"))
+    dated = with_time(fact.alias("sp"), time)
+    return dated.join(catalogue, F.col("sp.song_id") == F.col("sn.song_id"))
 
 
 def artist_plays(artists: DataFrame, fact: DataFrame) -> DataFrame:

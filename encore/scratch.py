@@ -6,28 +6,18 @@ table can be read back column by column, which a checkpointed RDD cannot.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: str | None = None
-
 
 def shared_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only in local mode."""
-    global _local_root
+    """``spark.checkpoint.dir`` of the session; where it is unset, a folder below the warehouse.
+
+    Executors reach both, unlike a temporary folder of one machine.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="encore-")
-        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
-    return _local_root
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_encore_scratch").rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:

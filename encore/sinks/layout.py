@@ -9,11 +9,6 @@ from encore.schemas import TABLES
 from encore.sinks.store import TableStore
 
 
-# A bucket is read by one task. Beyond this many times the mean bucket, joins had
-# better shuffle the rows, because AQE can split shuffled partitions only.
-MAX_SKEW = 4.0
-
-
 def bucket_of(dist: str, buckets: int) -> Column:
     """The bucket Spark writes a row to."""
     return F.pmod(F.hash(F.col(dist)), F.lit(buckets))
@@ -44,34 +39,42 @@ def write_layout(
     writer.option("path", path).saveAsTable(name)
 
 
-def write_sorted(df: DataFrame, name: str, path: str, sort: str | None = None) -> None:
-    """Save ``df`` as table ``name`` in files of even size, each sorted by ``sort``."""
-    even = df.hint("rebalance")
-    if sort is not None:
-        even = even.sortWithinPartitions(sort)
-    even.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
-
-
 def read_layout(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def lay_out(store: TableStore, buckets: int, prefix: str = "laid_out_") -> list[str]:
-    """Save every table that declares a distribution column as a bucketed table.
+def lay_out(store: TableStore, buckets: int, database: str) -> list[str]:
+    """Save every table that declares a distribution column as a bucketed table of ``database``.
 
-    A table in which a hot key would overfill its bucket is sorted only. The
-    names are those of the tables after ``prefix``; files go next to the store.
-    Returns the names.
+    A database holds the layouts of one store: files go next to its tables, and saving
+    those of another store under the same name is refused. Returns the names of the tables.
     """
+    spark = store.spark
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     saved = []
     for table in TABLES.values():
         if table.dist is None:
             continue
-        df, name = store.read(table.name), prefix + table.name
-        path = f"{store.root}/{name}"
-        if bucket_skew(df, table.dist, buckets) > MAX_SKEW:
-            write_sorted(df, name, path, table.sort)
-        else:
-            write_layout(df, name, path, table.dist, buckets, table.sort)
+        name = f"{database}.{table.name}"
+        path = f"{store.root}/laid_out_{table.name}"
+        if spark.catalog.tableExists(name) and not _location(spark, name).endswith(path.partition(":")[2] or path):
+            raise ValueError(f"{name} is the layout of another store")
+        write_layout(store.read(table.name), name, path, table.dist, buckets, table.sort)
         saved.append(name)
     return saved
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'")
+    return rows.first()["data_type"].rstrip("/")
+
+
+def read_tables(store: TableStore, database: str | None = None) -> dict[str, DataFrame]:
+    """The stored tables by name, from their layouts in ``database`` where there are any."""
+    laid_out = set()
+    if database is not None:
+        laid_out = {t.name for t in store.spark.catalog.listTables(database) if not t.isTemporary}
+    return {
+        name: read_layout(store.spark, f"{database}.{name}") if name in laid_out else store.read(name)
+        for name in TABLES
+    }

@@ -3,29 +3,18 @@
 Stands in for the log and catalogue files wherever a query runs on those
 tables. Nothing here depends on the session time zone.
 
-The two large joins ask for shuffled hash joins: the larger side is shuffled
-once and never sorted, and the smaller side has unique keys, so its hash tables
-stay even. A hot key of the larger side is left to the skew handling of AQE.
+How the joins run is left to Spark, which knows the sizes; a hot key is left to the
+skew handling of AQE.
 """
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-
-@cache
-def _schema(spark: SparkSession, path: str) -> StructType:
-    """Read from a file footer once; each read of it is a Spark job of its own."""
-    return spark.read.parquet(path).schema
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(_schema(spark, path)).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def staging_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +23,7 @@ def staging_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey")
     )
     joined = table(spark, sf_dir, "events").join(
-        customers.hint("shuffle_hash"), F.expr("user_id = c_custkey")
+        customers, F.expr("user_id = c_custkey")
     )
     return joined.selectExpr(
         "'Supplier#' || lpad(string(int(get_json_object(props, '$.k')) + 5), 9, '0') as artist",
@@ -50,7 +39,7 @@ def staging_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case event_type when 'view' then 'NextSong' when 'click' then 'Home'"
         " when 'signup' then 'Upgrade' when 'purchase' then 'Settings'"
         " when 'error' then 'Error' end as page",
-        "cast(1540344794796 + user_id as decimal(18,0)) as registration",
+        "cast(1500000000000 + user_id as decimal(18,0)) as registration",
         "int(user_id * 31 + day(ts)) as sessionid",
         "'Song ' || (event_id % 64) as song",
         "if(event_type = 'error', 404, 200) as status",
@@ -83,7 +72,7 @@ def staging_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "if(p_size <= 5, 0, 1970 + p_size) as year",
     )
     items = table(spark, sf_dir, "lineitem").select("l_partkey")
-    joined = items.join(catalogue.hint("shuffle_hash"), F.expr("l_partkey = p_partkey"))
+    joined = items.join(catalogue, F.expr("l_partkey = p_partkey"))
     return joined.drop("l_partkey", "p_partkey")
 
 
@@ -117,13 +106,20 @@ def write_logs(spark: SparkSession, sf_dir: str, path: str) -> None:
         F.struct(*[v.alias(c.upper()) for c, v in values.items()], F.lit("x").alias("OTHER"))
     )
     line = F.when(F.col("iteminsession") % 2 == 0, spelled).otherwise(shouted)
-    lines = events.select(line.alias("value"), F.col("page").alias("folder"))
-    lines.write.partitionBy("folder").text(path)
+    lines = events.select(line.alias("value"), F.col("page").alias("folder"), F.spark_partition_id().alias("part"))
+    _two_a_line(lines, "folder", "part").write.partitionBy("folder").text(path)
+
+
+def _two_a_line(objects: DataFrame, *together: str) -> DataFrame:
+    """Texts in ``value`` put on lines in twos, as far as rows of the same keys go."""
+    numbered = objects.withColumn("pair", F.shiftright(F.monotonically_increasing_id(), 1))
+    lines = numbered.groupBy(*together, "pair").agg(F.concat_ws(" ", F.collect_list("value")).alias("value"))
+    return lines.drop("pair", "part")
 
 
-def write_catalogue(spark: SparkSession, sf_dir: str, path: str, objects_per_file: int = 1000) -> None:
-    """The staging songs as files of pretty-printed JSON objects."""
+def write_catalogue(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The staging songs as files the size of a partition, one or two JSON objects a line."""
     songs = staging_songs(spark, sf_dir)
-    layout = {"pretty": "true", "ignoreNullFields": "false"}
-    objects = songs.select(F.to_json(F.struct(*songs.columns), layout).alias("value"))
-    objects.write.option("maxRecordsPerFile", objects_per_file).text(path)
+    one = F.to_json(F.struct(*songs.columns), {"ignoreNullFields": "false"})
+    plain = songs.select(one.alias("value"), F.spark_partition_id().alias("part"))
+    _two_a_line(plain, "part").write.text(path)

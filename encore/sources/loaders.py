@@ -3,6 +3,8 @@
 Keys are matched ignoring case, unknown keys are ignored, missing ones are
 NULL. Every value is read as text first and then cast to the declared type, so
 that quoted numbers and empty strings load the way the warehouse loads them.
+A file is a series of objects, with or without line breaks between them; whatever
+else stands there is a malformed record.
 """
 
 from __future__ import annotations
@@ -12,22 +14,57 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from encore.functions.text import blank_to_null
-from encore.operators.quality import enforce
+from encore.operators.quality import passing
 from encore.schemas import STAGING_EVENTS, STAGING_SONGS, Table
 
 STRICT = "strict"  # the first bad record aborts the load
 QUARANTINE = "quarantine"  # bad records are left out; bad_records lists them
 
-# Objects written one after the other are parted by a line break between a
-# closing and an opening brace. A JSON string cannot hold a raw line break, and
-# inside one object a comma would stand between the braces.
-OBJECT_BREAK = r"(?<=\})[ \t]*[\r\n]\s*(?=\{)"
+LINES = "lines"  # no object goes over a line's end; files can be split
+DOCUMENTS = "documents"  # objects may be pretty-printed; a file is read by one task
+
+# An object without another brace in it is alone in its text.
+LONE_OBJECT = r"^\s*+\{[^{}]*+\}\s*+$"
+# Strings, braces, and what is between them. A quote that ends nothing is text.
+JSON_PIECE = r"\"[^\"\\]*+(?:\\.[^\"\\]*+)*+\"|[{}]|[^\"{}]++|\""
+
+
+def objects_in(value: Column) -> Column:
+    """The objects of a text one by one; text beside them, or a truncated one, is a piece too.
+
+    Braces count only outside of strings. Pieces that are no objects don't parse, so they
+    are bad records like any other.
+    """
+    state = F.struct(
+        F.array().cast("array<string>").alias("done"), F.lit("").alias("open"), F.lit(0).alias("depth")
+    )
+
+    def step(s: Column, piece: Column) -> Column:
+        depth = s.depth + F.when(piece == "{", 1).when(piece == "}", -1).otherwise(0)
+        ends = (piece == "}") & (depth <= 0)
+        starts = (piece == "{") & (s.depth == 0) & (s.open.rlike(r"\S"))  # text before an object
+        text = F.concat(F.when(starts, F.lit("")).otherwise(s.open), piece)
+        done = F.when(starts, F.array_append(s.done, s.open)).otherwise(s.done)
+        return F.struct(
+            F.when(ends, F.array_append(done, text)).otherwise(done).alias("done"),
+            F.when(ends, F.lit("")).otherwise(text).alias("open"),
+            F.greatest(depth, F.lit(0)).alias("depth"),
+        )
+
+    pieces = F.regexp_extract_all(value, F.lit(JSON_PIECE), F.lit(0))
+    found = F.aggregate(pieces, state, step, lambda s: F.array_append(s.done, s.open))
+    return F.when(value.rlike(LONE_OBJECT), F.array(value)).otherwise(found)
+
+
+def split_objects(texts: DataFrame) -> DataFrame:
+    """Column ``value`` in pieces of one object each; blanks between objects are none."""
+    pieces = texts.select(F.explode(objects_in(F.col("value"))).alias("value"))
+    return pieces.select(F.regexp_replace("value", r"^\s+|\s+$", "").alias("value")).where("value != ''")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Column ``value``: one JSON object per line, all files under ``path`` at any depth."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    return lines.where(F.trim("value") != "")
+    """Column ``value``: the JSON objects of all files under ``path`` at any depth, line by line."""
+    return split_objects(spark.read.option("recursiveFileLookup", "true").text(path))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -36,26 +73,22 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     A file is one row at first and cannot be split, so large files of
     single-line objects belong in ``read_lines``.
     """
-    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    objects = files.select(F.explode(F.split("value", OBJECT_BREAK)).alias("value"))
-    return objects.where(F.col("value").rlike(r"\S"))
+    return split_objects(spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True))
 
 
 def bind_json(
     df: DataFrame,
     table: Table,
     value: str = "value",
-    mode: str = STRICT,
     keep: tuple[Column, ...] = (),
 ) -> DataFrame:
     """Pick the columns of ``table``, all as text, from the JSON text in ``value``.
 
-    When keys of one record differ only in case, the last one wins. Unless
-    strict, an unreadable record gives a row of NULLs. ``keep`` columns may
-    refer to ``fields``, the parsed record.
+    When keys of one record differ only in case, the last one wins. An unreadable
+    record gives a row of NULLs. ``keep`` columns may refer to ``fields``, the
+    parsed record.
     """
-    parser = {"mode": "FAILFAST" if mode == STRICT else "PERMISSIVE"}
-    parsed = df.withColumn("fields", F.from_json(value, "map<string,string>", parser))
+    parsed = df.withColumn("fields", F.from_json(value, "map<string,string>", {"mode": "PERMISSIVE"}))
     arrays = parsed.select(
         F.reverse(F.transform(F.map_keys("fields"), F.lower)).alias("_keys"),
         F.reverse(F.map_values("fields")).alias("_texts"),
@@ -69,14 +102,31 @@ def bind_json(
     return arrays.select(*[pick(c.name) for c in table.columns], *arrays.columns[2:])
 
 
+def _number(text: Column, kind: T.DataType) -> Column:
+    """The text of a number cut toward zero at the scale of ``kind``, if that is a decimal.
+
+    Digits go before the text becomes a number, so nothing is rounded on the way.
+    """
+    filled = blank_to_null(text)
+    if not isinstance(kind, T.DecimalType):
+        return filled
+    digits = F.regexp_replace(filled, rf"^(\s*[+-]?[0-9]*\.[0-9]{{{kind.scale}}})[0-9]+(\s*)$", "$1$2")
+    exact = digits.try_cast(T.DecimalType(38, 18))  # of a number with an exponent, too
+    cut = F.when(exact < 0, F.ceil(exact, F.lit(kind.scale))).otherwise(F.floor(exact, F.lit(kind.scale)))
+    return F.coalesce(cut.cast("string"), filled)
+
+
 def coerce(df: DataFrame, table: Table) -> DataFrame:
-    """Cast the text columns of ``df`` to the types of ``table``; text stays as it is."""
+    """Cast the text columns of ``df`` to the types of ``table``; text stays as it is.
+
+    Decimals lose the digits beyond their scale without rounding.
+    """
 
     def cast(name: str, kind: T.DataType) -> Column:
         text = F.col(name)
         if isinstance(kind, T.StringType):
             return text
-        return blank_to_null(text).cast(kind).alias(name)
+        return _number(text, kind).cast(kind).alias(name)
 
     return df.select(*[cast(c.name, c.type) for c in table.columns])
 
@@ -88,36 +138,43 @@ def fault(table: Table) -> Column:
         text = F.col(c.name)
         if not isinstance(c.type, T.StringType):
             filled = blank_to_null(text)
-            lost = filled.isNotNull() & filled.try_cast(c.type).isNull()
+            lost = filled.isNotNull() & _number(text, c.type).try_cast(c.type).isNull()
             reasons.append(F.when(lost, f"type of {c.name}"))
-        elif c.width is not None:
-            reasons.append(F.when(F.octet_length(text) > c.width, f"width of {c.name}"))
+            missing = filled.isNull()
+        else:
+            missing = text.isNull()
+            if c.width is not None:
+                reasons.append(F.when(F.octet_length(text) > c.width, f"width of {c.name}"))
+        if c.required:
+            reasons.append(F.when(missing, f"{c.name} is NULL"))
     return F.coalesce(*reasons)
 
 
+def _tagged(df: DataFrame, table: Table, value: str, *keep: Column) -> DataFrame:
+    """Text rows of ``table`` and the ``_reason`` why a record is bad."""
+    bound = bind_json(df, table, value, keep=(*keep, F.col("fields").isNull().alias("_unreadable")))
+    reason = F.when(F.col("_unreadable"), "not json").otherwise(fault(table))
+    return bound.withColumn("_reason", reason)
+
+
 def bad_records(df: DataFrame, table: Table, value: str = "value") -> DataFrame:
     """The records a strict load would stop at: ``value`` and the first ``reason``."""
-    bound = bind_json(
-        df,
-        table,
-        value,
-        QUARANTINE,
-        keep=(F.col(value).alias("_source"), F.col("fields").isNull().alias("_unreadable")),
-    )
-    reason = F.when(F.col("_unreadable"), "not json").otherwise(fault(table))
-    tagged = bound.select(F.col("_source").alias("value"), reason.alias("reason"))
-    return tagged.where(F.col("reason").isNotNull())
+    tagged = _tagged(df, table, value, F.col(value).alias("_source"))
+    bad = tagged.select(F.col("_source").alias("value"), F.col("_reason").alias("reason"))
+    return bad.where(F.col("reason").isNotNull())
 
 
 def typed_rows(df: DataFrame, table: Table, mode: str = STRICT) -> DataFrame:
-    """JSON text in ``value`` to rows of ``table``."""
-    if mode == STRICT:
-        return enforce(coerce(bind_json(df, table), table), table)
-    if mode != QUARANTINE:
+    """JSON text in ``value`` to rows of ``table``.
+
+    Strict or not, bad records are met in a filter, which runs whatever columns are read.
+    """
+    if mode not in (STRICT, QUARANTINE):
         raise ValueError(f"unknown load mode {mode!r}")
-    bound = bind_json(df, table, mode=mode, keep=(F.col("fields").isNull().alias("_unreadable"),))
-    good = bound.where(~F.col("_unreadable") & fault(table).isNull())
-    return coerce(good, table)
+    tagged = _tagged(df, table, "value")
+    reason = F.col("_reason")
+    good = passing(reason, f"bad record for {table.name}") if mode == STRICT else reason.isNull()
+    return coerce(tagged.where(good), table)
 
 
 def load_events(spark: SparkSession, path: str, mode: str = STRICT) -> DataFrame:
@@ -125,6 +182,9 @@ def load_events(spark: SparkSession, path: str, mode: str = STRICT) -> DataFrame
     return typed_rows(read_lines(spark, path), STAGING_EVENTS, mode)
 
 
-def load_songs(spark: SparkSession, path: str, mode: str = STRICT) -> DataFrame:
-    """Song catalogue: files of one JSON object each under ``path``."""
-    return typed_rows(read_documents(spark, path), STAGING_SONGS, mode)
+def load_songs(spark: SparkSession, path: str, mode: str = STRICT, layout: str = DOCUMENTS) -> DataFrame:
+    """Song catalogue under ``path``: small files of objects, or ``LINES`` of any size."""
+    if layout not in (LINES, DOCUMENTS):
+        raise ValueError(f"unknown layout of files {layout!r}")
+    read = read_lines if layout == LINES else read_documents
+    return typed_rows(read(spark, path), STAGING_SONGS, mode)

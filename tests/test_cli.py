@@ -2,9 +2,11 @@
 
 import json
 
+import pytest
+
 from conftest import rows
 
-from encore.__main__ import execute, parser
+from encore.__main__ import deliver, execute, parser
 from encore.sinks.layout import read_layout
 from encore.sinks.store import TableStore
 
@@ -35,7 +37,17 @@ def test_commands(spark, tmp_path):
     assert TableStore(spark, out).read("users").count() == 2
     assert rows(run("check", out).where("violations > 0"), "check_name", "table_name")[0] == ("key", "artists")
     run("run", out, *files)
-    counted = run("sql", out, "SELECT month, count(*) AS n FROM songplays JOIN time USING (start_time) GROUP BY month")
-    assert rows(counted) == [(1, 4)]
-    run("layout", out, "--buckets", "2")
-    assert read_layout(spark, "laid_out_songplays").count() == 4
+    query = "SELECT month, count(*) AS n FROM songplays JOIN time USING (start_time) GROUP BY month"
+    assert rows(run("sql", out, query, "--to", "unused")) == [(1, 4)]
+    run("layout", out, "--buckets", "2", "--database", "cli_layouts")
+    assert read_layout(spark, "cli_layouts.songplays").count() == 4
+    found = run("top-artists", out, "--year", "2018", "--database", "cli_layouts")
+    assert rows(found) == [("X", "A", 4)]
+
+
+def test_whole_results_are_written(spark, tmp_path):
+    args = parser().parse_args(["sql", "unused", "unused", "--to", str(tmp_path / "all"), "--format", "json"])
+    deliver(spark.range(1234), args)
+    assert spark.read.json(str(tmp_path / "all")).count() == 1234
+    with pytest.raises(SystemExit):
+        parser().parse_args(["sql", "unused", "unused"])

@@ -1,63 +1,43 @@
-"""Dense ids: no gaps, the same on a rerun, hot copies spread out."""
+"""Dense ids: no gaps, the same on a rerun, known before the rows fan out."""
 
 import pytest
 from conftest import rows
 
-from encore.operators.identity import with_identity, with_sparse_identity
+from encore.operators.facts import numbered_songplays
+from encore.operators.identity import with_offsets
 from encore.scratch import discard, shared_root
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 
-def sample(spark, n=5000):
+def sample(spark, n=1000):
     return spark.range(n).select(
-        (F.col("id") * 7919 % 100).alias("a"), (F.col("id") % 13).cast("string").alias("b")
+        (F.col("id") * 7919 % 1009).alias("a"), (F.col("id") % 13).cast("string").alias("b"),
+        (F.col("id") % 4 + 1).alias("width"),
     )
 
 
-def test_equals_a_global_row_number(spark):
+def test_offsets_equal_a_global_running_sum(spark):
     df = sample(spark)
-    numbered, _ = with_identity(df, ["a", "b"])
-    by_all = Window.orderBy("a", "b")
-    plain = df.select((F.row_number().over(by_all) - 1).alias("id"), "a", "b")
-    assert rows(numbered) == rows(plain)
+    placed, _ = with_offsets(df, ["a", "b"], "width", "first", "part")
+    before = Window.orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
+    plain = df.withColumn("first", F.coalesce(F.sum("width").over(before), F.lit(0)))
+    assert rows(placed, "a", "b", "first") == rows(plain, "a", "b", "first")
 
 
 def test_same_on_rerun_whatever_the_partitions(spark):
-    one, _ = with_identity(sample(spark), ["a", "b"], start=10)
-    other, _ = with_identity(sample(spark).repartition(7), ["a", "b"], start=10)
-    assert rows(one) == rows(other)
-    assert one.agg(F.min("id"), F.max("id")).first() == (10, 5009)
+    one, _ = with_offsets(sample(spark), ["a", "b"], "width", "first", "part")
+    other, _ = with_offsets(sample(spark).repartition(7), ["a", "b"], "width", "first", "part")
+    assert rows(one, "a", "b", "first") == rows(other, "a", "b", "first")
 
 
 def test_empty_input(spark):
-    numbered, _ = with_identity(sample(spark, 0), ["a", "b"])
-    assert numbered.count() == 0
-
-
-def test_order_must_be_all_columns(spark):
-    with pytest.raises(ValueError):
-        with_identity(sample(spark), ["a"])
-
-
-def test_copies_of_one_row_do_not_share_a_partition(spark):
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        hot = spark.range(0, 20000, 1, 16).select(
-            F.when(F.col("id") % 3 < 2, -1).otherwise(F.col("id")).alias("v")
-        )
-        numbered, path = with_identity(hot, ["v"])
-        staged = spark.read.parquet(path)
-        sizes = [r["count"] for r in staged.groupBy(F.expr("_slot >> 33")).count().collect()]
-        assert sum(sizes) == 20000
-        assert max(sizes) < 20000 * 0.6  # two thirds of the rows are one value
-        assert numbered.where("v = -1").agg(F.count("*"), F.max("id")).first() == (13334, 13333)
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    placed, _ = with_offsets(sample(spark, 0), ["a", "b"], "width", "first", "part")
+    assert placed.count() == 0
 
 
 def test_staged_rows_live_in_the_shared_folder(spark):
-    _, path = with_identity(sample(spark, 10), ["a", "b"])
+    _, path = with_offsets(sample(spark, 10), ["a", "b"], "width", "first", "part")
     assert path.startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     discard(spark, path)
@@ -65,6 +45,22 @@ def test_staged_rows_live_in_the_shared_folder(spark):
         spark.read.parquet(path)
 
 
-def test_sparse_ids_are_unique(spark):
-    ids = with_sparse_identity(sample(spark).repartition(5))
-    assert ids.select("id").distinct().count() == 5000
+def test_ids_of_copies_variants_and_ties(spark, make_events, make_songs):
+    events = make_events(*[dict(ts=t, artist=a) for t in (30, 10, 10, 20) for a in ("A", "B", "none")])
+    artists = spark.createDataFrame([("A1", "A", "x"), ("A1", "A", "y"), ("B1", "B", "x")], "artist_id string, name string, location string")
+    songs = spark.createDataFrame([("S1", "A1", "t"), ("S2", "A1", "u"), ("S3", "B1", "v")], "song_id string, artist_id string, title string")
+    found, _ = numbered_songplays(events, artists, songs, start=100)
+    got = [(r.songplay_id, r.artist_id, r.song_id) for r in found.orderBy("songplay_id").collect()]
+    assert [g[0] for g in got] == list(range(100, 120))
+    first = [g[1:] for g in got[:10]]  # two copies of each of both events at the first time
+    assert first == [("A1", "S1")] * 4 + [("A1", "S2")] * 4 + [("B1", "S3")] * 2
+    assert [g[1:] for g in got[10:15]] == [("A1", "S1")] * 2 + [("A1", "S2")] * 2 + [("B1", "S3")]
+
+
+def test_many_copies_of_one_event(spark, make_events, make_songs, monkeypatch):
+    monkeypatch.setattr("encore.operators.facts.COPIES_AT_ONCE", 3)
+    events = make_events(*[dict(ts=5)] * 10)
+    artists = spark.createDataFrame([("A1", "A", "x")], "artist_id string, name string, location string")
+    songs = spark.createDataFrame([("S1", "A1", "t"), ("S2", "A1", "u")], "song_id string, artist_id string, title string")
+    found, _ = numbered_songplays(events, artists, songs)
+    assert [r.songplay_id for r in found.orderBy("songplay_id").collect()] == list(range(20))

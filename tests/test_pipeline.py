@@ -12,6 +12,7 @@ from encore.plans.reports import top_artists, top_songs
 from encore.schemas import TABLES
 from encore.sinks.store import TableStore, by_name, by_position
 from encore.sources import crosswalk
+from encore.sources.loaders import LINES
 from pyspark.sql import functions as F
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -21,7 +22,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def files(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("files")
     crosswalk.write_logs(spark, SF_DIR, f"{root}/logs")
-    crosswalk.write_catalogue(spark, SF_DIR, f"{root}/songs", objects_per_file=500)
+    crosswalk.write_catalogue(spark, SF_DIR, f"{root}/songs")
     return f"{root}/logs", f"{root}/songs"
 
 
@@ -31,7 +32,7 @@ def counts(store):
 
 def test_tables_reports_and_reruns(spark, files, tmp_path):
     out = str(tmp_path / "tables")
-    store = run_pipeline(spark, *files, out)
+    store = run_pipeline(spark, *files, out, songs_format=LINES)
     expected = {
         "staging_events": 1000, "staging_songs": 6000, "users": 15, "artists": 17,
         "songs": 200, "time": 531, "songplays": 340,
@@ -54,8 +55,8 @@ def test_tables_reports_and_reruns(spark, files, tmp_path):
     assert broken == {("key", "artists", "artist_id"): 7}
 
     first = rows(fact)
-    assert rows(run_pipeline(spark, *files, out).read("songplays")) == first
-    again = counts(run_pipeline(spark, *files, out, mode=APPEND))
+    assert rows(run_pipeline(spark, *files, out, songs_format=LINES).read("songplays")) == first
+    again = counts(run_pipeline(spark, *files, out, mode=APPEND, songs_format=LINES))
     assert again["staging_events"] == 2000 and again["staging_songs"] == 12000
     assert all(again[n] == 2 * expected[n] for n in ("users", "artists", "songs", "time"))
     # Twice the events meet twice the artists and twice the songs.

@@ -5,11 +5,11 @@ import re
 import pytest
 
 from encore.operators.dimensions import build_artists, build_songs, build_time, build_users
-from encore.operators.facts import build_songplays
+from encore.operators.facts import build_songplays, numbered_songplays
 from encore.plans.registry import Star
-from encore.plans.reports import plays_per_song_month, top_artists, with_song
+from encore.plans.reports import plays_per_song_month, star_join, top_artists, with_song
 from encore.schemas import TABLES
-from encore.sinks.layout import bucket_of, bucket_skew, lay_out, read_layout, write_layout
+from encore.sinks.layout import bucket_of, bucket_skew, lay_out, read_layout, read_tables, write_layout
 from pyspark.sql import functions as F
 from encore.sinks.store import TableStore
 
@@ -137,22 +137,63 @@ def test_equal_buckets_join_without_exchange(spark, store, no_broadcast, tmp_pat
     assert TABLES["songplays"].dist == "song_id"
 
 
-def test_hot_key_is_not_bucketed(spark, store, tmp_path):
+def _buckets(spark, name):
+    described = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Num Buckets'")
+    return [r["data_type"] for r in described.collect()]
+
+
+def test_declared_layouts_do_not_depend_on_the_rows(spark, store, tmp_path):
+    """A hot key, ten rows over many buckets, no rows at all: always bucketed as declared."""
     kept = TableStore(spark, str(tmp_path))
     kept.create_missing()
-    kept.overwrite("songs", store.read("songs"))
+    kept.overwrite("songs", store.read("songs").limit(10))
     kept.overwrite("artists", store.read("artists").selectExpr("'X' as artist_id", "* except (artist_id)"))
-    assert bucket_skew(kept.read("artists"), "artist_id", 8) == 8.0
-    assert bucket_skew(kept.read("songs"), "song_id", 8) < 2
-    assert bucket_skew(kept.read("songplays"), "song_id", 8) == 0
-    lay_out(kept, 8, prefix="hot_")
+    assert bucket_skew(kept.read("artists"), "artist_id", 64) == 64.0
+    assert bucket_skew(kept.read("songplays"), "song_id", 64) == 0
+    for name in lay_out(kept, 64, "declared"):
+        assert _buckets(spark, name) == ["64"], name
+    assert read_layout(spark, "declared.artists").count() == store.read("artists").count()
+
+
+def test_layouts_belong_to_one_store(spark, store, tmp_path):
+    small, large = TableStore(spark, f"{tmp_path}/small"), TableStore(spark, f"{tmp_path}/large")
+    for kept, n in ((small, 5), (large, 50)):
+        kept.create_missing()
+        kept.overwrite("songs", store.read("songs").limit(n))
+    lay_out(small, 2, "small_layouts")
+    lay_out(large, 2, "large_layouts")
+    assert [read_tables(k, d)["songs"].count() for k, d in ((small, "small_layouts"), (large, "large_layouts"))] == [5, 50]
+    with pytest.raises(ValueError, match="another store"):
+        lay_out(large, 2, "small_layouts")
+    lay_out(small, 2, "small_layouts")  # the same store may be laid out again
+
+
+def test_reports_on_layouts_join_songs_without_exchange(spark, store, no_broadcast, tmp_path):
+    kept = TableStore(spark, str(tmp_path))
+    kept.create_missing()
+    kept.overwrite("songs", store.read("songs"))
+    fact = build_songplays(*map(store.read, ("staging_events", "artists", "songs")))
+    kept.append("songplays", fact.withColumn("songplay_id", F.monotonically_increasing_id()))
+    lay_out(kept, 4, "report_layouts")
+    tables = read_tables(kept, "report_layouts")
+    assert exchanges(plan(with_song(tables["songplays"], tables["songs"]))) == 0
+    counted = plays_per_song_month(*(tables[n] for n in ("songplays", "songs", "artists", "time")))
+    assert "Bucketed: true" in plan(counted)
+
+
+def test_star_join_multiplies_the_fact_last(store, no_broadcast):
+    tables = [store.read(n) for n in ("songs", "artists", "time")]
+    fact = build_songplays(*map(store.read, ("staging_events", "artists", "songs")))
+    text = plan(star_join(fact, *tables))
+    top = text.index("SortMergeJoin [song_id")
+    assert top == text.index("SortMergeJoin"), "the catalogue of songs and artists is joined last"
 
-    def buckets(name):
-        described = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Num Buckets'")
-        return [r["data_type"] for r in described.collect()]
 
-    assert buckets("hot_songs") == ["8"] and buckets("hot_artists") == []
-    assert read_layout(spark, "hot_artists").count() == store.read("artists").count()
+def test_ids_compute_the_fan_out_once(store, no_broadcast):
+    numbered, _ = numbered_songplays(*map(store.read, ("staging_events", "artists", "songs")))
+    text = plan(numbered)
+    assert "rangepartitioning" not in text  # of events only, before
+    assert text.count("FileScan parquet") == 4  # staged events twice, artists, songs
 
 
 def test_bucket_is_the_one_spark_writes(spark, tmp_path):

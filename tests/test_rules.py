@@ -149,12 +149,12 @@ def test_times_do_not_depend_on_the_session_zone(spark, make_events, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        moment = spark.range(1).select(epoch_ms_to_ts(F.lit(1541106106796)).alias("t")).first()["t"]
-        fields = build_time(make_events({"ts": 1541106106796})).first()
+        moment = spark.range(1).select(epoch_ms_to_ts(F.lit(1525132799500)).alias("t")).first()["t"]
+        fields = build_time(make_events({"ts": 1525132799500})).first()
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
-    assert moment == fields["start_time"] == datetime(2018, 11, 1, 21, 1, 46, 796000)
-    assert (fields["hour"], fields["day"], fields["weekday"]) == (21, 1, 4)
+    assert moment == fields["start_time"] == datetime(2018, 4, 30, 23, 59, 59, 500000)
+    assert (fields["hour"], fields["day"], fields["weekday"]) == (23, 30, 1)
 
 
 def test_empty_and_missing_location_are_different_artists(make_songs):
