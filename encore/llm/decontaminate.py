@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.common import arrow_map, batch_of, take_column
-from encore.llm.textarrays import Slice, mix, shingles, slices, words
+from encore.llm.textarrays import Slice, distinct, mix, shingles, slices, words
 
 THRESHOLD = 75  # per cent
 PERMUTATIONS = 32
@@ -52,7 +52,7 @@ class Items:
             for a, b in zip(first[:-1], first[1:], strict=True):
                 if b > a:
                     self.ids.append(ids[at])
-                    self.sets.append(np.unique(values[a:b]))
+                    self.sets.append(distinct(values[a:b]))
                 at += 1
         size = np.array([len(x) for x in self.sets], np.int64)
         kind = np.floor(np.log2(np.maximum(size, 1))).astype(int)
@@ -98,7 +98,7 @@ class Items:
         row, own = -1, values[:0]
         for r, item in self.candidates(values, first):
             if r != row:
-                row, own = r, np.unique(values[first[r] : first[r + 1]])
+                row, own = r, distinct(values[first[r] : first[r + 1]])
             wanted = self.sets[item]
             at = np.minimum(np.searchsorted(own, wanted), len(own) - 1)
             common = int((own[at] == wanted).sum())

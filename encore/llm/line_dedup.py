@@ -23,7 +23,8 @@ and leave the old one as it was, so a lost job is repeated from whole tables.
 
 Defined results: a null or empty text is one empty line; a row with a null doc_id holds no
 keys and stays as it is; rows that share a doc_id are one holder; an empty table gives an
-empty result. Other columns are carried along.
+empty result. Other columns are carried along; columns named line_count or lines_dropped are
+replaced.
 """
 
 from __future__ import annotations
@@ -328,13 +329,14 @@ class LineIndex:
 
 def without_lines(docs: DataFrame, lost: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """Joins the documents with their lost keys and cuts those lines out of the text."""
-    lost = lost.withColumnRenamed("doc_id", "_lost_id")
-    both = docs.join(lost, docs["doc_id"] == lost["_lost_id"], "left").drop("_lost_id")
+    docs = docs.drop("line_count", "lines_dropped")
     columns = docs.columns
+    lost = lost.select(F.col("doc_id").alias("_encore_id"), F.col("lost_keys").alias("_encore_lost"))
+    both = docs.join(lost, F.col("doc_id") == F.col("_encore_id"), "left").drop("_encore_id")
 
     def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = batch.column("text")
-        lists = batch.column("lost_keys")
+        lists = batch.column("_encore_lost")
         high = np.ascontiguousarray(lists.flatten().field("high").to_numpy()).view(np.uint64)
         low = np.ascontiguousarray(lists.flatten().field("low").to_numpy()).view(np.uint64)
         size = lists.value_lengths().fill_null(0).to_numpy()

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.common import arrow_map, batch_of
-from encore.llm.textarrays import mix, signed
+from encore.llm.textarrays import distinct, mix, signed
 
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
 
@@ -42,7 +42,7 @@ class Filter:
             bits *= 2
 
         def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            bit = np.unique(np.concatenate(_places(batch.column(0).to_numpy(), bits)))
+            bit = distinct(np.concatenate(_places(batch.column(0).to_numpy(), bits)))
             at, head = np.unique(bit >> 6, return_index=True)
             word = np.bitwise_or.reduceat(np.uint64(1) << (bit & 63).astype(np.uint64), head)
             yield batch_of(at=at, word=signed(word))

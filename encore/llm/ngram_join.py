@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from encore.llm.common import arrow_map, batch_of, flat, packed, take_column, whole_partition
 from encore.llm.components import components
 from encore.llm.membership import Filter
-from encore.llm.textarrays import mix, shingles, signed, slices, words
+from encore.llm.textarrays import distinct, mix, shingles, signed, slices, words
 from encore.scratch import stage
 
 PERCENT = 75
@@ -90,7 +90,7 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
         values, first = shingles(words(s.lower()))
         for r in range(len(s)):
             if first[r + 1] > first[r]:
-                yield s.first + r, np.unique(values[first[r] : first[r + 1]])
+                yield s.first + r, distinct(values[first[r] : first[r + 1]])
 
 
 def _profiles(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -472,7 +472,7 @@ def _hot_postings(arrays: DataFrame, hot: np.ndarray) -> DataFrame:
 def one_of_each(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """The documents with the smallest doc_id of their component; those without an id stay."""
     found = near_duplicates(docs.select("doc_id", "text"), hot)
-    gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias("_encore_gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("_encore_gone"), "left_anti")
 
 

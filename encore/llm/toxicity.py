@@ -51,7 +51,7 @@ from encore.llm.common import (
     one_label,
     take_column,
 )
-from encore.llm.textarrays import Slice, hashes, mix, signed, slices, spans
+from encore.llm.textarrays import Slice, distinct, hashes, mix, signed, slices, spans
 from encore.scratch import stage
 
 CLASSES = ("toxic", "ordinary")
@@ -97,7 +97,7 @@ class Expressions:
 
 def expressions(s: Slice) -> Expressions:
     word, row = tokens(s)
-    words = np.unique((row.astype(np.uint64) << np.uint64(32)) | word)
+    words = distinct((row.astype(np.uint64) << np.uint64(32)) | word)
     at = np.flatnonzero(row[1:] == row[:-1])
     gram = (word[at] << np.uint64(32)) | word[at + 1]
     # a slice has fewer than 2^20 rows; 44 bits tell the bigrams of one text apart
