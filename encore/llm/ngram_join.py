@@ -19,13 +19,16 @@ with the component it belongs to.
 3. *Bitmaps.* In a tile all pairs in reach are compared by bitmaps with a bit for each hash,
    set by the parity of the shingles that fall on it, one to two bits per shingle. The
    number of differing bits is at most the size of the symmetric difference, so it bounds
-   the overlap from above. Nodes without a possible partner leave the tile.
-4. *Verification.* What is left is verified by intersecting the sorted arrays, in the tile;
-   pairs that are connected already are skipped, and only links that connect are emitted.
+   the overlap from above. What is left are possible links; as many of them as connect the
+   nodes of a tile are emitted, and their components are the groups to verify.
+4. *Verification.* Each node's array goes to its group once. Pairs that are not connected
+   yet are verified by intersecting the sorted arrays, and only links that connect are
+   emitted. A group is cut into blocks of ``BLOCK`` nodes: first each node is compared in
+   its block and with a node that all blocks have, then only blocks that still hold
+   different components are compared with each other.
 5. Texts made of hot shingles for the most part, such as thousands of edited copies of one,
-   have tiles by hot shingles. These are cut into bands of size and blocks of ``BLOCK``
-   nodes. First each node is compared in one block and with a pivot; then only blocks that
-   still hold different components are compared with each other.
+   are grouped by hot shingle and band of size instead, and verified in the same way: first
+   in one group each, then in all groups that still hold different components.
 
 Defined results: a null or empty text has no shingles and is its own component; a text of
 fewer than five words is one shingle; a row with a null doc_id has a null component; rows
@@ -212,17 +215,18 @@ def _reach(n: np.ndarray, tile: np.ndarray, step: int, rows: np.ndarray) -> np.n
 
 
 def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(tile, node) of the nodes that by their bitmaps may link with another one of the tile."""
+    """(a, b) of pairs that by their bitmaps may link, as many as connect the nodes of a tile."""
     table = whole_partition(batches)
     if table is None:
         return
     tile, node, n = (table.column(c).to_numpy() for c in ("tile", "node", "n"))
     order = np.lexsort((n, tile))
     tile, node, n = tile[order], node[order], n[order]
-    values, first = flat(table.column("bitmap").combine_chunks() if table.num_rows else pa.array([], pa.binary()))
+    values, first = flat(table.column("bitmap").combine_chunks())
     first, width = first[:-1][order], np.diff(first)[order]
-    hit = np.zeros(len(tile), bool)
-    for w in np.unique(width):
+    group = np.arange(len(tile))
+    found: list[np.ndarray] = []
+    for w in distinct(width):
         level = np.flatnonzero((width == w) | (width == 2 * w))
         maps = np.empty((len(level), w), np.uint64)
         plain = width[level] == w
@@ -233,14 +237,33 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, step = np.flatnonzero(plain), 1
         while len(rows):
             rows = _reach(sizes, tiles, step, rows)
-            for part in np.array_split(rows, len(rows) * int(w) // (1 << 20) + 1):
+            apart = rows[group[level[rows]] != group[level[rows + step]]]
+            for part in np.array_split(apart, len(apart) * int(w) // (1 << 20) + 1):
                 other = part + step
                 differ = np.bitwise_count(maps[part] ^ maps[other]).sum(1, dtype=np.int64)
                 total = sizes[part] + sizes[other]
                 good = differ <= total - 2 * least_overlap(total)
-                hit[level[part[good]]] = hit[level[other[good]]] = True
+                pairs = np.column_stack([level[part[good]], level[other[good]]])
+                if len(pairs):
+                    found.append(pairs)
+                    _join_groups(group, pairs)
             step += 1
-    yield batch_of(tile=tile[hit], node=node[hit])
+    if found:
+        pairs = np.concatenate(found)
+        yield batch_of(a=node[pairs[:, 0]], b=node[pairs[:, 1]])
+
+
+def _join_groups(group: np.ndarray, pairs: np.ndarray) -> None:
+    """Gives both rows of each pair, and what is grouped with them, one group."""
+    while True:
+        one, two = group[pairs[:, 0]], group[pairs[:, 1]]
+        apart = one != two
+        if not apart.any():
+            return
+        low, high = np.minimum(one, two)[apart], np.maximum(one, two)[apart]
+        into = np.arange(len(group))
+        np.minimum.at(into, high, low)
+        group[:] = into[group]
 
 
 def _arrays(docs: DataFrame, wanted: Filter) -> DataFrame:
@@ -337,36 +360,39 @@ def _verified(members: DataFrame, rows: int) -> DataFrame:
     )
 
 
-def _hot_links(hot: DataFrame, arrays: DataFrame, links: DataFrame) -> DataFrame:
-    """Links between texts of hot shingles, from postings (token, node, n, place) and links so far."""
-    band = F.floor(F.log("n") / F.lit(float(np.log(100 / PERCENT))))
-    hot = hot.withColumn("band", F.explode(F.array(band, band + 1)))
-    hot, _ = stage(hot.withColumn("tile", F.xxhash64("token", "band")).select("tile", "node", "n", "place"), "hot")
-    sets = arrays.dropDuplicates(["node"])
-    salt = F.pmod(F.xxhash64("node", F.lit(11)), F.lit(1 << 30))
+def _verify_groups(own: DataFrame, every: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
+    """``links`` and those found among nodes of a group, as far as they connect.
 
-    # each node in one block of one tile, along with the tile's pivot
-    own = hot.groupBy("node").agg(F.min_by("tile", F.struct("place", "tile")).alias("tile"), F.max("n").alias("n"))
+    ``own`` (tile, node) has each node in one group, ``every`` in all of its groups, and
+    ``sets`` the arrays (node, n, values) of all these nodes.
+    """
+    salt = F.pmod(F.xxhash64("node", F.lit(11)), F.lit(1 << 30))
     sizes = own.groupBy("tile").agg(F.count("*").alias("members"), F.min("node").alias("pivot"))
-    blocks = F.ceil(F.col("members") / BLOCK)
-    placed = own.join(sizes, "tile").withColumn("block", F.pmod(salt, blocks))
-    pivots = sizes.select("tile", F.col("pivot").alias("node"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
-    pivots = pivots.join(own.select("node", "n").distinct(), "node")
-    first = placed.select("tile", "node", "n", "block").unionByName(pivots.select("tile", "node", "n", "block"))
+    sizes = sizes.withColumn("blocks", F.ceil(F.col("members") / BLOCK))
+    placed = own.join(sizes, "tile").select("tile", "node", F.pmod(salt, F.col("blocks")).alias("block"))
+    pivots = sizes.filter("blocks > 1").select(
+        "tile", F.col("pivot").alias("node"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+    )
+    first = placed.unionByName(pivots)
     first = first.select(F.xxhash64("tile", "block").alias("tile"), "node", F.col("node").alias("part"))
-    total = own.count()
-    found, _ = stage(_verified(first.join(sets, "node"), total), "links")
+    count = own.count()
+    found, _ = stage(_verified(first.join(sets, "node"), count), "links")
     links = links.unionByName(found)
 
-    # then blocks of tiles that still hold several components
+    # all pairs of groups of one block are done; others are looked at by component
+    done = sizes.filter("blocks = 1").select("tile").join(every.groupBy("tile").count(), "tile")
+    done = done.join(sizes.select("tile", "members"), "tile").filter("members = count").select("tile")
+    open_, _ = stage(every.join(done, "tile", "left_anti").select("tile", "node"), "open-groups")
+    if open_.isEmpty():
+        return links
     parts = components(links).withColumnRenamed("component", "part")
     now, _ = stage(
-        hot.select("tile", "node").distinct().join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")),
-        "hot-parts",
+        open_.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")), "group-parts"
     )
-    per_part = now.groupBy("tile", "part").agg(F.count("*").alias("members"))
     tiles = (
-        per_part.groupBy("tile")
+        now.groupBy("tile", "part")
+        .agg(F.count("*").alias("members"))
+        .groupBy("tile")
         .agg(
             F.sum("members").alias("all"), F.max("members").alias("major"), F.count("*").alias("parts"),
             F.max_by("part", F.struct("members", "part")).alias("major_part"),
@@ -378,17 +404,34 @@ def _hot_links(hot: DataFrame, arrays: DataFrame, links: DataFrame) -> DataFrame
     placed = now.join(tiles, "tile").withColumn("is_major", F.col("part") == F.col("major_part"))
     number = F.when(F.col("is_major"), F.pmod(salt, F.col("m"))).otherwise(F.col("m") + F.pmod(salt, F.col("r")))
     rest = F.sequence(F.col("m"), F.col("m") + F.col("r") - 1)
-    every = F.sequence(F.lit(0).cast("long"), F.col("m") + F.col("r") - 1)
+    all_blocks = F.sequence(F.lit(0).cast("long"), F.col("m") + F.col("r") - 1)
     paired = (
         placed.withColumn("block", number)
-        .withColumn("other", F.explode(F.when(F.col("is_major"), rest).otherwise(every)))
+        .withColumn("other", F.explode(F.when(F.col("is_major"), rest).otherwise(all_blocks)))
         .select(F.xxhash64("tile", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), "node", "part")
     )
-    paired, _ = stage(paired, "hot-blocks")
+    paired, _ = stage(paired, "group-blocks")
     found, _ = stage(_verified(paired.join(sets, "node"), paired.count()), "links")
     return links.unionByName(found)
 
 
+def _hot_links(hot: DataFrame, arrays: DataFrame, links: DataFrame) -> DataFrame:
+    """Links between texts of hot shingles, from postings (token, node, n, place) and links so far."""
+    band = F.floor(F.log("n") / F.lit(float(np.log(100 / PERCENT))))
+    banded = hot.withColumn("band", F.explode(F.array(band, band + 1)))
+    every, _ = stage(
+        banded.select(F.xxhash64("token", "band").alias("tile"), "node", "place").distinct(), "hot-groups"
+    )
+    own = every.groupBy("node").agg(F.min_by("tile", F.struct("place", "tile")).alias("tile"))
+    wanted = Filter.of(every.select("node"))
+
+    def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield batch.filter(pa.array(wanted.has(take_column(batch, "node").to_numpy())))
+
+    sets, _ = stage(arrow_map(arrays, job, ARRAYS), "hot-arrays")
+    return _verify_groups(own.select("tile", "node"), every.select("tile", "node").distinct(), sets, links)
+
+
 def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per document."""
     text = docs.select("doc_id", "text")
@@ -432,11 +475,10 @@ def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
     tiles, _ = stage(raw.distinct(), "tiles")
     members = tiles.count()
     compared = _spread(tiles.join(nodes.select("node", "bitmap"), "node"), "tile", members)
-    possible, _ = stage(compared.mapInArrow(_possible, "tile long, node long"), "possible")
-    wanted = Filter.of(possible.select("node"))
-    sets, _ = stage(_arrays(text.filter("doc_id is not null"), wanted), "arrays")
-    rows = possible.withColumn("part", F.col("node")).join(sets, "node")
-    links, _ = stage(_verified(rows, members), "links")
+    possible, _ = stage(compared.mapInArrow(_possible, "a long, b long"), "possible")
+    groups, _ = stage(components(possible).select(F.col("component").alias("tile"), "node"), "groups")
+    sets, _ = stage(_arrays(text.filter("doc_id is not null"), Filter.of(groups.select("node"))), "arrays")
+    links = _verify_groups(groups, groups, sets, possible.limit(0))
     if arrays is not None:
         links = _hot_links(_hot_postings(arrays, rare), arrays, links)
     parts = components(links).join(nodes.select("node", "rep"), "node")

@@ -58,7 +58,7 @@ KINDS = {
 
 def _prepared(text: Column) -> dict[str, Column]:
     """The text as each kind reads it, or null where it cannot hold one."""
-    text = F.translate(text, TIE + DOT, "xx")
+    text = F.translate(text, TIE + DOT, "\ufffd\ufffd")  # in a text they are no separators
     tied = F.regexp_replace(text, r"(?<=[0-9])[\x20-](?=[0-9])", TIE)
     dotted = F.regexp_replace(text, r"(?<=[A-Za-z0-9-])\.(?=[A-Za-z0-9-])", DOT)
     return {
@@ -91,14 +91,15 @@ def _valid(kind: Column, match: Column) -> Column:
     )
 
 
-def find_spans(texts: DataFrame) -> DataFrame:
-    """(row, kind, start, stop, match, left, right) of all matches in rows (row, text).
+def find_hits(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, hits): one row per document, written once, with the matches of all kinds.
 
-    ``left`` and ``right`` are the ``NEAR`` characters beside a match, up to the next match of the kind.
+    What is written fixes the numbers of the rows, whatever is computed again later.
     """
-    prepared = texts.select("row", *[c.alias(k) for k, c in _prepared(F.coalesce("text", F.lit(""))).items()])
+    kinds = [c.alias(k) for k, c in _prepared(F.coalesce("text", F.lit(""))).items()]
+    prepared = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", *kinds)
     cut = prepared.select(
-        "row", *KINDS, *[F.split(F.col(k), r, -1).alias(f"{k}_gaps") for k, r in KINDS.items()]
+        "row", "doc_id", *KINDS, *[F.split(F.col(k), r, -1).alias(f"{k}_gaps") for k, r in KINDS.items()]
     )
 
     def hits(kind: str, regex: str) -> Column:
@@ -114,7 +115,15 @@ def find_spans(texts: DataFrame) -> DataFrame:
 
     none = F.array().cast("array<struct<kind:string,place:int,gap:int,match:string,left:string,right:string>>")
     arrays = [F.coalesce(F.when(F.size(f"{k}_gaps") > 1, hits(k, r)), none) for k, r in KINDS.items()]
-    found = cut.select("row", F.explode(F.concat(*arrays)).alias("hit")).select("row", "hit.*")
+    return stage(cut.select("row", "doc_id", F.concat(*arrays).alias("hits")), "hits")[0]
+
+
+def find_spans(hits: DataFrame) -> DataFrame:
+    """(row, kind, start, stop, match, left, right) of all valid matches in the rows of ``find_hits``.
+
+    ``left`` and ``right`` are the ``NEAR`` characters beside a match, up to the next match of the kind.
+    """
+    found = hits.select("row", F.explode("hits").alias("hit")).select("row", "hit.*")
     upto = Window.partitionBy("row", "kind").orderBy("place")
     length = F.length("match")
     start = F.sum("gap").over(upto) + F.sum(length).over(upto) - length
@@ -167,10 +176,9 @@ def score_instances(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 def extract(docs: DataFrame, rounds: int = ROUNDS, accept: float = ACCEPT) -> tuple[DataFrame, DataFrame]:
     """Rows (row, doc_id) of all documents, and their spans (row, kind, start, stop, match)."""
-    numbered = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    found, _ = stage(find_spans(numbered), "spans")
-    rows = numbered.select("row", "doc_id")
-    spans, _ = stage(_without_overlap(found), "spans")
+    hits = find_hits(docs.select("doc_id", "text"))
+    rows = hits.select("row", "doc_id")
+    spans, _ = stage(_without_overlap(find_spans(hits)), "spans")
     edges, _ = stage(patterns(spans), "patterns")
     sure = score_instances(edges, rounds).filter(F.col("confidence") >= accept)
     more = spans.filter("kind = 'id'").withColumn("instance", F.md5(F.concat_ws(" ", "kind", "match")))

@@ -96,7 +96,7 @@ def mix_sources(
     inclusion_odds = (
         F.col("fraction")
         / (1 - F.col("fraction"))
-        * (F.col("size") * F.col("n_docs") / F.col("source_size"))
+        * F.try_divide(F.col("size") * F.col("n_docs"), F.col("source_size"))
     )
     ranked, _ = stage(
         sized.join(F.broadcast(plan), sized.source.eqNullSafe(plan.source))

@@ -7,14 +7,16 @@ position, the same one in all its copies.
 
 A first pass counts the hashes at selected positions; those of one document only can't begin
 a repeated passage. A second pass writes the remaining suffixes, each with the ``REACH``
-words before and after its position. They are sorted as a whole: dealt out by ranges of the
-sort key, which ends with document and position, so a passage that a third of the documents
-share is spread over many tasks, each of which sees sorted neighbours. Where two ranges
-meet, the outermost suffixes are compared once more, two per task.
-
-Each suffix is compared with the ``NEIGHBOURS`` next ones of other documents. Equal words
-to the right and, going left, before the position make a match; at least ``LEAST`` words
-together make a repeated passage. Passages longer than the reach have further selected
+words before and after its position. They are sorted as a whole, once by the words that
+follow and once by those that precede, going backwards, so that the longest matches to
+either side are neighbours. They are dealt out by ranges of the sort key, which ends with
+document and position, so a passage that a third of the documents share is spread over many
+tasks, each of which sees sorted neighbours. Where two ranges meet, the outermost suffixes
+are compared once more, a few per task.
+
+Each suffix is compared with its neighbours of other documents. Equal words to the right
+and, going left, before the position make a match; at least ``LEAST`` words together make a
+repeated passage. Passages longer than the reach have further selected
 positions, whose matches overlap, and are joined to one. Words are compared by 32-bit
 hashes behind an equal 64-bit hash of ``GRAM`` words.
 
@@ -135,9 +137,17 @@ def compare(table: pa.Table, neighbours: int = NEIGHBOURS) -> dict[str, np.ndarr
     gram, doc, place = (table.column(c).to_numpy() for c in ("gram", "doc_id", "place"))
     (right, n_right), (left, n_left) = (_matrix(table.column(c).combine_chunks()) for c in ("right", "left"))
     found: dict[str, list] = {"doc_id": [], "start": [], "stop": [], "other": []}
-    for step in range(1, neighbours + 1):
-        a = np.flatnonzero((gram[:-step] == gram[step:]) & (doc[:-step] != doc[step:]))
-        b = a + step
+    rows = np.arange(len(doc))
+    # the first row of another document after and before each row, and those some steps away
+    turns = np.flatnonzero(doc[1:] != doc[:-1]) + 1
+    after = np.append(turns, len(doc))[np.searchsorted(turns, rows, "right")]
+    before = np.concatenate([[0], turns])[np.searchsorted(turns, rows, "right")] - 1
+    pairs = [(rows, after), (before, rows), *[(rows, rows + step) for step in range(1, neighbours + 1)]]
+    for a, b in pairs:
+        inside = (a >= 0) & (b < len(doc))
+        a, b = a[inside], b[inside]
+        apart = (gram[a] == gram[b]) & (doc[a] != doc[b])
+        a, b = a[apart], b[apart]
         on = _equal_words(right[a], right[b], np.minimum(n_right[a], n_right[b]))
         back = _equal_words(left[a], left[b], np.minimum(n_left[a], n_left[b]))
         good = (on + back >= LEAST) & (on >= GRAM)
@@ -164,10 +174,17 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             head = now.slice(0, NEIGHBOURS)
         both = pa.concat_tables([tail, now]) if tail is not None else now
         yield _with_edges(compare(both), None)
-        tail = both.slice(max(0, both.num_rows - NEIGHBOURS))
+        tail = both.slice(max(0, min(both.num_rows - NEIGHBOURS, _last_run(both) - 1)))
     if head is not None:
         yield _with_edges(None, head)
-        yield _with_edges(None, tail)
+        yield _with_edges(None, tail.slice(max(0, tail.num_rows - NEIGHBOURS)))
+
+
+def _last_run(table: pa.Table) -> int:
+    """Where the last rows of one document and gram begin; they still lack what follows them."""
+    gram, doc = table.column("gram").to_numpy(), table.column("doc_id").to_numpy()
+    turns = np.flatnonzero((gram[1:] != gram[:-1]) | (doc[1:] != doc[:-1]))
+    return int(turns[-1]) + 1 if len(turns) else 0
 
 
 def _with_edges(matches: dict[str, np.ndarray] | None, edges: pa.Table | None) -> pa.RecordBatch:
@@ -187,14 +204,8 @@ def _edge_matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield batch_of(**compare(pa.Table.from_batches(rows)))
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
-    """doc_id, start, stop, n_words, other: the repeated passages of each document."""
-    text = docs.filter("doc_id is not null").select("doc_id", "text")
-    grams = arrow_map(text, _grams, "gram long, doc_id long")
-    shared = grams.groupBy("gram").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    shared, _ = stage(shared.filter("low < high").select("gram"), "grams")
-    rows, _ = stage(suffixes(text, Filter.of(shared)), "suffixes")
-    order = ["gram", "right", "doc_id", "place"]
+def _sorted_matches(rows: DataFrame, order: list[str]) -> DataFrame:
+    """The matches (MATCH) between neighbours in one order of all suffixes."""
     placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     compared, _ = stage(
         placed.mapInArrow(_neighbours, f"{MATCH}, gram long, right binary, left binary, place long"), "matches"
@@ -202,7 +213,19 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     # a few suffixes from the ends of each range: two handfuls per task, whatever the rows
     edges = compared.filter("gram is not null").select("gram", "right", "left", "doc_id", "place").distinct()
     edges = edges.repartition(1).sortWithinPartitions(*order).mapInArrow(_edge_matches, MATCH)
-    matches = compared.filter("gram is null").select("doc_id", "start", "stop", "other").unionByName(edges)
+    return compared.filter("gram is null").select("doc_id", "start", "stop", "other").unionByName(edges)
+
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """doc_id, start, stop, n_words, other: the repeated passages of each document."""
+    text = docs.filter("doc_id is not null").select("doc_id", "text")
+    grams = arrow_map(text, _grams, "gram long, doc_id long")
+    shared = grams.groupBy("gram").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    shared, _ = stage(shared.filter("low < high").select("gram"), "grams")
+    rows, _ = stage(suffixes(text, Filter.of(shared)), "suffixes")
+    onward = _sorted_matches(rows, ["gram", "right", "left", "doc_id", "place"])
+    backward = _sorted_matches(rows, ["gram", "left", "right", "doc_id", "place"])
+    matches = onward.unionByName(backward)
     spans = matches.groupBy("doc_id", "start", "stop").agg(F.min("other").alias("other"))
     by_start = Window.partitionBy("doc_id").orderBy("start", "stop")
     reached = F.max("stop").over(by_start.rowsBetween(Window.unboundedPreceding, -1))

@@ -1,0 +1,83 @@
+"""Personal data against regular expressions, and discovery from contexts."""
+
+import hashlib
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from encore.llm.pii import extract, personal_data
+
+# The base kinds as the contract gives them.
+KINDS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def valid(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in match.split("."))
+    if kind == "card":
+        twice = [int(d) * (1 + k % 2) for k, d in enumerate(reversed(digits))]
+        return 13 <= len(digits) <= 19 and sum(t - 9 * (t > 9) for t in twice) % 10 == 0
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def base(text):
+    return [
+        f"{k}:{m.start()}:{m.end()}" for k, r in KINDS.items() for m in re.finditer(r, text or "") if valid(k, m.group())
+    ]
+
+
+def check(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for r in personal_data(docs).collect():
+        want = base(texts[r.doc_id])
+        spans = [s for s in r.spans.split(",") if s and not s.startswith("id:")]
+        assert spans == want, texts[r.doc_id][:200]
+        assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s.startswith(k) for s in want) for k in KINDS]
+
+
+def test_base_kinds(spark):
+    check(spark, [
+        "", None, "a@b.c", "a@b.c.d@e.f", "a@b.com_x@y.com", ".@-.-", "a@b..c", "a@b.", "x@y@z.w", "é@ü.de a.b+c@d-e.fr,",
+        "1.2.3.4.5.6.7.8", "256.1.1.1 255.255.255.255", "0001.02.3.4", "1.2.3", "4111 1111 1111 1111", "4111-1111-1111-1111x",
+        "4111  1111 1111 1111", "1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 7 8 9 0 1 2 3", "79927398713", "+1 (800) 555-0199.",
+        "+49 30 1234567890123456", "+1+2 345 678 901", "+123456789", "++1 234 567 89 ((", "\U0001f600 a@b.co 1.2.3.4 \U0001f600 +1 234 567 890",
+        "12\ue000345 6\ue001@x.y", "9" * 5000, "a" * 30000, "1 " * 20000, "a." * 20000 + "@b.c", "a@" + "b." * 20000 + "c", "1." * 9000,
+    ])
+
+
+def test_random_texts(spark):
+    dice = random.Random(2)
+    signs = list("0123456789") * 3 + list("ab@..--+() \n") * 2 + ["é", " ", "4111111111111111", "+1 202 555 0143", "a@b.de"]
+    check(spark, ["".join(dice.choice(signs) for _ in range(dice.randint(0, 120))) for _ in range(400)])
+
+
+def test_contexts_discover_identifiers(spark):
+    """Seeds follow 'contact'; members follow it as well as 'member no'; the latter were never seeds."""
+    rows = [(k, f"please contact user{k}@mail.org today") for k in range(40)]
+    rows += [(100 + k, f"please contact AB{k}77X{k}99 today") for k in range(10)]
+    rows += [(200 + k, f"the member=AB{k}77X{k}99 has left") for k in range(10)]
+    rows += [(300, "the member=ZZ1234ZZ99 has left"), (301, "order part 2024-2025-77 of the catalogue"), (302, "clean text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _, spans = extract(docs)
+    found = {r.match for r in spans.filter("kind = 'id'").collect()}
+    assert found == {f"AB{k}77X{k}99" for k in range(10)} | {"ZZ1234ZZ99"}
+    got = {r.doc_id: r for r in personal_data(docs).collect()}
+    assert got[300].spans == "id:11:21" and got[300].n_id == 1
+    assert got[301].spans == "" and got[302].spans == "" and got[0].spans == "email:15:29"
+
+
+def test_rows_that_repeat_and_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a@b.cc", 2), (1, "a@b.cc", 2), (None, "a@b.cc", 2)], "doc_id long, text string, row int")
+    got = personal_data(docs)
+    assert [r.spans for r in got.collect()] == ["email:0:6"] * 3
+    assert personal_data(docs.limit(0)).collect() == []
+    assert not re.search("Python|Arrow|Pandas", got._jdf.queryExecution().executedPlan().toString())
+    assert got.agg(F.sum("n_email")).first()[0] == 3
