@@ -9,7 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Separators of words, as a character class for Java's regular expressions.
+#: Rows of text that a task works on at once.
+ARROW_ROWS = 2000
+#: A word, for Java's regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -25,12 +27,12 @@ def lower_ascii(text: Column) -> Column:
 def arrow_map(
     df: DataFrame, job: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    """``job`` on each Arrow batch, without state between batches."""
+    """``job`` on each Arrow batch, without state between batches, in parts of ARROW_ROWS rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield from job(batch)
+            for at in range(0, batch.num_rows, ARROW_ROWS):
+                yield from job(batch.slice(at, ARROW_ROWS))
 
     return df.mapInArrow(run, schema)
 

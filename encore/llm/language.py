@@ -94,7 +94,7 @@ def clues(pages: DataFrame) -> DataFrame:
                      host.alias("host"), code.alias("code"))
         .withColumn("domain", F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), "."))
         .withColumn("top", F.element_at(labels, -1))
-        .withColumn("suffix", F.concat_ws("/", "top", "code"))
+        .withColumn("suffix", F.concat_ws("/", F.nullif("top", F.lit("")), F.nullif("code", F.lit(""))))
     )
 
 
@@ -155,11 +155,12 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     everywhere = F.array(*map(F.lit, (overall / overall.sum()).tolist()))
 
     # hosts within domains within suffixes within all pages
-    tops = _sums(scored, "top", n=n).select("top", _shrunk(F.col("sums"), everywhere).alias("top_prior"))
-    domains = _sums(scored, "top", "domain", n=n).join(F.broadcast(tops), "top")
+    hosted = scored.filter("host != ''")
+    tops = _sums(hosted, "top", n=n).select("top", _shrunk(F.col("sums"), everywhere).alias("top_prior"))
+    domains = _sums(hosted, "top", "domain", n=n).join(F.broadcast(tops), "top")
     domains = domains.select("domain", _shrunk(F.col("sums"), F.col("top_prior")).alias("domain_prior"))
     hosts, _ = stage(
-        _sums(scored, "domain", "host", n=n)
+        _sums(hosted, "domain", "host", n=n)
         .join(domains, "domain")
         .select(F.col("host").alias("_host"), "sums", "domain_prior"),
         "hosts",
@@ -172,14 +173,14 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
         )
 
     declared, suffix = (stage(given(c), f"given-{c}")[0] for c in ("declared", "suffix"))
-    own = F.zip_with("sums", "share", lambda c, s: F.greatest(c - s, F.lit(0.0)))
+    nothing = F.array(*[F.lit(0.0)] * n)
+    own = F.zip_with(F.coalesce("sums", nothing), "share", lambda c, s: F.greatest(c - s, F.lit(0.0)))
     joined = (
         scored.join(hosts, F.col("host") == F.col("_host"), "left")
         .join(declared, F.col("declared") == F.col("_declared"), "left")
         .join(suffix, F.col("suffix") == F.col("_suffix"), "left")
     )
-    prior = F.transform(_shrunk(own, F.col("domain_prior")), lambda p: F.log(p))
-    nothing = F.array(*[F.lit(0.0)] * n)
+    prior = F.transform(_shrunk(own, F.coalesce("domain_prior", everywhere)), lambda p: F.log(p))
     parts = [prior, F.col("likelihood"), F.coalesce("given_declared", nothing), F.coalesce("given_suffix", nothing)]
     logs = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), parts)
     names = F.array(*map(F.lit, langs))

@@ -12,10 +12,11 @@ with the component it belongs to.
    one of those first shingles and whose sizes allow a link form a tile, a run of sizes
    without a gap wider than 3 : 4. Tiles of the same nodes are one.
    Shingles that many documents hold (``HOT``) would make large tiles. They are put last in
-   the order, so that a text with a passage all others have is sought by the rest of it.
-   Documents this concerns are gone through again until no shingle stays hot. Any set of
-   hot shingles gives a valid order, so the threshold is doubled until they fit
-   ``MAX_HOT``, which bounds their broadcast.
+   the order, so that a text with a passage all others have is sought by the rest of it. The
+   texts this concerns are gone through again, and the shingles that come up in their place
+   are counted beforehand: those in the first half of each text, and all those of texts that
+   are hot for the most part. Any set of hot shingles gives a valid order, so the threshold
+   is doubled until they fit ``MAX_HOT``, which bounds their broadcast.
 3. *Bitmaps.* In a tile all pairs in reach are compared by bitmaps with a bit for each hash,
    set by the parity of the shingles that fall on it, one to two bits per shingle. The
    number of differing bits is at most the size of the symmetric difference, so it bounds
@@ -46,14 +47,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.common import arrow_map, batch_of, flat, packed, take_column, whole_partition
-from encore.llm.components import components
+from encore.llm.components import components, join_groups
 from encore.llm.membership import Filter
 from encore.llm.textarrays import distinct, mix, shingles, signed, slices, words
 from encore.scratch import stage
 
 PERCENT = 75
 HOT = 256
-STILL_HOT = 4  # hot shingles may come up until no new one is in this many times HOT documents
 MAX_HOT = 2_000_000
 BLOCK = 256
 ROWS_PER_TASK = 1_000_000
@@ -121,15 +121,13 @@ def _counts(df: DataFrame, pick: Callable[[pa.RecordBatch], np.ndarray]) -> Data
     return arrow_map(df, job, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def _hot(counts: DataFrame, known: np.ndarray, hot: int) -> tuple[np.ndarray, int]:
-    """The tokens above the threshold, joined with those known, and the largest new count."""
+def _hot(counts: DataFrame, known: np.ndarray, hot: int) -> np.ndarray:
+    """The tokens above the threshold, joined with those known."""
     found, _ = stage(counts.filter(F.col("n") > hot), "hot-shingles")
-    while found.filter(F.col("n") > hot).count() + len(known) > 2 * MAX_HOT:
+    while found.filter(F.col("n") > hot).count() > MAX_HOT:
         hot *= 2
     rows = found.filter(F.col("n") > hot).toArrow()
-    token = np.ascontiguousarray(rows.column("token").to_numpy()).view(np.uint64)
-    new = ~np.isin(token, known)
-    return np.union1d(known, token), int(rows.column("n").to_numpy()[new].max(initial=0))
+    return np.union1d(known, np.ascontiguousarray(rows.column("token").to_numpy()).view(np.uint64))
 
 
 def _member(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -156,23 +154,93 @@ def _rows_of(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, np.ndarray
 POSTING = "token long, node long, n long"
 
 
-def _postings(df: DataFrame, pick: Callable[[np.ndarray], np.ndarray], column: str) -> DataFrame:
-    """A row for each token that ``pick`` takes from a row's values."""
+def _posting_batch(found: list[tuple[int, int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """POSTING rows of (node, n, tokens)."""
+    if found:
+        nodes, sizes, tokens = zip(*found, strict=True)
+        many = [len(t) for t in tokens]
+        yield batch_of(token=signed(np.concatenate(tokens)), node=np.repeat(nodes, many), n=np.repeat(sizes, many))
+
+
+def _postings(profiles: DataFrame, common: np.ndarray, rare: np.ndarray) -> DataFrame:
+    """The first tokens by hash of each text but the hot ones.
+
+    Of the texts that ``common`` concerns, the second order brings all others but those it puts last.
+    """
+
+    def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        node, n = take_column(batch, "node").to_numpy(), take_column(batch, "n").to_numpy()
+        found = []
+        for r, values in _rows_of(batch, "prefix"):
+            is_hot = _member(values, common)
+            if is_hot.any():
+                values = values[~is_hot & _member(values, rare)]
+            found.append((node[r], n[r], values))
+        yield from _posting_batch(found)
+
+    return arrow_map(profiles, job, POSTING)
+
+
+def _concerned(batch: pa.RecordBatch, common: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(node, values) of the distinct sets with a hot shingle among their first ones."""
+    seen: set[int] = set()
+    for _, values in _sets(batch):
+        if _member(values[: prefix_length(len(values))], common).any():
+            node, _ = _fingerprint(values)
+            if node not in seen:
+                seen.add(node)
+                yield node, values
+
+
+def _half(values: np.ndarray) -> np.ndarray:
+    return values[: len(values) // 2 + 1]
+
+
+def _halves(text: DataFrame, common: np.ndarray) -> DataFrame:
+    """(token, n) over the first halves of the texts that ``common`` concerns."""
+
+    def pick(batch: pa.RecordBatch) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.uint64), *[_half(v) for _, v in _concerned(batch, common)]])
+
+    return _counts(text, pick)
+
+
+def _mostly_hot(text: DataFrame, common: np.ndarray, hot: np.ndarray) -> DataFrame:
+    """ARRAYS of those texts whose first half has too few other tokens to seek them by."""
+
+    def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        found = {}
+        for node, values in _concerned(batch, common):
+            if (~_member(_half(values), hot)).sum() < prefix_length(len(values)):
+                found[node] = values
+        yield _array_batch(found)
+
+    return arrow_map(text, job, ARRAYS)
+
+
+def _second_postings(text: DataFrame, common: np.ndarray, rare: np.ndarray) -> DataFrame:
+    """The first tokens of the texts that ``common`` concerns, in the order that puts ``rare`` last."""
 
     def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        row, token = [], []
-        for r, values in _rows_of(batch, column):
-            picked = pick(values)
-            row.append(np.full(len(picked), r))
-            token.append(picked)
-        if row:
-            at = pa.array(np.concatenate(row))
-            yield batch_of(
-                token=signed(np.concatenate(token)), node=take_column(batch, "node").take(at),
-                n=take_column(batch, "n").take(at),
-            )
+        found = [(node, len(v), _ordered_prefix(v, rare)[0]) for node, v in _concerned(batch, common)]
+        yield from _posting_batch(found)
+
+    return arrow_map(text, job, POSTING)
+
+
+def _hot_postings(text: DataFrame, common: np.ndarray, rare: np.ndarray) -> DataFrame:
+    """(token, node, n, place) of the hot tokens among the first ones in that order."""
+
+    def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for node, values in _concerned(batch, common):
+            token = _ordered_prefix(values, rare)[1]
+            if len(token):
+                yield batch_of(
+                    token=signed(token), node=np.full(len(token), node), n=np.full(len(token), len(values)),
+                    place=np.arange(len(token)),
+                )
 
-    return arrow_map(df, job, POSTING)
+    return arrow_map(text, job, f"{POSTING}, place long")
 
 
 def _spread(df: DataFrame, key: str, rows: int) -> DataFrame:
@@ -246,26 +314,13 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pairs = np.column_stack([level[part[good]], level[other[good]]])
                 if len(pairs):
                     found.append(pairs)
-                    _join_groups(group, pairs)
+                    join_groups(group, pairs[:, 0], pairs[:, 1])
             step += 1
     if found:
         pairs = np.concatenate(found)
         yield batch_of(a=node[pairs[:, 0]], b=node[pairs[:, 1]])
 
 
-def _join_groups(group: np.ndarray, pairs: np.ndarray) -> None:
-    """Gives both rows of each pair, and what is grouped with them, one group."""
-    while True:
-        one, two = group[pairs[:, 0]], group[pairs[:, 1]]
-        apart = one != two
-        if not apart.any():
-            return
-        low, high = np.minimum(one, two)[apart], np.maximum(one, two)[apart]
-        into = np.arange(len(group))
-        np.minimum.at(into, high, low)
-        group[:] = into[group]
-
-
 def _arrays(docs: DataFrame, wanted: Filter) -> DataFrame:
     """(node, n, values) of the sets that pass the filter, once per Arrow batch."""
 
@@ -290,19 +345,6 @@ def _array_batch(sets: dict[int, np.ndarray]) -> pa.RecordBatch:
     )
 
 
-def _concerned(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """(node, n, values) of the sets with a hot shingle among their first ones."""
-
-    def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, np.ndarray] = {}
-        for _, values in _sets(batch):
-            if _member(values[: prefix_length(len(values))], hot).any():
-                seen.setdefault(_fingerprint(values)[0], values)
-        yield _array_batch(seen)
-
-    return arrow_map(docs.select("text"), job, ARRAYS)
-
-
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b) of links that join components, from rows (tile, node, n, part, values)."""
     table = whole_partition(batches)
@@ -415,21 +457,11 @@ def _verify_groups(own: DataFrame, every: DataFrame, sets: DataFrame, links: Dat
     return links.unionByName(found)
 
 
-def _hot_links(hot: DataFrame, arrays: DataFrame, links: DataFrame) -> DataFrame:
-    """Links between texts of hot shingles, from postings (token, node, n, place) and links so far."""
+def _hot_groups(hot: DataFrame) -> DataFrame:
+    """(tile, node, place): the groups of texts of hot shingles by shingle and band of size."""
     band = F.floor(F.log("n") / F.lit(float(np.log(100 / PERCENT))))
     banded = hot.withColumn("band", F.explode(F.array(band, band + 1)))
-    every, _ = stage(
-        banded.select(F.xxhash64("token", "band").alias("tile"), "node", "place").distinct(), "hot-groups"
-    )
-    own = every.groupBy("node").agg(F.min_by("tile", F.struct("place", "tile")).alias("tile"))
-    wanted = Filter.of(every.select("node"))
-
-    def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        yield batch.filter(pa.array(wanted.has(take_column(batch, "node").to_numpy())))
-
-    sets, _ = stage(arrow_map(arrays, job, ARRAYS), "hot-arrays")
-    return _verify_groups(own.select("tile", "node"), every.select("tile", "node").distinct(), sets, links)
+    return banded.select(F.xxhash64("token", "band").alias("tile"), "node", "place").distinct()
 
 
 def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
@@ -448,39 +480,33 @@ def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
         "nodes",
     )
 
-    # shingles too common to look for, and the texts that they concern
-    common, _ = _hot(_counts(known, lambda b: flat(take_column(b, "prefix"))[0]), np.zeros(0, np.uint64), hot)
-    arrays, _ = stage(_concerned(text.filter("doc_id is not null"), common), "concerned") if len(common) else (None, "")
+    # shingles too common to seek by, and what takes their place in the texts they concern
+    seen = text.filter("doc_id is not null").select("text")
+    common = _hot(_counts(known, lambda b: flat(take_column(b, "prefix"))[0]), np.zeros(0, np.uint64), hot)
     rare = common
-    largest = hot * STILL_HOT + 1 if arrays is not None else 0
-    while largest > hot * STILL_HOT:
-        order = rare
-
-        def front(batch: pa.RecordBatch, order: np.ndarray = order) -> np.ndarray:
-            return np.concatenate([_ordered_prefix(v, order)[0] for _, v in _rows_of(batch, "values")] or [order[:0]])
-
-        rare, largest = _hot(_counts(arrays, front), rare, hot)
-
-    def first_tokens(values: np.ndarray) -> np.ndarray:
-        is_hot = _member(values, common)
-        if is_hot.any():  # its other tokens come with the second order
-            return values[~is_hot & _member(values, rare)]
-        return values
-
-    postings = _postings(known, first_tokens, "prefix")
-    if arrays is not None:
-        postings = postings.unionByName(_postings(arrays, lambda v: _ordered_prefix(v, rare)[0], "values"))
+    if len(common):
+        rare = _hot(_halves(seen, common), common, hot)
+        heavy, _ = stage(_mostly_hot(seen, common, rare), "mostly-hot")
+        rare = _hot(_counts(heavy, lambda b: flat(take_column(b, "values"))[0]), rare, hot)
+
+    postings = _postings(known, common, rare)
+    if len(common):
+        postings = postings.unionByName(_second_postings(seen, common, rare))
     size = known.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
     raw = _spread(postings, "token", int(size)).mapInArrow(_tiles, "tile long, node long, n long")
     tiles, _ = stage(raw.distinct(), "tiles")
-    members = tiles.count()
-    compared = _spread(tiles.join(nodes.select("node", "bitmap"), "node"), "tile", members)
+    compared = _spread(tiles.join(nodes.select("node", "bitmap"), "node"), "tile", tiles.count())
     possible, _ = stage(compared.mapInArrow(_possible, "a long, b long"), "possible")
     groups, _ = stage(components(possible).select(F.col("component").alias("tile"), "node"), "groups")
-    sets, _ = stage(_arrays(text.filter("doc_id is not null"), Filter.of(groups.select("node"))), "arrays")
+    wanted = groups.select("node")
+    if len(common):
+        hot_groups, _ = stage(_hot_groups(_hot_postings(seen, common, rare)), "hot-groups")
+        wanted = wanted.unionByName(hot_groups.select("node"))
+    sets, _ = stage(_arrays(seen, Filter.of(wanted)), "arrays")
     links = _verify_groups(groups, groups, sets, possible.limit(0))
-    if arrays is not None:
-        links = _hot_links(_hot_postings(arrays, rare), arrays, links)
+    if len(common):
+        own = hot_groups.groupBy("node").agg(F.min_by("tile", F.struct("place", "tile")).alias("tile"))
+        links = _verify_groups(own.select("tile", "node"), hot_groups.select("tile", "node").distinct(), sets, links)
     parts = components(links).join(nodes.select("node", "rep"), "node")
     least = parts.groupBy("component").agg(F.min("rep").alias("least"))
     least = parts.join(least, "component").select("node", "least")
@@ -495,22 +521,6 @@ def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
     )
 
 
-def _hot_postings(arrays: DataFrame, hot: np.ndarray) -> DataFrame:
-    """(token, node, n, place) of the hot shingles among the first ones."""
-
-    def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        nodes, sizes = take_column(batch, "node"), take_column(batch, "n")
-        for r, values in _rows_of(batch, "values"):
-            token = _ordered_prefix(values, hot)[1]
-            if len(token):
-                yield batch_of(
-                    token=signed(token), node=pa.array([nodes[r].as_py()] * len(token), pa.int64()),
-                    n=pa.array([sizes[r].as_py()] * len(token), pa.int64()), place=np.arange(len(token)),
-                )
-
-    return arrow_map(arrays, job, "token long, node long, n long, place long")
-
-
 def one_of_each(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """The documents with the smallest doc_id of their component; those without an id stay."""
     found = near_duplicates(docs.select("doc_id", "text"), hot)

@@ -83,7 +83,9 @@ def test_cuckoo_filter():
     assert not small.insert(keys)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [1_000_000, 50])
+def test_components(spark, monkeypatch, local):
+    monkeypatch.setattr("encore.llm.components.LOCAL", local)
     dice = random.Random(3)
     edges = [(i, i + 1) for i in range(100, 160)]  # a long path
     edges += [(500, n) for n in range(501, 700)]  # a star
