@@ -157,7 +157,7 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     # hosts within domains within suffixes within all pages
     hosted = scored.filter("host != ''")
     tops = _sums(hosted, "top", n=n).select("top", _shrunk(F.col("sums"), everywhere).alias("top_prior"))
-    domains = _sums(hosted, "top", "domain", n=n).join(F.broadcast(tops), "top")
+    domains = _sums(hosted, "top", "domain", n=n).join(tops, "top")
     domains = domains.select("domain", _shrunk(F.col("sums"), F.col("top_prior")).alias("domain_prior"))
     hosts, _ = stage(
         _sums(hosted, "domain", "host", n=n)

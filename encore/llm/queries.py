@@ -119,6 +119,51 @@ marked AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op4_source_mix": """
+WITH doc AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, source, size) AS repeat FROM doc),
+named AS (
+    SELECT source, sum(size)::BIGINT AS source_size, count(*) FILTER (size > 0) AS n_docs,
+           1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight
+    FROM doc GROUP BY source),
+filling AS (
+    SELECT *, 3 * source_size AS cap,
+           sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (
+               ORDER BY 3 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_over,
+           sum(weight) OVER (ORDER BY 3 * source_size / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight,
+           row_number() OVER (ORDER BY 3 * source_size / weight, source) AS turn
+    FROM named),
+water AS (
+    SELECT arg_min(left_over::DOUBLE / open_weight, turn)
+               FILTER (weight * (left_over::DOUBLE / open_weight) <= cap) AS level FROM filling),
+aim AS (
+    SELECT *, least(weight * level, cap::DOUBLE) AS target FROM filling, water),
+plan AS (
+    SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS ratio, floor(ratio)::BIGINT AS certain,
+           target - certain * source_size AS rest, ratio - certain AS fraction FROM aim),
+odds AS (
+    SELECT d.*, p.source_size, p.target, p.certain, p.rest,
+           (('0x' || substr(md5(concat_ws('|', '1', d.doc_id, d.repeat)), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u,
+           p.fraction / (1 - p.fraction) * ((d.size * p.n_docs)::DOUBLE / nullif(p.source_size, 0)) AS inclusion,
+           CASE WHEN inclusion > 0 THEN (u / (1 - u)) / inclusion END AS q
+    FROM numbered d JOIN plan p ON p.source IS NOT DISTINCT FROM d.source),
+drawn AS (
+    SELECT *, q IS NOT NULL AND sum(size) FILTER (q IS NOT NULL) OVER (
+        PARTITION BY source ORDER BY q NULLS LAST, doc_id, repeat, size ROWS UNBOUNDED PRECEDING) <= rest AS sampled
+    FROM odds),
+gap AS (
+    SELECT source, max(rest) - coalesce(sum(size) FILTER (sampled), 0) AS gap FROM drawn WHERE q IS NOT NULL GROUP BY source),
+closing AS (
+    SELECT d.doc_id, d.source, d.size, d.repeat,
+           row_number() OVER (PARTITION BY d.source ORDER BY abs(d.size - gap), q, d.doc_id, d.size, d.repeat) AS place
+    FROM drawn d JOIN gap g ON g.source IS NOT DISTINCT FROM d.source
+    WHERE NOT sampled AND q IS NOT NULL AND abs(d.size - gap) < gap)
+SELECT d.doc_id, d.size, d.source_size, d.target,
+       CASE WHEN d.size > 0 THEN (certain + (sampled OR c.place IS NOT NULL)::BIGINT) * d.size ELSE 0 END::BIGINT AS taken
+FROM drawn d LEFT JOIN closing c ON c.place = 1 AND c.doc_id IS NOT DISTINCT FROM d.doc_id
+    AND c.source IS NOT DISTINCT FROM d.source AND c.size = d.size AND c.repeat = d.repeat""",
     "op10_decontaminate": f"""
 WITH doc AS ({_SHINGLES.format(id="doc_id", table="documents")}),
 item AS ({_SHINGLES.format(id="item_id", table="benchmark")}),

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from encore.llm.common import WORD
+from encore.llm.common import BROADCAST_ROWS, WORD
 from encore.scratch import stage
 
 WEIGHTS = (1, 2, 3)
@@ -85,6 +85,8 @@ def mix_sources(
     sized, _ = stage(plain.withColumn("repeat", F.row_number().over(same)), "sizes")
     targets = source_targets(sized, weights, ceiling)
     n_docs = sized.groupBy("source").agg(F.count(F.when(F.col("size") > 0, 1)).alias("n_docs"))
+    # one row per source: broadcast unless there are very many
+    small = F.broadcast if targets.count() <= BROADCAST_ROWS else (lambda df: df)
     plan = targets.join(n_docs, targets.source.eqNullSafe(n_docs.source)).drop(n_docs.source)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = (
@@ -99,7 +101,7 @@ def mix_sources(
         * F.try_divide(F.col("size") * F.col("n_docs"), F.col("source_size"))
     )
     ranked, _ = stage(
-        sized.join(F.broadcast(plan), sized.source.eqNullSafe(plan.source))
+        sized.join(small(plan), sized.source.eqNullSafe(plan.source))
         .drop(plan.source)
         .withColumn("u", unit(F.col("doc_id"), F.col("repeat"), seed=seed))
         .withColumn("q", F.when(inclusion_odds > 0, random_odds / inclusion_odds))
@@ -123,7 +125,7 @@ def mix_sources(
         .orderBy("q", "doc_id", "repeat", "size")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    placed = joins.join(F.broadcast(cut), F.col("source").eqNullSafe(F.col("cut_source")))
+    placed = joins.join(small(cut), F.col("source").eqNullSafe(F.col("cut_source")))
     at_cut = (
         placed.filter("bucket = cut_bucket")
         .withColumn("reached", F.col("before") + F.sum("size").over(by_rank))
@@ -143,7 +145,7 @@ def mix_sources(
     miss = F.abs(F.col("size") - F.col("gap"))
     closing = (
         drawn.filter("not sampled")
-        .join(F.broadcast(gaps), F.col("source").eqNullSafe(F.col("gap_source")))
+        .join(small(gaps), F.col("source").eqNullSafe(F.col("gap_source")))
         .filter(miss < F.col("gap"))
         .groupBy("source")
         .agg(F.min_by(F.struct(*[c for c in key if c != "source"]), F.struct(miss, "q", *key)).alias("doc"))
