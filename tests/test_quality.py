@@ -60,3 +60,12 @@ def test_check_all(spark, make_events):
     failed = rows(found.where("violations > 0"))
     assert failed == [("width", "staging_events", "level", 1)]
     assert {r[0] for r in rows(found, "check_name")} == {"width", "not null", "key"}
+
+
+@pytest.mark.parametrize("row", [(None, "a", "b", "F", "free"), (1, "a", "b", "FF", "free")])
+def test_enforce_fails_whatever_is_read(spark, row):
+    table = USERS
+    bad = quality.enforce(spark.createDataFrame([(1, "a", "b", "F", "free"), row], table.schema), table)
+    for read in (lambda d: d.count(), lambda d: d.select("first_name").collect(), lambda d: d.collect()):
+        with pytest.raises(Exception, match="users.(user_id must not be NULL|gender takes at most 1 bytes)"):
+            read(bad)
