@@ -13,9 +13,9 @@ with the component it belongs to.
    without a gap wider than 3 : 4. Tiles of the same nodes are one.
    Shingles that many documents hold (``HOT``) would make large tiles. They are put last in
    the order, so that a text with a passage all others have is sought by the rest of it. The
-   texts this concerns are gone through again, and the shingles that come up in their place
-   are counted beforehand: those in the first half of each text, and all those of texts that
-   are hot for the most part. Any set of hot shingles gives a valid order, so the threshold
+   texts this concerns are gone through again, and the shingles that may come up in their
+   place are counted beforehand: those up to the middle of each text, and all the others of
+   texts that look hot for the most part. Any set of hot shingles gives a valid order, so the threshold
    is doubled until they fit ``MAX_HOT``, which bounds their broadcast.
 3. *Bitmaps.* In a tile all pairs in reach are compared by bitmaps with a bit for each hash,
    set by the parity of the shingles that fall on it, one to two bits per shingle. The
@@ -53,9 +53,9 @@ from encore.llm.textarrays import distinct, mix, shingles, signed, slices, words
 from encore.scratch import stage
 
 PERCENT = 75
-HOT = 256
+HOT = 1024
 MAX_HOT = 2_000_000
-BLOCK = 256
+BLOCK = 1024
 ROWS_PER_TASK = 1_000_000
 
 
@@ -151,15 +151,20 @@ def _rows_of(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, np.ndarray
             yield r, values[first[r] : first[r + 1]]
 
 
-POSTING = "token long, node long, n long"
+POSTING = "token long, node long, n long, hot long"
 
 
-def _posting_batch(found: list[tuple[int, int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """POSTING rows of (node, n, tokens)."""
+def _posting_batch(found: list[tuple[int, int, np.ndarray]], hot: bool = False) -> Iterator[pa.RecordBatch]:
+    """POSTING rows of (node, n, tokens). Those of hot tokens are dealt out by node, and not by token."""
     if found:
         nodes, sizes, tokens = zip(*found, strict=True)
         many = [len(t) for t in tokens]
-        yield batch_of(token=signed(np.concatenate(tokens)), node=np.repeat(nodes, many), n=np.repeat(sizes, many))
+        node, token = np.repeat(np.array(nodes, np.int64), many), signed(np.concatenate(tokens))
+        none = np.zeros(len(token), np.int64)
+        yield batch_of(
+            token=signed(mix(node.view(np.uint64))) if hot else token, node=node, n=np.repeat(sizes, many),
+            hot=token if hot else none,
+        )
 
 
 def _postings(profiles: DataFrame, common: np.ndarray, rare: np.ndarray) -> DataFrame:
@@ -192,55 +197,38 @@ def _concerned(batch: pa.RecordBatch, common: np.ndarray) -> Iterator[tuple[int,
                 yield node, values
 
 
-def _half(values: np.ndarray) -> np.ndarray:
-    return values[: len(values) // 2 + 1]
+def _coming(text: DataFrame, common: np.ndarray) -> DataFrame:
+    """(token, n) of what may come first in the texts that ``common`` concerns, if hot tokens go last.
 
-
-def _halves(text: DataFrame, common: np.ndarray) -> DataFrame:
-    """(token, n) over the first halves of the texts that ``common`` concerns."""
+    That is what follows the first tokens up to the middle, and to the end where hot tokens
+    are many among the first ones.
+    """
 
     def pick(batch: pa.RecordBatch) -> np.ndarray:
-        return np.concatenate([np.zeros(0, np.uint64), *[_half(v) for _, v in _concerned(batch, common)]])
+        found = [np.zeros(0, np.uint64)]
+        for _, values in _concerned(batch, common):
+            need = prefix_length(len(values))
+            many = 100 * _member(values[:need], common).sum() > 40 * need
+            found.append(values[need:] if many else values[need : len(values) // 2 + 1])
+        return np.concatenate(found)
 
     return _counts(text, pick)
 
 
-def _mostly_hot(text: DataFrame, common: np.ndarray, hot: np.ndarray) -> DataFrame:
-    """ARRAYS of those texts whose first half has too few other tokens to seek them by."""
-
-    def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found = {}
-        for node, values in _concerned(batch, common):
-            if (~_member(_half(values), hot)).sum() < prefix_length(len(values)):
-                found[node] = values
-        yield _array_batch(found)
-
-    return arrow_map(text, job, ARRAYS)
-
-
 def _second_postings(text: DataFrame, common: np.ndarray, rare: np.ndarray) -> DataFrame:
     """The first tokens of the texts that ``common`` concerns, in the order that puts ``rare`` last."""
 
     def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found = [(node, len(v), _ordered_prefix(v, rare)[0]) for node, v in _concerned(batch, common)]
-        yield from _posting_batch(found)
-
-    return arrow_map(text, job, POSTING)
-
-
-def _hot_postings(text: DataFrame, common: np.ndarray, rare: np.ndarray) -> DataFrame:
-    """(token, node, n, place) of the hot tokens among the first ones in that order."""
-
-    def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        plain, hot = [], []
         for node, values in _concerned(batch, common):
-            token = _ordered_prefix(values, rare)[1]
-            if len(token):
-                yield batch_of(
-                    token=signed(token), node=np.full(len(token), node), n=np.full(len(token), len(values)),
-                    place=np.arange(len(token)),
-                )
+            one, two = _ordered_prefix(values, rare)
+            plain.append((node, len(values), one))
+            if len(two):
+                hot.append((node, len(values), two))
+        yield from _posting_batch(plain)
+        yield from _posting_batch(hot, hot=True)
 
-    return arrow_map(text, job, f"{POSTING}, place long")
+    return arrow_map(text, job, POSTING)
 
 
 def _spread(df: DataFrame, key: str, rows: int) -> DataFrame:
@@ -250,11 +238,20 @@ def _spread(df: DataFrame, key: str, rows: int) -> DataFrame:
 
 
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(tile, node, n) from postings: runs of like size, named by the set of their nodes."""
+    """(tile, node, n, hot) from postings: runs of like size, named by the set of their nodes.
+
+    Postings of hot tokens go on as they are.
+    """
     table = whole_partition(batches)
     if table is None:
         return
-    token, node, n = (table.column(c).to_numpy() for c in ("token", "node", "n"))
+    token, node, n, hot = (table.column(c).to_numpy() for c in ("token", "node", "n", "hot"))
+    passing = hot != 0
+    if passing.any():
+        yield batch_of(tile=hot[passing], node=node[passing], n=n[passing], hot=np.ones(passing.sum(), bool))
+        token, node, n = token[~passing], node[~passing], n[~passing]
+    if not len(token):
+        return
     order = np.lexsort((node, n, token))
     token, node, n = token[order], node[order], n[order]
     again = np.zeros(len(token), bool)
@@ -272,7 +269,7 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     name, node, n = name[order], node[order], n[order]
     new = np.ones(len(name), bool)
     new[1:] = (name[1:] != name[:-1]) | (node[1:] != node[:-1])
-    yield batch_of(tile=signed(name[new]), node=node[new], n=n[new])
+    yield batch_of(tile=signed(name[new]), node=node[new], n=n[new], hot=np.zeros(new.sum(), bool))
 
 
 def _reach(n: np.ndarray, tile: np.ndarray, step: int, rows: np.ndarray) -> np.ndarray:
@@ -282,18 +279,14 @@ def _reach(n: np.ndarray, tile: np.ndarray, step: int, rows: np.ndarray) -> np.n
     return rows[(tile[rows] == tile[other]) & (100 * n[rows] >= PERCENT * n[other])]
 
 
-def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b) of pairs that by their bitmaps may link, as many as connect the nodes of a tile."""
-    table = whole_partition(batches)
-    if table is None:
-        return
-    tile, node, n = (table.column(c).to_numpy() for c in ("tile", "node", "n"))
-    order = np.lexsort((n, tile))
-    tile, node, n = tile[order], node[order], n[order]
-    values, first = flat(table.column("bitmap").combine_chunks())
-    first, width = first[:-1][order], np.diff(first)[order]
-    group = np.arange(len(tile))
-    found: list[np.ndarray] = []
+def _close(
+    tile: np.ndarray, n: np.ndarray, group: np.ndarray, values: np.ndarray, first: np.ndarray, width: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs of one tile and two groups that by their bitmaps may link, nearest sizes first.
+
+    Rows are sorted by tile and size. The bitmap of a row is ``values`` from ``first`` on,
+    ``width`` words. Groups may be joined between one batch of pairs and the next.
+    """
     for w in distinct(width):
         level = np.flatnonzero((width == w) | (width == 2 * w))
         maps = np.empty((len(level), w), np.uint64)
@@ -311,14 +304,25 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 differ = np.bitwise_count(maps[part] ^ maps[other]).sum(1, dtype=np.int64)
                 total = sizes[part] + sizes[other]
                 good = differ <= total - 2 * least_overlap(total)
-                pairs = np.column_stack([level[part[good]], level[other[good]]])
-                if len(pairs):
-                    found.append(pairs)
-                    join_groups(group, pairs[:, 0], pairs[:, 1])
+                if good.any():
+                    yield level[part[good]], level[other[good]]
             step += 1
-    if found:
-        pairs = np.concatenate(found)
-        yield batch_of(a=node[pairs[:, 0]], b=node[pairs[:, 1]])
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b) of pairs that by their bitmaps may link, as many as connect the nodes of a tile."""
+    table = whole_partition(batches)
+    if table is None:
+        return
+    tile, node, n = (table.column(c).to_numpy() for c in ("tile", "node", "n"))
+    order = np.lexsort((n, tile))
+    tile, node, n = tile[order], node[order], n[order]
+    values, first = flat(table.column("bitmap").combine_chunks())
+    first, width = first[:-1][order], np.diff(first)[order]
+    group = np.arange(len(tile))
+    for one, two in _close(tile, n, group, values, first, width):
+        join_groups(group, one, two)
+        yield batch_of(a=node[one], b=node[two])
 
 
 def _arrays(docs: DataFrame, wanted: Filter) -> DataFrame:
@@ -346,57 +350,45 @@ def _array_batch(sets: dict[int, np.ndarray]) -> pa.RecordBatch:
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b) of links that join components, from rows (tile, node, n, part, values)."""
+    """(a, b) of links that join parts, from rows (tile, node, n, part, values)."""
     table = whole_partition(batches)
     if table is None:
         return
     tile, node, n, part = (table.column(c).to_numpy() for c in ("tile", "node", "n", "part"))
     order = np.lexsort((node, n, tile))
+    new = np.ones(len(order), bool)
+    new[1:] = (tile[order][1:] != tile[order][:-1]) | (node[order][1:] != node[order][:-1])
+    order = order[new]
+    tile, node, n, part = tile[order], node[order], n[order], part[order]
     values, first = flat(table.column("values").combine_chunks())
-    bounds = np.flatnonzero(np.concatenate([[True], tile[order][1:] != tile[order][:-1], [True]]))
+    sets = [values[first[r] : first[r + 1]] for r in order]
+    maps = [bitmap(s) for s in sets]
+    width = np.array([len(m) for m in maps], np.int64)
+    starts = np.searchsorted(tile, tile, "left")
+    stops = np.searchsorted(tile, tile, "right")
+    group = np.unique(mix(signed(tile).view(np.uint64)) ^ signed(part).view(np.uint64), return_inverse=True)[1]
     found: list[tuple[int, int]] = []
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        rows = order[a:b]
-        rows = rows[np.concatenate([[True], node[rows][1:] != node[rows][:-1]])]
-        found += _link_tile(node[rows], n[rows], part[rows], [values[first[r] : first[r + 1]] for r in rows])
+    for one, two in _close(tile, n, group, np.concatenate(maps), np.cumsum(width) - width, width):
+        for i, j in zip(one.tolist(), two.tolist(), strict=True):
+            if group[i] == group[j]:
+                continue
+            if len(np.intersect1d(sets[i], sets[j], assume_unique=True)) >= least_overlap(int(n[i] + n[j])):
+                found.append((int(node[i]), int(node[j])))
+                own = group[starts[i] : stops[i]]
+                own[own == group[j]] = group[i]
     if found:
         one, two = zip(*found, strict=True)
         yield batch_of(a=pa.array(one, pa.int64()), b=pa.array(two, pa.int64()))
 
 
-def _link_tile(node, n, part, sets) -> list[tuple[int, int]]:
-    """Verifies the pairs of a tile, nearest sizes first, that no link connects yet."""
-    _, group = np.unique(part, return_inverse=True)
-    found = []
-    maps: dict[int, np.ndarray] = {}
-
-    def bits(i: int, w: int) -> np.ndarray:
-        if i not in maps:
-            maps[i] = bitmap(sets[i])
-        m = maps[i]
-        return m if len(m) == w else m[:w] ^ m[w:]
-
-    rows, step = np.arange(len(n)), 1
-    while len(rows) and (group != group[0]).any():
-        rows = rows[rows + step < len(n)]
-        rows = rows[100 * n[rows] >= PERCENT * n[rows + step]]
-        for i in rows[group[rows] != group[rows + step]].tolist():
-            j = i + step
-            if group[i] == group[j]:
-                continue
-            total = int(n[i] + n[j])
-            need = least_overlap(total)
-            w = bits_of(int(n[i])) // 64
-            if np.bitwise_count(bits(i, w) ^ bits(j, w)).sum() > total - 2 * need:
-                continue
-            if len(np.intersect1d(sets[i], sets[j], assume_unique=True)) >= need:
-                found.append((int(node[i]), int(node[j])))
-                group[group == group[j]] = group[i]
-        step += 1
-    return found
+def _verified(members: DataFrame, sets: DataFrame, rows: int) -> DataFrame:
+    """Links among the rows (tile, node, part); only the arrays they need are shuffled."""
+    wanted = Filter.of(members.select("node"))
 
+    def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield batch.filter(pa.array(wanted.has(take_column(batch, "node").to_numpy())))
 
-def _verified(members: DataFrame, rows: int) -> DataFrame:
+    members = members.join(arrow_map(sets, job, ARRAYS), "node")
     return _spread(members.select("tile", "node", "n", "part", "values"), "tile", rows).mapInArrow(
         _links, "a long, b long"
     )
@@ -418,7 +410,7 @@ def _verify_groups(own: DataFrame, every: DataFrame, sets: DataFrame, links: Dat
     first = placed.unionByName(pivots)
     first = first.select(F.xxhash64("tile", "block").alias("tile"), "node", F.col("node").alias("part"))
     count = own.count()
-    found, _ = stage(_verified(first.join(sets, "node"), count), "links")
+    found, _ = stage(_verified(first, sets, count), "links")
     links = links.unionByName(found)
 
     # all pairs of groups of one block are done; others are looked at by component
@@ -453,15 +445,15 @@ def _verify_groups(own: DataFrame, every: DataFrame, sets: DataFrame, links: Dat
         .select(F.xxhash64("tile", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), "node", "part")
     )
     paired, _ = stage(paired, "group-blocks")
-    found, _ = stage(_verified(paired.join(sets, "node"), paired.count()), "links")
+    found, _ = stage(_verified(paired, sets, paired.count()), "links")
     return links.unionByName(found)
 
 
 def _hot_groups(hot: DataFrame) -> DataFrame:
-    """(tile, node, place): the groups of texts of hot shingles by shingle and band of size."""
+    """(token, tile, node): the groups of texts of hot shingles by shingle and band of size."""
     band = F.floor(F.log("n") / F.lit(float(np.log(100 / PERCENT))))
-    banded = hot.withColumn("band", F.explode(F.array(band, band + 1)))
-    return banded.select(F.xxhash64("token", "band").alias("tile"), "node", "place").distinct()
+    banded = hot.select(F.col("tile").alias("token"), "node", F.explode(F.array(band, band + 1)).alias("band"))
+    return banded.select("token", F.xxhash64("token", "band").alias("tile"), "node")
 
 
 def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
@@ -485,28 +477,27 @@ def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
     common = _hot(_counts(known, lambda b: flat(take_column(b, "prefix"))[0]), np.zeros(0, np.uint64), hot)
     rare = common
     if len(common):
-        rare = _hot(_halves(seen, common), common, hot)
-        heavy, _ = stage(_mostly_hot(seen, common, rare), "mostly-hot")
-        rare = _hot(_counts(heavy, lambda b: flat(take_column(b, "values"))[0]), rare, hot)
+        rare = _hot(_coming(seen, common), common, hot)
 
     postings = _postings(known, common, rare)
     if len(common):
         postings = postings.unionByName(_second_postings(seen, common, rare))
     size = known.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
-    raw = _spread(postings, "token", int(size)).mapInArrow(_tiles, "tile long, node long, n long")
-    tiles, _ = stage(raw.distinct(), "tiles")
+    raw = _spread(postings, "token", int(size)).mapInArrow(_tiles, "tile long, node long, n long, hot boolean")
+    every, _ = stage(raw.distinct(), "tiles")
+    tiles = every.filter("not hot").drop("hot")
     compared = _spread(tiles.join(nodes.select("node", "bitmap"), "node"), "tile", tiles.count())
     possible, _ = stage(compared.mapInArrow(_possible, "a long, b long"), "possible")
     groups, _ = stage(components(possible).select(F.col("component").alias("tile"), "node"), "groups")
     wanted = groups.select("node")
     if len(common):
-        hot_groups, _ = stage(_hot_groups(_hot_postings(seen, common, rare)), "hot-groups")
+        hot_groups = _hot_groups(every.filter("hot"))
         wanted = wanted.unionByName(hot_groups.select("node"))
     sets, _ = stage(_arrays(seen, Filter.of(wanted)), "arrays")
     links = _verify_groups(groups, groups, sets, possible.limit(0))
     if len(common):
-        own = hot_groups.groupBy("node").agg(F.min_by("tile", F.struct("place", "tile")).alias("tile"))
-        links = _verify_groups(own.select("tile", "node"), hot_groups.select("tile", "node").distinct(), sets, links)
+        own = hot_groups.groupBy("node").agg(F.min_by("tile", F.struct("token", "tile")).alias("tile"))
+        links = _verify_groups(own.select("tile", "node"), hot_groups.select("tile", "node"), sets, links)
     parts = components(links).join(nodes.select("node", "rep"), "node")
     least = parts.groupBy("component").agg(F.min("rep").alias("least"))
     least = parts.join(least, "component").select("node", "least")
