@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-STEP = 4 << 20
+STEP = 1 << 20
 ROWS = 1 << 19  # most texts in a slice
 SHINGLE = 5
 

@@ -62,7 +62,7 @@ CALIBRATION_ROWS = 50_000
 FOLDS = 4
 HELD_OUT = 2
 THRESHOLD = 0.3
-FLUSH = 1_000_000
+FLUSH = 2_000_000
 COUNTS = ("toxic", "ordinary", "documents", "after_toxic", "after_ordinary")
 EVIDENCE = ("difference", "strong", "n_expressions")
 
