@@ -56,7 +56,7 @@ PERCENT = 75
 HOT = 1024
 MAX_HOT = 2_000_000
 BLOCK = 1024
-ROWS_PER_TASK = 1_000_000
+ROWS_PER_TASK = 400_000
 
 
 def least_overlap(total: np.ndarray | int, percent: int = PERCENT):
