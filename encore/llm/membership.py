@@ -36,6 +36,7 @@ class Filter:
 
         Tasks join their bits to words first; at most MOST_BITS / 64 words reach the driver.
         """
+        keys = keys.distinct()
         bits = LEAST_BITS
         count = keys.count()
         while bits < min(16 * count, MOST_BITS):

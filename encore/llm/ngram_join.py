@@ -53,7 +53,7 @@ from encore.llm.textarrays import distinct, mix, shingles, signed, slices, words
 from encore.scratch import stage
 
 PERCENT = 75
-HOT = 1024
+HOT = 512
 MAX_HOT = 2_000_000
 BLOCK = 1024
 ROWS_PER_TASK = 400_000
