@@ -14,8 +14,7 @@ with the component it belongs to.
    Shingles that many documents hold (``HOT``) would make large tiles. They are put last in
    the order, so that a text with a passage all others have is sought by the rest of it. The
    texts this concerns are gone through again, and the shingles that may come up in their
-   place are counted beforehand: those up to the middle of each text, and all the others of
-   texts that look hot for the most part. Any set of hot shingles gives a valid order, so the threshold
+   place are counted beforehand, twice as far as the share of hot ones calls for. Any set of hot shingles gives a valid order, so the threshold
    is doubled until they fit ``MAX_HOT``, which bounds their broadcast.
 3. *Bitmaps.* In a tile all pairs in reach are compared by bitmaps with a bit for each hash,
    set by the parity of the shingles that fall on it, one to two bits per shingle. The
@@ -53,7 +52,7 @@ from encore.llm.textarrays import distinct, mix, shingles, signed, slices, words
 from encore.scratch import stage
 
 PERCENT = 75
-HOT = 512
+HOT = 1024
 MAX_HOT = 2_000_000
 BLOCK = 1024
 ROWS_PER_TASK = 400_000
@@ -200,16 +199,15 @@ def _concerned(batch: pa.RecordBatch, common: np.ndarray) -> Iterator[tuple[int,
 def _coming(text: DataFrame, common: np.ndarray) -> DataFrame:
     """(token, n) of what may come first in the texts that ``common`` concerns, if hot tokens go last.
 
-    That is what follows the first tokens up to the middle, and to the end where hot tokens
-    are many among the first ones.
+    The share of hot ones among the first tokens says how far that will be; twice as far is looked.
     """
 
     def pick(batch: pa.RecordBatch) -> np.ndarray:
         found = [np.zeros(0, np.uint64)]
         for _, values in _concerned(batch, common):
             need = prefix_length(len(values))
-            many = 100 * _member(values[:need], common).sum() > 40 * need
-            found.append(values[need:] if many else values[need : len(values) // 2 + 1])
+            hot = int(_member(values[:need], common).sum())
+            found.append(values[need : need + 2 * need * hot // max(need - hot, 1) + 8])
         return np.concatenate(found)
 
     return _counts(text, pick)
