@@ -111,10 +111,12 @@ def write_logs(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 
 def _two_a_line(objects: DataFrame, *together: str) -> DataFrame:
-    """Texts in ``value`` put on lines in twos, as far as rows of the same keys go."""
-    numbered = objects.withColumn("pair", F.shiftright(F.monotonically_increasing_id(), 1))
-    lines = numbered.groupBy(*together, "pair").agg(F.concat_ws(" ", F.collect_list("value")).alias("value"))
-    return lines.drop("pair", "part")
+    """Texts in ``value`` on lines of their own, some in twos, as far as rows of the same keys go."""
+    place = F.col("place")
+    first = F.when(F.shiftright(place, 1) % 16 == 0, place - place % 2).otherwise(place)
+    numbered = objects.withColumn("place", F.monotonically_increasing_id()).withColumn("line", first)
+    lines = numbered.groupBy(*together, "line").agg(F.concat_ws(" ", F.collect_list("value")).alias("value"))
+    return lines.drop("line", "part")
 
 
 def write_catalogue(spark: SparkSession, sf_dir: str, path: str) -> None:
