@@ -160,9 +160,9 @@ def score_instances(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     scored = edges.select("instance", F.col("seed").cast("double").alias("confidence")).distinct()
     for _ in range(rounds):
         trusted = (
-            edges.join(scored, "instance")
+            edges.join(scored, "instance", "left")  # instances without a confidence count as well, as 0
             .groupBy("pattern")
-            .agg(F.sum("confidence").alias("sure"), F.count("*").alias("n"))
+            .agg(F.sum(F.coalesce("confidence", F.lit(0.0))).alias("sure"), F.count("*").alias("n"))
             .withColumn("trust", F.col("sure") / (F.col("n") + SMOOTH))
             .filter((F.col("trust") >= TRUSTED) & (F.col("n") >= SUPPORT))
         )

@@ -74,6 +74,15 @@ def test_contexts_discover_identifiers(spark):
     assert got[301].spans == "" and got[302].spans == "" and got[0].spans == "email:15:29"
 
 
+def test_contexts_of_mostly_unknown_tokens_stay_untrusted(spark):
+    """Nine seeds at the end of a text do not vouch for hundreds of order numbers there."""
+    rows = [(k, f"write{k} to user{k}@mail.org") for k in range(9)]
+    rows += [(100 + k, f"shipped{k} with OR{k}77X{k}99") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _, spans = extract(docs)
+    assert spans.filter("kind = 'id'").count() == 0
+
+
 def test_rows_that_repeat_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a@b.cc", 2), (1, "a@b.cc", 2), (None, "a@b.cc", 2)], "doc_id long, text string, row int")
     got = personal_data(docs)
