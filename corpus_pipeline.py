@@ -53,7 +53,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """How often each document is taken, by source weights."""
-    return mix_sources(docs).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+    return mix_sources(docs, fill=True).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -12,6 +12,11 @@ divided by inclusion odds and taken in that order as long as the words fit. The
 size in words is thus fixed beforehand. The place left over goes to the one document whose
 size closes the gap best, if any does.
 
+Without ``fill`` the draw ends at the first document that does not fit, as the SQL of
+``op4_source_mix`` has it; a document longer than the place left can then cost a source most of
+its sample. With ``fill`` it goes on in rank order past such documents: it is repeated with the
+place left over among the documents no larger than that, until none fits.
+
 Rank order within a source needs no task that holds the source: the rank statistic is cut
 into ``BUCKETS`` ranges, words are summed per range, and only the range that the cut falls
 into is sorted. Whatever sorts sources as a whole holds one row per source.
@@ -23,6 +28,8 @@ empty table, take nothing. Further columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +39,7 @@ from encore.scratch import stage
 WEIGHTS = (1, 2, 3)
 CEILING = 3
 BUCKETS = 4096
+KEY = ("doc_id", "source", "size", "repeat")
 
 
 def word_count(text: Column) -> Column:
@@ -76,8 +84,50 @@ def unit(*key: Column, seed: int) -> Column:
     return (digits + 0.5) / F.lit(float(1 << 52))
 
 
+def _draw(joins: DataFrame, small: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """joins (KEY, q, bucket, rest) with ``sampled``: the first by rank, as long as the words fit."""
+    ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    cut = (
+        joins.groupBy("source", "bucket", "rest")
+        .agg(F.sum("size").alias("words"))
+        .withColumn("before", F.coalesce(F.sum("words").over(ahead), F.lit(0)))
+        .filter("before < rest")
+        .groupBy("source")
+        .agg(F.max_by(F.struct("bucket", "before"), "bucket").alias("cut"))
+        .select(F.col("source").alias("cut_source"), "cut.*")
+        .withColumnRenamed("bucket", "cut_bucket")
+    )
+    by_rank = (
+        Window.partitionBy("source")
+        .orderBy("q", "doc_id", "repeat", "size")
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    placed = joins.join(small(cut), F.col("source").eqNullSafe(F.col("cut_source")))
+    at_cut = (
+        placed.filter("bucket = cut_bucket")
+        .withColumn("reached", F.col("before") + F.sum("size").over(by_rank))
+        .withColumn("sampled", F.col("reached") <= F.col("rest"))
+    )
+    columns = [*KEY, "q", "bucket", "rest", "sampled"]
+    return stage(
+        placed.filter("bucket != cut_bucket")
+        .withColumn("sampled", F.col("bucket") < F.col("cut_bucket"))
+        .select(*columns)
+        .unionByName(at_cut.select(*columns)),
+        "drawn",
+    )[0]
+
+
+def _gaps(drawn: DataFrame, extra: DataFrame) -> DataFrame:
+    """(gap_source, gap): what the documents in extra leave of the rest in drawn."""
+    both = drawn.select("source", "rest", F.lit(0).cast("long").alias("words")).unionByName(
+        extra.select("source", "rest", F.col("size").alias("words"))
+    )
+    return both.groupBy(F.col("source").alias("gap_source")).agg((F.max("rest") - F.sum("words")).alias("gap"))
+
+
 def mix_sources(
-    docs: DataFrame, weights=WEIGHTS, ceiling: int = CEILING, buckets: int = BUCKETS, seed: int = 1
+    docs: DataFrame, weights=WEIGHTS, ceiling: int = CEILING, buckets: int = BUCKETS, seed: int = 1, fill: bool = False
 ) -> DataFrame:
     """doc_id, size, source, source_size, target, copies, taken: one row per document."""
     plain = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
@@ -108,50 +158,32 @@ def mix_sources(
         .withColumn("bucket", F.floor(F.col("q") / (1 + F.col("q")) * buckets)),
         "ranked",
     )
-    joins = ranked.filter("q is not null")
-    ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    cut = (
-        joins.groupBy("source", "bucket", "rest")
-        .agg(F.sum("size").alias("words"))
-        .withColumn("before", F.coalesce(F.sum("words").over(ahead), F.lit(0)))
-        .filter("before < rest")
-        .groupBy("source")
-        .agg(F.max_by(F.struct("bucket", "before"), "bucket").alias("cut"))
-        .select(F.col("source").alias("cut_source"), "cut.*")
-        .withColumnRenamed("bucket", "cut_bucket")
-    )
-    by_rank = (
-        Window.partitionBy("source")
-        .orderBy("q", "doc_id", "repeat", "size")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    placed = joins.join(small(cut), F.col("source").eqNullSafe(F.col("cut_source")))
-    at_cut = (
-        placed.filter("bucket = cut_bucket")
-        .withColumn("reached", F.col("before") + F.sum("size").over(by_rank))
-        .withColumn("sampled", F.col("reached") <= F.col("rest"))
-    )
-    key = ["doc_id", "source", "size", "repeat"]
-    drawn, _ = stage(
-        placed.filter("bucket != cut_bucket")
-        .withColumn("sampled", F.col("bucket") < F.col("cut_bucket"))
-        .select(*key, "q", "rest", "sampled")
-        .unionByName(at_cut.select(*key, "q", "rest", "sampled")),
-        "drawn",
-    )
-    gaps = drawn.groupBy(F.col("source").alias("gap_source")).agg(
-        (F.max("rest") - F.sum(F.when(F.col("sampled"), F.col("size")).otherwise(0))).alias("gap")
-    )
+    key = list(KEY)
+    drawn = _draw(ranked.filter("q is not null"), small)
+    extra = drawn.filter("sampled")
+    unfilled = drawn
+    while fill:
+        gaps = _gaps(unfilled, unfilled.filter("sampled"))
+        fits = unfilled.filter("not sampled").join(small(gaps), F.col("source").eqNullSafe(F.col("gap_source")))
+        fits, _ = stage(fits.filter("size <= gap").select(*key, "q", "bucket", F.col("gap").alias("rest")), "fits")
+        if fits.isEmpty():
+            break
+        unfilled = _draw(fits, small)
+        extra = extra.unionByName(unfilled.filter("sampled"))
+    gaps = _gaps(drawn, extra)
     miss = F.abs(F.col("size") - F.col("gap"))
+    free = drawn.filter("not sampled")
+    if fill:
+        filled = extra.select(*[F.col(c).alias(f"x_{c}") for c in key])
+        free = free.join(filled, [F.col(c).eqNullSafe(F.col(f"x_{c}")) for c in key], "left_anti")
     closing = (
-        drawn.filter("not sampled")
-        .join(small(gaps), F.col("source").eqNullSafe(F.col("gap_source")))
+        free.join(small(gaps), F.col("source").eqNullSafe(F.col("gap_source")))
         .filter(miss < F.col("gap"))
         .groupBy("source")
         .agg(F.min_by(F.struct(*[c for c in key if c != "source"]), F.struct(miss, "q", *key)).alias("doc"))
         .select("source", "doc.*")
     )
-    extra = drawn.filter("sampled").select(*key).unionByName(closing.select(*key))
+    extra = extra.select(*key).unionByName(closing.select(*key))
     extra = extra.select(*[F.col(c).alias(f"x_{c}") for c in key])
     hit = [F.col(c).eqNullSafe(F.col(f"x_{c}")) for c in key]
     copies = F.col("certain") + F.when(F.col("x_repeat").isNotNull(), 1).otherwise(0)

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from encore.llm.source_mix import mix_sources
 
 
@@ -78,3 +79,15 @@ def test_odd_rows(spark):
     assert mix_sources(docs.limit(0)).collect() == []
     nothing = mix_sources(docs.filter("text is null or text = ''")).collect()
     assert [r.taken for r in nothing] == [0, 0] and {r.target for r in nothing} == {0.0}
+
+
+def test_stage_goes_on_past_texts_that_do_not_fit(spark):
+    """The long text ranks first mostly and is longer than what its source may still take."""
+    rows = [(0, "a", "w " * 1000)] + [(k, "a", "w " * 5) for k in range(1, 201)]
+    rows += [(k, "b", "w " * 4) for k in range(201, 1501)]
+    for shift in range(0, 9000, 3000):
+        docs = spark.createDataFrame([(k + shift, s, t) for k, s, t in rows], "doc_id long, source string, text string")
+        got = {r.source: r for r in corpus_pipeline.mixing(spark, docs, "").groupBy("source").agg(
+            F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()}
+        assert got["a"].target == 2400 and abs(got["a"].taken - 2400) <= 5
+        assert abs(got["b"].taken - got["b"].target) <= 4
