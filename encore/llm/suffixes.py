@@ -3,7 +3,9 @@
 Of all suffixes only those are kept that begin at minimisers: a word position is selected if
 its hash of ``GRAM`` words is the smallest of some ``WINDOW`` neighbouring ones. The choice
 depends on the words alone, so any run of ``LEAST`` = GRAM + WINDOW - 1 words has a selected
-position, the same one in all its copies.
+position, the same one in all its copies. Of a run of equal grams (one word over and over) the
+first and the last position are kept and every ``STRIDE``-th between, so that each such run of
+words still has one whose gram it holds, and matches along the run overlap.
 
 A first pass counts the hashes at selected positions; those of one document only can't begin
 a repeated passage. A second pass writes the remaining suffixes, each with the ``REACH``
@@ -45,6 +47,7 @@ LEAST = 50
 GRAM = 12
 WINDOW = LEAST - GRAM + 1
 REACH = LEAST
+STRIDE = REACH // 2
 NEIGHBOURS = 4
 
 
@@ -70,8 +73,13 @@ def minimisers(s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
         edge = np.zeros(WINDOW - 1, np.uint64)
         most = _slide(np.concatenate([edge, least, edge]), WINDOW, np.maximum)
         chosen = values == most
-        chosen[1:] &= values[1:] != values[:-1]  # one position of a word that goes on repeating
         at = np.flatnonzero(chosen)
+        # of a word that goes on repeating the first, the last and some positions between
+        turn = np.flatnonzero(values[1:] != values[:-1]) + 1
+        head = np.concatenate([[0], turn])
+        run = np.searchsorted(turn, at, "right")
+        last = np.append(turn, len(values))[run] - 1
+        at = at[((at - head[run]) % STRIDE == 0) | (at == last)]
         row.append(np.full(len(at), r))
         place.append(at)
         gram.append(values[at])

@@ -56,6 +56,20 @@ def test_equals_all_windows(spark, seed):
         assert r.n_words == r.stop - r.start >= 50 and r.other != r.doc_id
 
 
+def test_words_that_go_on_repeating(spark):
+    """Two documents share a run of one word, with and without shared words behind it."""
+    own = lambda d, k: [f"{d}x{j}" for j in range(k)]
+    tail = [f"t{j}" for j in range(45)]
+    rows = [
+        (1, own("a", 9) + ["="] * 120 + own("b", 9)), (2, own("c", 5) + ["="] * 120 + own("d", 5)),
+        (3, own("e", 7) + ["0"] * 70 + tail + own("f", 7)), (4, own("g", 3) + ["0"] * 90 + tail + own("h", 3)),
+        (5, ["-"] * 50 + own("i", 3)), (6, own("j", 3) + ["-"] * 131),
+    ]
+    rows = [(d, " ".join(w)) for d, w in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {(r.doc_id, r.start, r.stop) for r in repeated_passages(docs).collect()} == brute(rows)
+
+
 def test_one_passage_in_most_documents(spark):
     dice = random.Random(5)
     passage = [f"p{k}" for k in range(60)]
