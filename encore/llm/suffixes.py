@@ -14,11 +14,14 @@ follow and once by those that precede, going backwards, so that the longest matc
 either side are neighbours. They are dealt out by ranges of the sort key, which ends with
 document and position, so a passage that a third of the documents share is spread over many
 tasks, each of which sees sorted neighbours. Where two ranges meet, the outermost suffixes
-are compared once more, a few per task.
+are compared once more, a few per range, or all those of one document and gram.
 
 Each suffix is compared with its neighbours of other documents. Equal words to the right
 and, going left, before the position make a match; at least ``LEAST`` words together make a
-repeated passage. Passages longer than the reach have further selected
+repeated passage. The best neighbours to the right and to the left bound what any document can
+share with a suffix; where a window of ``LEAST`` words is within both bounds and no match covers
+it, the suffix's windows are looked up, by 64-bit hashes, among those of all suffixes. So a
+passage is found whole though neither of its best neighbours holds it. Passages longer than the reach have further selected
 positions, whose matches overlap, and are joined to one. Words are compared by 32-bit
 hashes behind an equal 64-bit hash of ``GRAM`` words.
 
@@ -140,8 +143,13 @@ def _equal_words(a: np.ndarray, b: np.ndarray, limit: np.ndarray) -> np.ndarray:
     return np.minimum(first, limit)
 
 
-def compare(table: pa.Table, neighbours: int = NEIGHBOURS) -> dict[str, np.ndarray]:
-    """Matches of at least LEAST words between suffixes near each other in sorted order."""
+def compare(table: pa.Table, neighbours: int = NEIGHBOURS) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
+    """Matches of at least LEAST words between suffixes near each other in sorted order.
+
+    Then, for each suffix, how far it agrees with any neighbour to the right (``on``) and to the
+    left (``back``), and which windows of LEAST words its matches cover: bit k of ``seen`` is
+    the window that begins k words before the position.
+    """
     gram, doc, place = (table.column(c).to_numpy() for c in ("gram", "doc_id", "place"))
     (right, n_right), (left, n_left) = (_matrix(table.column(c).combine_chunks()) for c in ("right", "left"))
     found: dict[str, list] = {"doc_id": [], "start": [], "stop": [], "other": []}
@@ -150,6 +158,8 @@ def compare(table: pa.Table, neighbours: int = NEIGHBOURS) -> dict[str, np.ndarr
     turns = np.flatnonzero(doc[1:] != doc[:-1]) + 1
     after = np.append(turns, len(doc))[np.searchsorted(turns, rows, "right")]
     before = np.concatenate([[0], turns])[np.searchsorted(turns, rows, "right")] - 1
+    reach = {"on": np.zeros(len(doc), np.int64), "back": np.zeros(len(doc), np.int64)}
+    seen = np.zeros(len(doc), np.uint64)
     pairs = [(rows, after), (before, rows), *[(rows, rows + step) for step in range(1, neighbours + 1)]]
     for a, b in pairs:
         inside = (a >= 0) & (b < len(doc))
@@ -158,70 +168,162 @@ def compare(table: pa.Table, neighbours: int = NEIGHBOURS) -> dict[str, np.ndarr
         a, b = a[apart], b[apart]
         on = _equal_words(right[a], right[b], np.minimum(n_right[a], n_right[b]))
         back = _equal_words(left[a], left[b], np.minimum(n_left[a], n_left[b]))
+        for row in (a, b):
+            np.maximum.at(reach["on"], row, on)
+            np.maximum.at(reach["back"], row, back)
         good = (on + back >= LEAST) & (on >= GRAM)
         a, b, on, back = a[good], b[good], on[good], back[good]
+        covered = _window_bits(LEAST - on, back)
         for x, y in ((a, b), (b, a)):
+            np.bitwise_or.at(seen, x, covered)
             found["doc_id"].append(doc[x])
             found["start"].append(place[x] - back)
             found["stop"].append(place[x] + on)
             found["other"].append(doc[y])
-    return {k: np.concatenate(v) for k, v in found.items()}
+    some = reach["on"] > 0
+    each = {"doc_id": doc, "place": place, **reach, "seen": signed(seen)}
+    return {k: np.concatenate(v) for k, v in found.items()}, {k: v[some] for k, v in each.items()}
+
+
+def _window_bits(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Numbers with the bits low to high, those below WINDOW; none where low is above high."""
+    low, high = np.maximum(low, 0), np.minimum(high, WINDOW - 1)
+    one = np.uint64(1)
+    upto = (one << (np.maximum(high, -1) + 1).astype(np.uint64)) - one
+    below = (one << np.minimum(low, WINDOW).astype(np.uint64)) - one
+    return upto & ~below
 
 
-MATCH = "doc_id long, start long, stop long, other long"
+#: Matches have a start, suffixes with what neighbours hold of them a seen, ends of ranges a gram.
+OUTCOME = (
+    "doc_id long, start long, stop long, other long, place long, on long, back long, seen long, "
+    "gram long, right binary, left binary"
+)
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Matches in a sorted range, and its outermost suffixes as rows with a gram."""
-    tail, head = None, None
+    tail, head, whole = None, None, False
     for batch in batches:
         if not batch.num_rows:
             continue
         now = pa.Table.from_batches([batch])
-        if head is None:
-            head = now.slice(0, NEIGHBOURS)
+        if not whole:  # up to the first rows of a second document
+            head = pa.concat_tables([head, now]) if head is not None else now
+            turn = _turns(head)
+            whole = len(turn) > 0
+            head = head.slice(0, max(NEIGHBOURS, int(turn[0]) + 1)) if whole else head
         both = pa.concat_tables([tail, now]) if tail is not None else now
-        yield _with_edges(compare(both), None)
+        yield from _results(compare(both))
         tail = both.slice(max(0, min(both.num_rows - NEIGHBOURS, _last_run(both) - 1)))
     if head is not None:
-        yield _with_edges(None, head)
-        yield _with_edges(None, tail.slice(max(0, tail.num_rows - NEIGHBOURS)))
+        for rows in (head, tail):
+            got = {c: rows.column(c).combine_chunks() for c in ("gram", "right", "left", "doc_id", "place")}
+            yield _filled(**got)
 
 
 def _last_run(table: pa.Table) -> int:
     """Where the last rows of one document and gram begin; they still lack what follows them."""
+    turns = _turns(table)
+    return int(turns[-1]) if len(turns) else 0
+
+
+def _turns(table: pa.Table) -> np.ndarray:
+    """The rows that begin another gram or document."""
     gram, doc = table.column("gram").to_numpy(), table.column("doc_id").to_numpy()
-    turns = np.flatnonzero((gram[1:] != gram[:-1]) | (doc[1:] != doc[:-1]))
-    return int(turns[-1]) + 1 if len(turns) else 0
+    return np.flatnonzero((gram[1:] != gram[:-1]) | (doc[1:] != doc[:-1])) + 1
+
+
+def _results(compared: tuple[dict[str, np.ndarray], dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    for part in compared:
+        yield _filled(**part)
 
 
-def _with_edges(matches: dict[str, np.ndarray] | None, edges: pa.Table | None) -> pa.RecordBatch:
-    n = len(matches["doc_id"]) if matches else edges.num_rows
-    none = {"gram": pa.nulls(n, pa.int64()), "right": pa.nulls(n, pa.binary()), "left": pa.nulls(n, pa.binary()),
-            "place": pa.nulls(n, pa.int64())}
-    if matches:
-        return batch_of(**matches, **none)
-    got = {c: edges.column(c).combine_chunks() for c in ("doc_id", *none)}
-    gaps = {c: pa.nulls(n, pa.int64()) for c in ("start", "stop", "other")}
-    return batch_of(doc_id=got.pop("doc_id"), **gaps, **got)
+def _filled(**columns) -> pa.RecordBatch:
+    """A batch of OUTCOME; columns that are not given are null."""
+    n = len(columns["doc_id"])
+    kinds = {name: pa.binary() if kind == "binary" else pa.int64() for name, kind in map(str.split, OUTCOME.split(", "))}
+    return batch_of(**{c: columns[c] if c in columns else pa.nulls(n, kind) for c, kind in kinds.items()})
 
 
 def _edge_matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = [b for b in batches if b.num_rows]
     if rows:
-        yield batch_of(**compare(pa.Table.from_batches(rows)))
+        yield from _results(compare(pa.Table.from_batches(rows)))
 
 
-def _sorted_matches(rows: DataFrame, order: list[str]) -> DataFrame:
-    """The matches (MATCH) between neighbours in one order of all suffixes."""
+def _compared(rows: DataFrame, order: list[str]) -> DataFrame:
+    """OUTCOME without the ends of ranges, from neighbours in one order of all suffixes."""
     placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    compared, _ = stage(
-        placed.mapInArrow(_neighbours, f"{MATCH}, gram long, right binary, left binary, place long"), "matches"
-    )
-    # a few suffixes from the ends of each range: two handfuls per task, whatever the rows
+    compared, _ = stage(placed.mapInArrow(_neighbours, OUTCOME), "matches")
+    # suffixes from the ends of each range, a handful or those of one document and gram
     edges = compared.filter("gram is not null").select("gram", "right", "left", "doc_id", "place").distinct()
-    edges = edges.repartition(1).sortWithinPartitions(*order).mapInArrow(_edge_matches, MATCH)
-    return compared.filter("gram is null").select("doc_id", "start", "stop", "other").unionByName(edges)
+    edges = edges.repartition(1).sortWithinPartitions(*order).mapInArrow(_edge_matches, OUTCOME)
+    return compared.filter("gram is null").unionByName(edges).drop("gram", "right", "left")
+
+
+def _unseen(compared: DataFrame) -> DataFrame:
+    """(key) of suffixes with a window that may be repeated and that no match covers.
+
+    The best neighbours to both sides bound what any other document can share with a suffix.
+    """
+    each = compared.filter("seen is not null").groupBy("doc_id", "place")
+    each = each.agg(F.max("on").alias("on"), F.max("back").alias("back"), F.bit_or("seen").alias("seen"))
+    ones = lambda n: F.expr(f"shiftleft(1L, cast({n} as int)) - 1")
+    may = ones(f"least(back, {WINDOW - 1}) + 1").bitwiseAND(F.bitwise_not(ones(f"least({LEAST} - on, {WINDOW})")))
+    left = may.bitwiseAND(F.bitwise_not(F.col("seen")))
+    return each.filter(left != 0).select(F.xxhash64("doc_id", "place").alias("key"))
+
+
+def _window_hashes(right: pa.Array, left: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, k and hash of each window of LEAST words that begins k words before a position."""
+    (ahead, n_right), (behind, n_left) = _matrix(right), _matrix(left)
+    line = np.concatenate([behind[:, : WINDOW - 1][:, ::-1], ahead], axis=1).astype(np.uint64)
+    power = np.cumprod(np.full(LEAST, 0x9E3779B97F4A7C15, np.uint64))
+    line = mix(line)
+    row, k, value = [], [], []
+    for back in range(WINDOW):
+        at = np.flatnonzero((n_left >= back) & (n_right >= LEAST - back))
+        first = WINDOW - 1 - back
+        row.append(at)
+        k.append(np.full(len(at), back))
+        value.append(mix((line[at, first : first + LEAST] * power).sum(1, dtype=np.uint64)))
+    return np.concatenate(row), np.concatenate(k), np.concatenate(value)
+
+
+def _exact(rows: DataFrame, compared: DataFrame) -> DataFrame:
+    """(doc_id, start, stop, other): the windows, held by two documents, of suffixes with unseen ones.
+
+    Windows of such suffixes are looked for in all suffixes: a window that two documents share
+    has a selected position of one gram in both.
+    """
+    unseen, _ = stage(_unseen(compared), "unseen")
+    if unseen.isEmpty():
+        return compared.select("doc_id", "start", "stop", "other").limit(0)
+    keyed = rows.select("doc_id", "place", "right", "left", F.xxhash64("doc_id", "place").alias("key"))
+
+    def windows(chosen: Filter, of_key: bool):
+        def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            if of_key:
+                batch = batch.filter(pa.array(chosen.has(batch.column("key").to_numpy())))
+            for first in range(0, batch.num_rows, 4096):
+                part = batch.slice(first, 4096)
+                row, k, value = _window_hashes(part.column("right"), part.column("left"))
+                if not of_key:
+                    keep = chosen.has(signed(value))
+                    row, k, value = row[keep], k[keep], value[keep]
+                doc, place = (part.column(c).to_numpy() for c in ("doc_id", "place"))
+                yield batch_of(window=signed(value), doc_id=doc[row], start=place[row] - k)
+
+        return arrow_map(keyed, job, "window long, doc_id long, start long")
+
+    asked, _ = stage(windows(Filter.of(unseen), True).distinct(), "asked")
+    held = windows(Filter.of(asked.select("window")), False).groupBy("window")
+    held = held.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
+    other = F.when(F.col("doc_id") == F.col("low"), F.col("high")).otherwise(F.col("low"))
+    return asked.join(held, "window").select(
+        "doc_id", "start", (F.col("start") + LEAST).alias("stop"), other.alias("other")
+    )
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -231,9 +333,11 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     shared = grams.groupBy("gram").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     shared, _ = stage(shared.filter("low < high").select("gram"), "grams")
     rows, _ = stage(suffixes(text, Filter.of(shared)), "suffixes")
-    onward = _sorted_matches(rows, ["gram", "right", "left", "doc_id", "place"])
-    backward = _sorted_matches(rows, ["gram", "left", "right", "doc_id", "place"])
-    matches = onward.unionByName(backward)
+    onward = _compared(rows, ["gram", "right", "left", "doc_id", "place"])
+    backward = _compared(rows, ["gram", "left", "right", "doc_id", "place"])
+    compared = onward.unionByName(backward)
+    matches = compared.filter("start is not null").select("doc_id", "start", "stop", "other")
+    matches = matches.unionByName(_exact(rows, compared))
     spans = matches.groupBy("doc_id", "start", "stop").agg(F.min("other").alias("other"))
     by_start = Window.partitionBy("doc_id").orderBy("start", "stop")
     reached = F.max("stop").over(by_start.rowsBetween(Window.unboundedPreceding, -1))

@@ -70,6 +70,20 @@ def test_words_that_go_on_repeating(spark):
     assert {(r.doc_id, r.start, r.stop) for r in repeated_passages(docs).collect()} == brute(rows)
 
 
+def test_partner_that_is_best_on_neither_side(spark):
+    """Many documents share more to the right, many more to the left, one holds a whole passage."""
+    dice = random.Random(56)  # the only selected position of the passage is where y begins
+    words = lambda k: [f"v{dice.random()}" for _ in range(k)]
+    w, x, y, z = (words(k) for k in (5, 25, 30, 10))
+    rows = [(0, words(9) + w + x + y + z + words(9)), (1, words(9) + x + y + words(9))]
+    rows += [(k, words(9) + y + z + words(9)) for k in range(2, 40)]
+    rows += [(k, words(9) + w + x + y[:15] + words(9)) for k in range(40, 80)]
+    dice.shuffle(rows)
+    rows = [(d, " ".join(t)) for d, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {(r.doc_id, r.start, r.stop) for r in repeated_passages(docs).collect()} == brute(rows)
+
+
 def test_one_passage_in_most_documents(spark):
     dice = random.Random(5)
     passage = [f"p{k}" for k in range(60)]
