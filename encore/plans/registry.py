@@ -18,6 +18,7 @@ from encore.scratch import new_path, stage
 from encore.sinks.layout import read_layout, write_layout
 from encore.sinks.store import TableStore, by_position
 from encore.sources import crosswalk, loaders
+from encore.sources.objects import objects_of
 
 YEAR = 2024  # the year of all test events
 
@@ -118,7 +119,7 @@ def bad_records(star: Star) -> DataFrame:
         .otherwise(F.concat("props", F.lit(" "), "props"))
     )
     lines = star.raw("events").select(line.alias("value"))
-    return loaders.bad_records(loaders.split_objects(lines), STAGING_EVENTS)
+    return loaders.bad_records(objects_of(lines), STAGING_EVENTS)
 
 
 def append_sink(star: Star) -> DataFrame:

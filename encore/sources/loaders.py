@@ -4,102 +4,62 @@ Keys are matched ignoring case, unknown keys are ignored, missing ones are
 NULL. Every value is read as text first and then cast to the declared type, so
 that quoted numbers and empty strings load the way the warehouse loads them.
 A file is a series of objects, with or without line breaks between them; whatever
-else stands there is a malformed record.
+else stands there is a malformed record. ``encore.sources.objects`` cuts files into objects.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from encore.functions.text import blank_to_null
 from encore.operators.quality import passing
 from encore.schemas import STAGING_EVENTS, STAGING_SONGS, Table
+from encore.sources.objects import DOCUMENTS, LINES, PLACE, objects
 
 STRICT = "strict"  # the first bad record aborts the load
 QUARANTINE = "quarantine"  # bad records are left out; bad_records lists them
 
-LINES = "lines"  # no object goes over a line's end; files can be split
-DOCUMENTS = "documents"  # objects may be pretty-printed; a file is read by one task
-
-# An object without another brace in it is alone in its text.
-LONE_OBJECT = r"^\s*+\{[^{}]*+\}\s*+$"
-# Strings, braces, and what is between them. A quote that ends nothing is text.
-JSON_PIECE = r"\"[^\"\\]*+(?:\\.[^\"\\]*+)*+\"|[{}]|[^\"{}]++|\""
-
-
-def objects_in(value: Column) -> Column:
-    """The objects of a text one by one; text beside them, or a truncated one, is a piece too.
-
-    Braces count only outside of strings. Pieces that are no objects don't parse, so they
-    are bad records like any other.
-    """
-    state = F.struct(
-        F.array().cast("array<string>").alias("done"), F.lit("").alias("open"), F.lit(0).alias("depth")
-    )
-
-    def step(s: Column, piece: Column) -> Column:
-        depth = s.depth + F.when(piece == "{", 1).when(piece == "}", -1).otherwise(0)
-        ends = (piece == "}") & (depth <= 0)
-        starts = (piece == "{") & (s.depth == 0) & (s.open.rlike(r"\S"))  # text before an object
-        text = F.concat(F.when(starts, F.lit("")).otherwise(s.open), piece)
-        done = F.when(starts, F.array_append(s.done, s.open)).otherwise(s.done)
-        return F.struct(
-            F.when(ends, F.array_append(done, text)).otherwise(done).alias("done"),
-            F.when(ends, F.lit("")).otherwise(text).alias("open"),
-            F.greatest(depth, F.lit(0)).alias("depth"),
-        )
-
-    pieces = F.regexp_extract_all(value, F.lit(JSON_PIECE), F.lit(0))
-    found = F.aggregate(pieces, state, step, lambda s: F.array_append(s.done, s.open))
-    return F.when(value.rlike(LONE_OBJECT), F.array(value)).otherwise(found)
-
-
-def split_objects(texts: DataFrame) -> DataFrame:
-    """Column ``value`` in pieces of one object each; blanks between objects are none."""
-    pieces = texts.select(F.explode(objects_in(F.col("value"))).alias("value"))
-    return pieces.select(F.regexp_replace("value", r"^\s+|\s+$", "").alias("value")).where("value != ''")
-
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Column ``value``: the JSON objects of all files under ``path`` at any depth, line by line."""
-    return split_objects(spark.read.option("recursiveFileLookup", "true").text(path))
+    """The JSON objects of all files under ``path`` at any depth, with their place; none goes over a line's end."""
+    return objects(spark, path, LINES)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Column ``value``: one JSON object per row from small, maybe pretty-printed files.
+    """The same for files whose objects may go over several lines."""
+    return objects(spark, path, DOCUMENTS)
 
-    A file is one row at first and cannot be split, so large files of
-    single-line objects belong in ``read_lines``.
+
+def _computed_once(df: DataFrame, **values: Column) -> DataFrame:
+    """``df`` with further columns that nothing above computes again.
+
+    Spark copies the expressions of a projection into whatever filters it; those of a generator
+    are left alone, so each value is made once per row, however often it is used.
     """
-    return split_objects(spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True))
+    row = F.struct(*[v.alias(name) for name, v in values.items()])
+    return df.select("*", F.inline(F.array(row)))
 
 
-def bind_json(
-    df: DataFrame,
-    table: Table,
-    value: str = "value",
-    keep: tuple[Column, ...] = (),
-) -> DataFrame:
-    """Pick the columns of ``table``, all as text, from the JSON text in ``value``.
+def bind_json(df: DataFrame, table: Table, value: str = "value") -> DataFrame:
+    """``df`` with the columns of ``table``, all as text, from the JSON text in ``value``.
 
     When keys of one record differ only in case, the last one wins. An unreadable
-    record gives a row of NULLs. ``keep`` columns may refer to ``fields``, the
-    parsed record.
+    record gives NULLs and a true ``_unreadable``. The text is parsed once.
     """
-    parsed = df.withColumn("fields", F.from_json(value, "map<string,string>", {"mode": "PERMISSIVE"}))
+    parsed = _computed_once(df, _fields=F.from_json(value, "map<string,string>", {"mode": "PERMISSIVE"}))
     arrays = parsed.select(
-        F.reverse(F.transform(F.map_keys("fields"), F.lower)).alias("_keys"),
-        F.reverse(F.map_values("fields")).alias("_texts"),
-        *keep,
+        *df.columns,
+        F.col("_fields").isNull().alias("_unreadable"),
+        F.reverse(F.transform(F.map_keys("_fields"), F.lower)).alias("_keys"),
+        F.reverse(F.map_values("_fields")).alias("_texts"),
     )
 
     def pick(name: str) -> Column:
-        index = (F.array_position("_keys", name) - 1).cast("int")
-        return F.get("_texts", index).alias(name)
+        return F.get("_texts", (F.array_position("_keys", name) - 1).cast("int"))
 
-    return arrays.select(*[pick(c.name) for c in table.columns], *arrays.columns[2:])
+    return _computed_once(arrays, **{c.name: pick(c.name) for c in table.columns}).drop("_keys", "_texts")
 
 
 def _number(text: Column, kind: T.DataType) -> Column:
@@ -111,7 +71,8 @@ def _number(text: Column, kind: T.DataType) -> Column:
     if not isinstance(kind, T.DecimalType):
         return filled
     digits = F.regexp_replace(filled, rf"^(\s*[+-]?[0-9]*\.[0-9]{{{kind.scale}}})[0-9]+(\s*)$", "$1$2")
-    exact = digits.try_cast(T.DecimalType(38, 18))  # of a number with an exponent, too
+    fits = F.when(F.length(filled) > 18, digits).otherwise(filled)  # a short text has no more than 18 decimals
+    exact = fits.try_cast(T.DecimalType(38, 18))  # of a number with an exponent, too
     cut = F.when(exact < 0, F.ceil(exact, F.lit(kind.scale))).otherwise(F.floor(exact, F.lit(kind.scale)))
     return F.coalesce(cut.cast("string"), filled)
 
@@ -131,15 +92,21 @@ def coerce(df: DataFrame, table: Table) -> DataFrame:
     return df.select(*[cast(c.name, c.type) for c in table.columns])
 
 
+def _typed_name(name: str) -> str:
+    return f"_typed_{name}"
+
+
 def fault(table: Table) -> Column:
-    """Why a bound text row does not fit ``table``; NULL for a row that does."""
+    """Why a bound text row does not fit ``table``; NULL for a row that does.
+
+    Refers to the texts and to the values, named by ``_typed_name``, that they give.
+    """
     reasons = []
     for c in table.columns:
         text = F.col(c.name)
         if not isinstance(c.type, T.StringType):
             filled = blank_to_null(text)
-            lost = filled.isNotNull() & _number(text, c.type).try_cast(c.type).isNull()
-            reasons.append(F.when(lost, f"type of {c.name}"))
+            reasons.append(F.when(filled.isNotNull() & F.col(_typed_name(c.name)).isNull(), f"type of {c.name}"))
             missing = filled.isNull()
         else:
             missing = text.isNull()
@@ -150,41 +117,58 @@ def fault(table: Table) -> Column:
     return F.coalesce(*reasons)
 
 
-def _tagged(df: DataFrame, table: Table, value: str, *keep: Column) -> DataFrame:
-    """Text rows of ``table`` and the ``_reason`` why a record is bad."""
-    bound = bind_json(df, table, value, keep=(*keep, F.col("fields").isNull().alias("_unreadable")))
+def _tagged(df: DataFrame, table: Table, value: str) -> DataFrame:
+    """``df`` with texts and typed values of ``table`` and the ``_reason`` why a record is bad."""
+    bound = bind_json(df, table, value)
+    kinds = {c.name: c.type for c in table.columns if not isinstance(c.type, T.StringType)}
+    typed = {_typed_name(n): _number(F.col(n), kind).try_cast(kind) for n, kind in kinds.items()}
     reason = F.when(F.col("_unreadable"), "not json").otherwise(fault(table))
-    return bound.withColumn("_reason", reason)
+    return _computed_once(bound, **typed).withColumn("_reason", reason)
+
+
+def _values(tagged: DataFrame, table: Table) -> DataFrame:
+    """The columns of ``table`` from rows without a fault."""
+    names = {c.name: c.name if isinstance(c.type, T.StringType) else _typed_name(c.name) for c in table.columns}
+    return tagged.select(*[F.col(source).alias(name) for name, source in names.items()])
 
 
 def bad_records(df: DataFrame, table: Table, value: str = "value") -> DataFrame:
-    """The records a strict load would stop at: ``value`` and the first ``reason``."""
-    tagged = _tagged(df, table, value, F.col(value).alias("_source"))
-    bad = tagged.select(F.col("_source").alias("value"), F.col("_reason").alias("reason"))
-    return bad.where(F.col("reason").isNotNull())
+    """The records a strict load would stop at: ``value``, the first ``reason``, and the place if it is known."""
+    place = [c for c in PLACE if c in df.columns]
+    bad = _tagged(df.select(value, *place), table, value).where(F.col("_reason").isNotNull())
+    return bad.select(F.col(value).alias("value"), F.col("_reason").alias("reason"), *place)
 
 
-def typed_rows(df: DataFrame, table: Table, mode: str = STRICT) -> DataFrame:
+def typed_rows(df: DataFrame, table: Table, mode: str = STRICT, counts: Observation | None = None) -> DataFrame:
     """JSON text in ``value`` to rows of ``table``.
 
-    Strict or not, bad records are met in a filter, which runs whatever columns are read.
+    Strict or not, bad records are met in a filter, which runs whatever columns are read. A
+    strict load names the file and the line, if ``df`` has them. ``counts`` gets the number of
+    records that were ``read`` and of those ``left_out``, from the job that runs the rows.
     """
     if mode not in (STRICT, QUARANTINE):
         raise ValueError(f"unknown load mode {mode!r}")
-    tagged = _tagged(df, table, "value")
+    place = [c for c in PLACE if c in df.columns]
+    tagged = _tagged(df.select("value", *place), table, "value")
     reason = F.col("_reason")
-    good = passing(reason, f"bad record for {table.name}") if mode == STRICT else reason.isNull()
-    return coerce(tagged.where(good), table)
+    if counts is not None:
+        tagged = tagged.observe(counts, F.count(F.lit(1)).alias("read"), F.count(reason).alias("left_out"))
+    if mode == STRICT:
+        where = F.concat(F.lit(" in "), "file", F.lit(" from byte "), "from_byte", F.lit(", line "), "line") if place else F.lit("")
+        told = F.concat(reason, F.coalesce(where, F.lit("")))
+        return _values(tagged.where(passing(told, f"bad record for {table.name}")), table)
+    return _values(tagged.where(reason.isNull()), table)
 
 
-def load_events(spark: SparkSession, path: str, mode: str = STRICT) -> DataFrame:
+def load_events(
+    spark: SparkSession, path: str, mode: str = STRICT, counts: Observation | None = None
+) -> DataFrame:
     """Event logs: files of JSON lines under ``path``."""
-    return typed_rows(read_lines(spark, path), STAGING_EVENTS, mode)
+    return typed_rows(read_lines(spark, path), STAGING_EVENTS, mode, counts)
 
 
-def load_songs(spark: SparkSession, path: str, mode: str = STRICT, layout: str = DOCUMENTS) -> DataFrame:
-    """Song catalogue under ``path``: small files of objects, or ``LINES`` of any size."""
-    if layout not in (LINES, DOCUMENTS):
-        raise ValueError(f"unknown layout of files {layout!r}")
-    read = read_lines if layout == LINES else read_documents
-    return typed_rows(read(spark, path), STAGING_SONGS, mode)
+def load_songs(
+    spark: SparkSession, path: str, mode: str = STRICT, layout: str = DOCUMENTS, counts: Observation | None = None
+) -> DataFrame:
+    """Song catalogue under ``path``: objects over any number of lines, or ``LINES``."""
+    return typed_rows(objects(spark, path, layout), STAGING_SONGS, mode, counts)

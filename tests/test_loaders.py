@@ -88,7 +88,7 @@ def test_bad_line_aborts_a_strict_load(spark, tmp_path):
 )
 def test_bad_records(spark, tmp_path, broken, reason):
     path = put(tmp_path, "a.json", EVENT, broken)
-    found = bad_records(read_lines(spark, path), STAGING_EVENTS)
+    found = bad_records(read_lines(spark, path), STAGING_EVENTS).select("value", "reason")
     assert rows(found) == [(broken, reason)]
     assert rows(load_events(spark, path, QUARANTINE), "userid") == [(8,)]
     with pytest.raises(Exception):
@@ -98,7 +98,7 @@ def test_bad_records(spark, tmp_path, broken, reason):
 @pytest.mark.parametrize(
     "text, cut",
     [
-        ("246.308126", "246.30812"), ("-246.308129", "-246.30812"), ("99999.999999", "99999.99999"),
+        ("731.415926", "731.41592"), ("-731.415929", "-731.41592"), ("99999.999999", "99999.99999"),
         ("1.00000999999999999999999999999999", "1.00000"), ("1.234567E1", "12.34567"), ("-0.000009", "0.00000"),
         ("7", "7.00000"),
     ],
