@@ -12,6 +12,7 @@ from encore.llm.decontaminate import matches
 from encore.llm.hnsw import nearest_neighbours
 from encore.llm.language import identify
 from encore.llm.line_dedup import dedup_lines
+from encore.llm.merkle import manifest
 from encore.llm.ngram_join import near_duplicates
 from encore.llm.pii import personal_data
 from encore.llm.quality import score_quality
@@ -71,11 +72,15 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_hnsw, op2_ngram_join, op3_line_dedup, op4_source_mix, op5_suffix_array, op6_language, op7_toxicity, op8_pii, op9_quality,
-        op10_decontaminate,
+        op10_decontaminate, op11_merkle,
     )
 }
 
@@ -89,7 +94,71 @@ _SHINGLES = f"""
     FROM (SELECT {{id}}, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w
           FROM {{table}})"""
 
+_LEAF = " || ".join(
+    f"coalesce(strlen({v}::VARCHAR) || ':' || {v}, '-')" for v in ("doc_id", "source", "lang", "n_chars", "{text}")
+)
+# The remainder of each byte, bit by bit; 3988292384 is the reversed polynomial of CRC-32.
+_CRC32 = """xor(4294967295, list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda r, bit: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)))"""
+
+
+def _merkle_levels(name: str, leaves: str) -> str:
+    """(level, tree, place, n, digest) from leaves of the same columns, sixteen to one."""
+    return f"""{name} AS (
+    SELECT 0 AS level, tree, place, n, digest FROM {leaves}
+    UNION ALL
+    SELECT level + 1, tree, place // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY place))
+    FROM {name} WHERE n > 1 GROUP BY level, tree, place // 16, (n + 15) // 16)"""
+
+
+def _merkle_sides(name: str, levels: str) -> str:
+    """(level, tree, place, left_side, right_side) of all nodes that have a parent."""
+    side = "coalesce(string_agg(digest, '') OVER (PARTITION BY level, tree, place // 16 ORDER BY place ROWS BETWEEN {}), '')"
+    return f"""{name} AS MATERIALIZED (
+    SELECT level, tree, place, {side.format("UNBOUNDED PRECEDING AND 1 PRECEDING")} AS left_side,
+           {side.format("1 FOLLOWING AND UNBOUNDED FOLLOWING")} AS right_side
+    FROM {levels} WHERE n > 1)"""
+
+
 SQL: dict[str, str] = {
+    "op11_merkle": f"""
+WITH RECURSIVE hashed AS MATERIALIZED (
+    SELECT doc_id, source, sha256({_LEAF.format(text="text")}) AS leaf,
+           CASE WHEN {_CRC32} % 5 = 0
+                THEN sha256({_LEAF.format(text=_LOWER.format("text"))}) END AS changed
+    FROM documents),
+row_of AS MATERIALIZED (
+    SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+           count(*) OVER (PARTITION BY source) AS n, leaf AS digest FROM hashed),
+{_merkle_levels("node", "row_of")},
+top AS MATERIALIZED (
+    SELECT 0 AS tree, tree AS place, count(*) OVER () AS n, digest FROM node WHERE n = 1),
+{_merkle_levels("top_node", "top")},
+{_merkle_sides("side", "node")},
+{_merkle_sides("top_side", "top_node")},
+climb AS (
+    SELECT tree, place, 0 AS level, false AS at_top, place AS at, coalesce(changed, leaf) AS digest, '' AS proof FROM row_of
+    UNION ALL
+    SELECT c.tree, c.place, CASE WHEN s.level IS NULL AND NOT c.at_top THEN 0 ELSE c.level + 1 END,
+           c.at_top OR s.level IS NULL,
+           CASE WHEN s.level IS NULL AND NOT c.at_top THEN c.tree ELSE c.at // 16 END,
+           CASE WHEN s.level IS NULL AND NOT c.at_top THEN c.digest
+                ELSE sha256(coalesce(s.left_side, t.left_side) || c.digest || coalesce(s.right_side, t.right_side)) END,
+           c.proof || coalesce(s.left_side || s.right_side, t.left_side || t.right_side, '')
+    FROM climb c
+    LEFT JOIN side s ON NOT c.at_top AND s.level = c.level AND s.tree = c.tree AND s.place = c.at
+    LEFT JOIN top_side t ON c.at_top AND t.level = c.level AND t.place = c.at
+    WHERE NOT c.at_top OR t.level IS NOT NULL),
+reached AS (
+    SELECT tree, place, arg_max(digest, length(proof) * 100 + level) AS folded_root,
+           arg_max(proof, length(proof) * 100 + level) AS proof
+    FROM climb WHERE at_top GROUP BY tree, place)
+SELECT r.doc_id, r.leaf, t.digest AS subroot, last.digest AS root, sha256(reached.proof) AS proof_sha256,
+       reached.folded_root, reached.folded_root = last.digest AS verified
+FROM row_of r JOIN top t ON t.place = r.tree JOIN top_node last ON last.n = 1
+JOIN reached ON reached.tree = r.tree AND reached.place = r.place""",
     "op2_ngram_join": f"""
 WITH RECURSIVE doc AS MATERIALIZED ({_SHINGLES.format(id="doc_id", table="documents")}),
 size AS (SELECT id, count(*) AS n FROM doc GROUP BY id),
