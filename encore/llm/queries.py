@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from encore.llm.centroids import cluster
 from encore.llm.common import table
 from encore.llm.decontaminate import matches
 from encore.llm.hnsw import nearest_neighbours
@@ -76,11 +77,15 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_hnsw, op2_ngram_join, op3_line_dedup, op4_source_mix, op5_suffix_array, op6_language, op7_toxicity, op8_pii, op9_quality,
-        op10_decontaminate, op11_merkle,
+        op10_decontaminate, op11_merkle, op12_centroids,
     )
 }
 
@@ -121,7 +126,41 @@ def _merkle_sides(name: str, levels: str) -> str:
     FROM {levels} WHERE n > 1)"""
 
 
+_COMPONENTS = "range(1, 65)"
+_AWAY = f"list_sum(list_transform({_COMPONENTS}, lambda i: (v.vector[i] - c.middle[i]) * (v.vector[i] - c.middle[i])))::BIGINT"
+
+
+def _assignment(n: int) -> str:
+    """Each vector's nearest of the centroids of round ``n``."""
+    return f"""own{n} AS MATERIALIZED (
+    SELECT row, arg_min(cluster, (away, cluster)) AS cluster, min(away) AS distance
+    FROM (SELECT v.row, c.cluster, {_AWAY} AS away FROM vec v, middle{n} c) GROUP BY row)"""
+
+
+def _centroids(n: int) -> str:
+    """The centroids after round ``n``; the remainder is taken so that it is never negative."""
+    return f"""middle{n + 1} AS MATERIALIZED (
+    SELECT m.cluster, coalesce(f.middle, m.middle) AS middle FROM middle{n} m LEFT JOIN (
+        SELECT cluster, list(((total - (total % n + n) % n) // n)::BIGINT ORDER BY i) AS middle
+        FROM (SELECT o.cluster, i, sum(v.vector[i]) AS total, count(*) AS n
+              FROM own{n} o JOIN vec v ON v.row = o.row, unnest({_COMPONENTS}) AS u(i) GROUP BY o.cluster, i)
+        GROUP BY cluster) f ON f.cluster = m.cluster)"""
+
+
 SQL: dict[str, str] = {
+    "op12_centroids": f"""
+WITH vec AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS vector
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+middle0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS cluster, vector AS middle
+    FROM vec ORDER BY sha256('2:' || vec_id) LIMIT 40),
+{", ".join(f"{_assignment(n)}, {_centroids(n)}" for n in range(5))},
+{_assignment(5)}
+SELECT v.vec_id, o.cluster::INTEGER AS cluster, o.distance,
+       (sum(o.distance) OVER (PARTITION BY o.cluster))::BIGINT AS cluster_inertia, (sum(o.distance) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c.middle, ',')) AS centroid_sha256
+FROM own5 o JOIN vec v ON v.row = o.row JOIN middle5 c ON c.cluster = o.cluster""",
     "op11_merkle": f"""
 WITH RECURSIVE hashed AS MATERIALIZED (
     SELECT doc_id, source, sha256({_LEAF.format(text="text")}) AS leaf,
