@@ -165,8 +165,7 @@ def line_keys(s: Slice, min_chars: int = MIN_CHARS) -> tuple[tuple, Keys]:
     line = np.flatnonzero(points[stop] - points[begin] >= min_chars)
     data = s.lower().data
     high = hashes(data, begin[line], stop[line])
-    # the second half of the key hashes other values of the same bytes
-    low = hashes(data ^ np.uint8(0xA5), begin[line], stop[line])
+    low = hashes(data, begin[line], stop[line], seed=1)  # independent of the first half
     return (start, end, row), Keys(line, row[line], high, low)
 
 

@@ -21,11 +21,8 @@ with the component it belongs to.
    number of differing bits is at most the size of the symmetric difference, so it bounds
    the overlap from above. What is left are possible links; as many of them as connect the
    nodes of a tile are emitted, and their components are the groups to verify.
-4. *Verification.* Each node's array goes to its group once. Pairs that are not connected
-   yet are verified by intersecting the sorted arrays, and only links that connect are
-   emitted. A group is cut into blocks of ``BLOCK`` nodes: first each node is compared in
-   its block and with a node that all blocks have, then only blocks that still hold
-   different components are compared with each other.
+4. *Verification.* Each node's array goes to its group once, and exact intersections say
+   which nodes link, block by block (``verify.py``).
 5. Texts made of hot shingles for the most part, such as thousands of edited copies of one,
    are grouped by hot shingle and band of size instead, and verified in the same way: first
    in one group each, then in all groups that still hold different components.
@@ -45,64 +42,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.common import arrow_map, batch_of, flat, packed, take_column, whole_partition
-from encore.llm.components import components, join_groups
+from encore.llm.common import arrow_map, batch_of, flat, packed, take_column
+from encore.llm.components import components
 from encore.llm.membership import Filter
-from encore.llm.textarrays import distinct, mix, shingles, signed, slices, words
+from encore.llm.textarrays import mix, signed
+from encore.llm.verify import arrays, bitmap, by_key, fingerprint, possible_links, shingle_sets, spread, verify_groups
 from encore.scratch import stage
 
 PERCENT = 75
 HOT = 1024
 MAX_HOT = 2_000_000
-BLOCK = 1024
-ROWS_PER_TASK = 400_000
-
-
-def least_overlap(total: np.ndarray | int, percent: int = PERCENT):
-    """The least intersection of two linked sets with ``total`` elements together."""
-    return -(-percent * total // (100 + percent))
 
 
 def prefix_length(n: np.ndarray | int, percent: int = PERCENT):
     return n - -(-percent * n // 100) + 1
 
 
-def bits_of(n: int) -> int:
-    return max(64, 1 << int(n - 1).bit_length()) if n > 1 else 64
-
-
-def bitmap(values: np.ndarray) -> np.ndarray:
-    """Parity of the shingles on each bit, as 64-bit words; halves fold onto each other by xor."""
-    bits = bits_of(len(values))
-    odd = np.bincount((values >> np.uint64(8)).astype(np.int64) & (bits - 1), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
-
-
-def _fingerprint(values: np.ndarray) -> tuple[int, int]:
-    one = mix(values ^ np.uint64(0x5851F42D4C957F2D))
-    two = mix(values ^ np.uint64(0x14057B7EF767814F))
-    n = np.uint64(len(values))
-    ends = mix(np.array([one.sum() + n, two.sum() ^ np.bitwise_xor.reduce(one)], np.uint64))
-    return int(ends[0].view(np.int64)), int(ends[1].view(np.int64))
-
-
-def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
-    """Row and sorted distinct shingles of each text that has words."""
-    for s in slices(take_column(batch, "text")):
-        values, first = shingles(words(s.lower()))
-        for r in range(len(s)):
-            if first[r + 1] > first[r]:
-                yield s.first + r, distinct(values[first[r] : first[r + 1]])
-
-
 def _profiles(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     n = np.zeros(batch.num_rows, np.int64)
     node, guard = n.copy(), n.copy()
     empty = np.zeros(0, np.uint64)
     prefix, maps = [empty] * len(n), [empty] * len(n)
-    for r, values in _sets(batch):
+    for r, values in shingle_sets(batch):
         n[r] = len(values)
-        node[r], guard[r] = _fingerprint(values)
+        node[r], guard[r] = fingerprint(values)
         prefix[r], maps[r] = values[: prefix_length(len(values))], bitmap(values)
     yield batch_of(
         doc_id=take_column(batch, "doc_id"), n=n, node=pa.array(node, mask=n == 0), guard=guard,
@@ -188,9 +151,9 @@ def _postings(profiles: DataFrame, common: np.ndarray, rare: np.ndarray) -> Data
 def _concerned(batch: pa.RecordBatch, common: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(node, values) of the distinct sets with a hot shingle among their first ones."""
     seen: set[int] = set()
-    for _, values in _sets(batch):
+    for _, values in shingle_sets(batch):
         if _member(values[: prefix_length(len(values))], common).any():
-            node, _ = _fingerprint(values)
+            node, _ = fingerprint(values)
             if node not in seen:
                 seen.add(node)
                 yield node, values
@@ -229,20 +192,11 @@ def _second_postings(text: DataFrame, common: np.ndarray, rare: np.ndarray) -> D
     return arrow_map(text, job, POSTING)
 
 
-def _spread(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """Rows of a key together, in partitions of about ROWS_PER_TASK rows."""
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(least, -(-rows // ROWS_PER_TASK)), key)
-
-
-def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tiles(table: pa.Table) -> Iterator[pa.RecordBatch]:
     """(tile, node, n, hot) from postings: runs of like size, named by the set of their nodes.
 
     Postings of hot tokens go on as they are.
     """
-    table = whole_partition(batches)
-    if table is None:
-        return
     token, node, n, hot = (table.column(c).to_numpy() for c in ("token", "node", "n", "hot"))
     passing = hot != 0
     if passing.any():
@@ -270,183 +224,6 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch_of(tile=signed(name[new]), node=node[new], n=n[new], hot=np.zeros(new.sum(), bool))
 
 
-def _reach(n: np.ndarray, tile: np.ndarray, step: int, rows: np.ndarray) -> np.ndarray:
-    """Those rows that are in one tile with the row ``step`` further on and may link by size."""
-    rows = rows[rows + step < len(n)]
-    other = rows + step
-    return rows[(tile[rows] == tile[other]) & (100 * n[rows] >= PERCENT * n[other])]
-
-
-def _close(
-    tile: np.ndarray, n: np.ndarray, group: np.ndarray, values: np.ndarray, first: np.ndarray, width: np.ndarray
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of pairs of one tile and two groups that by their bitmaps may link, nearest sizes first.
-
-    Rows are sorted by tile and size. The bitmap of a row is ``values`` from ``first`` on,
-    ``width`` words. Groups may be joined between one batch of pairs and the next.
-    """
-    for w in distinct(width):
-        level = np.flatnonzero((width == w) | (width == 2 * w))
-        maps = np.empty((len(level), w), np.uint64)
-        plain = width[level] == w
-        maps[plain] = values[first[level[plain]][:, None] + np.arange(w)]
-        wide = first[level[~plain]][:, None] + np.arange(w)
-        maps[~plain] = values[wide] ^ values[wide + w]
-        sizes, tiles = n[level], tile[level]
-        rows, step = np.flatnonzero(plain), 1
-        while len(rows):
-            rows = _reach(sizes, tiles, step, rows)
-            apart = rows[group[level[rows]] != group[level[rows + step]]]
-            for part in np.array_split(apart, len(apart) * int(w) // (1 << 20) + 1):
-                other = part + step
-                differ = np.bitwise_count(maps[part] ^ maps[other]).sum(1, dtype=np.int64)
-                total = sizes[part] + sizes[other]
-                good = differ <= total - 2 * least_overlap(total)
-                if good.any():
-                    yield level[part[good]], level[other[good]]
-            step += 1
-
-
-def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b) of pairs that by their bitmaps may link, as many as connect the nodes of a tile."""
-    table = whole_partition(batches)
-    if table is None:
-        return
-    tile, node, n = (table.column(c).to_numpy() for c in ("tile", "node", "n"))
-    order = np.lexsort((n, tile))
-    tile, node, n = tile[order], node[order], n[order]
-    values, first = flat(table.column("bitmap").combine_chunks())
-    first, width = first[:-1][order], np.diff(first)[order]
-    group = np.arange(len(tile))
-    for one, two in _close(tile, n, group, values, first, width):
-        join_groups(group, one, two)
-        yield batch_of(a=node[one], b=node[two])
-
-
-def _arrays(docs: DataFrame, wanted: Filter) -> DataFrame:
-    """(node, n, values) of the sets that pass the filter, once per Arrow batch."""
-
-    def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, np.ndarray] = {}
-        for _, values in _sets(batch):
-            node, _ = _fingerprint(values)
-            if node not in seen and wanted.has(np.array([node], np.int64))[0]:
-                seen[node] = values
-        yield _array_batch(seen)
-
-    return arrow_map(docs.select("text"), job, ARRAYS)
-
-
-ARRAYS = "node long, n long, values binary"
-
-
-def _array_batch(sets: dict[int, np.ndarray]) -> pa.RecordBatch:
-    return batch_of(
-        node=pa.array(list(sets), pa.int64()), n=pa.array([len(v) for v in sets.values()], pa.int64()),
-        values=packed(list(sets.values())),
-    )
-
-
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b) of links that join parts, from rows (tile, node, n, part, values)."""
-    table = whole_partition(batches)
-    if table is None:
-        return
-    tile, node, n, part = (table.column(c).to_numpy() for c in ("tile", "node", "n", "part"))
-    order = np.lexsort((node, n, tile))
-    new = np.ones(len(order), bool)
-    new[1:] = (tile[order][1:] != tile[order][:-1]) | (node[order][1:] != node[order][:-1])
-    order = order[new]
-    tile, node, n, part = tile[order], node[order], n[order], part[order]
-    values, first = flat(table.column("values").combine_chunks())
-    sets = [values[first[r] : first[r + 1]] for r in order]
-    maps = [bitmap(s) for s in sets]
-    width = np.array([len(m) for m in maps], np.int64)
-    starts = np.searchsorted(tile, tile, "left")
-    stops = np.searchsorted(tile, tile, "right")
-    group = np.unique(mix(signed(tile).view(np.uint64)) ^ signed(part).view(np.uint64), return_inverse=True)[1]
-    found: list[tuple[int, int]] = []
-    for one, two in _close(tile, n, group, np.concatenate(maps), np.cumsum(width) - width, width):
-        for i, j in zip(one.tolist(), two.tolist(), strict=True):
-            if group[i] == group[j]:
-                continue
-            if len(np.intersect1d(sets[i], sets[j], assume_unique=True)) >= least_overlap(int(n[i] + n[j])):
-                found.append((int(node[i]), int(node[j])))
-                own = group[starts[i] : stops[i]]
-                own[own == group[j]] = group[i]
-    if found:
-        one, two = zip(*found, strict=True)
-        yield batch_of(a=pa.array(one, pa.int64()), b=pa.array(two, pa.int64()))
-
-
-def _verified(members: DataFrame, sets: DataFrame, rows: int) -> DataFrame:
-    """Links among the rows (tile, node, part); only the arrays they need are shuffled."""
-    wanted = Filter.of(members.select("node"))
-
-    def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        yield batch.filter(pa.array(wanted.has(take_column(batch, "node").to_numpy())))
-
-    members = members.join(arrow_map(sets, job, ARRAYS), "node")
-    return _spread(members.select("tile", "node", "n", "part", "values"), "tile", rows).mapInArrow(
-        _links, "a long, b long"
-    )
-
-
-def _verify_groups(own: DataFrame, every: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
-    """``links`` and those found among nodes of a group, as far as they connect.
-
-    ``own`` (tile, node) has each node in one group, ``every`` in all of its groups, and
-    ``sets`` the arrays (node, n, values) of all these nodes.
-    """
-    salt = F.pmod(F.xxhash64("node", F.lit(11)), F.lit(1 << 30))
-    sizes = own.groupBy("tile").agg(F.count("*").alias("members"), F.min("node").alias("pivot"))
-    sizes = sizes.withColumn("blocks", F.ceil(F.col("members") / BLOCK))
-    placed = own.join(sizes, "tile").select("tile", "node", F.pmod(salt, F.col("blocks")).alias("block"))
-    pivots = sizes.filter("blocks > 1").select(
-        "tile", F.col("pivot").alias("node"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
-    )
-    first = placed.unionByName(pivots)
-    first = first.select(F.xxhash64("tile", "block").alias("tile"), "node", F.col("node").alias("part"))
-    count = own.count()
-    found, _ = stage(_verified(first, sets, count), "links")
-    links = links.unionByName(found)
-
-    # all pairs of groups of one block are done; others are looked at by component
-    done = sizes.filter("blocks = 1").select("tile").join(every.groupBy("tile").count(), "tile")
-    done = done.join(sizes.select("tile", "members"), "tile").filter("members = count").select("tile")
-    open_, _ = stage(every.join(done, "tile", "left_anti").select("tile", "node"), "open-groups")
-    if open_.isEmpty():
-        return links
-    parts = components(links).withColumnRenamed("component", "part")
-    now, _ = stage(
-        open_.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")), "group-parts"
-    )
-    tiles = (
-        now.groupBy("tile", "part")
-        .agg(F.count("*").alias("members"))
-        .groupBy("tile")
-        .agg(
-            F.sum("members").alias("all"), F.max("members").alias("major"), F.count("*").alias("parts"),
-            F.max_by("part", F.struct("members", "part")).alias("major_part"),
-        )
-        .filter("parts > 1")
-        .withColumn("m", F.ceil(F.col("major") / BLOCK))
-        .withColumn("r", F.ceil((F.col("all") - F.col("major")) / BLOCK))
-    )
-    placed = now.join(tiles, "tile").withColumn("is_major", F.col("part") == F.col("major_part"))
-    number = F.when(F.col("is_major"), F.pmod(salt, F.col("m"))).otherwise(F.col("m") + F.pmod(salt, F.col("r")))
-    rest = F.sequence(F.col("m"), F.col("m") + F.col("r") - 1)
-    all_blocks = F.sequence(F.lit(0).cast("long"), F.col("m") + F.col("r") - 1)
-    paired = (
-        placed.withColumn("block", number)
-        .withColumn("other", F.explode(F.when(F.col("is_major"), rest).otherwise(all_blocks)))
-        .select(F.xxhash64("tile", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), "node", "part")
-    )
-    paired, _ = stage(paired, "group-blocks")
-    found, _ = stage(_verified(paired, sets, paired.count()), "links")
-    return links.unionByName(found)
-
-
 def _hot_groups(hot: DataFrame) -> DataFrame:
     """(token, tile, node): the groups of texts of hot shingles by shingle and band of size."""
     band = F.floor(F.log("n") / F.lit(float(np.log(100 / PERCENT))))
@@ -481,21 +258,23 @@ def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
     if len(common):
         postings = postings.unionByName(_second_postings(seen, common, rare))
     size = known.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
-    raw = _spread(postings, "token", int(size)).mapInArrow(_tiles, "tile long, node long, n long, hot boolean")
+    raw = spread(postings, "token", 32 * int(size)).mapInArrow(by_key("token", _tiles), "tile long, node long, n long, hot boolean")
     every, _ = stage(raw.distinct(), "tiles")
     tiles = every.filter("not hot").drop("hot")
-    compared = _spread(tiles.join(nodes.select("node", "bitmap"), "node"), "tile", tiles.count())
-    possible, _ = stage(compared.mapInArrow(_possible, "a long, b long"), "possible")
+    weighed = nodes.select("node", (F.length("bitmap") + 32).alias("weight"))
+    weight = tiles.join(weighed, "node").agg(F.sum("weight")).first()[0] or 0
+    compared = spread(tiles.join(nodes.select("node", "bitmap"), "node"), "tile", int(weight))
+    possible, _ = stage(compared.mapInArrow(possible_links(PERCENT), "a long, b long"), "possible")
     groups, _ = stage(components(possible).select(F.col("component").alias("tile"), "node"), "groups")
     wanted = groups.select("node")
     if len(common):
         hot_groups = _hot_groups(every.filter("hot"))
         wanted = wanted.unionByName(hot_groups.select("node"))
-    sets, _ = stage(_arrays(seen, Filter.of(wanted)), "arrays")
-    links = _verify_groups(groups, groups, sets, possible.limit(0))
+    sets, _ = stage(arrays(seen, Filter.of(wanted)), "arrays")
+    links = verify_groups(groups, groups, sets, possible.limit(0), PERCENT)
     if len(common):
         own = hot_groups.groupBy("node").agg(F.min_by("tile", F.struct("token", "tile")).alias("tile"))
-        links = _verify_groups(own.select("tile", "node"), hot_groups.select("tile", "node"), sets, links)
+        links = verify_groups(own.select("tile", "node"), hot_groups.select("tile", "node"), sets, links, PERCENT)
     parts = components(links).join(nodes.select("node", "rep"), "node")
     least = parts.groupBy("component").agg(F.min("rep").alias("least"))
     least = parts.join(least, "component").select("node", "least")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from encore.llm import chosen_path
 from encore.llm.centroids import cluster
 from encore.llm.common import table
 from encore.llm.decontaminate import matches
@@ -81,11 +82,15 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op13_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_hnsw, op2_ngram_join, op3_line_dedup, op4_source_mix, op5_suffix_array, op6_language, op7_toxicity, op8_pii, op9_quality,
-        op10_decontaminate, op11_merkle, op12_centroids,
+        op10_decontaminate, op11_merkle, op12_centroids, op13_chosen_path,
     )
 }
 
@@ -147,6 +152,23 @@ def _centroids(n: int) -> str:
         GROUP BY cluster) f ON f.cluster = m.cluster)"""
 
 
+def _near_duplicates(percent: int) -> str:
+    """The documents with the smallest doc_id reachable by links of at least so many percent."""
+    return f"""WITH RECURSIVE doc AS MATERIALIZED ({_SHINGLES.format(id="doc_id", table="documents")}),
+size AS (SELECT id, count(*) AS n FROM doc GROUP BY id),
+link AS MATERIALIZED (
+    SELECT a.id AS one, b.id AS two FROM doc a JOIN doc b USING (shingle)
+    JOIN size s ON s.id = a.id JOIN size t ON t.id = b.id
+    WHERE a.id <> b.id
+    GROUP BY a.id, b.id, s.n, t.n HAVING 100 * count(*) >= {percent} * (s.n + t.n - count(*))),
+reach AS (
+    SELECT doc_id AS id, doc_id AS to_id FROM documents
+    UNION SELECT reach.id, link.two FROM reach JOIN link ON link.one = reach.to_id)
+SELECT d.doc_id, coalesce(size.n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN size ON size.id = d.doc_id
+JOIN (SELECT id, min(to_id) AS component_id FROM reach GROUP BY id) r ON r.id = d.doc_id"""
+
+
 SQL: dict[str, str] = {
     "op12_centroids": f"""
 WITH vec AS MATERIALIZED (
@@ -198,20 +220,8 @@ SELECT r.doc_id, r.leaf, t.digest AS subroot, last.digest AS root, sha256(reache
        reached.folded_root, reached.folded_root = last.digest AS verified
 FROM row_of r JOIN top t ON t.place = r.tree JOIN top_node last ON last.n = 1
 JOIN reached ON reached.tree = r.tree AND reached.place = r.place""",
-    "op2_ngram_join": f"""
-WITH RECURSIVE doc AS MATERIALIZED ({_SHINGLES.format(id="doc_id", table="documents")}),
-size AS (SELECT id, count(*) AS n FROM doc GROUP BY id),
-link AS MATERIALIZED (
-    SELECT a.id AS one, b.id AS two FROM doc a JOIN doc b USING (shingle)
-    JOIN size s ON s.id = a.id JOIN size t ON t.id = b.id
-    WHERE a.id <> b.id
-    GROUP BY a.id, b.id, s.n, t.n HAVING 100 * count(*) >= 75 * (s.n + t.n - count(*))),
-reach AS (
-    SELECT doc_id AS id, doc_id AS to_id FROM documents
-    UNION SELECT reach.id, link.two FROM reach JOIN link ON link.one = reach.to_id)
-SELECT d.doc_id, coalesce(size.n, 0) AS n_shingles, r.component_id
-FROM documents d LEFT JOIN size ON size.id = d.doc_id
-JOIN (SELECT id, min(to_id) AS component_id FROM reach GROUP BY id) r ON r.id = d.doc_id""",
+    "op2_ngram_join": _near_duplicates(75),
+    "op13_chosen_path": f"SELECT *, coalesce(doc_id = component_id, true) AS kept FROM ({_near_duplicates(85)})",
     "op3_line_dedup": f"""
 WITH split AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),

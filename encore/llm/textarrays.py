@@ -22,8 +22,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
-_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
-_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -36,23 +35,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 _PLACE = mix(np.arange(101, 101 + 64, dtype=np.uint64) * _BASE) | np.uint64(1)
-
-
-_POWERS: dict[int, np.ndarray] = {}
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    """base^0 to base^(n-1) modulo 2^64; kept for the next call, which is mostly as long."""
-    known = _POWERS.get(int(base))
-    if known is None or len(known) < n:
-        known = np.full(1 << int(n - 1).bit_length() if n > 1 else 1, base, np.uint64)
-        known[0] = 1
-        known = np.cumprod(known, dtype=np.uint64)
-        if n <= 2 * STEP:
-            _POWERS[int(base)] = known
-    return known[:n]
+#: The lowest k bytes of a number.
+_LOWEST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 @dataclass
@@ -111,20 +96,30 @@ def spans(s: Slice, separator: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndar
     return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
-def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, step: int = STEP) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span; spans ascend and don't overlap."""
+def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, step: int = STEP, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span; spans ascend and don't overlap.
+
+    The sum of a scrambled value for each eight bytes and their place in the span. No
+    polynomial: those modulo 2^64 are equal for some texts whatever the base. Hashes of different
+    seeds scramble differently and are independent of each other.
+    """
     out = np.empty(len(start), np.uint64)
+    mark = mix(np.array([seed], np.uint64) * _BASE + np.uint64(1))[0]
     at = 0
     while at < len(start):
         low = int(start[at])
         to = max(int(np.searchsorted(end, low + step, "right")), at + 1)
-        high = int(end[to - 1])
-        n = high - low
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[data[low:high]] * _powers(_BASE, max(n, 1))[:n], out=total[1:])
         a, b = start[at:to] - low, end[at:to] - low
-        back = _powers(_BASE_INVERSE, n + 1)
-        out[at:to] = mix((total[b] - total[a]) * back[a] + (b - a).astype(np.uint64))
+        padded = np.zeros(int(b[-1]) + 8, np.uint8)
+        padded[: b[-1]] = data[low : low + int(b[-1])]
+        eight = np.lib.stride_tricks.as_strided(padded[:8].view(np.uint64), (len(padded) - 7,), (1,))  # from any byte
+        pieces = np.maximum(b - a + 7, 8) >> 3
+        head = np.cumsum(pieces) - pieces
+        place = np.arange(int(pieces.sum())) - np.repeat(head, pieces)
+        begin = np.repeat(a, pieces) + 8 * place
+        value = eight[begin] & _LOWEST[np.clip(np.repeat(b, pieces) - begin, 0, 8)]
+        scrambled = mix(mix(value + mark) + (place.astype(np.uint64) + np.uint64(1)) * (mark | np.uint64(1)))
+        out[at:to] = mix(np.add.reduceat(scrambled, head) ^ ((b - a).astype(np.uint64) * _BASE + mark))
         at = to
     return out
 

@@ -70,7 +70,7 @@ def test_equals_all_pairs(spark, seed, hot):
 
 
 def test_blocks_of_hot_tiles(spark, monkeypatch):
-    monkeypatch.setattr("encore.llm.ngram_join.BLOCK", 8)
+    monkeypatch.setattr("encore.llm.verify.BLOCK", 8)
     rows = corpus(5, 220)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs, 3).collect()}
