@@ -12,7 +12,8 @@ values; two sets agree in a place with a probability equal to their similarity.
 2. *Small tree nodes* of at most ``SMALL`` documents are compared exhaustively, pair by pair, by
    signature. The same documents in several trees are one tree node.
 3. *Large tree nodes* first compare all their documents with the smallest of them. If what is
-   known then connects all, nothing is left to find there; else all of them branch again.
+   known then connects all, nothing is left to find there; else all of them branch again, the
+   further at once the larger the node is, a level for each halving it needs.
    What is still large at depth ``DEEP`` is taken for connected and left to step 4.
 4. *Confirmation.* What may link makes groups, in which links are verified on whole sets
    (``verify.py``): no pair is linked by its signature.
@@ -46,7 +47,7 @@ from encore.scratch import stage
 PERCENT = 85
 WIDTH = 64  # minwise values of a signature
 TREES = 6
-SMALL = 256
+SMALL = 4096
 DEEP = 24
 #: Places in which two signatures must agree: four standard deviations below 85 %.
 ALIKE = int(WIDTH * 0.85 - 4 * (WIDTH * 0.85 * 0.15) ** 0.5)
@@ -95,6 +96,11 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.array([np.frombuffer(v, np.uint32) for v in column.to_pylist()], np.uint32).reshape(-1, WIDTH)
 
 
+def _bytes(column: pa.Array) -> np.ndarray:
+    """Signatures to be compared: the lowest byte of each value."""
+    return _matrix(column).astype(np.uint8)
+
+
 def chosen_places(path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The place that each path chooses, and the second one or -1."""
     dice = mix(path + np.uint64(0x2545F4914F6CDD1D))
@@ -111,15 +117,23 @@ def _child(path: np.ndarray, place: np.ndarray, values: np.ndarray) -> np.ndarra
 
 
 def _children(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """(path, node, n) of the children, from (path, node, n, signature)."""
+    """(path, node, n) of the descendants after ``levels``, from (path, node, n, levels, signature)."""
     if not batch.num_rows:
         return
     path = take_column(batch, "path").to_numpy().view(np.uint64)
-    node, n = take_column(batch, "node").to_numpy(), take_column(batch, "n").to_numpy()
+    node, n, levels = (take_column(batch, c).to_numpy() for c in ("node", "n", "levels"))
     values = _matrix(take_column(batch, "signature"))
-    for place in chosen_places(path):
-        on = np.flatnonzero(place >= 0)
-        yield batch_of(path=_child(path[on], place[on], values[on, place[on]]), node=node[on], n=n[on])
+    at = np.arange(len(path))
+    while len(at):
+        grown = []
+        for place in chosen_places(path):
+            on = np.flatnonzero(place >= 0)
+            grown.append((_child(path[on], place[on], values[at[on], place[on]]), at[on]))
+        path, at = (np.concatenate(parts) for parts in zip(*grown, strict=True))
+        levels = levels - 1
+        there = levels[at] == 0
+        yield batch_of(path=path[there], node=node[at[there]], n=n[at[there]])
+        path, at = path[~there].view(np.uint64), at[~there]
 
 
 def _from_roots(trees: int):
@@ -151,9 +165,9 @@ def _sizes(paths: DataFrame) -> DataFrame:
 
 
 def _like(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Pairs of signatures, of sets of sizes n and m, that may belong to linked sets."""
+    """Pairs of signatures, one byte a place, of sets of sizes n and m, that may belong to linked sets."""
     sized = 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
-    return sized & ((a == b).sum(-1) >= ALIKE)
+    return sized & ((a == b).sum(-1, dtype=np.int16) >= ALIKE)
 
 
 def _exhaustive(table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -161,7 +175,7 @@ def _exhaustive(table: pa.Table) -> Iterator[pa.RecordBatch]:
     tile, node, n = (table.column(c).to_numpy() for c in ("tile", "node", "n"))
     order = np.lexsort((n, tile))
     tile, node, n = tile[order], node[order], n[order]
-    values = _matrix(table.column("signature").combine_chunks())[order]
+    values = _bytes(table.column("signature").combine_chunks())[order]
     group = np.arange(len(tile))
     rows, step = np.arange(len(tile)), 1
     while len(rows):
@@ -182,7 +196,7 @@ def _star(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     if batch.num_rows:
         node, pivot = take_column(batch, "node").to_numpy(), take_column(batch, "pivot").to_numpy()
         n, m = take_column(batch, "n").to_numpy(), take_column(batch, "pivot_n").to_numpy()
-        good = _like(_matrix(take_column(batch, "signature")), _matrix(take_column(batch, "pivot_signature")), n, m)
+        good = _like(_bytes(take_column(batch, "signature")), _bytes(take_column(batch, "pivot_signature")), n, m)
         good &= node != pivot
         yield batch_of(a=pivot[good], b=node[good])
 
@@ -191,11 +205,12 @@ LINKS = "a long, b long"
 
 
 def _mixed(large: DataFrame, links: DataFrame) -> DataFrame:
-    """The rows of large tree nodes whose documents ``links`` do not connect."""
+    """The rows of large tree nodes whose documents ``links`` do not connect, and how many ``levels`` they go on at once."""
     parts = components(links).select("node", F.col("component").alias("part"))
     now = large.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    open_ = now.groupBy("path").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high")
-    return large.join(open_.select("path"), "path", "left_semi")
+    levels = F.greatest(F.ceil(F.log2(F.count("*") / SMALL)), F.lit(1)).cast("int").alias("levels")
+    open_ = now.groupBy("path").agg(F.min("part").alias("low"), F.max("part").alias("high"), levels).filter("low < high")
+    return large.join(open_.select("path", "levels"), "path")
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -210,7 +225,8 @@ def candidate_links(nodes: DataFrame, trees: int = TREES) -> DataFrame:
     links: list[DataFrame] = []
     tiles: list[DataFrame] = []
     children = arrow_map(nodes.select("node", "n", "signature"), _from_roots(trees), PATHS)
-    for depth in range(1, DEEP + 1):
+    depth = 1
+    while True:
         paths, _ = stage(children, "paths")
         sizes, _ = stage(_sizes(paths), "tree-nodes")
         few = sizes.filter(F.col("members") <= SMALL)
@@ -226,16 +242,18 @@ def candidate_links(nodes: DataFrame, trees: int = TREES) -> DataFrame:
         first = first.select(
             "path", F.col("first.node").alias("pivot"), F.col("first.n").alias("pivot_n"), F.col("first.signature").alias("pivot_signature")
         )
-        if depth == DEEP:
+        if depth >= DEEP:
             star = large.join(first, "path").filter("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
         else:
             star = arrow_map(large.join(first, "path"), _star, LINKS)
         found, _ = stage(star.distinct(), "star-links")
         links.append(found)
         active, _ = stage(_mixed(large, _union(links)), "open-nodes")
-        if active.isEmpty():
+        further = active.agg(F.max("levels")).first()[0]
+        if further is None or depth >= DEEP:
             break
-        children = arrow_map(active.select("path", "node", "n", "signature"), _children, PATHS)
+        depth += further
+        children = arrow_map(active.select("path", "node", "n", "levels", "signature"), _children, PATHS)
     compared = _union(tiles).join(nodes, "node")
     size = _union(tiles).count() * (4 * WIDTH + 24)
     small = spread(compared.select("tile", "node", "n", "signature"), "tile", size).mapInArrow(by_key("tile", _exhaustive), LINKS)

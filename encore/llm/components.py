@@ -77,7 +77,10 @@ def components(edges: DataFrame) -> DataFrame:
     ends = edges.filter("a != b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low"))
     first, _ = stage(ends, "edges")
     parts = max(1, -(-first.count() // LOCAL))
-    now, _ = stage(first.repartition(parts, "low").mapInArrow(_stars, "high long, low long"), "edges")
+    # by both ends, so that a node of any degree is dealt out
+    dealt = first.repartition(parts, "high", "low")
+    parts = dealt.rdd.getNumPartitions()
+    now, _ = stage(dealt.mapInArrow(_stars, "high long, low long"), "edges")
     state = None
     while parts > 1:
         was, state = state, now.agg(F.count("*"), F.sum(F.xxhash64("high", "low") % 1_000_003)).first()
