@@ -77,9 +77,8 @@ def components(edges: DataFrame) -> DataFrame:
     ends = edges.filter("a != b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low"))
     first, _ = stage(ends, "edges")
     parts = max(1, -(-first.count() // LOCAL))
-    # by both ends, so that a node of any degree is dealt out
-    dealt = first.repartition(parts, "high", "low")
-    parts = dealt.rdd.getNumPartitions()
+    # several parts are dealt by both ends, so that a node of any degree is dealt out
+    dealt = first.repartition(parts, "high", "low") if parts > 1 else first.repartition(1)
     now, _ = stage(dealt.mapInArrow(_stars, "high long, low long"), "edges")
     state = None
     while parts > 1:
