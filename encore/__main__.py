@@ -3,7 +3,9 @@
     create  OUT                     drop the tables and create them empty
     etl     OUT --logs L --songs S  load the files and insert into all tables
     run     OUT --logs L --songs S  both of the above; a rerun gives the same tables
-    layout  OUT --buckets N --database D    bucketed and sorted copies of the joined tables
+    layout  OUT --buckets N --database D    bucketed and sorted copies of the joined tables, brought up to date
+    compact OUT                     the inserts of each table in one
+    vacuum  OUT                     delete folders that no table has any more
     check   OUT                     violations of the declared constraints
     top-songs | top-artists  OUT --year Y [--top K] [--database D]
     sql     OUT "SELECT ..." --to PATH      any query on the tables by name
@@ -19,7 +21,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from encore.operators.quality import check_all
-from encore.plans.pipeline import APPEND, run_pipeline
+from encore.plans.pipeline import APPEND, OVERWRITE, run_pipeline, stored_month_counts
 from encore.plans.reports import top_artists, top_songs
 from encore.schemas import TABLES
 from encore.session import DEFAULTS
@@ -37,7 +39,8 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("out", help="root folder of the tables")
         return sub
 
-    command("create")
+    for name in ("create", "compact", "vacuum"):
+        command(name)
     for name in ("etl", "run"):
         sub = command(name)
         sub.add_argument("--logs", required=True)
@@ -70,12 +73,16 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
     store = TableStore(spark, args.out)
     if args.command == "create":
         store.rebuild()
-    elif args.command == "etl":
-        run_pipeline(spark, args.logs, args.songs, args.out, APPEND, args.on_bad_record, args.songs_format)
-    elif args.command == "run":
+    elif args.command in ("etl", "run"):
+        mode = APPEND if args.command == "etl" else OVERWRITE
         run_pipeline(
-            spark, args.logs, args.songs, args.out, on_bad_record=args.on_bad_record, songs_format=args.songs_format
+            spark, args.logs, args.songs, args.out, mode, args.on_bad_record, args.songs_format, told=report_load
         )
+    elif args.command == "compact":
+        for name in TABLES:
+            store.compact(name)
+    elif args.command == "vacuum":
+        store.vacuum()
     elif args.command == "layout":
         lay_out(store, args.buckets, args.database)
     elif args.command == "check":
@@ -86,12 +93,18 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
     else:
         tables = read_tables(store, args.database)
         fact, songs, artists, time = (tables[name] for name in ("songplays", "songs", "artists", "time"))
+        counted = stored_month_counts(store)
         if args.command == "top-songs":
-            return top_songs(fact, songs, artists, time, args.year, args.top)
-        return top_artists(fact, artists, time, args.year, args.top)
+            return top_songs(fact, songs, artists, time, args.year, args.top, counted)
+        return top_artists(fact, artists, time, args.year, args.top, counted)
     return None
 
 
+def report_load(counts: dict[str, dict[str, int]]) -> None:
+    for name, found in counts.items():
+        print(f"{name}: {found['read']} records read, {found['left_out']} left out")
+
+
 def deliver(found: DataFrame, args: argparse.Namespace) -> None:
     """Write a whole result, or print the rows asked for."""
     if args.to is not None:

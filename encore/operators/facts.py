@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.calendar import epoch_ms_to_ts
@@ -77,7 +77,7 @@ def _catalogue(artists: DataFrame, songs: DataFrame) -> DataFrame:
 
 def numbered_songplays(
     events: DataFrame, artists: DataFrame, songs: DataFrame, start: int = 0
-) -> tuple[DataFrame, str]:
+) -> tuple[DataFrame, list[str]]:
     """Fact rows with ``songplay_id``, numbered from ``start`` by EVENT_ORDER, name and SONG_ORDER.
 
     The order goes by events first, so ids are known before the fan-out: an event's rows
@@ -87,11 +87,16 @@ def numbered_songplays(
 
     Names that no artist has drop out before. One name with several artists shares an
     event's ids among the catalogue rows of all of them. Returns the rows and the staged
-    path that may be discarded after use.
+    paths that may be discarded after use.
     """
-    by_song = Window.partitionBy("_name").orderBy(*SONG_ORDER)
-    catalogue = _catalogue(artists, songs).withColumn("_place", F.row_number().over(by_song) - 1)
-    fan = catalogue.groupBy("_name").agg(F.count("*").alias("_fan"))
+    # An artist's songs are numbered by running sums over ranges, never in one task per name.
+    alike = _catalogue(artists, songs).groupBy("_name", *SONG_ORDER).agg(F.count("*").alias("_rows"))
+    summed, songs_path = with_offsets(alike, ["_name", *SONG_ORDER], "_rows", "_at", "_songs")
+    fan = summed.groupBy("_name").agg(F.sum("_rows").alias("_fan"), F.min("_at").alias("_first"))
+    placed = summed.join(fan.select("_name", "_first"), "_name").withColumn("_start", F.col("_at") - F.col("_first"))
+    each_row = F.explode(F.sequence("_start", F.col("_start") + F.col("_rows") - 1)).alias("_place")
+    catalogue = placed.select("_name", *SONG_ORDER, each_row)
+    fan = fan.select("_name", "_fan")
     alike = _play_columns(events).groupBy(*EVENT_ORDER, "_name").agg(F.count("*").alias("_copies"))
     wide = alike.join(fan, "_name").withColumn("_width", F.col("_copies") * F.col("_fan"))
     spread, path = with_offsets(wide, [*EVENT_ORDER, "_name"], "_width", "_offset", RANGE)
@@ -102,4 +107,4 @@ def numbered_songplays(
     each = each.withColumn("_copy", F.explode(F.sequence("_from", to_copy)))
     number = F.col("_offset") + F.col("_place") * F.col("_copies") + F.col("_copy") + F.lit(start)
     numbered = each.withColumn("songplay_id", number.cast("long"))
-    return numbered.select("songplay_id", *FACT_COLUMNS, RANGE), path
+    return numbered.select("songplay_id", *FACT_COLUMNS, RANGE), [path, songs_path]

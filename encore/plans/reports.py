@@ -74,23 +74,33 @@ def _with_calendar(plays: DataFrame, time: DataFrame | None, year: int | None) -
     return plays.join(calendar, "start_time")
 
 
+def month_counts(fact: DataFrame, time: DataFrame | None, year: int | None = None) -> DataFrame:
+    """Rows of the fact joined with its calendar, as ``plays`` per song, artist, month and year.
+
+    Counts of parts of the fact add up, and so do those of parts of the calendar. ``time`` may
+    be None to compute the calendar instead of joining it; see ``_with_calendar``.
+    """
+    dated = _with_calendar(fact.select("start_time", "song_id", "artist_id"), time, year)
+    return dated.groupBy("song_id", "artist_id", "month", "year").agg(F.count("*").alias("plays"))
+
+
 def plays_per_song_month(
     fact: DataFrame,
     songs: DataFrame,
     artists: DataFrame,
     time: DataFrame | None,
     year: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of the star join per song, fact artist, artist name, month and year.
 
     Songs with several rows and artists with several rows multiply the count,
     as in the plain join. Here they multiply one number per song and month and
-    not the fact rows. ``time`` may be None to compute the calendar instead of
-    joining it; see ``_with_calendar``.
+    not the fact rows. ``counted`` may be the ready ``month_counts`` of the whole fact.
     """
-    keys = ["song_id", "artist_id", "month", "year"]
-    dated = _with_calendar(fact.select("start_time", "song_id", "artist_id"), time, year)
-    counted = dated.groupBy(*keys).agg(F.count("*").alias("_plays"))
+    counted = month_counts(fact, time, year) if counted is None else counted
+    if year is not None:
+        counted = in_year(counted, year)
     titles = songs.groupBy("song_id", "title", F.col("artist_id").alias("_song_artist")).agg(
         F.count("*").alias("_song_rows")
     )
@@ -99,7 +109,8 @@ def plays_per_song_month(
     )
     plays = F.sum(F.col("_plays") * F.col("_song_rows") * F.col("_artist_rows"))
     return (
-        counted.join(titles, "song_id")
+        counted.withColumnRenamed("plays", "_plays")
+        .join(titles, "song_id")
         .join(names, "_song_artist")
         .groupBy("song_id", "title", "artist_id", "name", "month", "year")
         .agg(plays.alias("plays"))
@@ -107,17 +118,24 @@ def plays_per_song_month(
 
 
 def plays_per_artist(
-    fact: DataFrame, artists: DataFrame, time: DataFrame | None, year: int | None = None
+    fact: DataFrame,
+    artists: DataFrame,
+    time: DataFrame | None,
+    year: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of artists joined with the fact, per artist id and name.
 
     One play is a fact row per song of its artist. These fold into one row on
-    the map side, before the join with the calendar shuffles them.
+    the map side, before the join with the calendar shuffles them. ``counted`` may be
+    the ready ``month_counts`` of the whole fact.
     """
-    folded = fact.groupBy("artist_id", "start_time").agg(F.count("*").alias("_rows"))
-    counted = (
-        _with_calendar(folded, time, year).groupBy("artist_id").agg(F.sum("_rows").alias("_plays"))
-    )
+    if counted is None:
+        folded = fact.groupBy("artist_id", "start_time").agg(F.count("*").alias("_rows"))
+        dated = _with_calendar(folded, time, year)
+    else:
+        dated = (counted if year is None else in_year(counted, year)).withColumnRenamed("plays", "_rows")
+    counted = dated.groupBy("artist_id").agg(F.sum("_rows").alias("_plays"))
     names = artists.groupBy("artist_id", "name").agg(F.count("*").alias("_artist_rows"))
     plays = F.sum(F.col("_plays") * F.col("_artist_rows"))
     return counted.join(names, "artist_id").groupBy("artist_id", "name").agg(plays.alias("plays"))
@@ -130,15 +148,21 @@ def top_songs(
     time: DataFrame | None,
     year: int,
     k: int = 5,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """The most played songs of a year, each month on its own."""
-    plays = plays_per_song_month(fact, songs, artists, time, year)
+    plays = plays_per_song_month(fact, songs, artists, time, year, counted)
     return top_k(plays, "plays", k, ["song_id", "month", "artist_id", "title", "name"])
 
 
 def top_artists(
-    fact: DataFrame, artists: DataFrame, time: DataFrame | None, year: int, k: int = 5
+    fact: DataFrame,
+    artists: DataFrame,
+    time: DataFrame | None,
+    year: int,
+    k: int = 5,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """The most played artists of a year."""
-    plays = plays_per_artist(fact, artists, time, year)
+    plays = plays_per_artist(fact, artists, time, year, counted)
     return top_k(plays, "plays", k, ["artist_id", "name"])

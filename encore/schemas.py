@@ -183,3 +183,15 @@ TABLES = {
     t.name: t
     for t in (STAGING_EVENTS, STAGING_SONGS, USERS, ARTISTS, SONGS, TIME, SONGPLAYS)
 }
+
+# Made from the fact and the calendar by inserts: rows of their join per song, artist and month.
+PLAYS_BY_MONTH = Table(
+    "plays_by_month",
+    (
+        Column("song_id", TEXT, 18),
+        Column("artist_id", TEXT, 18),
+        Column("month", INT),
+        Column("year", INT),
+        Column("plays", LONG),
+    ),
+)

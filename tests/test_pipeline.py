@@ -65,7 +65,8 @@ def test_tables_reports_and_reruns(spark, files, tmp_path):
     assert ids == (9 * 340, 9 * 340 - 1)
 
 
-def test_play_without_user_aborts_the_fact_only(spark, tmp_path):
+def test_play_without_user_aborts_the_run(spark, tmp_path):
+    """All tables change together: those of the run before stay, and nothing of this one is left."""
     logs, songs = tmp_path / "logs", tmp_path / "songs"
     logs.mkdir(), songs.mkdir()
     (logs / "a.json").write_text(
@@ -73,11 +74,18 @@ def test_play_without_user_aborts_the_fact_only(spark, tmp_path):
         '{"userId": "1", "artist": "A", "page": "Home", "ts": 6, "sessionId": 1}\n'
     )
     (songs / "a.json").write_text('{"song_id": "S", "title": "T", "artist_id": "X", "artist_name": "A"}')
-    with pytest.raises(Exception, match="songplays.user_id must not be NULL"):
-        run_pipeline(spark, str(logs), str(songs), str(tmp_path / "out"))
-    store = TableStore(spark, str(tmp_path / "out"))
-    assert store.read("users").count() == 1 and store.read("time").count() == 2
-    assert store.read("songplays").count() == 0
+    good = tmp_path / "good"
+    good.mkdir()
+    (good / "a.json").write_text('{"userId": "1", "artist": "A", "page": "NextSong", "ts": 7, "sessionId": 1}')
+    out = tmp_path / "out"
+    store = run_pipeline(spark, str(good), str(songs), str(out))
+    before, folders = counts(store), sorted(p.name for p in out.glob("*/*"))
+    assert before["songplays"] == 1
+    for mode in ("overwrite", APPEND):
+        with pytest.raises(Exception, match="songplays.user_id must not be NULL"):
+            run_pipeline(spark, str(logs), str(songs), str(out), mode)
+        assert counts(store) == counts(TableStore(spark, str(out))) == before
+        assert sorted(p.name for p in out.glob("*/*")) == folders
 
 
 def test_unknown_mode(spark, tmp_path):

@@ -193,7 +193,18 @@ def test_ids_compute_the_fan_out_once(store, no_broadcast):
     numbered, _ = numbered_songplays(*map(store.read, ("staging_events", "artists", "songs")))
     text = plan(numbered)
     assert "rangepartitioning" not in text  # of events only, before
-    assert text.count("FileScan parquet") == 4  # staged events twice, artists, songs
+    scans = [line for line in text.split("\n") if "FileScan parquet" in line]
+    assert sum("session_id" in line for line in scans) == 1  # events that fan out, dealt by time before
+    assert all("/encore-identity-" in line or "InMemoryFileIndex" in line for line in scans)
+
+
+def test_songs_of_a_hot_artist_are_numbered_by_ranges(store):
+    """No window holds a name: a third of all songs under one name are as many tasks as others."""
+    star = [store.read(n) for n in ("staging_events", "artists", "songs")]
+    numbered, _ = numbered_songplays(*star)
+    text = numbered._jdf.queryExecution().optimizedPlan().toString()
+    windows = re.findall(r"Window \[.*\], \[([^\]]*)\], \[[^\]]*\]$", text, re.M)
+    assert windows and not any("_name" in w for w in windows)
 
 
 def test_bucket_is_the_one_spark_writes(spark, tmp_path):
