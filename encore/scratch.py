@@ -12,12 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where it is unset, a folder below the warehouse.
+    """``spark.checkpoint.dir`` of the session; where it is unset on one machine, a folder below the warehouse.
 
-    Executors reach both, unlike a temporary folder of one machine.
+    On a cluster it has to be set: nothing else is known to be reached by all executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_encore_scratch").rstrip("/")
+    if not root:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_encore_scratch"
+    return root.rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
