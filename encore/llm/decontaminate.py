@@ -35,6 +35,7 @@ from encore.llm.textarrays import Slice, distinct, mix, shingles, slices, words
 THRESHOLD = 75  # per cent
 PERMUTATIONS = 32
 BLOCK = 50_000
+BLOCK_BYTES = 64 << 20  # of item texts
 
 _FACTOR = mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -42,9 +43,10 @@ _FACTOR = mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64)) | np.uint64(1)
 class Items:
     """Signatures and shingle sets of a block of items."""
 
-    def __init__(self, ids: list, texts: list[str], threshold: int):
+    def __init__(self, ids: list, texts: list[str], threshold: int, times: list[int] | None = None):
         self.threshold = threshold
         self.ids: list = []
+        self.times: list[int] = []  # how often each item occurs
         self.sets: list[np.ndarray] = []
         at = 0
         for s in slices(pa.array(texts, pa.string())):
@@ -52,6 +54,7 @@ class Items:
             for a, b in zip(first[:-1], first[1:], strict=True):
                 if b > a:
                     self.ids.append(ids[at])
+                    self.times.append(times[at] if times else 1)
                     self.sets.append(distinct(values[a:b]))
                 at += 1
         size = np.array([len(x) for x in self.sets], np.int64)
@@ -126,11 +129,16 @@ def _halved(low: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def item_blocks(items: DataFrame, threshold: int, block: int = BLOCK) -> Iterator[Items]:
-    known = items.filter("text is not null").select("item_id", "text")
-    parts = max(1, -(-known.count() // (block // 2 or 1)))
+    """Items dealt out so that a block has about half of ``block`` items and of ``BLOCK_BYTES`` at most.
+
+    Equal rows are one item, reported as often as it occurs.
+    """
+    known = items.filter("text is not null").groupBy("item_id", "text").agg(F.count("*").alias("times"))
+    number, size = known.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    parts = max(1, -(-number // (block // 2 or 1)), -(-(size or 0) // (BLOCK_BYTES // 2)))
     for part in range(parts):
         rows = known.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
-        yield Items([r.item_id for r in rows], [r.text for r in rows], threshold)
+        yield Items([r.item_id for r in rows], [r.text for r in rows], threshold, [r.times for r in rows])
 
 
 def _matches(docs: DataFrame, block: Items) -> DataFrame:
@@ -138,6 +146,7 @@ def _matches(docs: DataFrame, block: Items) -> DataFrame:
         ids = take_column(batch, "doc_id")
         for s in slices(take_column(batch, "text")):
             found = list(block.held(s))
+            found = [pair for pair in found for _ in range(block.times[pair[1]])]
             if found:
                 row, item, common = map(list, zip(*found, strict=True))
                 size = [len(block.sets[i]) for i in item]

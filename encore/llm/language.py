@@ -79,15 +79,17 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 def visible(html: Column) -> Column:
-    bare = F.regexp_replace(html, r"(?is)<(script|style)\b[^>]*+>.*?</\1\s*+>|<!--.*?-->", " ")
-    return F.regexp_replace(F.regexp_replace(bare, r"<[^>]*+>", " "), r"&[#A-Za-z0-9]++;", " ")
+    """The text between tags. What is opened and not closed goes on to the end, so no part is read twice."""
+    tag = r"<(script|style)\b[^>]*+(?:>(?:.*?</\1\s*+>|.*+)|\z)"
+    bare = F.regexp_replace(html, rf"(?is){tag}|<!--(?:.*?-->|.*+)", " ")
+    return F.regexp_replace(F.regexp_replace(bare, r"<[^>]*+(?:>|\z)", " "), r"&[#A-Za-z0-9]++;", " ")
 
 
 def clues(pages: DataFrame) -> DataFrame:
     """page_id and what its markup and address say."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*+://([^/?#:@]++)", 1))
     code = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^/?#]*+//[^/?#]*+/([A-Za-z]{2})(?:[/?#-]|$)", 1))
-    declared = F.regexp_extract(F.coalesce("html", F.lit("")), r"(?is)<html\b[^>]*?\blang\s*+=\s*+[\"']?([A-Za-z]++)", 1)
+    declared = F.regexp_extract(F.coalesce("html", F.lit("")), r"(?is)<html\b[^<>]*?\blang\s*+=\s*+[\"']?([A-Za-z]++)", 1)
     labels = F.split("host", r"\.")
     return (
         pages.select("page_id", visible(F.coalesce("html", F.lit(""))).alias("text"), F.lower(declared).alias("declared"),
@@ -109,19 +111,20 @@ def text_evidence(pages: DataFrame, model: np.ndarray) -> DataFrame:
             for s in slices(take_column(batch, "text"), 1 << 20):
                 slot, row = trigrams(s)
                 n = np.bincount(row, minlength=len(s))
-                total = np.column_stack([np.bincount(row, table[slot, k], len(s)) for k in range(languages)])
+                total = np.column_stack([np.bincount(row, table[slot, k], len(s)) for k in range(languages)]).astype(np.float64)
                 total *= (np.minimum(n, TRIGRAMS) / np.maximum(n, 1))[:, None]
                 total -= total.max(1, keepdims=True)
                 part = batch.slice(s.first, len(s))
                 yield batch_of(
                     **{c: take_column(part, c) for c in rest},
+                    trigrams=n.astype(np.int64),
                     likelihood=pa.ListArray.from_arrays(
                         np.arange(0, languages * len(s) + 1, languages, dtype=np.int32), pa.array(total.ravel())
                     ),
                 )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields if f.name != "text")
-    return pages.mapInArrow(job, f"{schema}, likelihood array<double>")
+    return pages.mapInArrow(job, f"{schema}, trigrams long, likelihood array<double>")
 
 
 def _softmax(logs: Column) -> Column:
@@ -147,9 +150,9 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     if not n:
         none = [F.lit(None).cast(t).alias(c) for c, t in (("lang", "string"), ("probability", "double"))]
         return found.select("page_id", *none, F.lit(None).cast("string").alias("text_lang"), "declared", "suffix", "host")
-    scored, _ = stage(
-        text_evidence(found, model).withColumn("share", _softmax(F.col("likelihood"))), "page-evidence"
-    )
+    # a page without text says nothing about its host, address or markup
+    share = F.when(F.col("trigrams") > 0, _softmax(F.col("likelihood"))).otherwise(F.array(*[F.lit(0.0)] * n))
+    scored, _ = stage(text_evidence(found, model).withColumn("share", share), "page-evidence")
     overall = scored.agg(*[F.sum(F.get("share", F.lit(k))) for k in range(n)]).first()
     overall = np.array([v or 0.0 for v in overall]) + ADD
     everywhere = F.array(*map(F.lit, (overall / overall.sum()).tolist()))
@@ -190,6 +193,6 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
         .withColumn("fused", _softmax(F.col("logs")))
         .select(
             "page_id", best(F.col("fused")).alias("lang"), F.array_max("fused").alias("probability"),
-            best(F.col("likelihood")).alias("text_lang"), "declared", "suffix", "host",
+            F.when(F.col("trigrams") > 0, best(F.col("likelihood"))).alias("text_lang"), "declared", "suffix", "host",
         )
     )

@@ -30,18 +30,19 @@ empty tables give empty results. Other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.scratch import stage
 
 TIE, DOT = "\ue000", "\ue001"
-ROUNDS = 3
 SMOOTH = 2.0
 TRUSTED = 0.6
 SUPPORT = 3
 ACCEPT = 0.8
-NEAR = 40  # characters next to a match that its context is taken from
+NEAR = 40  # characters next to a match that its context is taken from; of a longer word, its nearest ones
 
 BASE = ("email", "ip", "card", "phone")
 #: Kind -> regular expression over the prepared text. ``\G`` is the end of the match before.
@@ -155,10 +156,15 @@ def patterns(spans: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def score_instances(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(instance, confidence) of those that are no seeds, after some rounds over the graph."""
+def score_instances(edges: DataFrame, accept: float = ACCEPT, rounds: int | None = None) -> DataFrame:
+    """(instance, confidence) of those that are no seeds, after rounds over the graph.
+
+    Confidences only grow, so rounds go on until one neither brings a trusted pattern to an
+    instance that had none nor an instance to ``accept``; or as many as said.
+    """
     scored = edges.select("instance", F.col("seed").cast("double").alias("confidence")).distinct()
-    for _ in range(rounds):
+    was = None
+    for _ in itertools.count() if rounds is None else range(rounds):
         trusted = (
             edges.join(scored, "instance", "left")  # instances without a confidence count as well, as 0
             .groupBy("pattern")
@@ -171,16 +177,20 @@ def score_instances(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         )
         seeds = edges.filter("seed").select("instance", F.lit(1.0).alias("confidence")).distinct()
         scored, _ = stage(seeds.unionByName(found), "confidence")
+        now = scored.agg(F.count("*"), F.count_if(F.col("confidence") >= accept)).first()
+        if now == was:
+            break
+        was = now
     return scored.join(edges.filter("not seed").select("instance").distinct(), "instance", "left_semi")
 
 
-def extract(docs: DataFrame, rounds: int = ROUNDS, accept: float = ACCEPT) -> tuple[DataFrame, DataFrame]:
+def extract(docs: DataFrame, rounds: int | None = None, accept: float = ACCEPT) -> tuple[DataFrame, DataFrame]:
     """Rows (row, doc_id) of all documents, and their spans (row, kind, start, stop, match)."""
     hits = find_hits(docs.select("doc_id", "text"))
     rows = hits.select("row", "doc_id")
     spans, _ = stage(_without_overlap(find_spans(hits)), "spans")
     edges, _ = stage(patterns(spans), "patterns")
-    sure = score_instances(edges, rounds).filter(F.col("confidence") >= accept)
+    sure = score_instances(edges, accept, rounds).filter(F.col("confidence") >= accept)
     more = spans.filter("kind = 'id'").withColumn("instance", F.md5(F.concat_ws(" ", "kind", "match")))
     more = more.join(sure.select("instance"), "instance", "left_semi")
     columns = ["row", "kind", "start", "stop", "match"]

@@ -207,7 +207,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, table: np.ndarray, we
                 x=pa.array([r.tobytes() for r in x], pa.binary()),
             )
 
-    got = arrow_map(rows, job, "doc_id long, y double, x binary").toArrow()
+    # ids are few, but rows that share one may be many
+    got = arrow_map(rows, job, "doc_id long, y double, x binary").orderBy(F.xxhash64("doc_id"), "x").limit(TRAIN_ROWS).toArrow()
     y = got.column("y").to_numpy()
     if not len(y) or y.min() == y.max():
         return Constant(float(y.mean()) if len(y) else 1.0)

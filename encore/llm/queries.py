@@ -169,6 +169,32 @@ FROM documents d LEFT JOIN size ON size.id = d.doc_id
 JOIN (SELECT id, min(to_id) AS component_id FROM reach GROUP BY id) r ON r.id = d.doc_id"""
 
 
+def _closing(n: int) -> str:
+    """The documents that would close the gaps after ``n`` more draws, best first, and what is then missed."""
+    return f"""gap{n} AS (
+    SELECT source, max(rest) - coalesce(sum(size) FILTER (sampled), 0) AS gap FROM drawn{n} WHERE q IS NOT NULL GROUP BY source),
+closing{n} AS MATERIALIZED (
+    SELECT d.doc_id, d.source, d.size, d.repeat, abs(d.size - gap) AS miss,
+           row_number() OVER (PARTITION BY d.source ORDER BY abs(d.size - gap), q, d.doc_id, d.size, d.repeat) AS place
+    FROM drawn{n} d JOIN gap{n} g ON g.source IS NOT DISTINCT FROM d.source
+    WHERE NOT sampled AND q IS NOT NULL AND abs(d.size - gap) < gap),
+miss{n} AS (
+    SELECT g.source, coalesce(c.miss, g.gap) AS miss
+    FROM gap{n} g LEFT JOIN closing{n} c ON c.place = 1 AND c.source IS NOT DISTINCT FROM g.source),
+"""
+
+
+def _refill(n: int) -> str:
+    """Another draw among the documents that fit into what is left."""
+    return f"""drawn{n + 1} AS MATERIALIZED (
+    SELECT * EXCLUDE (sampled, left_over, fits),
+           sampled OR (fits AND sum(CASE WHEN fits THEN size ELSE 0 END) OVER (
+               PARTITION BY source ORDER BY q NULLS LAST, doc_id, repeat, size ROWS UNBOUNDED PRECEDING) <= left_over) AS sampled
+    FROM (SELECT *, rest - coalesce(sum(size) FILTER (sampled) OVER (PARTITION BY source), 0) AS left_over,
+                 q IS NOT NULL AND NOT sampled AND size <= left_over AS fits FROM drawn{n})),
+"""
+
+
 SQL: dict[str, str] = {
     "op12_centroids": f"""
 WITH vec AS MATERIALIZED (
@@ -263,21 +289,25 @@ plan AS (
            target - certain * source_size AS rest, ratio - certain AS fraction FROM aim),
 odds AS (
     SELECT d.*, p.source_size, p.target, p.certain, p.rest,
-           (('0x' || substr(md5(concat_ws('|', '1', d.doc_id, d.repeat)), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u,
+           (('0x' || substr(md5(concat_ws('|', '1', coalesce(d.doc_id::VARCHAR, ''), d.repeat)), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u,
            p.fraction / (1 - p.fraction) * ((d.size * p.n_docs)::DOUBLE / nullif(p.source_size, 0)) AS inclusion,
            CASE WHEN inclusion > 0 THEN (u / (1 - u)) / inclusion END AS q
     FROM numbered d JOIN plan p ON p.source IS NOT DISTINCT FROM d.source),
-drawn AS (
+drawn0 AS MATERIALIZED (
     SELECT *, q IS NOT NULL AND sum(size) FILTER (q IS NOT NULL) OVER (
         PARTITION BY source ORDER BY q NULLS LAST, doc_id, repeat, size ROWS UNBOUNDED PRECEDING) <= rest AS sampled
     FROM odds),
-gap AS (
-    SELECT source, max(rest) - coalesce(sum(size) FILTER (sampled), 0) AS gap FROM drawn WHERE q IS NOT NULL GROUP BY source),
+""" + "".join(_refill(n) for n in range(8)) + """""" + _closing(0) + _closing(8) + """best AS (
+    SELECT a.source, b.miss < a.miss AS refilled FROM miss0 a JOIN miss8 b ON b.source IS NOT DISTINCT FROM a.source),
+drawn AS (
+    SELECT o.* EXCLUDE (sampled), CASE WHEN b.refilled THEN r.sampled ELSE o.sampled END AS sampled
+    FROM drawn0 o JOIN drawn8 r ON r.doc_id IS NOT DISTINCT FROM o.doc_id AND r.source IS NOT DISTINCT FROM o.source
+        AND r.size = o.size AND r.repeat = o.repeat
+    LEFT JOIN best b ON b.source IS NOT DISTINCT FROM o.source),
 closing AS (
-    SELECT d.doc_id, d.source, d.size, d.repeat,
-           row_number() OVER (PARTITION BY d.source ORDER BY abs(d.size - gap), q, d.doc_id, d.size, d.repeat) AS place
-    FROM drawn d JOIN gap g ON g.source IS NOT DISTINCT FROM d.source
-    WHERE NOT sampled AND q IS NOT NULL AND abs(d.size - gap) < gap)
+    SELECT c.* FROM closing0 c JOIN best b ON b.source IS NOT DISTINCT FROM c.source WHERE NOT refilled
+    UNION ALL
+    SELECT c.* FROM closing8 c JOIN best b ON b.source IS NOT DISTINCT FROM c.source WHERE refilled)
 SELECT d.doc_id, d.size, d.source_size, d.target,
        CASE WHEN d.size > 0 THEN (certain + (sampled OR c.place IS NOT NULL)::BIGINT) * d.size ELSE 0 END::BIGINT AS taken
 FROM drawn d LEFT JOIN closing c ON c.place = 1 AND c.doc_id IS NOT DISTINCT FROM d.doc_id

@@ -12,10 +12,9 @@ divided by inclusion odds and taken in that order as long as the words fit. The
 size in words is thus fixed beforehand. The place left over goes to the one document whose
 size closes the gap best, if any does.
 
-Without ``fill`` the draw ends at the first document that does not fit, as the SQL of
-``op4_source_mix`` has it; a document longer than the place left can then cost a source most of
-its sample. With ``fill`` it goes on in rank order past such documents: it is repeated with the
-place left over among the documents no larger than that, until none fits.
+A document longer than the place left can cost a source much of its sample. The draw is therefore
+repeated up to ``REFILLS`` times with the place left over, among the documents no larger than that, and a
+source keeps what this gives if it comes nearer to the target.
 
 Rank order within a source needs no task that holds the source: the rank statistic is cut
 into ``BUCKETS`` ranges, words are summed per range, and only the range that the cut falls
@@ -38,6 +37,7 @@ from encore.scratch import stage
 
 WEIGHTS = (1, 2, 3)
 CEILING = 3
+REFILLS = 8  # draws after the first, among the documents that fit into what is left
 BUCKETS = 4096
 KEY = ("doc_id", "source", "size", "repeat")
 
@@ -126,8 +126,27 @@ def _gaps(drawn: DataFrame, extra: DataFrame) -> DataFrame:
     return both.groupBy(F.col("source").alias("gap_source")).agg((F.max("rest") - F.sum("words")).alias("gap"))
 
 
+def _closed(drawn: DataFrame, taken: DataFrame, small: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, str]:
+    """(KEY, miss): by source the document that closes the gap best, null where none does, and the words then missed."""
+    key = list(KEY)
+    gaps = _gaps(drawn, taken)
+    had = taken.select(*[F.col(c).alias(f"x_{c}") for c in key])
+    free = drawn.join(had, [F.col(c).eqNullSafe(F.col(f"x_{c}")) for c in key], "left_anti")
+    miss = F.abs(F.col("size") - F.col("gap"))
+    closing = (
+        free.join(small(gaps), F.col("source").eqNullSafe(F.col("gap_source")))
+        .filter(miss < F.col("gap"))
+        .groupBy(F.col("source").alias("c_source"))
+        .agg(F.min_by(F.struct(*[c for c in key if c != "source"]), F.struct(miss, "q", *key)).alias("doc"), F.min(miss).alias("nearest"))
+    )
+    joined = gaps.join(closing, F.col("gap_source").eqNullSafe(F.col("c_source")), "left")
+    return stage(
+        joined.select(F.col("gap_source").alias("source"), "doc.*", F.coalesce("nearest", "gap").alias("miss")), "closing"
+    )
+
+
 def mix_sources(
-    docs: DataFrame, weights=WEIGHTS, ceiling: int = CEILING, buckets: int = BUCKETS, seed: int = 1, fill: bool = False
+    docs: DataFrame, weights=WEIGHTS, ceiling: int = CEILING, buckets: int = BUCKETS, seed: int = 1, refills: int = REFILLS
 ) -> DataFrame:
     """doc_id, size, source, source_size, target, copies, taken: one row per document."""
     plain = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
@@ -162,7 +181,7 @@ def mix_sources(
     drawn = _draw(ranked.filter("q is not null"), small)
     extra = drawn.filter("sampled")
     unfilled = drawn
-    while fill:
+    for _ in range(refills):
         gaps = _gaps(unfilled, unfilled.filter("sampled"))
         fits = unfilled.filter("not sampled").join(small(gaps), F.col("source").eqNullSafe(F.col("gap_source")))
         fits, _ = stage(fits.filter("size <= gap").select(*key, "q", "bucket", F.col("gap").alias("rest")), "fits")
@@ -170,20 +189,26 @@ def mix_sources(
             break
         unfilled = _draw(fits, small)
         extra = extra.unionByName(unfilled.filter("sampled"))
-    gaps = _gaps(drawn, extra)
-    miss = F.abs(F.col("size") - F.col("gap"))
-    free = drawn.filter("not sampled")
-    if fill:
-        filled = extra.select(*[F.col(c).alias(f"x_{c}") for c in key])
-        free = free.join(filled, [F.col(c).eqNullSafe(F.col(f"x_{c}")) for c in key], "left_anti")
-    closing = (
-        free.join(small(gaps), F.col("source").eqNullSafe(F.col("gap_source")))
-        .filter(miss < F.col("gap"))
-        .groupBy("source")
-        .agg(F.min_by(F.struct(*[c for c in key if c != "source"]), F.struct(miss, "q", *key)).alias("doc"))
-        .select("source", "doc.*")
+    first, _ = _closed(drawn, drawn.filter("sampled"), small)
+    last, _ = _closed(drawn, extra, small)
+    # per source, whether going on came nearer
+    best = first.select(F.col("source").alias("a_source"), F.col("miss").alias("miss")).join(
+        last.select(F.col("source").alias("b_source"), F.col("miss").alias("refilled_miss")),
+        F.col("a_source").eqNullSafe(F.col("b_source")),
+    )
+    best, _ = stage(best.select(F.col("a_source").alias("best_source"), (F.col("refilled_miss") < F.col("miss")).alias("refilled")), "best")
+
+    def of(rows: DataFrame, refilled: bool) -> DataFrame:
+        chosen = best.filter(F.col("refilled") if refilled else ~F.col("refilled"))
+        return rows.join(small(chosen), F.col("source").eqNullSafe(F.col("best_source"))).select(*key)
+
+    closing = [c.filter("size is not null") for c in (first, last)]
+    extra = (
+        of(drawn.filter("sampled"), False)
+        .unionByName(of(closing[0], False))
+        .unionByName(of(extra, True))
+        .unionByName(of(closing[1], True))
     )
-    extra = extra.select(*key).unionByName(closing.select(*key))
     extra = extra.select(*[F.col(c).alias(f"x_{c}") for c in key])
     hit = [F.col(c).eqNullSafe(F.col(f"x_{c}")) for c in key]
     copies = F.col("certain") + F.when(F.col("x_repeat").isNotNull(), 1).otherwise(0)

@@ -250,8 +250,9 @@ class Values:
         n = len(s)
         at, known = self.find(x.word)
         alone = np.where(known, self.alone[at] if len(self.alone) else 0.0, self.constant)
-        total = np.bincount(x.word_row, alone, n)
-        strong = np.bincount(x.word_row, np.where(alone > STRONG, alone, 0), n)
+        # floating also where there is nothing to count
+        total = np.bincount(x.word_row, alone, n).astype(np.float64)
+        strong = np.bincount(x.word_row, np.where(alone > STRONG, alone, 0), n).astype(np.float64)
         at, known = self.find(x.history)
         total += np.bincount(x.gram_row, np.where(known, self.ahead[at] if len(self.ahead) else 0.0, 0.0), n)
         some = np.flatnonzero(known)  # a kept bigram has a kept history
@@ -259,7 +260,7 @@ class Values:
         hit, alone = some[known], self.alone[at[known]]
         total += np.bincount(x.gram_row[hit], alone, n)
         strong += np.bincount(x.gram_row[hit], np.where(alone > STRONG, alone, 0), n)
-        return np.column_stack([total, strong, np.bincount(x.word_row, minlength=n)])
+        return np.column_stack([total, strong, np.bincount(x.word_row, minlength=n).astype(np.float64)])
 
 
 def _with_evidence(docs: DataFrame, values: DataFrame, rows: int) -> DataFrame:
@@ -332,7 +333,8 @@ def score_toxicity(
     values, _ = stage(gram_values(count_grams(learning)), "toxic-values")
     sample = known.filter(aside).orderBy(F.xxhash64("doc_id")).limit(CALIBRATION_ROWS)
     rows = _with_evidence(text.join(F.broadcast(sample), "doc_id"), values, model_rows)
-    got = rows.select("y", *EVIDENCE).toArrow()
+    # ids are few, but rows that share one may be many
+    got = rows.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(CALIBRATION_ROWS).select("y", *EVIDENCE).toArrow()
     y = got.column("y").to_numpy()
     weights = np.zeros(6)
     if len(y) and 0 < y.mean() < 1:

@@ -1,0 +1,200 @@
+"""Inputs that once crashed an operator or gave wrong rows."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from encore.llm import decontaminate, hnsw
+from encore.llm.decontaminate import item_blocks, matches
+from encore.llm.hnsw import Graph, nearest_neighbours
+from encore.llm.language import identify, visible
+from encore.llm.line_dedup import dedup_lines
+from encore.llm.ngram_join import near_duplicates
+from encore.llm.pii import extract, score_instances
+from encore.llm.quality import score_quality
+from encore.llm.source_mix import mix_sources
+from encore.llm.suffixes import repeated_passages
+from encore.llm.textarrays import hashes
+from encore.llm.toxicity import score_toxicity
+
+
+def thue_morse(n=1024):
+    """A line and its complement, which any polynomial modulo 2^64 maps to the same value."""
+    line = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return line, line.translate(str.maketrans("ab", "ba"))
+
+
+def test_hashes_tell_thue_morse_words_apart():
+    one, two = thue_morse()
+    data = np.frombuffer((one + two + one).encode(), np.uint8)
+    for seed in (0, 1):
+        h = hashes(data, np.array([0, 1024, 2048]), np.array([1024, 2048, 3072]), seed=seed)
+        assert h[0] == h[2] != h[1]
+    assert hashes(data, np.array([0]), np.array([1024]))[0] != hashes(data, np.array([0]), np.array([1024]), seed=1)[0]
+
+
+def test_thue_morse_texts_are_different_texts(spark):
+    one, two = thue_morse()
+    docs = spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string")
+    assert [r.lines_dropped for r in dedup_lines(docs).collect()] == [0, 0]
+    assert sorted((r.doc_id, r.component_id) for r in near_duplicates(docs).collect()) == [(1, 1), (2, 2)]
+    items = spark.createDataFrame([(7, two)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in matches(docs, items).collect()] == [(2, 7)]
+    # a passage of 60 words in which every word is of one kind or of the other
+    tail = " ".join(f"w{k}" for k in range(60))
+    long = spark.createDataFrame([(1, " ".join([one] * 60)), (2, " ".join([two] * 60)), (3, tail)], "doc_id long, text string")
+    assert not {r.doc_id for r in repeated_passages(long).collect()} & {3}
+
+
+def labelled(spark, n=60):
+    docs = spark.createDataFrame([(k, "awful nasty words" if k % 2 else "kind and gentle words") for k in range(n)], "doc_id long, text string")
+    return docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"), (F.col("doc_id") % 2).cast("int").alias("quality"))
+
+
+def test_batches_without_text(spark):
+    docs, labels = labelled(spark)
+    empty = spark.range(1000, 1300).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "").alias("text"))
+    both = docs.coalesce(1).unionByName(empty.coalesce(1))
+    for score in (score_toxicity, score_quality):
+        rows = score(both, labels).collect()
+        assert len(rows) == 360 and all(0 <= r.score <= 1 for r in rows)
+        only = score(empty, labels).collect()
+        assert len(only) == 300 and all(0 <= r.score <= 1 for r in only)
+
+
+@pytest.mark.parametrize("score, limit", [(score_toxicity, "toxicity.CALIBRATION_ROWS"), (score_quality, "quality.TRAIN_ROWS")])
+def test_one_id_on_a_third_of_the_rows_is_bounded(spark, monkeypatch, score, limit):
+    monkeypatch.setattr(f"encore.llm.{limit}", 20)
+    docs, labels = labelled(spark)
+    many = docs.unionByName(spark.range(600).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("more "), "id").alias("text")))
+    assert len(score(many, labels).collect()) == 660
+
+
+def test_pages_without_text_say_nothing(spark):
+    docs = spark.createDataFrame(
+        [("the cat and the dog went to the house", "en"), ("der hund und die katze gehen in das haus", "de")] * 4, "text string, lang string"
+    )
+    page = "<p>the dog and the cat are in the house</p>"
+    pages = [(1, "http://a.example/x", page), *[(10 + k, "http://a.example/y", "<p></p>") for k in range(300)]]
+    schema = "page_id long, url string, html string"
+    alone = identify(spark.createDataFrame(pages[:1], schema), docs).first()
+    got = {r.page_id: r for r in identify(spark.createDataFrame(pages, schema).coalesce(1), docs).collect()}
+    assert got[1].lang == "en" and abs(got[1].probability - alone.probability) < 1e-9
+    assert got[10].text_lang is None and got[10].lang is not None
+    none = identify(spark.createDataFrame([(1, None, None), (2, "", "")], schema), docs).collect()
+    assert [r.text_lang for r in none] == [None, None]
+
+
+def test_unclosed_tags_are_read_once(spark):
+    html = ["<script>" * 40_000, "<script " * 40_000, "<!--" * 40_000, "<" * 200_000, "a<b>c</b><script>x</script>d<!-- e -->f<i"]
+    df = spark.createDataFrame([(h,) for h in html], "html string").coalesce(1)
+    seen = [r[0].split() for r in df.select(visible(F.col("html"))).collect()]
+    assert seen == [[], [], [], [], ["a", "c", "d", "f"]]
+
+
+def best(rows, k=20):
+    """(query_id, vec_id) of the nearest by brute force, for ids divisible by 20."""
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    out = set()
+    for q in np.flatnonzero(ids % 20 == 0):
+        score = x @ x[q]
+        score[q] = -np.inf
+        out |= {(int(ids[q]), int(ids[n])) for n in np.lexsort((ids, -score))[:k]}
+    return out
+
+
+@pytest.mark.parametrize("scale", [[1e25], [1e-30], [1.0] * 599 + [1e6], [1e-12, 1.0, 1e9, 1e18]])
+def test_vectors_of_any_length(spark, scale):
+    rng = np.random.default_rng(2)
+    rows = [(k, (rng.normal(size=16) * scale[k % len(scale)]).tolist()) for k in range(600)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id) for r in nearest_neighbours(vectors, F.col("vec_id") % 20 == 0).collect()}
+    want = best(rows)
+    assert len(got) == len(want) and len(got & want) >= 0.95 * len(want)
+
+
+def test_recall_at_the_largest_shard():
+    """Independent vectors of 64 components, the hardest there are."""
+    rng = np.random.default_rng(3)
+    x, queries = rng.normal(size=(hnsw.SHARD_NODES, 64)), rng.normal(size=(100, 64))
+    graph = Graph.build(hnsw._same_length(x), hnsw._levels(len(x), 1))
+    found = graph.search(np.column_stack([queries, np.zeros(100)]).astype(np.float32), hnsw.BEAM_SEARCH)
+    exact = np.argsort(-(queries @ x.T), 1)[:, :20]
+    assert np.mean([len(set(f) & set(e)) / 20 for f, e in zip(found.tolist(), exact.tolist(), strict=True)]) >= 0.94
+
+
+def plain_confidence(edges, accept=0.8, smooth=2.0, trusted=0.6, support=3):
+    """score_instances in plain Python: (instance -> confidence) of those that are no seeds, and its rounds."""
+    of, seeds = {}, {i for _, i, s in edges if s}
+    for pattern, instance, _ in edges:
+        of.setdefault(pattern, set()).add(instance)
+    sure, was, rounds = dict.fromkeys(seeds, 1.0), None, 0
+    while True:
+        rounds += 1
+        trust = {p: sum(sure.get(i, 0.0) for i in own) / (len(own) + smooth) for p, own in of.items() if len(own) >= support}
+        rest = {}
+        for p, own in of.items():
+            if trust.get(p, 0) >= trusted:
+                for i in own - seeds:
+                    rest[i] = rest.get(i, 1.0) * (1 - min(trust[p], 0.999))
+        sure = dict.fromkeys(seeds, 1.0) | {i: 1 - r for i, r in rest.items()}
+        now = len(sure), sum(c >= accept for c in sure.values())
+        if now == was:
+            return {i: c for i, c in sure.items() if i not in seeds}, rounds
+        was = now
+
+
+def test_pattern_graph_against_plain_python(spark):
+    dice = random.Random(5)
+    edges = []
+    for p in range(60):
+        for i in {dice.randrange(40 * (p // 20), 40 * (p // 20) + 90) for _ in range(dice.randint(1, 25))}:
+            edges.append((f"p{p}", f"i{i}", i < 30))
+    got = {r.instance: r.confidence for r in score_instances(spark.createDataFrame(edges, "pattern string, instance string, seed boolean")).collect()}
+    want, _ = plain_confidence(edges)
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+
+
+def test_a_chain_of_contexts_is_followed_to_its_end(spark):
+    """Every kind of context is learnt from identifiers that the one before has found."""
+    texts = [f"mail user{k}@example.com now" for k in range(300)]
+    left, ids = "mail", []
+    for step, number in enumerate((100, 25, 6, 1)):
+        word, fresh = f"ctx{step}q", [f"AB{1000 * step + k:06d}" for k in range(number)]
+        texts += [f"{left} {i} tail{left}" for i in fresh]  # a context that is known by now
+        texts += [f"{word} {i} tail{word}" for i in fresh]  # the next one
+        left, ids = word, ids + fresh
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    _, spans = extract(docs)
+    found = {r.match for r in spans.select("match").distinct().collect()}
+    assert set(ids) <= found
+
+
+def test_every_source_comes_near_its_target(spark):
+    rows = []
+    for s in range(6):
+        dice = random.Random(s)
+        rows += [(1000 * s + k, f"s{s}", "w " * (dice.choice([3, 10, 400]) if k else 5000)) for k in range(60 + 30 * s)]
+    rows += [(None, "s0", "w " * 7)] * 5
+    mixed = mix_sources(spark.createDataFrame(rows, "doc_id long, source string, text string"))
+    sums = mixed.groupBy("source").agg(F.first("target").alias("target"), F.sum("taken").alias("taken")).collect()
+    assert all(abs(r.taken - r.target) <= max(0.01 * r.target, 10) for r in sums), sums
+
+
+def test_repeated_items_fill_no_block(spark):
+    text = "one two three four five six seven eight"
+    rows = [(1, text)] * 900 + [(k, f"{text} {k}") for k in range(2, 100)]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    blocks = list(item_blocks(items, decontaminate.THRESHOLD, block=40))
+    assert max(len(b.ids) for b in blocks) <= 40 and sum(sum(b.times) for b in blocks) == 998
+    docs = spark.createDataFrame([(5, f"so {text} it is")], "doc_id long, text string")
+    few = spark.createDataFrame([(1, text)] * 3, "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in matches(docs, few).collect()] == [(5, 1)] * 3
+
+
+def test_long_items_fill_no_block(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 4000)
+    items = spark.createDataFrame([(k, " ".join(f"w{k}x{j}" for j in range(100))) for k in range(40)], "item_id long, text string")
+    assert len(list(item_blocks(items, decontaminate.THRESHOLD))) >= 10
