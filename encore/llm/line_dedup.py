@@ -11,7 +11,13 @@ Keys are dealt to shards by their hash. A shard keeps
   128 bits wide;
 - a cuckoo filter of the shard's keys, as one numpy table of 16-bit fingerprints in
   buckets of four. It says "surely new" or "perhaps known". There are as many shards as
-  shuffle partitions unless the caller says otherwise, so a shard fits a task.
+  references need at ``SHARD_KEYS`` each, so a shard fits a task whatever the table's size.
+
+A first set of documents goes through the filters too. A map task sends a key to its shard once
+for each batch of documents that holds it, so a line that all documents have is a few rows; a key
+that two documents of one batch hold is known to repeat. In the shard each key is tested
+and then inserted: what the filter has seen perhaps repeats, and only the references of such keys
+are grouped, joined and counted. Keys that are surely new, most lines of a corpus, take no further part.
 
 Inserting documents looks their keys up in the filters. Keys that are surely new need no
 row of the reference table; only the others are joined with it. Deleting documents takes
@@ -34,16 +40,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm.common import arrow_map, batch_of, ddl
+from encore.llm.common import arrow_map, batch_of, ddl, take_column
 from encore.llm.textarrays import Slice, hashes, mix, signed, slices
 from encore.scratch import stage
 
 MIN_CHARS = 10
 SLOTS = 4
 KICKS = 200
+SHARD_KEYS = 2_000_000  # references to a shard, about: 16 MB of hashes in a task
+CHUNK = 1 << 16  # keys that a filter takes at once
 
 _STRIP = np.zeros(256, bool)
 _STRIP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -67,7 +75,7 @@ class CuckooFilter:
     def _places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         mask = np.uint64(len(self.table) - 1)
         mark = ((keys >> np.uint64(48)) % np.uint64(65535) + np.uint64(1)).astype(np.uint16)
-        one = keys & mask
+        one = mix(keys ^ np.uint64(0xD6E8FEB86659FD93)) & mask  # a shard's keys are alike in their own bits
         return mark, one.astype(np.int64), self._other(one, mark)
 
     def _other(self, bucket: np.ndarray, mark: np.ndarray) -> np.ndarray:
@@ -169,10 +177,15 @@ def line_keys(s: Slice, min_chars: int = MIN_CHARS) -> tuple[tuple, Keys]:
     return (start, end, row), Keys(line, row[line], high, low)
 
 
-REFERENCE = "shard int, high long, low long, doc_id long, n_lines long"
+REFERENCE = "high long, low long, doc_id long, n_lines long"
+
+
+def shard_of(shards: int) -> Column:
+    """The shard of the key in ``high``."""
+    return F.pmod(F.col("high"), F.lit(shards)).cast("int").alias("shard")
 
 
-def references(docs: DataFrame, min_chars: int, shards: int) -> DataFrame:
+def references(docs: DataFrame, min_chars: int) -> DataFrame:
     """One row per key and document, as far as an Arrow batch shows them together."""
 
     def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -188,7 +201,6 @@ def references(docs: DataFrame, min_chars: int, shards: int) -> DataFrame:
             )
             at = np.flatnonzero(new)
             yield batch_of(
-                shard=(high[at] % np.uint64(shards)).astype(np.int32),
                 high=signed(high[at]),
                 low=signed(low[at]),
                 doc_id=ids[s.first + row[at]],
@@ -226,7 +238,7 @@ def drops(refs: DataFrame) -> DataFrame:
 def _filters(keys: DataFrame, old: DataFrame | None) -> DataFrame:
     """Filters by shard from (shard, high, gone): new keys go in, keys without references out.
 
-    A shard's filter takes about 2.5 bytes per key.
+    A shard's filter takes 2 to 5 bytes per key, as its buckets are a power of two.
     """
 
     def job(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
@@ -262,6 +274,48 @@ def _filters(keys: DataFrame, old: DataFrame | None) -> DataFrame:
     return rows.groupBy("shard").applyInArrow(job, "shard int, filter binary")
 
 
+def _first_pass(refs: DataFrame, shards: int) -> DataFrame:
+    """(shard, high, twice): each key once per Arrow batch, and whether two documents of it hold the key."""
+
+    def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        high, ids = take_column(batch, "high").to_numpy(), take_column(batch, "doc_id").to_numpy()
+        if not len(high):
+            return
+        order = np.lexsort((ids, high))
+        high, ids = high[order], ids[order]
+        at = np.flatnonzero(np.concatenate([[True], high[1:] != high[:-1]]))
+        last = np.append(at[1:], len(high)) - 1
+        yield batch_of(high=high[at], twice=ids[at] != ids[last])
+
+    once = refs.select("high", "doc_id").mapInArrow(lambda batches: (out for b in batches for out in job(b)), "high long, twice boolean")
+    return once.select(shard_of(shards), "high", "twice")
+
+
+def _known_before(rows: DataFrame) -> DataFrame:
+    """(shard, filter, high) from the rows of ``_first_pass``: the filter of each shard, and its keys that may repeat."""
+
+    def job(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        high = np.ascontiguousarray(table.column("high").to_numpy()).view(np.uint64)
+        twice = table.column("twice").to_numpy()
+        found = [high[twice]]
+        box = CuckooFilter.for_keys(len(high))
+        at = 0
+        while at < len(high):
+            some, count = np.unique(high[at : at + CHUNK], return_counts=True)
+            known = box.tests(some)
+            found.append(some[known | (count > 1)])
+            if not box.insert(some[~known]):  # crowded: all over again in a larger one
+                box, at, found = CuckooFilter(np.zeros((len(box.table) * 2, SLOTS), np.uint16)), 0, [high[twice]]
+                continue
+            at += CHUNK
+        again = signed(np.unique(np.concatenate(found)))
+        shard = pa.array([key[0].as_py()] * (len(again) + 1), pa.int32())
+        boxes = pa.array([box.table.tobytes()] + [None] * len(again), pa.binary())
+        return pa.table({"shard": shard, "filter": boxes, "high": pa.array([None, *again.tolist()], pa.int64())})
+
+    return rows.groupBy("shard").applyInArrow(job, "shard int, filter binary, high long")
+
+
 @dataclass
 class LineIndex:
     """Reference table and filters of all documents inserted so far."""
@@ -271,36 +325,42 @@ class LineIndex:
     filters: DataFrame
     shards: int
     min_chars: int = MIN_CHARS
+    perhaps: DataFrame | None = None  # (high) of the keys that may repeat, where the filters told
 
     @classmethod
     def of(cls, docs: DataFrame, shards: int | None = None, min_chars: int = MIN_CHARS) -> LineIndex:
         """The index of a first set of documents."""
-        shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        raw, _ = stage(references(docs, min_chars, shards), "line-refs")
-        keys = raw.select("shard", "high").distinct()
-        keys = keys.select("*", F.lit(False).alias("gone"), F.lit(False).alias("known"))
-        filters, _ = stage(_filters(keys, None), "line-filters")
-        return cls(docs.sparkSession, raw, filters, shards, min_chars)
+        raw, _ = stage(references(docs, min_chars), "line-refs")
+        shards = shards or max(1, -(-raw.count() // SHARD_KEYS))
+        seen, _ = stage(_known_before(_first_pass(raw, shards)), "line-filters")
+        filters = seen.filter("filter is not null").select("shard", "filter")
+        perhaps = seen.filter("high is not null").select("high")
+        return cls(docs.sparkSession, raw, filters, shards, min_chars, perhaps)
 
     def perhaps_known(self, refs: DataFrame) -> DataFrame:
         """The references whose keys the filters can't rule out."""
+        return refs.join(self._hits(refs), "high", "left_semi").select(*refs.columns)
+
+    def _hits(self, refs: DataFrame) -> DataFrame:
+        """(high) of their keys."""
 
         def job(key: tuple[pa.Scalar, ...], new: pa.Table, filters: pa.Table) -> pa.Table:
             if not filters.num_rows or not new.num_rows:
-                return new.slice(0, 0)
+                return new.select(["high"]).slice(0, 0)
             box = CuckooFilter(np.frombuffer(filters.column("filter")[0].as_py(), np.uint16).reshape(-1, SLOTS))
             high = np.ascontiguousarray(new.column("high").to_numpy()).view(np.uint64)
-            return new.filter(pa.array(box.tests(high)))
+            return new.select(["high"]).filter(pa.array(box.tests(high)))
 
-        return refs.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(job, REFERENCE)
+        # each key once per batch of references: however many documents hold it, a shard sees little of it
+        keys = _first_pass(refs, self.shards).select("shard", "high")
+        return keys.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(job, "high long").distinct()
 
     def insert(self, docs: DataFrame) -> tuple[LineIndex, DataFrame]:
         """The index with more documents, and the keys they share with those already there."""
-        new, _ = stage(references(docs, self.min_chars, self.shards), "line-refs")
-        hits = self.perhaps_known(new).select("high", "low").distinct()
-        shared, _ = stage(
-            self.references.join(hits, ["high", "low"], "left_semi").select("high", "low").distinct(), "line-shared"
-        )
+        new, _ = stage(references(docs, self.min_chars), "line-refs")
+        hits, _ = stage(self._hits(new), "line-hits")
+        held = self.references.join(hits, "high", "left_semi").select("high", "low").distinct()
+        shared, _ = stage(new.join(held, ["high", "low"], "left_semi").select("high", "low").distinct(), "line-shared")
         both, _ = stage(self.references.unionByName(new), "line-refs")
         return self._after(both, new, False), shared
 
@@ -312,8 +372,8 @@ class LineIndex:
         return self._after(rest, gone, True)
 
     def _after(self, refs: DataFrame, changed: DataFrame, removal: bool) -> LineIndex:
-        was = self.references.select("shard", "high").distinct().withColumn("was", F.lit(True))
-        now = refs.select("shard", "high").distinct().withColumn("now", F.lit(True))
+        was = self.references.select(shard_of(self.shards), "high").distinct().withColumn("was", F.lit(True))
+        now = refs.select(shard_of(self.shards), "high").distinct().withColumn("now", F.lit(True))
         keys = was.join(now, ["shard", "high"], "full").select(
             "shard", "high", F.col("now").isNull().alias("gone"),
             (F.col("was").isNotNull() & F.col("now").isNotNull()).alias("known"),
@@ -323,7 +383,10 @@ class LineIndex:
 
     def resolve(self, docs: DataFrame) -> DataFrame:
         """docs with the text that stays, and line_count, lines_dropped."""
-        return without_lines(docs, drops(self.references), self.min_chars)
+        refs = self.references
+        if self.perhaps is not None:
+            refs = refs.join(self.perhaps, "high", "left_semi")
+        return without_lines(docs, drops(refs), self.min_chars)
 
 
 def without_lines(docs: DataFrame, lost: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:

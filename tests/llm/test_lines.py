@@ -2,9 +2,12 @@
 
 import random
 
+import numpy as np
+
 import pytest
 
-from encore.llm.line_dedup import LineIndex, dedup_lines
+from encore.llm.line_dedup import CuckooFilter, LineIndex, dedup_lines
+from encore.llm.textarrays import mix
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 BLANKS = " \t\n\x0b\x0c\r"
@@ -88,3 +91,32 @@ def test_deleting_the_keeper_hands_the_line_on(spark):
     index = LineIndex.of(frame(spark, rows), shards=2)
     rest = index.delete(spark.createDataFrame([(1,)], "doc_id long"))
     assert [r[2] for r in found(rest.resolve(frame(spark, rows[1:])))] == [0, 1]
+
+
+def test_a_full_shard_keeps_few_bytes_a_key():
+    """Keys of one shard of 256 are alike in their low bits, and still spread over all buckets."""
+    keys = mix(np.arange(1, 2_000_000, dtype=np.uint64))
+    own = keys[keys % np.uint64(256) == 7][:6500]
+    box = CuckooFilter.for_keys(len(own))
+    assert box.insert(own) and box.tests(own).all() and box.table.nbytes / len(own) < 3
+    others = keys[keys % np.uint64(256) == 8][:6500]
+    assert box.tests(others).mean() < 0.01
+
+
+def test_the_answer_comes_from_keys_the_filters_know(spark):
+    rows = [(k, f"a line that only {k} has\nthe line that all of them have\nshared by two {k // 2}") for k in range(300)]
+    index = LineIndex.of(frame(spark, rows))
+    assert index.references.select("high").distinct().count() == 300 + 1 + 150
+    perhaps = index.perhaps.distinct().count()
+    assert 151 <= perhaps <= 160, "repeated keys, and few that a filter takes for known"
+    got = {r.doc_id: r.lines_dropped for r in index.resolve(frame(spark, rows)).collect()}
+    assert got == {k: (k > 0) + (k % 2) for k in range(300)}
+    none = LineIndex(index.spark, index.references, index.filters, index.shards, perhaps=index.perhaps.limit(0))
+    assert {r.lines_dropped for r in none.resolve(frame(spark, rows)).collect()} == {0}
+
+
+def test_keys_repeat_across_chunks_and_batches(spark, monkeypatch):
+    monkeypatch.setattr("encore.llm.line_dedup.CHUNK", 8)
+    monkeypatch.setattr("encore.llm.line_dedup.SHARD_KEYS", 50)
+    rows = corpus(11, 200)
+    assert found(dedup_lines(frame(spark, rows))) == brute(rows)
