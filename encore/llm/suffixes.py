@@ -13,8 +13,11 @@ words before and after its position. They are sorted as a whole, once by the wor
 follow and once by those that precede, going backwards, so that the longest matches to
 either side are neighbours. They are dealt out by ranges of the sort key, which ends with
 document and position, so a passage that a third of the documents share is spread over many
-tasks, each of which sees sorted neighbours. Where two ranges meet, the outermost suffixes
-are compared once more, a few per range, or all those of one document and gram.
+tasks, each of which sees sorted neighbours. Suffixes of one text that agree in all words on both sides are one
+row with all its positions, so a text that repeats a passage doesn't fill ranges with it.
+Where ranges meet, the first and the last suffixes of each range are compared once more, by range,
+with what the ranges before and after hand on: ``NEIGHBOURS`` rows and the nearest one
+of another document or gram. Only those few rows of each range come together in one task.
 
 Each suffix is compared with its neighbours of other documents. Equal words to the right
 and, going left, before the position make a match; at least ``LEAST`` words together make a
@@ -38,10 +41,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from encore.llm.common import arrow_map, batch_of, take_column
+from encore.llm.common import arrow_map, batch_of, take_column, whole_partition
 from encore.llm.membership import Filter
 from encore.llm.textarrays import Slice, mix, shingles, signed, slices, words
 from encore.scratch import stage
@@ -99,13 +103,14 @@ def _grams(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch_of(gram=signed(gram), doc_id=ids[s.first + row])
 
 
-SUFFIX = "gram long, right binary, left binary, doc_id long, place long"
+SUFFIX = "gram long, right binary, left binary, doc_id long, place long, more array<bigint>"
 
 
 def suffixes(docs: DataFrame, wanted: Filter) -> DataFrame:
     """The selected suffixes whose gram passes the filter, with the words on both sides.
 
-    ``left`` goes backwards from the position. Where a text ends, words are missing.
+    ``left`` goes backwards from the position. Where a text ends, words are missing. Positions of
+    a text whose words agree on both sides are one row: the first of them, and ``more`` (else null).
     """
 
     def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -120,9 +125,14 @@ def suffixes(docs: DataFrame, wanted: Filter) -> DataFrame:
             at = first[row] + place
             right = [word[a:b].tobytes() for a, b in zip(at, np.minimum(at + REACH, first[row + 1]), strict=True)]
             left = [word[b:a][::-1].tobytes() for a, b in zip(at, np.maximum(at - REACH, first[row]), strict=True)]
+            places: dict[tuple, list[int]] = {}
+            for key, p in zip(zip(row.tolist(), gram.tolist(), right, left, strict=True), place.tolist(), strict=True):
+                places.setdefault(key, []).append(p)
+            row, gram, right, left = map(list, zip(*places, strict=True))
             yield batch_of(
-                gram=signed(gram), right=pa.array(right, pa.binary()), left=pa.array(left, pa.binary()),
-                doc_id=ids[s.first + row], place=place.astype(np.int64),
+                gram=signed(np.array(gram, np.uint64)), right=pa.array(right, pa.binary()), left=pa.array(left, pa.binary()),
+                doc_id=ids[s.first + np.array(row)], place=pa.array([p[0] for p in places.values()], pa.int64()),
+                more=pa.array([p[1:] or None for p in places.values()], pa.list_(pa.int64())),
             )
 
     return arrow_map(docs, job, SUFFIX)
@@ -143,22 +153,24 @@ def _equal_words(a: np.ndarray, b: np.ndarray, limit: np.ndarray) -> np.ndarray:
     return np.minimum(first, limit)
 
 
-def compare(table: pa.Table, neighbours: int = NEIGHBOURS) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
-    """Matches of at least LEAST words between suffixes near each other in sorted order.
+def compare(table: pa.Table, neighbours: int = NEIGHBOURS) -> dict[str, np.ndarray]:
+    """What each suffix shares with those near it in sorted order.
 
-    Then, for each suffix, how far it agrees with any neighbour to the right (``on``) and to the
-    left (``back``), and which windows of LEAST words its matches cover: bit k of ``seen`` is
+    ``start`` to ``stop`` is what its matches of at least LEAST words cover together, all of which hold
+    its position, and ``other`` the smallest document among them; ``stop`` is -1 without any. Then
+    how far it agrees with any neighbour to the right (``on``) and to the left (``back``),
+    and which windows of LEAST words its matches cover: bit k of ``seen`` is
     the window that begins k words before the position.
     """
     gram, doc, place = (table.column(c).to_numpy() for c in ("gram", "doc_id", "place"))
     (right, n_right), (left, n_left) = (_matrix(table.column(c).combine_chunks()) for c in ("right", "left"))
-    found: dict[str, list] = {"doc_id": [], "start": [], "stop": [], "other": []}
     rows = np.arange(len(doc))
     # the first row of another document after and before each row, and those some steps away
     turns = np.flatnonzero(doc[1:] != doc[:-1]) + 1
     after = np.append(turns, len(doc))[np.searchsorted(turns, rows, "right")]
     before = np.concatenate([[0], turns])[np.searchsorted(turns, rows, "right")] - 1
-    reach = {"on": np.zeros(len(doc), np.int64), "back": np.zeros(len(doc), np.int64)}
+    far = np.iinfo(np.int64).max
+    out = {name: np.full(len(doc), value) for name, value in (("start", far), ("stop", -1), ("other", far), ("on", 0), ("back", 0))}
     seen = np.zeros(len(doc), np.uint64)
     pairs = [(rows, after), (before, rows), *[(rows, rows + step) for step in range(1, neighbours + 1)]]
     for a, b in pairs:
@@ -169,20 +181,17 @@ def compare(table: pa.Table, neighbours: int = NEIGHBOURS) -> tuple[dict[str, np
         on = _equal_words(right[a], right[b], np.minimum(n_right[a], n_right[b]))
         back = _equal_words(left[a], left[b], np.minimum(n_left[a], n_left[b]))
         for row in (a, b):
-            np.maximum.at(reach["on"], row, on)
-            np.maximum.at(reach["back"], row, back)
+            np.maximum.at(out["on"], row, on)
+            np.maximum.at(out["back"], row, back)
         good = (on + back >= LEAST) & (on >= GRAM)
         a, b, on, back = a[good], b[good], on[good], back[good]
         covered = _window_bits(LEAST - on, back)
         for x, y in ((a, b), (b, a)):
             np.bitwise_or.at(seen, x, covered)
-            found["doc_id"].append(doc[x])
-            found["start"].append(place[x] - back)
-            found["stop"].append(place[x] + on)
-            found["other"].append(doc[y])
-    some = reach["on"] > 0
-    each = {"doc_id": doc, "place": place, **reach, "seen": signed(seen)}
-    return {k: np.concatenate(v) for k, v in found.items()}, {k: v[some] for k, v in each.items()}
+            np.minimum.at(out["start"], x, place[x] - back)
+            np.maximum.at(out["stop"], x, place[x] + on)
+            np.minimum.at(out["other"], x, doc[y])
+    return {**out, "seen": signed(seen)}
 
 
 def _window_bits(low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -194,38 +203,31 @@ def _window_bits(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return upto & ~below
 
 
-#: Matches have a start, suffixes with what neighbours hold of them a seen, ends of ranges a gram.
+#: A suffix with what its neighbours share with it, or one near the end of its range, with its words and its place there.
 OUTCOME = (
-    "doc_id long, start long, stop long, other long, place long, on long, back long, seen long, "
-    "gram long, right binary, left binary"
+    "doc_id long, place long, more array<bigint>, start long, stop long, other long, on long, back long, seen long, "
+    "gram long, right binary, left binary, part long, at long, outermost boolean"
 )
+KINDS = {"long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_(), "array<bigint>": pa.list_(pa.int64())}
+EDGE = ("gram", "right", "left", "doc_id", "place", "more", "part", "at", "outermost")
+#: Rows that other ranges hand on stand before place 0 or from here on.
+BEHIND = 1 << 62
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches in a sorted range, and its outermost suffixes as rows with a gram."""
-    tail, head, whole = None, None, False
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        now = pa.Table.from_batches([batch])
-        if not whole:  # up to the first rows of a second document
-            head = pa.concat_tables([head, now]) if head is not None else now
-            turn = _turns(head)
-            whole = len(turn) > 0
-            head = head.slice(0, max(NEIGHBOURS, int(turn[0]) + 1)) if whole else head
-        both = pa.concat_tables([tail, now]) if tail is not None else now
-        yield from _results(compare(both))
-        tail = both.slice(max(0, min(both.num_rows - NEIGHBOURS, _last_run(both) - 1)))
-    if head is not None:
-        for rows in (head, tail):
-            got = {c: rows.column(c).combine_chunks() for c in ("gram", "right", "left", "doc_id", "place")}
-            yield _filled(**got)
-
-
-def _last_run(table: pa.Table) -> int:
-    """Where the last rows of one document and gram begin; they still lack what follows them."""
-    turns = _turns(table)
-    return int(turns[-1]) if len(turns) else 0
+def _filled(n: int, **columns) -> pa.RecordBatch:
+    """A batch of OUTCOME; columns that are not given are null."""
+    kinds = [field.rsplit(" ", 1) for field in OUTCOME.split(", ")]
+    return batch_of(**{c: columns[c] if c in columns else pa.nulls(n, KINDS[kind]) for c, kind in kinds})
+
+
+def _shared(table: pa.Table, own: np.ndarray | None = None) -> pa.RecordBatch:
+    """OUTCOME rows of the suffixes (those of ``own``) that share words with a neighbour."""
+    found = compare(table)
+    some = np.flatnonzero((found["on"] > 0) if own is None else (found["on"] > 0) & own)
+    bare = found["stop"][some] < 0
+    columns = {k: pa.array(v[some], mask=bare) if k in ("start", "stop", "other") else v[some] for k, v in found.items()}
+    named = {c: table.column(c).combine_chunks().take(pa.array(some)) for c in ("doc_id", "place", "more")}
+    return _filled(len(some), **named, **columns)
 
 
 def _turns(table: pa.Table) -> np.ndarray:
@@ -234,41 +236,85 @@ def _turns(table: pa.Table) -> np.ndarray:
     return np.flatnonzero((gram[1:] != gram[:-1]) | (doc[1:] != doc[:-1])) + 1
 
 
-def _results(compared: tuple[dict[str, np.ndarray], dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    for part in compared:
-        yield _filled(**part)
-
-
-def _filled(**columns) -> pa.RecordBatch:
-    """A batch of OUTCOME; columns that are not given are null."""
-    n = len(columns["doc_id"])
-    kinds = {name: pa.binary() if kind == "binary" else pa.int64() for name, kind in map(str.split, OUTCOME.split(", "))}
-    return batch_of(**{c: columns[c] if c in columns else pa.nulls(n, kind) for c, kind in kinds.items()})
-
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What neighbours in a sorted range share, and the suffixes that lack neighbours in other ranges.
 
-def _edge_matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = [b for b in batches if b.num_rows]
-    if rows:
-        yield from _results(compare(pa.Table.from_batches(rows)))
+    A run is the suffixes of one document and gram. The first and the last run are unfinished, and
+    NEIGHBOURS rows on either side. The outermost are what other ranges may need: these rows,
+    the first one behind the first run, and the last one before the last run.
+    """
+    pending, at, head, turn = [], 0, None, -1
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = pa.Table.from_batches([batch])
+        joint = pa.concat_tables([pending[-1].slice(pending[-1].num_rows - 1), now]) if pending else now
+        pending.append(now)
+        if not len(_turns(joint)):
+            continue  # the last run goes on, and one document has nothing to compare
+        both = pa.concat_tables(pending)
+        yield _shared(both)
+        if at == 0:
+            turn = int(_turns(both)[0])
+            head = both.slice(0, max(NEIGHBOURS, turn + 1))
+        done = max(0, min(both.num_rows - NEIGHBOURS, int(_turns(both)[-1]) - 1))
+        at += done
+        pending = [both.slice(done)]
+    if pending:
+        part, tail = TaskContext.get().partitionId(), pa.concat_tables(pending)
+        turns = _turns(tail)
+        last = at + (int(turns[-1]) if len(turns) else 0)
+        head = (head if head is not None else tail).slice(0, at)
+        for rows, first in ((head, 0), (tail, at)):
+            n = rows.num_rows
+            place = np.arange(first, first + n)
+            outermost = (place < NEIGHBOURS) | (place == turn) | (place >= at + tail.num_rows - NEIGHBOURS) | (place == last - 1)
+            got = {c: rows.column(c).combine_chunks() for c in ("gram", "right", "left", "doc_id", "place", "more")}
+            yield _filled(n, **got, part=np.full(n, part), at=place, outermost=outermost)
+
+
+def _handed_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each range the rows of others that its ends lack, from the outermost rows of all ranges."""
+    table = whole_partition(batches)
+    if table is None:
+        return
+    part, n = table.column("part").to_numpy(), table.num_rows
+    turns = _turns(table)
+    begin = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    for first, end in zip(begin, np.append(begin[1:], n), strict=True):
+        run = np.searchsorted(turns, first, "right")
+        before = {*range(max(0, first - NEIGHBOURS), first), int(turns[run - 1]) - 1 if run else -1} - {-1}
+        run = np.searchsorted(turns, end - 1, "right")
+        after = {*range(end, min(n, end + NEIGHBOURS)), int(turns[run]) if run < len(turns) else n} - {n}
+        rows = np.array(sorted(before | after), np.int64)
+        took = table.take(pa.array(rows))
+        at = np.where(rows < first, rows - first, rows - end + BEHIND)
+        own = {c: took.column(c).combine_chunks() for c in EDGE if c not in ("part", "at")}
+        yield batch_of(**{c: {"part": np.full(len(rows), part[first]), "at": at}.get(c, own.get(c)) for c in EDGE})
+
+
+def _ends(table: pa.Table) -> pa.Table:
+    """What the unfinished suffixes of one range share with the rows handed on to it."""
+    table = table.sort_by("at").combine_chunks()
+    at = table.column("at").to_numpy()
+    return pa.Table.from_batches([_shared(table, (at >= 0) & (at < BEHIND))])
 
 
 def _compared(rows: DataFrame, order: list[str]) -> DataFrame:
-    """OUTCOME without the ends of ranges, from neighbours in one order of all suffixes."""
+    """What each suffix shares with its neighbours in one order of all suffixes; some have several rows."""
     placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     compared, _ = stage(placed.mapInArrow(_neighbours, OUTCOME), "matches")
-    # suffixes from the ends of each range, a handful or those of one document and gram
-    edges = compared.filter("gram is not null").select("gram", "right", "left", "doc_id", "place").distinct()
-    edges = edges.repartition(1).sortWithinPartitions(*order).mapInArrow(_edge_matches, OUTCOME)
-    return compared.filter("gram is null").unionByName(edges).drop("gram", "right", "left")
+    ends = compared.filter("part is not null").select(*EDGE)
+    handed = ends.filter("outermost").repartition(1).sortWithinPartitions("part", "at").mapInArrow(_handed_on, ends.schema)
+    ends = ends.unionByName(handed).groupBy("part").applyInArrow(_ends, OUTCOME)
+    return compared.filter("part is null").unionByName(ends).drop("gram", "right", "left", "part", "at", "outermost")
 
 
-def _unseen(compared: DataFrame) -> DataFrame:
+def _unseen(each: DataFrame) -> DataFrame:
     """(key) of suffixes with a window that may be repeated and that no match covers.
 
     The best neighbours to both sides bound what any other document can share with a suffix.
     """
-    each = compared.filter("seen is not null").groupBy("doc_id", "place")
-    each = each.agg(F.max("on").alias("on"), F.max("back").alias("back"), F.bit_or("seen").alias("seen"))
     ones = lambda n: F.expr(f"shiftleft(1L, cast({n} as int)) - 1")
     may = ones(f"least(back, {WINDOW - 1}) + 1").bitwiseAND(F.bitwise_not(ones(f"least({LEAST} - on, {WINDOW})")))
     left = may.bitwiseAND(F.bitwise_not(F.col("seen")))
@@ -291,16 +337,19 @@ def _window_hashes(right: pa.Array, left: pa.Array) -> tuple[np.ndarray, np.ndar
     return np.concatenate(row), np.concatenate(k), np.concatenate(value)
 
 
-def _exact(rows: DataFrame, compared: DataFrame) -> DataFrame:
-    """(doc_id, start, stop, other): the windows, held by two documents, of suffixes with unseen ones.
+MATCH = ("doc_id", "place", "more", "start", "stop", "other")
+
+
+def _exact(rows: DataFrame, each: DataFrame) -> DataFrame:
+    """MATCH rows: the windows, held by two documents, of suffixes with unseen ones.
 
     Windows of such suffixes are looked for in all suffixes: a window that two documents share
     has a selected position of one gram in both.
     """
-    unseen, _ = stage(_unseen(compared), "unseen")
+    unseen, _ = stage(_unseen(each), "unseen")
     if unseen.isEmpty():
-        return compared.select("doc_id", "start", "stop", "other").limit(0)
-    keyed = rows.select("doc_id", "place", "right", "left", F.xxhash64("doc_id", "place").alias("key"))
+        return each.select(*MATCH).limit(0)
+    keyed = rows.select("doc_id", "place", "more", "right", "left", F.xxhash64("doc_id", "place").alias("key"))
 
     def windows(chosen: Filter, of_key: bool):
         def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -312,17 +361,17 @@ def _exact(rows: DataFrame, compared: DataFrame) -> DataFrame:
                 if not of_key:
                     keep = chosen.has(signed(value))
                     row, k, value = row[keep], k[keep], value[keep]
-                doc, place = (part.column(c).to_numpy() for c in ("doc_id", "place"))
-                yield batch_of(window=signed(value), doc_id=doc[row], start=place[row] - k)
+                named = {c: take_column(part, c).take(pa.array(row)) for c in ("doc_id", "place", "more")}
+                yield batch_of(window=signed(value), **named, start=named["place"].to_numpy() - k)
 
-        return arrow_map(keyed, job, "window long, doc_id long, start long")
+        return arrow_map(keyed, job, "window long, doc_id long, place long, more array<bigint>, start long")
 
     asked, _ = stage(windows(Filter.of(unseen), True).distinct(), "asked")
     held = windows(Filter.of(asked.select("window")), False).groupBy("window")
     held = held.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
     other = F.when(F.col("doc_id") == F.col("low"), F.col("high")).otherwise(F.col("low"))
-    return asked.join(held, "window").select(
-        "doc_id", "start", (F.col("start") + LEAST).alias("stop"), other.alias("other")
+    return (
+        asked.join(held, "window").withColumns({"stop": F.col("start") + LEAST, "other": other}).select(*MATCH)
     )
 
 
@@ -335,10 +384,19 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     rows, _ = stage(suffixes(text, Filter.of(shared)), "suffixes")
     onward = _compared(rows, ["gram", "right", "left", "doc_id", "place"])
     backward = _compared(rows, ["gram", "left", "right", "doc_id", "place"])
-    compared = onward.unionByName(backward)
-    matches = compared.filter("start is not null").select("doc_id", "start", "stop", "other")
-    matches = matches.unionByName(_exact(rows, compared))
-    spans = matches.groupBy("doc_id", "start", "stop").agg(F.min("other").alias("other"))
+    each, _ = stage(
+        onward.unionByName(backward).groupBy("doc_id", "place", "more")
+        .agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("other").alias("other"),
+             F.max("on").alias("on"), F.max("back").alias("back"), F.bit_or("seen").alias("seen")),
+        "extents",
+    )
+    matches = each.filter("start is not null").select(*MATCH).unionByName(_exact(rows, each))
+    # the same match at all positions of a row
+    further = F.transform(F.coalesce("more", F.array().cast("array<bigint>")), lambda p: p - F.col("place"))
+    steps = F.explode(F.concat(F.array(F.lit(0).cast("long")), further))
+    matches = matches.select("doc_id", "start", "stop", "other", steps.alias("step"))
+    spans = matches.groupBy("doc_id", (F.col("start") + F.col("step")).alias("start"), (F.col("stop") + F.col("step")).alias("stop"))
+    spans = spans.agg(F.min("other").alias("other"))
     by_start = Window.partitionBy("doc_id").orderBy("start", "stop")
     reached = F.max("stop").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     apart = (F.coalesce(reached, F.lit(-1)) < F.col("start")).cast("int")
