@@ -1,5 +1,9 @@
 """Classifiers: held-out accuracy, what they may see, and rows without labels."""
 
+import random
+from collections import Counter
+from math import log
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,7 +47,63 @@ def test_values_by_broadcast_and_by_join_agree(spark):
     other = score_toxicity(docs, labels, model_rows=0).orderBy("doc_id").collect()
     for a, b in zip(one, other, strict=True):
         assert (a.doc_id, a.n_expressions, a.predicted) == (b.doc_id, b.n_expressions, b.predicted)
-        assert a.score == pytest.approx(b.score, abs=1e-4)
+        assert a.score == pytest.approx(b.score, abs=1e-9)
+
+
+def plain_differences(rows, learned):
+    """By doc_id the difference of the two models' log-likelihoods, straight from their formulas."""
+    words = {d: text.split() for d, text in rows}
+    holds = {d: ({(w,) for w in ws}, set(zip(ws, ws[1:], strict=False))) for d, ws in words.items()}
+    counts = [Counter(), Counter()]
+    for d, y in learned.items():
+        counts[y].update(holds[d][0] | holds[d][1])
+    grams = set(counts[0]) | set(counts[1])
+    kept = {g for g in grams if max(c[g] for c in counts) > 2}
+    contexts = Counter(g[1] for g in grams if len(g) == 2)
+    vocabulary = {w for ws in words.values() for w in ws}
+    total = sum(contexts[w] + 1 for w in vocabulary)
+
+    def model(c):
+        ones = {k: Counter(n for g, n in c.items() if len(g) == k) for k in (1, 2)}
+        d = {k: of[1] / (of[1] + 2 * of[2]) if of[1] and of[2] else 0.5 for k, of in ones.items()}
+        n = sum(v for g, v in c.items() if len(g) == 1)
+        after = Counter()
+        for g, v in c.items():
+            after[g[0]] += v if len(g) == 2 else 0
+        over = lambda gs, k: sum(max(c[g] - d[k], 0) for g in gs)
+        left = 1 - over([g for g in kept if len(g) == 1], 1) / n
+        left_of = {h: 1 - over([g for g in kept if len(g) == 2 and g[0] == h], 2) / after[h] for h in after if after[h]}
+
+        def one(w):
+            return (max(c[w,] - d[1], 0) / n if (w,) in kept else 0) + left * (contexts[w] + 1) / total
+
+        def two(h, w):
+            own = max(c[h, w] - d[2], 0) / after[h] if (h, w) in kept and after[h] else 0
+            return own + left_of.get(h, 1) * one(w)
+
+        return one, two
+
+    (one_0, two_0), (one_1, two_1) = map(model, counts)
+    alone = lambda w: log(one_1(w)) - log(one_0(w))
+    return {
+        d: sum(alone(w) for (w,) in a) + sum(log(two_1(*g)) - log(two_0(*g)) - alone(g[1]) for g in b)
+        for d, (a, b) in holds.items()
+    }
+
+
+def test_toxicity_against_its_formulas(spark):
+    dice = random.Random(4)
+    pick = lambda words, k: [words[min(int(dice.expovariate(0.15)), len(words) - 1)] for _ in range(k)]
+    plain, foul = [f"w{k}" for k in range(60)], [f"f{k}" for k in range(30)]
+    rows = [(k, " ".join(pick(plain, dice.randint(0, 30)) + (pick(foul, 6) + pick(plain, 5) if k % 4 == 0 else []))) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(300)], "doc_id long, toxic int")
+    aside = {r.doc_id for r in docs.filter("pmod(xxhash64(doc_id), 5) = 0").collect()}
+    learned = {k: int(k % 4 == 0) for k in range(300) if k not in aside}
+    want = plain_differences(rows, learned)
+    for model_rows in (10**6, 0):
+        got = score_toxicity(docs, labels, learn=F.lit(True), model_rows=model_rows).collect()
+        assert {r.doc_id: r.difference for r in got} == pytest.approx(want, rel=1e-5, abs=1e-4)
 
 
 @pytest.mark.parametrize("score, column", [(score_quality, "quality"), (score_toxicity, "toxic")])
