@@ -1,8 +1,9 @@
 """Classifiers: held-out accuracy, what they may see, and rows without labels."""
 
 import random
-from collections import Counter
-from math import log
+import re
+from collections import Counter, defaultdict
+from math import exp, log
 
 import pytest
 from pyspark.sql import functions as F
@@ -145,6 +146,88 @@ def test_language_of_pages(spark):
     assert all(0 < r.probability <= 1.0001 for r in rows)
 
 
+def plain_languages(pages, docs):
+    """page_id -> (lang, probability), from the formulas."""
+    langs = sorted({lang for _, lang in docs})
+    n = len(langs)
+
+    def slots(text):
+        data = re.sub("[\x00-\x20]", " ", text.lower()).encode()
+        codes = [data[k] << 16 | data[k + 1] << 8 | data[k + 2] for k in range(len(data) - 2)]
+        return [(c * 2654435761 & 0xFFFFFFFF) >> 16 for c in codes]
+
+    counts = [Counter() for _ in langs]
+    for text, lang in docs:
+        counts[langs.index(lang)].update(slots(text))
+    size = [sum(c.values()) + (1 << 16) for c in counts]
+
+    def text_logs(text):
+        got = slots(text)
+        scale = min(len(got), 60) / max(len(got), 1)
+        logs = [scale * sum(log((counts[k][g] + 1) / size[k]) for g in got) for k in range(n)]
+        return [v - max(logs) for v in logs], len(got)
+
+    def soft(logs):
+        e = [exp(v - max(logs)) for v in logs]
+        return [v / sum(e) for v in e]
+
+    rows, sums = [], defaultdict(lambda: [0.0] * n)
+    for page, url, html in pages:
+        text = re.sub("&[#A-Za-z0-9]+;", " ", re.sub("<[^>]*>", " ", re.sub("(?is)<script[^>]*>.*?</script>", " ", html or "")))
+        host = (re.match("[a-z]+://([^/?#:@]+)", url or "") or [None, ""])[1].lower()
+        code = (re.match("[a-z]+://[^/]*/([A-Za-z]{2})(?:[/?#-]|$)", url or "") or [None, ""])[1].lower()
+        declared = (re.search("(?is)<html[^<>]*? lang=[\"']?([a-z]+)", html or "") or [None, ""])[1].lower()
+        labels = host.split(".")
+        top, domain = labels[-1], ".".join(labels[-2:])
+        suffix = "/".join(filter(None, (top, code)))
+        logs, many = text_logs(text)
+        share = soft(logs) if many else [0.0] * n
+        keys = [("all", "")] + [("declared", declared)] * bool(declared) + [("suffix", suffix)] * bool(suffix)
+        keys += [("top", top), ("domain", domain), ("host", host)] * bool(host)
+        for key in keys:
+            sums[key] = [a + b for a, b in zip(sums[key], share, strict=True)]
+        rows.append((page, logs, share, host, domain, top, declared, suffix))
+    total = sum(sums["all", ""]) + 0.5 * n
+    everywhere = [(v + 0.5) / total for v in sums["all", ""]]
+    shrunk = lambda c, above: [(v + 5 * a) / (sum(c) + 5) for v, a in zip(c, above, strict=True)]
+    out = {}
+    for page, logs, share, host, domain, top, declared, suffix in rows:
+        prior = everywhere
+        if host:
+            prior = shrunk(sums["domain", domain], shrunk(sums["top", top], everywhere))
+        own = [max(a - b, 0) for a, b in zip(sums["host", host], share, strict=True)] if host else [0.0] * n
+        logs = [a + log(b) for a, b in zip(logs, shrunk(own, prior), strict=True)]
+        for key in (("declared", declared), ("suffix", suffix)):
+            if key[1]:
+                logs = [v + log((c + 0.5 * a) / a) for v, c, a in zip(logs, sums[key], everywhere, strict=True)]
+        shares = soft(logs)
+        out[page] = (langs[shares.index(max(shares))], max(shares))
+    return out
+
+
+def test_language_against_its_formulas(spark):
+    dice = random.Random(8)
+    words = {lang: ["".join(dice.choice(signs) for _ in range(5)) for _ in range(30)] for lang, signs in
+             (("de", "aeinrst"), ("en", "aehotns"), ("fr", "aeilsuv"))}
+    say = lambda lang, k: " ".join(dice.choice(words[lang]) for _ in range(k))
+    docs = [(say(lang, 12), lang) for lang in words for _ in range(8)]
+    hosts = {"de": ["www.a.de", "b.de", "x.org"], "en": ["a.com", "news.a.com", "x.org"], "fr": ["c.fr", "a.com"]}
+    pages = []
+    for k in range(150):
+        lang = dice.choice(list(words))
+        declared = dice.choice(["<html>", f"<html lang='{lang}'>", "<HTML class=x lang=en>"])
+        url = dice.choice([None, f"http://{dice.choice(hosts[lang])}/{dice.choice(['', 'de/x', 'fr', 'page'])}"])
+        text = say(lang, dice.choice([0, 1, 3, 40]))
+        pages.append((k, url, dice.choice([f"{declared}<script>{say('en', 9)}</script><p>{text}&amp;</p>", f"{declared}{text}", None, ""])))
+    found = identify(
+        spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4),
+        spark.createDataFrame(docs, "text string, lang string"),
+    ).collect()
+    want = plain_languages(pages, docs)
+    assert {r.page_id: r.lang for r in found} == {k: lang for k, (lang, _) in want.items()}
+    assert {r.page_id: r.probability for r in found} == pytest.approx({k: p for k, (_, p) in want.items()}, rel=1e-6)
+
+
 def test_clues_decide_where_the_text_does_not(spark):
     docs = spark.createDataFrame(
         [("the house and the garden of the town", "en"), ("das haus und der garten der stadt", "de")] * 5, "text string, lang string"
