@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+from math import prod
 
+import pytest
 from pyspark.sql import functions as F
 
-from encore.llm.pii import extract, personal_data
+from encore.llm.pii import extract, personal_data, score_instances
 
 # The base kinds as the contract gives them.
 KINDS = {
@@ -83,6 +85,41 @@ def test_contexts_of_mostly_unknown_tokens_stay_untrusted(spark):
     assert spans.filter("kind = 'id'").count() == 0
 
 
+def plain_scores(edges):
+    """Confidence of all instances that are no seeds, after enough rounds for anything."""
+    sure = {i: float(seed) for _, i, seed in edges}
+    for _ in range(300):
+        trust = {}
+        for p in {p for p, _, _ in edges}:
+            own = [sure[i] for q, i, _ in edges if q == p]
+            if len(own) >= 3 and sum(own) / (len(own) + 2) >= 0.6:
+                trust[p] = sum(own) / (len(own) + 2)
+        before = dict(sure)
+        for i in {i for _, i, seed in edges if not seed}:
+            sure[i] = 1 - prod(1 - min(trust[p], 0.999) for p, j, _ in edges if j == i and p in trust)
+        if sure == before:
+            break
+    return {i: sure[i] for _, i, seed in edges if not seed and sure[i] > 0}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_scores_of_the_pattern_graph(spark, seed):
+    dice = random.Random(seed)
+    edges = set()
+    for p in range(60):
+        known = [(f"s{dice.randrange(200)}", True) for _ in range(dice.randint(0, 9))]
+        other = [(f"x{p // 2 + dice.randrange(6)}", False) for _ in range(dice.randint(0, 6))]
+        edges |= {(f"p{p}", *i) for i in known + other}
+    # a chain: two patterns vouch for what the third needs, and slowly growing confidence decides on it
+    edges |= {("a", f"sa{k}", True) for k in range(6)} | {("b", f"sb{k}", True) for k in range(4)}
+    edges |= {(p, f"m{k}", False) for p in "ab" for k in range(2)} | {("c", f"m{k}", False) for k in range(2)}
+    edges |= {("c", f"sc{k}", True) for k in range(2)} | {("c", "end", False)}
+    got = score_instances(spark.createDataFrame(sorted(edges), "pattern string, instance string, seed boolean"))
+    want = plain_scores(sorted(edges))
+    assert len(want) > 20
+    assert {r.instance: r.confidence for r in got.collect()} == pytest.approx(want, abs=2e-3)
+
+
 def test_rows_that_repeat_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a@b.cc", 2), (1, "a@b.cc", 2), (None, "a@b.cc", 2)], "doc_id long, text string, row int")
     got = personal_data(docs)
