@@ -13,7 +13,7 @@ speaking for its class. B(w) is one backoff for both classes, by Kneser-Ney's co
 share of w among the distinct (word before, word) pairs of labelled documents, where the beginning of
 a text counts as one more word before each. Expressions that neither class holds in more than
 ``CUTOFF`` documents are left to the backoff, as is usual for n-gram models, with all their mass; of
-the others all counts tell. (Held-out rows told wrong without a cut-off: about twice as many.)
+the others all counts tell. (Without a cut-off for words 1.3 to 2.2 times as many held-out rows are told wrong.)
 
 A document's evidence is the difference of the two log-likelihoods over its distinct words
 and bigrams, per expression and per square root of their number, and the part of it that
