@@ -18,7 +18,8 @@ source keeps what this gives if it comes nearer to the target.
 
 Rank order within a source needs no task that holds the source: the rank statistic is cut
 into ``BUCKETS`` ranges, words are summed per range, and only the range that the cut falls
-into is sorted. Whatever sorts sources as a whole holds one row per source.
+into is sorted. Whatever sorts sources as a whole holds one row per source. Rows alike in id, source
+and size are counted and numbered from their count, ``RUN`` at a time, so that no task gathers them.
 
 Defined results: a null text has size 0 and is taken 0 words; a null source is a source,
 the last one; rows that repeat are documents of their own; a source without words, and an
@@ -39,6 +40,7 @@ WEIGHTS = (1, 2, 3)
 CEILING = 3
 REFILLS = 8  # draws after the first, among the documents that fit into what is left
 BUCKETS = 4096
+RUN = 1 << 16  # equal rows that are numbered in one go
 KEY = ("doc_id", "source", "size", "repeat")
 
 
@@ -77,6 +79,17 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, ceiling: int = CEILING) ->
     return sources.withColumn("target", target.cast("double"))
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """KEY from rows (doc_id, source, size): equal rows are told apart by ``repeat``, from 1."""
+    alike = ["doc_id", "source", "size"]
+    counted, _ = stage(docs.groupBy(*alike).agg(F.count("*").alias("n")), "sizes")
+    one, run = F.lit(1).cast("long"), F.lit(RUN).cast("long")
+    few = counted.filter(F.col("n") <= run).withColumn("first", one)
+    many = counted.filter(F.col("n") > run).withColumn("first", F.explode(F.sequence(one, "n", run)))
+    runs = few.unionByName(many.repartition(*alike, "first"))
+    return runs.select(*alike, F.explode(F.sequence("first", F.least("n", F.col("first") + run - one))).alias("repeat"))
+
+
 def unit(*key: Column, seed: int) -> Column:
     """A number between 0 and 1, both excluded, from a hash of the key; the same in any run."""
     text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(k.cast("string"), F.lit("")) for k in key])
@@ -150,8 +163,7 @@ def mix_sources(
 ) -> DataFrame:
     """doc_id, size, source, source_size, target, copies, taken: one row per document."""
     plain = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    same = Window.partitionBy("doc_id", "source", "size").orderBy(F.lit(1))
-    sized, _ = stage(plain.withColumn("repeat", F.row_number().over(same)), "sizes")
+    sized = numbered(plain)
     targets = source_targets(sized, weights, ceiling)
     n_docs = sized.groupBy("source").agg(F.count(F.when(F.col("size") > 0, 1)).alias("n_docs"))
     # one row per source: broadcast unless there are very many

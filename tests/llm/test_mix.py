@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from encore.llm.source_mix import mix_sources
+from encore.llm.source_mix import mix_sources, numbered
 
 
 def targets(sizes):
@@ -91,3 +91,15 @@ def test_stage_goes_on_past_texts_that_do_not_fit(spark):
             F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()}
         assert got["a"].target == 2400 and abs(got["a"].taken - 2400) <= 5
         assert abs(got["b"].taken - got["b"].target) <= 4
+
+
+def test_equal_rows_are_numbered_in_runs(spark, monkeypatch):
+    """A third of all rows are alike; the result is that of numbering them in one go, and no window holds them."""
+    rows = [(7, "a", "w " * 3)] * 500 + [(None, None, "w")] * 30 + [(k, "b", "w " * (k % 9)) for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    whole = sorted(mix_sources(docs).collect(), key=str)
+    monkeypatch.setattr("encore.llm.source_mix.RUN", 16)
+    assert sorted(mix_sources(docs.repartition(5)).collect(), key=str) == whole and len(whole) == len(rows)
+    got = numbered(docs.select("doc_id", "source", F.lit(1).cast("long").alias("size")))
+    assert sorted(r["repeat"] for r in got.filter("source = 'a'").collect()) == list(range(1, 501))
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
