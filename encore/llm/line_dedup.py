@@ -6,9 +6,9 @@ doc_id of its holders.
 
 Keys are dealt to shards by their hash. A shard keeps
 
-- the exact reference table: one row per key and document (hash, doc_id, number of lines),
-  from which follow how many documents hold a key and which is the smallest. Hashes are
-  128 bits wide;
+- the exact reference table: one row per key and document (hash, doc_id, number of lines, hash of
+  the whole text), from which follow how many documents hold a key and which is the smallest. Hashes
+  of keys are 128 bits wide;
 - a cuckoo filter of the shard's keys, as one numpy table of 16-bit fingerprints in
   buckets of four. It says "surely new" or "perhaps known". There are as many shards as
   references need at ``SHARD_KEYS`` each, so a shard fits a task whatever the table's size.
@@ -28,8 +28,9 @@ back to one holder is kept there again. Every insert can thus be undone.
 and leave the old one as it was, so a lost job is repeated from whole tables.
 
 Defined results: a null or empty text is one empty line; a row with a null doc_id holds no
-keys and stays as it is; rows that share a doc_id are one holder; an empty table gives an
-empty result. Other columns are carried along; columns named line_count or lines_dropped are
+keys and stays as it is; rows that share a doc_id are one holder, and each looks for the keys of its
+own text only, so many such rows make no long list; an empty table gives an empty result. ``resolve``
+takes the documents as they were inserted. Other columns are carried along; columns named line_count or lines_dropped are
 replaced.
 """
 
@@ -177,7 +178,7 @@ def line_keys(s: Slice, min_chars: int = MIN_CHARS) -> tuple[tuple, Keys]:
     return (start, end, row), Keys(line, row[line], high, low)
 
 
-REFERENCE = "high long, low long, doc_id long, n_lines long"
+REFERENCE = "high long, low long, doc_id long, n_lines long, version long"
 
 
 def shard_of(shards: int) -> Column:
@@ -190,6 +191,7 @@ def references(docs: DataFrame, min_chars: int) -> DataFrame:
 
     def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+        version = take_column(batch, "version").to_numpy()
         for s in slices(batch.column("text")):
             _, keys = line_keys(s, min_chars)
             if not len(keys.line):
@@ -205,9 +207,10 @@ def references(docs: DataFrame, min_chars: int) -> DataFrame:
                 low=signed(low[at]),
                 doc_id=ids[s.first + row[at]],
                 n_lines=np.diff(np.append(at, len(row))),
+                version=version[s.first + row[at]],
             )
 
-    found = docs.filter("doc_id is not null").select("doc_id", "text")
+    found = docs.filter("doc_id is not null").select("doc_id", "text", F.xxhash64("text").alias("version"))
     return arrow_map(found, job, REFERENCE)
 
 
@@ -225,14 +228,14 @@ def repeated(refs: DataFrame) -> DataFrame:
 
 
 def drops(refs: DataFrame) -> DataFrame:
-    """(doc_id, lost_keys): the keys that each document loses.
+    """(doc_id, version, lost_keys): the keys that each text of a document loses.
 
     Keys that repeat are a table of their own, so that AQE can split the references of a hot
-    key in the join; a document's keys are bounded by its lines.
+    key in the join; a text's keys are bounded by its lines, and equal rows have one set of them.
     """
     keepers, _ = stage(repeated(refs), "line-keepers")
     lost = refs.join(keepers, ["high", "low"]).filter("doc_id != keeper")
-    return lost.groupBy("doc_id").agg(F.collect_list(F.struct("high", "low")).alias("lost_keys"))
+    return lost.groupBy("doc_id", "version").agg(F.collect_set(F.struct("high", "low")).alias("lost_keys"))
 
 
 def _filters(keys: DataFrame, old: DataFrame | None) -> DataFrame:
@@ -393,8 +396,11 @@ def without_lines(docs: DataFrame, lost: DataFrame, min_chars: int = MIN_CHARS)
     """Joins the documents with their lost keys and cuts those lines out of the text."""
     docs = docs.drop("line_count", "lines_dropped")
     columns = docs.columns
-    lost = lost.select(F.col("doc_id").alias("_encore_id"), F.col("lost_keys").alias("_encore_lost"))
-    both = docs.join(lost, F.col("doc_id") == F.col("_encore_id"), "left").drop("_encore_id")
+    lost = lost.select(
+        F.col("doc_id").alias("_encore_id"), F.col("version").alias("_encore_version"), F.col("lost_keys").alias("_encore_lost")
+    )
+    same = (F.col("doc_id") == F.col("_encore_id")) & (F.xxhash64("text") == F.col("_encore_version"))
+    both = docs.join(lost, same, "left").drop("_encore_id", "_encore_version")
 
     def job(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = batch.column("text")

@@ -6,7 +6,7 @@ import numpy as np
 
 import pytest
 
-from encore.llm.line_dedup import CuckooFilter, LineIndex, dedup_lines
+from encore.llm.line_dedup import CuckooFilter, LineIndex, dedup_lines, drops
 from encore.llm.textarrays import mix
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -120,3 +120,14 @@ def test_keys_repeat_across_chunks_and_batches(spark, monkeypatch):
     monkeypatch.setattr("encore.llm.line_dedup.SHARD_KEYS", 50)
     rows = corpus(11, 200)
     assert found(dedup_lines(frame(spark, rows))) == brute(rows)
+
+
+def test_many_rows_of_one_document_make_no_long_list(spark):
+    """A doc_id with a third of all rows: each of its texts is sent its own lost keys only, equal ones once."""
+    rows = [(9, f"shared line number {k % 60}\nown line of text {k % 60}") for k in range(300)]
+    rows += [(k + 10, f"own words of {k}\nshared line number {k % 60}") for k in range(300)] + [(1, f"shared line number {k}") for k in range(60)]
+    docs = frame(spark, rows)
+    assert found(dedup_lines(docs)) == brute(rows)
+    lost = drops(LineIndex.of(docs).references)
+    assert {len(r.lost_keys) for r in lost.collect()} == {1}
+    assert lost.filter("doc_id = 9").count() == 60
