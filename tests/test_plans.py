@@ -12,6 +12,7 @@ from encore.schemas import TABLES
 from encore.sinks.layout import bucket_of, bucket_skew, lay_out, read_layout, read_tables, write_layout
 from pyspark.sql import functions as F
 from encore.sinks.store import TableStore
+from encore.sources import crosswalk
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -219,3 +220,11 @@ def test_bucket_is_the_one_spark_writes(spark, tmp_path):
 
 def test_artists_scan_staging_once(store):
     assert plan(build_artists(store.read("staging_songs"))).count("FileScan") == 1
+
+
+def test_a_counted_catalogue_is_broadcast_and_a_larger_one_is_not(spark):
+    side = spark.range(10).withColumnRenamed("id", "k")
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    for rows, hinted in ((10, True), (9, False)):
+        chosen = crosswalk.counted_broadcast(side, rows)
+        assert ("ResolvedHint" in plan(chosen)) is hinted and chosen.count() == 10
