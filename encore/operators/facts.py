@@ -25,6 +25,7 @@ EVENT_ORDER = ["start_time", "user_id", "session_id", "level", "location", "user
 SONG_ORDER = ["artist_id", "song_id"]
 RANGE = "_range"
 COPIES_AT_ONCE = 10_000
+ROWS_AT_ONCE = 250_000  # fact rows that a task makes, about
 
 
 def nextsong_events(events: DataFrame) -> DataFrame:
@@ -86,8 +87,9 @@ def numbered_songplays(
     shuffled for its ids. RANGE numbers the ranges of events by time.
 
     Names that no artist has drop out before. One name with several artists shares an
-    event's ids among the catalogue rows of all of them. Returns the rows and the staged
-    paths that may be discarded after use.
+    event's ids among the catalogue rows of all of them. Events are few bytes and may become
+    many rows, so tasks are dealt by those rows, in parts of a name if it has many. Returns
+    the rows and the staged paths that may be discarded after use.
     """
     # An artist's songs are numbered by running sums over ranges, never in one task per name.
     alike = _catalogue(artists, songs).groupBy("_name", *SONG_ORDER).agg(F.count("*").alias("_rows"))
@@ -103,8 +105,32 @@ def numbered_songplays(
     # in two steps, as one event may have any number of copies
     from_copy = F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(COPIES_AT_ONCE).cast("long"))
     to_copy = F.least(F.col("_copies"), F.col("_from") + COPIES_AT_ONCE) - 1
-    each = spread.withColumn("_from", F.explode(from_copy)).join(catalogue, "_name")
+    each = _dealt_by_rows(spread.withColumn("_from", F.explode(from_copy)), catalogue, path)
     each = each.withColumn("_copy", F.explode(F.sequence("_from", to_copy)))
     number = F.col("_offset") + F.col("_place") * F.col("_copies") + F.col("_copy") + F.lit(start)
     numbered = each.withColumn("songplay_id", number.cast("long"))
     return numbered.select("songplay_id", *FACT_COLUMNS, RANGE), [path, songs_path]
+
+
+def _dealt_by_rows(events: DataFrame, catalogue: DataFrame, path: str) -> DataFrame:
+    """``events`` joined with ``catalogue`` by name, in as many tasks as the rows they become ask for.
+
+    A name of many rows is dealt in parts: its events are shared among them, and each has its
+    catalogue rows. ``path`` has the stored events with the ``_width`` of each.
+    """
+    stored = events.sparkSession.read.parquet(path)
+    pieces = F.sum(F.ceil(F.col("_copies") / COPIES_AT_ONCE))
+    rows = stored.groupBy("_name").agg(F.sum("_width").alias("_all"), pieces.alias("_pieces"))
+    total = rows.agg(F.sum("_all")).first()[0] or 0
+    parts = F.least(F.floor(F.col("_all") / ROWS_AT_ONCE) + 1, "_pieces").alias("_parts")
+    # at most one name per ROWS_AT_ONCE rows
+    large = F.broadcast(rows.where(F.col("_all") >= ROWS_AT_ONCE).select("_name", parts))
+    one = F.lit(1).cast("long")
+    part = F.pmod(F.xxhash64("_offset", "_from"), F.coalesce("_parts", one)).alias("_part")
+    every = F.explode(F.sequence(one - 1, F.coalesce("_parts", one) - 1)).alias("_part")
+    tasks = int(total // ROWS_AT_ONCE) + 1
+    dealt = [
+        side.join(large, "_name", "left").select(*side.columns, which).repartition(tasks, "_name", "_part")
+        for side, which in ((events, part), (catalogue, every))
+    ]
+    return dealt[0].join(dealt[1], ["_name", "_part"])

@@ -64,3 +64,18 @@ def test_many_copies_of_one_event(spark, make_events, make_songs, monkeypatch):
     songs = spark.createDataFrame([("S1", "A1", "t"), ("S2", "A1", "u")], "song_id string, artist_id string, title string")
     found, _ = numbered_songplays(events, artists, songs)
     assert [r.songplay_id for r in found.orderBy("songplay_id").collect()] == list(range(20))
+
+
+def test_tasks_are_dealt_by_the_rows_that_events_become(spark, make_events, monkeypatch):
+    """Few bytes of events, one artist and many rows: no task makes more than a small share of them."""
+    monkeypatch.setattr("encore.operators.facts.ROWS_AT_ONCE", 500, raising=False)
+    monkeypatch.setattr("encore.operators.facts.COPIES_AT_ONCE", 50)
+    events = make_events(dict(ts=5)).selectExpr("* except (ts)", "explode(sequence(3600000L, 1080000000L, 3600000L)) as ts")
+    events = events.unionByName(make_events(*[dict(ts=7, artist="B")] * 200))
+    artists = spark.createDataFrame([("A1", "A", "x"), ("B1", "B", "x")], "artist_id string, name string, location string")
+    songs = spark.range(20).selectExpr("concat('S', id) as song_id", "if(id < 15, 'A1', 'B1') as artist_id", "'t' as title")
+    found, _ = numbered_songplays(events, artists, songs)
+    made = rows(found.select("songplay_id", F.spark_partition_id().alias("task")), "songplay_id", "task")
+    assert [i for i, _ in made] == list(range(300 * 15 + 200 * 5))
+    tasks = [t for _, t in made]
+    assert max(map(tasks.count, set(tasks))) <= 2500
