@@ -76,12 +76,13 @@ def reference_violations(table: Table, tables: dict[str, DataFrame]) -> DataFram
     return reduce(DataFrame.unionAll, counted)
 
 
-def passing(reason: Column, what: str) -> Column:
-    """A filter that is true where ``reason`` is NULL and fails the job, naming it, elsewhere.
+def passing(reason: Column, what: str, where: Column | None = None) -> Column:
+    """A filter that is true where ``reason`` is NULL and fails the job, naming it and ``where``, elsewhere.
 
     As a filter it runs even if the checked columns are not read.
     """
-    stop = F.raise_error(F.concat(F.lit(f"{what}: "), reason)).cast("boolean")
+    place = F.lit("") if where is None else F.coalesce(where, F.lit(""))
+    stop = F.raise_error(F.concat(F.lit(f"{what}: "), reason, place)).cast("boolean")
     return F.when(reason.isNotNull(), stop).otherwise(True)
 
 

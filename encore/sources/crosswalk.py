@@ -10,10 +10,11 @@ broadcast the line items, so the catalogue is counted and broadcast up to ``BROA
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000  # of some 200 bytes: about 100 MB
+BESIDE = " "  # between objects of the written files, whether a line ends there or not
 
 
 def counted_broadcast(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -114,22 +115,21 @@ def write_logs(spark: SparkSession, sf_dir: str, path: str) -> None:
         F.struct(*[v.alias(c.upper()) for c, v in values.items()], F.lit("x").alias("OTHER"))
     )
     line = F.when(F.col("iteminsession") % 2 == 0, spelled).otherwise(shouted)
-    lines = events.select(line.alias("value"), F.col("page").alias("folder"), F.spark_partition_id().alias("part"))
-    _two_a_line(lines, "folder", "part").write.partitionBy("folder").text(path)
+    lines = events.select(_on_lines(line), F.col("page").alias("folder"))
+    lines.write.partitionBy("folder").option("lineSep", BESIDE).text(path)
 
 
-def _two_a_line(objects: DataFrame, *together: str) -> DataFrame:
-    """Texts in ``value`` on lines of their own, some in twos, as far as rows of the same keys go."""
-    place = F.col("place")
-    first = F.when(F.shiftright(place, 1) % 16 == 0, place - place % 2).otherwise(place)
-    numbered = objects.withColumn("place", F.monotonically_increasing_id()).withColumn("line", first)
-    lines = numbered.groupBy(*together, "line").agg(F.concat_ws(" ", F.collect_list("value")).alias("value"))
-    return lines.drop("line", "part")
+def _on_lines(text: Column) -> Column:
+    """Texts in ``value`` with the end of their line, but for one in 32, after which the next goes on.
+
+    To be written with BESIDE between them: lines are made as rows come, and no text is shuffled.
+    """
+    alone = F.monotonically_increasing_id() % 32 != 0
+    return F.concat(text, F.when(alone, "\n").otherwise("")).alias("value")
 
 
 def write_catalogue(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """The staging songs as files the size of a partition, one or two JSON objects a line."""
+    """The staging songs as files the size of a partition, one JSON object a line or two."""
     songs = staging_songs(spark, sf_dir)
     one = F.to_json(F.struct(*songs.columns), {"ignoreNullFields": "false"})
-    plain = songs.select(one.alias("value"), F.spark_partition_id().alias("part"))
-    _two_a_line(plain, "part").write.text(path)
+    songs.select(_on_lines(one)).write.option("lineSep", BESIDE).text(path)

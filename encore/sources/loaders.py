@@ -70,11 +70,15 @@ def _number(text: Column, kind: T.DataType) -> Column:
     filled = blank_to_null(text)
     if not isinstance(kind, T.DecimalType):
         return filled
+    # Most texts have no decimals to lose and no exponent, and go to the cast as they are.
+    dot = F.locate(".", filled)
+    fits = ((dot == 0) | (F.length(filled) - dot <= kind.scale)) & ~filled.rlike("[eE]")
     digits = F.regexp_replace(filled, rf"^(\s*[+-]?[0-9]*\.[0-9]{{{kind.scale}}})[0-9]+(\s*)$", "$1$2")
-    fits = F.when(F.length(filled) > 18, digits).otherwise(filled)  # a short text has no more than 18 decimals
-    exact = fits.try_cast(T.DecimalType(38, 18))  # of a number with an exponent, too
-    cut = F.when(exact < 0, F.ceil(exact, F.lit(kind.scale))).otherwise(F.floor(exact, F.lit(kind.scale)))
-    return F.coalesce(cut.cast("string"), filled)
+    short = F.when(F.length(filled) > 18, digits).otherwise(filled)  # a short text has no more than 18 decimals
+    exact = short.try_cast(T.DecimalType(38, 18))  # of a number with an exponent, too
+    below = filled.rlike(r"^[^\p{Nd}.]*-")  # by the text, so that the number is made once
+    cut = F.when(below, F.ceil(exact, F.lit(kind.scale))).otherwise(F.floor(exact, F.lit(kind.scale)))
+    return F.when(fits, filled).otherwise(F.coalesce(cut.cast("string"), filled))
 
 
 def coerce(df: DataFrame, table: Table) -> DataFrame:
@@ -155,8 +159,7 @@ def typed_rows(df: DataFrame, table: Table, mode: str = STRICT, counts: Observat
         tagged = tagged.observe(counts, F.count(F.lit(1)).alias("read"), F.count(reason).alias("left_out"))
     if mode == STRICT:
         where = F.concat(F.lit(" in "), "file", F.lit(" from byte "), "from_byte", F.lit(", line "), "line") if place else F.lit("")
-        told = F.concat(reason, F.coalesce(where, F.lit("")))
-        return _values(tagged.where(passing(told, f"bad record for {table.name}")), table)
+        return _values(tagged.where(passing(reason, f"bad record for {table.name}", where)), table)
     return _values(tagged.where(reason.isNull()), table)
 
 

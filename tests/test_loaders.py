@@ -6,15 +6,19 @@ from decimal import Decimal
 import pytest
 from conftest import rows
 
-from encore.schemas import STAGING_EVENTS
+from encore.schemas import STAGING_EVENTS, STAGING_SONGS
+from encore.sources import crosswalk
 from encore.sources.loaders import (
     LINES,
     QUARANTINE,
+    _number,
     bad_records,
     load_events,
     load_songs,
     read_lines,
 )
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
 # The keys of both kinds of records. What they hold is made up.
 EVENT = {
@@ -164,3 +168,29 @@ def test_bad_document_aborts_a_strict_load(spark, tmp_path):
     with pytest.raises(Exception, match="bad record .*not json"):
         load_songs(spark, path).collect()
     assert load_songs(spark, path, QUARANTINE).count() == 0
+
+
+def test_files_of_the_test_tables_are_written_without_a_shuffle_of_their_text(spark, tmp_path, monkeypatch):
+    plans, text = [], DataFrameWriter.text
+
+    def noted(self, *args, **kwargs):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return text(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "text", noted)
+    crosswalk.write_logs(spark, "/root/testdata/sf0.001", f"{tmp_path}/logs")
+    crosswalk.write_catalogue(spark, "/root/testdata/sf0.001", f"{tmp_path}/songs")
+    above = [p[: p.index("Join")] for p in plans]  # what comes after the rows are joined
+    assert len(above) == 2 and not any("Exchange" in p or "Aggregate" in p for p in above)
+    for path, count in (("logs", 1000), ("songs", 6000)):
+        lines = [x for x in spark.read.option("recursiveFileLookup", "true").text(f"{tmp_path}/{path}").toPandas()["value"] if x.strip()]
+        assert len(lines) < count  # some hold two objects
+        assert read_lines(spark, f"{tmp_path}/{path}").count() == count
+
+
+def test_decimals_of_any_spelling_are_cut_toward_zero(spark):
+    texts = ["1.5", "-1.5", " 2.12345 ", "-0.000019", "\t-1.234567", "12E-7", "-1234567E-6", "1e3", "", "-.999999", "7", "1.123456x", "12345678"]
+    cut = ["1.50000", "-1.50000", "2.12345", "-0.00001", "-1.23456", "0.00000", "-1.23456", "1000.00000", None, "-0.99999", "7.00000", None, None]
+    kind = {c.name: c.type for c in STAGING_SONGS.columns}["duration"]
+    found = spark.createDataFrame(list(enumerate(texts)), "k int, t string").orderBy("k").select(_number(F.col("t"), kind).try_cast(kind))
+    assert [r[0] if r[0] is None else f"{r[0]:.5f}" for r in found.collect()] == cut
