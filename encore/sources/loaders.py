@@ -127,7 +127,8 @@ def _tagged(df: DataFrame, table: Table, value: str) -> DataFrame:
     kinds = {c.name: c.type for c in table.columns if not isinstance(c.type, T.StringType)}
     typed = {_typed_name(n): _number(F.col(n), kind).try_cast(kind) for n, kind in kinds.items()}
     reason = F.when(F.col("_unreadable"), "not json").otherwise(fault(table))
-    return _computed_once(bound, **typed).withColumn("_reason", reason)
+    # apart, as code that is made in one piece with that of the values is too long to be compiled
+    return _computed_once(_computed_once(bound, **typed), _reason=reason)
 
 
 def _values(tagged: DataFrame, table: Table) -> DataFrame:
