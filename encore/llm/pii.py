@@ -125,7 +125,8 @@ def find_spans(hits: DataFrame) -> DataFrame:
 
     ``left`` and ``right`` are the ``NEAR`` characters beside a match, up to the next match of the kind.
     """
-    found = hits.select("row", F.explode("hits").alias("hit")).select("row", "hit.*")
+    # dealt by row, which serves the sums here and those of _without_overlap
+    found = hits.select("row", F.explode("hits").alias("hit")).select("row", "hit.*").repartition("row")
     upto = Window.partitionBy("row", "kind").orderBy("place")
     length = F.length("match")
     start = F.sum("gap").over(upto) + F.sum(length).over(upto) - length
@@ -164,28 +165,35 @@ def score_instances(edges: DataFrame, accept: float = ACCEPT, rounds: int | None
     instance that had none, nor an instance to ``accept``, nor adds ``STILL`` to the sum of all; or as
     many as said. A trusted pattern's unknown instances are fewer than two thirds of its
     sure ones, so what rounds add dwindles fast.
+
+    Seeds stay at 1 and only count, and a pattern too small to be trusted, however sure its
+    instances are, says nothing; so rounds go over the other edges alone, which carry what is
+    known of both ends: one sum by pattern and one by instance a round.
     """
-    scored = edges.select("instance", F.col("seed").cast("double").alias("confidence")).distinct()
+    totals = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"), F.count("*").alias("n"))
+    able = (F.col("n") >= SUPPORT) & (F.col("n") / (F.col("n") + SMOOTH) >= TRUSTED)
+    links = edges.filter("not seed").select("pattern", "instance").join(totals.filter(able), "pattern")
+    # one edge of each instance stands for it where instances are counted
+    lead = links.groupBy("instance").agg(F.min("pattern").alias("lead"))
+    links = links.join(lead, "instance").withColumn("lead", F.col("pattern") == F.col("lead"))
+    links, _ = stage(links, "links")
+    scored = links.withColumn("confidence", F.lit(0.0))
     was = None
     for _ in itertools.count() if rounds is None else range(rounds):
-        trusted = (
-            edges.join(scored, "instance", "left")  # instances without a confidence count as well, as 0
-            .groupBy("pattern")
-            .agg(F.sum(F.coalesce("confidence", F.lit(0.0))).alias("sure"), F.count("*").alias("n"))
-            .withColumn("trust", F.col("sure") / (F.col("n") + SMOOTH))
-            .filter((F.col("trust") >= TRUSTED) & (F.col("n") >= SUPPORT))
-        )
-        found = edges.filter("not seed").join(trusted, "pattern").groupBy("instance").agg(
+        trust = (F.first("seeds") + F.sum("confidence")) / (F.first("n") + SMOOTH)
+        trusted = scored.groupBy("pattern").agg(trust.alias("trust")).filter(F.col("trust") >= TRUSTED)
+        found = links.select("pattern", "instance").join(trusted, "pattern").groupBy("instance").agg(
             (1 - F.exp(F.sum(F.log1p(-F.least("trust", F.lit(0.999)))))).alias("confidence")
         )
-        seeds = edges.filter("seed").select("instance", F.lit(1.0).alias("confidence")).distinct()
-        scored, _ = stage(seeds.unionByName(found), "confidence")
-        number, accepted, total = scored.agg(F.count("*"), F.count_if(F.col("confidence") >= accept), F.sum("confidence")).first()
+        scored = links.join(found, "instance", "left").withColumn("confidence", F.coalesce("confidence", F.lit(0.0)))
+        scored, _ = stage(scored, "confidence")
+        sure, found = F.col("confidence"), scored.filter("lead and confidence > 0")
+        number, accepted, total = found.agg(F.count("*"), F.count_if(sure >= accept), F.sum(sure)).first()
         now = (number, accepted, total or 0.0)
         if was and now[:2] == was[:2] and now[2] - was[2] < STILL:
             break
         was = now
-    return scored.join(edges.filter("not seed").select("instance").distinct(), "instance", "left_semi")
+    return scored.filter("lead and confidence > 0").select("instance", "confidence")
 
 
 def extract(docs: DataFrame, rounds: int | None = None, accept: float = ACCEPT) -> tuple[DataFrame, DataFrame]:

@@ -8,6 +8,7 @@ from math import prod
 import pytest
 from pyspark.sql import functions as F
 
+from encore.llm import pii
 from encore.llm.pii import extract, personal_data, score_instances
 
 # The base kinds as the contract gives them.
@@ -127,3 +128,28 @@ def test_rows_that_repeat_and_empty_tables(spark):
     assert personal_data(docs.limit(0)).collect() == []
     assert not re.search("Python|Arrow|Pandas", got._jdf.queryExecution().executedPlan().toString())
     assert got.agg(F.sum("n_email")).first()[0] == 3
+
+
+def test_a_round_shuffles_edges_twice_and_spans_are_dealt_once(spark, monkeypatch):
+    """With many shuffle partitions and small tables, each exchange costs more than its rows."""
+    exchanges = {}
+    real = pii.stage
+
+    def counted(df, label):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        exchanges.setdefault(label, []).append(plan.split("Initial Plan")[0].count("Exchange "))
+        return real(df, label)
+
+    monkeypatch.setattr(pii, "stage", counted)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(k, f"please contact user{k}@mail.org today") for k in range(20)]
+        rows += [(100 + k, f"please contact AB{k}77X{k}99 today") for k in range(5)]
+        _, spans = extract(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert spans.filter("kind = 'id'").count() == 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert exchanges["spans"] == [1]
+    # a sum by pattern and one by instance, each joined with the edges
+    assert len(exchanges["confidence"]) >= 2 and set(exchanges["confidence"]) == {4}
