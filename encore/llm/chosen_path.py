@@ -51,7 +51,7 @@ SMALL = 4096
 DEEP = 24
 #: Places in which two signatures must agree: four standard deviations below 85 %.
 ALIKE = int(WIDTH * 0.85 - 4 * (WIDTH * 0.85 * 0.15) ** 0.5)
-STEP = 1 << 20  # hashed values at a time
+STEP = 1 << 20  # values hashed at a time, but for a longer set
 
 _TIMES = mix(np.arange(1, WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _PLUS = mix(_TIMES)
@@ -71,6 +71,7 @@ def _profiles(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     node, guard = n.copy(), n.copy()
     found = [b""] * len(n)
     held: list[tuple[int, np.ndarray]] = []
+    size = 0
 
     def sign() -> None:
         sizes = [len(v) for _, v in held]
@@ -82,9 +83,11 @@ def _profiles(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     for r, values in shingle_sets(batch):
         n[r] = len(values)
         node[r], guard[r] = fingerprint(values)
-        held.append((r, values))
-        if sum(len(v) for _, v in held[-8:]) > STEP or len(held) >= 512:
+        if held and size + len(values) > STEP:
             sign()
+            size = 0
+        held.append((r, values))
+        size += len(values)
     if held:
         sign()
     yield batch_of(

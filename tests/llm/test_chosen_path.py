@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_ngram_join import corpus, shingle_set
 
@@ -118,3 +119,21 @@ def test_copies_take_part_once(spark):
     docs = spark.range(3000).selectExpr("id as doc_id", f"if(id % 2 = 0, '{text}', concat('{text} ', id)) as text")
     got = found(near_duplicates(docs))
     assert {got[k][1] for k in range(0, 3000, 2)} == {0} and got[2] == (3, 0, False)
+
+
+def test_sets_are_signed_within_the_step(monkeypatch):
+    """Many long texts are not hashed at once, and their signatures are those of each text alone."""
+    monkeypatch.setattr(chosen_path, "STEP", 1000)
+    sizes = []
+
+    def counted(values, first):
+        sizes.append(len(values))
+        return signatures(values, first)
+
+    monkeypatch.setattr(chosen_path, "signatures", counted)
+    texts = [" ".join(f"w{k}x{i}" for i in range(100)) for k in range(40)] + [" ".join(f"v{i}" for i in range(3000)), "", "one"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    got = [r for b in chosen_path._profiles(batch) for r in b.to_pylist()]
+    assert sorted(sizes)[-1] == 2996 and sorted(sizes)[-2] <= 1000
+    alone = [next(chosen_path._profiles(batch.slice(k, 1))).to_pylist()[0] for k in range(len(texts))]
+    assert got == alone
