@@ -260,7 +260,7 @@ def candidate_links(nodes: DataFrame, trees: int = TREES) -> DataFrame:
     compared = _union(tiles).join(nodes, "node")
     size = _union(tiles).count() * (4 * WIDTH + 24)
     small = spread(compared.select("tile", "node", "n", "signature"), "tile", size).mapInArrow(by_key("tile", _exhaustive), LINKS)
-    found, _ = stage(small, "candidates")
+    found, _ = stage(small, "candidates", gathered=True)
     return _union([*links, found])
 
 

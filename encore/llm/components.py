@@ -75,7 +75,7 @@ def _hang(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of all nodes in edges (a, b); a component's name is its smallest node."""
     ends = edges.filter("a != b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low"))
-    first, _ = stage(ends, "edges")
+    first, _ = stage(ends, "edges", gathered=True)
     parts = max(1, -(-first.count() // LOCAL))
     # several parts are dealt by both ends, so that a node of any degree is dealt out
     dealt = first.repartition(parts, "high", "low") if parts > 1 else first.repartition(1)

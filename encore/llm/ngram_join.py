@@ -85,7 +85,7 @@ def _counts(df: DataFrame, pick: Callable[[pa.RecordBatch], np.ndarray]) -> Data
 
 def _hot(counts: DataFrame, known: np.ndarray, hot: int) -> np.ndarray:
     """The tokens above the threshold, joined with those known."""
-    found, _ = stage(counts.filter(F.col("n") > hot), "hot-shingles")
+    found, _ = stage(counts.filter(F.col("n") > hot), "hot-shingles", gathered=True)
     while found.filter(F.col("n") > hot).count() > MAX_HOT:
         hot *= 2
     rows = found.filter(F.col("n") > hot).toArrow()
@@ -264,7 +264,7 @@ def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
     weighed = nodes.select("node", (F.length("bitmap") + 32).alias("weight"))
     weight = tiles.join(weighed, "node").agg(F.sum("weight")).first()[0] or 0
     compared = spread(tiles.join(nodes.select("node", "bitmap"), "node"), "tile", int(weight))
-    possible, _ = stage(compared.mapInArrow(possible_links(PERCENT), "a long, b long"), "possible")
+    possible, _ = stage(compared.mapInArrow(possible_links(PERCENT), "a long, b long"), "possible", gathered=True)
     groups, _ = stage(components(possible).select(F.col("component").alias("tile"), "node"), "groups")
     wanted = groups.select("node")
     if len(common):

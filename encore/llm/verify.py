@@ -242,7 +242,7 @@ def verify_groups(own: DataFrame, every: DataFrame, sets: DataFrame, links: Data
     )
     first = placed.unionByName(pivots)
     first = first.select(F.xxhash64("tile", "block").alias("tile"), "node", F.col("node").alias("part"))
-    found, _ = stage(_verified(first, sets, percent), "links")
+    found, _ = stage(_verified(first, sets, percent), "links", gathered=True)
     links = links.unionByName(found)
 
     # all pairs of groups of one block are done; others are looked at by component
@@ -279,5 +279,5 @@ def verify_groups(own: DataFrame, every: DataFrame, sets: DataFrame, links: Data
         .select(F.xxhash64("tile", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), "node", "part")
     )
     paired, _ = stage(paired, "group-blocks")
-    found, _ = stage(_verified(paired, sets, percent), "links")
+    found, _ = stage(_verified(paired, sets, percent), "links", gathered=True)
     return links.unionByName(found)

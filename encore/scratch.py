@@ -29,11 +29,16 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/encore-{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """Write ``df`` once and return the stored rows with their path."""
+def stage(df: DataFrame, label: str, gathered: bool = False) -> tuple[DataFrame, str]:
+    """Write ``df`` once and return the stored rows with their path.
+
+    ``gathered`` is for rows that are few beside the tasks that make them: AQE packs them into files of
+    its advisory size. Otherwise each task writes a file, however small, and for each file on a local
+    disk Hadoop without its native library starts a process or more from the executor's JVM.
+    """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    (df.hint("rebalance") if gathered else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

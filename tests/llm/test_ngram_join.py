@@ -97,3 +97,21 @@ def test_odd_rows(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicates(docs).collect() == [] and one_of_each(docs).collect() == []
+
+
+def test_few_rows_go_to_few_files(spark, tmp_path, monkeypatch):
+    """Links are made in many tasks, and a file for each would start processes from the executors."""
+    monkeypatch.setattr("encore.scratch.shared_root", lambda _: str(tmp_path))
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        rows = [(2 * i + j, " ".join(f"w{i}x{k}" for k in range(40)) + " end" * j) for i in range(60) for j in range(2)]
+        found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert {r.doc_id: r.component_id for r in found} == {i: i - i % 2 for i in range(120)}
+    files = {}
+    for folder in tmp_path.iterdir():
+        label = folder.name.split("-")[1]
+        files[label] = max(files.get(label, 0), len(list(folder.glob("part-*"))))
+    assert {files[label] for label in ("possible", "edges", "links")} == {1}, files
