@@ -235,19 +235,19 @@ def verify_groups(own: DataFrame, every: DataFrame, sets: DataFrame, links: Data
     weighed = own.join(known, "node")
     sizes = weighed.groupBy("tile").agg(F.count("*").alias("members"), F.min("node").alias("pivot"), F.sum("n").alias("elements"))
     blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("elements") * 8 / BLOCK_BYTES))
-    sizes = sizes.withColumn("blocks", blocks).drop("elements")
+    # read by several jobs below, each of which would plan and make them again
+    sizes, _ = stage(sizes.withColumn("blocks", blocks).drop("elements"), "group-sizes", gathered=True)
     placed = own.join(sizes, "tile").select("tile", "node", F.pmod(salt, F.col("blocks")).alias("block"))
     pivots = sizes.filter("blocks > 1").select(
         "tile", F.col("pivot").alias("node"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
     )
     first = placed.unionByName(pivots)
-    first = first.select(F.xxhash64("tile", "block").alias("tile"), "node", F.col("node").alias("part"))
+    first, _ = stage(first.select(F.xxhash64("tile", "block").alias("tile"), "node", F.col("node").alias("part")), "first-blocks")
     found, _ = stage(_verified(first, sets, percent), "links", gathered=True)
     links = links.unionByName(found)
 
     # all pairs of groups of one block are done; others are looked at by component
-    done = sizes.filter("blocks = 1").select("tile").join(every.groupBy("tile").count(), "tile")
-    done = done.join(sizes.select("tile", "members"), "tile").filter("members = count").select("tile")
+    done = sizes.filter("blocks = 1").join(every.groupBy("tile").count(), "tile").filter("members = count").select("tile")
     open_, _ = stage(every.join(done, "tile", "left_anti").select("tile", "node"), "open-groups")
     if open_.isEmpty():
         return links

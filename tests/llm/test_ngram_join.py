@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from encore.llm import verify
 from encore.llm.ngram_join import near_duplicates, one_of_each
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -115,3 +116,18 @@ def test_few_rows_go_to_few_files(spark, tmp_path, monkeypatch):
         label = folder.name.split("-")[1]
         files[label] = max(files.get(label, 0), len(list(folder.glob("part-*"))))
     assert {files[label] for label in ("possible", "edges", "links")} == {1}, files
+
+
+def test_members_of_groups_are_made_once(spark, monkeypatch):
+    """Several jobs read them: were they not stored, the driver would plan and run their joins in each."""
+    seen, verified = [], verify._verified
+
+    def looked_at(members, sets, percent):
+        seen.append(members._jdf.queryExecution().optimizedPlan().toString())
+        return verified(members, sets, percent)
+
+    monkeypatch.setattr(verify, "_verified", looked_at)
+    rows = corpus(5, 60)
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), hot=8)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == brute(rows)
+    assert seen and not [p for p in seen if "Join" in p or "Aggregate" in p]
