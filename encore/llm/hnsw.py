@@ -16,9 +16,9 @@ a neighbour unless one already chosen is nearer to it than the new node is. All
 a batch step together, as numpy operations.
 
 Searching sends each distinct query vector to every shard, in parts of ``QUERIES_PER_TASK``.
-A task reads a shard's graph, then streams its queries. Found nodes are scored again in
-double precision on the original vectors, and the shards' lists are merged by
-(score, smaller id).
+A task reads a shard's graph, then streams its queries. Found nodes that may be among the best
+are scored again in double precision on the original vectors, and the shards' lists are merged
+by (score, smaller id).
 
 Defined results: a vector that is null, empty, all zero or holds null, NaN or infinite
 components takes no part, neither as query nor as candidate; nor does a row without id.
@@ -47,8 +47,37 @@ SHARDS = 12
 SHARD_NODES = 6_000  # most nodes of a shard, about; the tests measure recall at this size
 BAND = 3  # lengths of a shard are within a factor of 2 ** BAND
 QUERIES_PER_TASK = 100_000
+TASKS_PER_GROUP = 4
 BATCH = 128
-STEPS_AT_ONCE = 3
+STEPS_AT_ONCE = 20
+NO_NODE = np.iinfo(np.int64).max  # odd, as nothing is open there
+
+
+def _ordered(near: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Similarity and node as one number that sorts by falling similarity, then by node; even, as the node is open."""
+    bits = near.astype(np.float32).view(np.int32)
+    rising = bits ^ ((bits >> 31) & 0x7FFFFFFF)
+    return (~rising).astype(np.int64) << 32 | node.astype(np.int64) << 1
+
+
+def _apart(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and similarities of such numbers; -1 and -inf where there is none."""
+    rising = ~(ordered >> 32).astype(np.int32)
+    near = (rising ^ ((rising >> 31) & 0x7FFFFFFF)).view(np.float32)
+    none = ordered == NO_NODE
+    return np.where(none, -1, (ordered & 0xFFFFFFFF) >> 1).astype(np.int32), np.where(none, np.float32(-np.inf), near)
+
+
+def _in_rows(row: np.ndarray, count: int, *values: tuple[np.ndarray, int]) -> list[np.ndarray]:
+    """Each of ``values``, sorted by row, as a matrix with a row's values in front and a filler behind."""
+    wide = np.bincount(row, minlength=count)
+    place = np.arange(len(row)) - (np.cumsum(wide) - wide)[row]
+    out = []
+    for value, filler in values:
+        matrix = np.full((count, wide.max(initial=0)), filler, value.dtype)
+        matrix[row, place] = value
+        out.append(matrix)
+    return out
 
 
 def beam_search(
@@ -56,44 +85,39 @@ def beam_search(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Numbers and similarities of the nodes each query's beam ends with, best first.
 
-    ``layer`` holds -1 where a node has fewer neighbours; so does the result.
+    A step looks at the neighbours of the best open nodes of each beam, and a search ends when
+    no node of its beam is open. Work goes with the nodes that are reached, not with those of the
+    graph. ``layer`` holds -1 where a node has fewer neighbours; so does the result.
     """
-    count = len(queries)
-    seen = np.zeros((count, len(layer)), bool)
-    node = np.full((count, beam), -1, np.int32)
-    near = np.full((count, beam), -np.inf, np.float32)
-    fresh = np.zeros((count, beam), bool)
-    node[:, 0] = entry
-    near[:, 0] = np.einsum("qd,qd->q", queries, vectors[entry])
-    fresh[:, 0] = True
-    seen[np.arange(count), entry] = True
+    count, size = len(queries), len(layer)
+    seen = np.zeros(count * size, bool)
+    best = np.full((count, beam), NO_NODE)
+    best[:, 0] = _ordered(np.einsum("qd,qd->q", queries, vectors[entry]), entry)
+    seen[np.arange(count) * size + entry] = True
     rows = np.arange(count)
-    width = min(STEPS_AT_ONCE, beam)
     while len(rows):
-        open_ = np.where(fresh[rows], near[rows], -np.inf)
-        pick = np.argsort(-open_, axis=1, kind="stable")[:, :width]
-        usable = np.take_along_axis(fresh[rows], pick, 1)
-        fresh[rows[:, None], pick] = False
-        chosen = np.where(usable, node[rows[:, None], pick], 0)
-        reached = np.where(usable[:, :, None], layer[chosen], -1).reshape(len(rows), -1)
-        reached.sort(axis=1)
-        good = reached >= 0
-        good[:, 1:] &= reached[:, 1:] != reached[:, :-1]
-        safe = np.where(good, reached, 0)
-        good &= ~seen[rows[:, None], safe]
-        r, c = np.nonzero(good)
-        seen[rows[r], safe[r, c]] = True
-        similar = np.full(reached.shape, -np.inf, np.float32)
-        similar[r, c] = np.einsum("id,id->i", queries[rows[r]], vectors[safe[r, c]])
-        all_near = np.hstack([near[rows], similar])
-        all_node = np.hstack([node[rows], np.where(good, reached, -1)])
-        all_fresh = np.hstack([fresh[rows], good])
-        best = np.argsort(-all_near, axis=1, kind="stable")[:, :beam]
-        near[rows] = np.take_along_axis(all_near, best, 1)
-        node[rows] = np.take_along_axis(all_node, best, 1)
-        fresh[rows] = np.take_along_axis(all_fresh, best, 1)
-        rows = rows[fresh[rows].any(1)]
-    return node, near
+        now = best[rows]
+        open_ = (now & 1) == 0
+        open_ &= np.cumsum(open_, axis=1, dtype=np.int32) <= STEPS_AT_ONCE
+        r, c = np.nonzero(open_)
+        reached = layer.take((now[r, c] & 0xFFFFFFFF) >> 1, axis=0)
+        now[r, c] |= 1
+        at = ((rows[r] * size)[:, None] + reached)[reached >= 0]
+        at = np.sort(at[~seen.take(at)])
+        at = at[np.diff(at, prepend=-1) > 0]
+        seen[at] = True
+        row = np.searchsorted(rows, at // size)
+        node = at % size
+        (table,) = _in_rows(row, len(rows), (node, 0))
+        similar = (vectors.take(table, axis=0) @ queries[rows][:, :, None])[:, :, 0]
+        found = _ordered(similar, table)
+        found[np.arange(table.shape[1]) >= np.bincount(row, minlength=len(rows))[:, None]] = NO_NODE
+        r, c = np.nonzero(found < now[:, -1:])
+        (better,) = _in_rows(r, len(rows), (found[r, c], NO_NODE))
+        now = np.sort(np.hstack([now, better]), axis=1)[:, :beam]
+        best[rows] = now
+        rows = rows[((now & 1) == 0).any(1)]
+    return _apart(best)
 
 
 def choose(vectors: np.ndarray, node: np.ndarray, near: np.ndarray, limit: int) -> np.ndarray:
@@ -102,7 +126,8 @@ def choose(vectors: np.ndarray, node: np.ndarray, near: np.ndarray, limit: int)
     A candidate is taken if it is nearer to the new node than to all taken before; free
     places go to the best of the others.
     """
-    between = np.einsum("qad,qbd->qab", vectors[node], vectors[node])
+    near_by = vectors.take(node, axis=0, mode="wrap")  # -1 is the last one, as in an index
+    between = near_by @ near_by.transpose(0, 2, 1)
     valid = node >= 0
     taken = np.zeros(node.shape, bool)
     for c in range(node.shape[1]):
@@ -176,7 +201,7 @@ class Graph:
             node = np.hstack([layer[owner], added])
             node.sort(axis=1)
             node[:, 1:][node[:, 1:] == node[:, :-1]] = -1
-            near = np.einsum("qd,qkd->qk", self.vectors[owner], self.vectors[node])
+            near = (self.vectors.take(node, axis=0, mode="wrap") @ self.vectors[owner][:, :, None])[:, :, 0]
             near = np.where(node >= 0, near, -np.inf)
             order = np.argsort(-near, axis=1, kind="stable")
             node, near = np.take_along_axis(node, order, 1), np.take_along_axis(near, order, 1)
@@ -189,11 +214,11 @@ class Graph:
                 out[~few] = choose(self.vectors, node[~few], near[~few], limit)
             layer[owner] = out
 
-    def search(self, queries: np.ndarray, beam: int) -> np.ndarray:
+    def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         entry = np.zeros(len(queries), np.int32)
         for layer in reversed(self.layers[1:]):
             entry = beam_search(self.vectors, layer, entry, queries, 4)[0][:, 0]
-        return beam_search(self.vectors, self.layers[0], entry, queries, beam)[0]
+        return beam_search(self.vectors, self.layers[0], entry, queries, beam)
 
 
 def _same_length(vectors: np.ndarray) -> np.ndarray:
@@ -246,20 +271,24 @@ class Shard:
         assert len(layers[0]) == nodes
         self.graph = Graph(_same_length(self.exact), layers)
 
-    def nearest(self, queries: np.ndarray, k: int, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each query the ids and exact scores of the k best rows found here."""
+    def nearest(self, queries: np.ndarray, k: int, beam: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the query, id and exact score of the k best rows found here for each query, best first."""
         unit = queries / np.abs(queries).max(1, keepdims=True)  # the order of scores does not depend on it
         padded = np.column_stack([unit, np.zeros(len(queries))]).astype(np.float32)
-        found = self.graph.search(padded, min(beam, len(self.exact)))
-        for query, nodes in zip(queries, found, strict=True):
-            nodes = nodes[nodes >= 0]
-            score = np.einsum("d,nd->n", query, self.exact[nodes])
-            best = nodes[np.argsort(-score, kind="stable")]
-            score = np.sort(score)[::-1]
-            take = np.concatenate([np.arange(self.first[n], self.first[n + 1]) for n in best])
-            score = np.repeat(score, self.first[best + 1] - self.first[best])
-            order = np.lexsort((self.ids[take], -score))[:k]
-            yield self.ids[take][order], score[order]
+        found, near = self.graph.search(padded, min(beam, len(self.exact)))
+        # Only nodes that may be among the k best by their exact scores are scored: a similarity is off by half of this at most.
+        off = np.finfo(np.float32).eps * (padded.shape[1] + 8) * np.sqrt((unit * unit).sum(1))
+        last = near[:, min(k, near.shape[1]) - 1]
+        query, place = np.nonzero((found >= 0) & (near >= (last - 2 * off)[:, None]))
+        node = found[query, place]
+        score = np.einsum("nd,nd->n", queries[query], self.exact[node])
+        rows = self.first[node + 1] - self.first[node]
+        ids = self.ids[np.repeat(self.first[node] - np.cumsum(rows) + rows, rows) + np.arange(rows.sum())]
+        query, score = np.repeat(query, rows), np.repeat(score, rows)
+        order = np.lexsort((ids, -score, query))
+        query, ids, score = query[order], ids[order], score[order]
+        best = np.arange(len(query)) - np.searchsorted(query, query) < k
+        return query[best], ids[best], score[best]
 
 
 def usable(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -277,25 +306,41 @@ def _name(vector: Column) -> list[Column]:
 
 def build_index(rows: DataFrame, k: int) -> DataFrame:
     """Graphs (GRAPH) over all rows of ``usable``, for results of up to k rows beside the query's own."""
-    first = Window.partitionBy("vector").orderBy("vec_id")
+    # by name, as arrays are slow to sort and compare
+    first = Window.partitionBy("h1", "h2").orderBy("vec_id")
     nodes, _ = stage(
-        rows.withColumn("place", F.dense_rank().over(first))
+        rows.select("vec_id", "vector", *_name(F.col("vector")))
+        .withColumn("place", F.dense_rank().over(first))
         .filter(F.col("place") <= k + 1)
-        .groupBy("vector")
-        .agg(F.sort_array(F.collect_set("vec_id")).alias("ids")),
+        .groupBy("h1", "h2")
+        .agg(F.first("vector").alias("vector"), F.sort_array(F.collect_set("vec_id")).alias("ids"))
+        .drop("h1", "h2"),
         "nodes",
     )
     shards = max(SHARDS, -(-nodes.count() // SHARD_NODES))
     dims = F.size("vector").cast("long")
     # Vectors of a shard are of like length: beside a much longer one all others would look the same.
     largest = F.array_max(F.transform("vector", F.abs))
-    scaled = F.aggregate(F.transform("vector", lambda x: x / largest), F.lit(0.0), lambda s, x: s + x * x)
-    band = F.floor((F.log2(largest) + F.log2(scaled) / 2) / BAND) + 1024
+
+    def length(most: Column) -> Column:  # in a lambda, so that it is found once per vector and not per component
+        scaled = F.aggregate(F.transform("vector", lambda x: x / most), F.lit(0.0), lambda s, x: s + x * x)
+        return F.log2(most) + F.log2(scaled) / 2
+
+    # Length 1, the usual one, is in the middle of a band: at its end, rounding would deal unit vectors to two.
+    band = F.floor(F.transform(F.array(largest), length)[0] / BAND + 0.5) + 1024
     key = (dims * 2048 + band) * shards + F.pmod(F.xxhash64("vector", F.lit(2)), F.lit(shards))
-    built = nodes.withColumn("key", key).groupBy("key").applyInArrow(_build, GRAPH)
+    built = _apart_by(nodes.withColumn("key", key), shards, "key").groupBy("key").applyInArrow(_build, GRAPH)
     return stage(built, "graphs")[0]
 
 
+def _apart_by(df: DataFrame, groups: int, *key: str) -> DataFrame:
+    """``df`` dealt by ``key``, which has about as many values as ``groups``, mostly one to a task.
+
+    A group is much work on few bytes, so tasks are not to be joined by their bytes.
+    """
+    return df.repartition(groups * TASKS_PER_GROUP, *key)
+
+
 def search_index(graphs: DataFrame, queries: DataFrame, k: int, beam: int = BEAM_SEARCH) -> DataFrame:
     """query_id, rank, vec_id, score for the rows of ``queries`` (vec_id, vector)."""
     named, _ = stage(queries.select("vec_id", "vector", *_name(F.col("vector"))), "queries")
@@ -329,15 +374,12 @@ def search_index(graphs: DataFrame, queries: DataFrame, k: int, beam: int = BEAM
                 for at in range(0, some.num_rows, BATCH):
                     block = some.slice(at, BATCH)
                     asked = take_column(block, "query").flatten().to_numpy().reshape(block.num_rows, -1)
-                    ids, scores = zip(*shard.nearest(asked, k + 1, beam), strict=True)
-                    n = [len(x) for x in ids]
-                    yield batch_of(
-                        h1=np.repeat(take_column(block, "h1").to_numpy(), n),
-                        h2=np.repeat(take_column(block, "h2").to_numpy(), n),
-                        vec_id=np.concatenate(ids), score=np.concatenate(scores),
-                    )
-
-    together = asks.unionByName(holds).repartition("key", "part").sortWithinPartitions("key", "part", "kind")
+                    query, ids, scores = shard.nearest(asked, k + 1, beam)
+                    h1, h2 = (take_column(block, name).to_numpy()[query] for name in ("h1", "h2"))
+                    yield batch_of(h1=h1, h2=h2, vec_id=ids, score=scores)
+
+    dealt = _apart_by(asks.unionByName(holds), max(graphs.count() * parts, 1), "key", "part")
+    together = dealt.sortWithinPartitions("key", "part", "kind")
     found = together.mapInArrow(job, "h1 long, h2 long, vec_id long, score double")
     best = Window.partitionBy("h1", "h2").orderBy(F.desc("score"), "vec_id")
     merged = (

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from encore.llm.hnsw import nearest_neighbours
+from encore.llm.hnsw import SHARDS, build_index, nearest_neighbours, usable
 
 
 def brute(rows, asking, k):
@@ -65,3 +65,16 @@ def test_recall(spark, monkeypatch, beam, least):
         near = np.argsort(-(vectors @ vectors[q]))
         hits += len(set(near[near != q][:20].tolist()) & got[q])
     assert hits / (60 * 20) >= least
+
+
+def test_unit_vectors_are_in_one_band_and_graphs_in_tasks_of_their_own(spark):
+    """Rounding brings lengths to both sides of 1; few bytes are much work, so AQE is not to join tasks by bytes."""
+    dice = np.random.default_rng(2)
+    vectors = dice.normal(size=(400, 8))
+    vectors = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32).astype(float)
+    lengths = np.linalg.norm(vectors, axis=1)
+    assert (lengths < 1).any() and (lengths > 1).any()
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    graphs = build_index(usable(df), 5)
+    assert graphs.count() == SHARDS
+    assert len(graphs.select(F.input_file_name().alias("file")).distinct().collect()) > SHARDS / 3
