@@ -194,3 +194,19 @@ def test_decimals_of_any_spelling_are_cut_toward_zero(spark):
     kind = {c.name: c.type for c in STAGING_SONGS.columns}["duration"]
     found = spark.createDataFrame(list(enumerate(texts)), "k int, t string").orderBy("k").select(_number(F.col("t"), kind).try_cast(kind))
     assert [r[0] if r[0] is None else f"{r[0]:.5f}" for r in found.collect()] == cut
+
+
+def test_files_of_the_test_tables_are_packed_with_few_rows_each(spark, tmp_path, monkeypatch):
+    """As plain text they took ten times the disk of the tables."""
+    monkeypatch.setitem(crosswalk.PACKED, "maxRecordsPerFile", 1000)
+    crosswalk.write_logs(spark, "/root/testdata/sf0.001", f"{tmp_path}/logs")
+    crosswalk.write_catalogue(spark, "/root/testdata/sf0.001", f"{tmp_path}/songs")
+    songs = [p for p in (tmp_path / "songs").rglob("part-*")]
+    assert len(songs) >= 6
+    for path, load, made in (("logs", load_events, crosswalk.staging_events), ("songs", load_songs, crosswalk.staging_songs)):
+        size = sum(p.stat().st_size for p in (tmp_path / path).rglob("part-*"))
+        text = spark.read.option("recursiveFileLookup", "true").text(f"{tmp_path}/{path}")
+        assert size < text.agg(F.sum(F.octet_length("value"))).first()[0] / 3
+        want = made(spark, "/root/testdata/sf0.001")
+        got = load(spark, f"{tmp_path}/{path}").select(*want.columns)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
