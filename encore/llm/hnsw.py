@@ -214,7 +214,11 @@ class Graph:
                 out[~few] = choose(self.vectors, node[~few], near[~few], limit)
             layer[owner] = out
 
-    def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, queries: np.ndarray, beam: int) -> np.ndarray:
+        return self.search_scored(queries, beam)[0]
+
+    def search_scored(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """The nodes found, with their similarities."""
         entry = np.zeros(len(queries), np.int32)
         for layer in reversed(self.layers[1:]):
             entry = beam_search(self.vectors, layer, entry, queries, 4)[0][:, 0]
@@ -275,7 +279,7 @@ class Shard:
         """Number of the query, id and exact score of the k best rows found here for each query, best first."""
         unit = queries / np.abs(queries).max(1, keepdims=True)  # the order of scores does not depend on it
         padded = np.column_stack([unit, np.zeros(len(queries))]).astype(np.float32)
-        found, near = self.graph.search(padded, min(beam, len(self.exact)))
+        found, near = self.graph.search_scored(padded, min(beam, len(self.exact)))
         # Only nodes that may be among the k best by their exact scores are scored: a similarity is off by half of this at most.
         off = np.finfo(np.float32).eps * (padded.shape[1] + 8) * np.sqrt((unit * unit).sum(1))
         last = near[:, min(k, near.shape[1]) - 1]
